@@ -50,12 +50,14 @@ def members(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFra
 
     A value of ``lists`` is an array or a scalar column.
     """
-    arrays = [
-        F.transform(F.coalesce(c, F.array()), lambda v, n=name: F.struct(F.lit(n).alias("list_name"), v.alias("value")))
-        for name, c in lists.items()
-    ]
+
+    def tagged(name: str, c: Column) -> Column:
+        return F.transform(c, lambda v: F.struct(F.lit(name).alias("list_name"), v.alias("value")))
+
+    # a null array contributes nothing, but must not null the others
+    arrays = F.array_compact(F.array(*[tagged(name, c) for name, c in lists.items()]))
     return (
-        df.select(*keys, F.explode(F.flatten(F.array(*arrays))).alias("_m"))
+        df.select(*keys, F.explode(F.flatten(arrays)).alias("_m"))
         .select(*keys, "_m.list_name", "_m.value")
         .where(F.col("value").isNotNull())
         .distinct()

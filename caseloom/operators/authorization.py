@@ -104,17 +104,23 @@ def rollup_priority(
     return df.groupBy(*key).agg(worst_status(F.col(status), order).alias(out))
 
 
-def rollup_authorization(df: DataFrame, key: list[str]) -> DataFrame:
+def rollup_authorization(df: DataFrame, key: list[str], inline: str | None = None) -> DataFrame:
     """One row per record: authorized and missing codes, evidence, worst status.
 
-    Rows come from one record's array of codes, so the lists are as bounded as it.
+    Lists are built from the rows whose ``inline`` flag is set, see ``rollup_coverage``.
     """
     code, result = F.col("procedure_code"), F.col("authorization_result")
+    listed = F.col(inline) if inline else F.lit(True)
     lacking = code.isNotNull() & ~result.isin("VALID", "NOT_REQUIRED")
     evidence = F.struct("procedure_code", "authorization_result", *GRANT, "valid_authorization_count")
+
+    def collected(condition: Column, value: Column, name: str) -> Column:
+        items = F.sort_array(F.collect_list(F.when(listed & condition, value)))
+        return F.when(F.bool_and(listed), items).alias(name)
+
     return df.groupBy(*key).agg(
-        F.array_sort(F.collect_set(F.when(result == "VALID", code))).alias("authorized_procedure_codes"),
-        F.array_sort(F.collect_set(F.when(lacking, code))).alias("missing_authorization_procedure_codes"),
-        F.sort_array(F.collect_list(F.when(code.isNotNull(), evidence))).alias("authorization_evidence"),
+        collected(result == "VALID", code, "authorized_procedure_codes"),
+        collected(lacking, code, "missing_authorization_procedure_codes"),
+        collected(code.isNotNull(), evidence, "authorization_evidence"),
         worst_status(result).alias("pre_authorization_status"),
     )

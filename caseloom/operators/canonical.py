@@ -58,14 +58,14 @@ def conflict_fields(df: DataFrame, keys: list[str], fields: Sequence[str]) -> Da
     )
 
 
-def _best(df: DataFrame, keys: list[str], order: list[tuple[str, str]]) -> Column:
-    rest = [c for c in df.columns if c not in keys]
-    return F.min_by(F.struct(*rest), sort_key(df, order))
+def _best(df: DataFrame, kept: Sequence[str], order: list[tuple[str, str]]) -> Column:
+    return F.min_by(F.struct(*kept), sort_key(df, order))
 
 
 def pick_best(df: DataFrame, keys: list[str], order: list[tuple[str, str]]) -> DataFrame:
     """First row per key under ``order``, in one aggregate and one shuffle."""
-    return df.groupBy(*keys).agg(_best(df, keys, order).alias("_best")).select(*keys, "_best.*")
+    kept = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(_best(df, kept, order).alias("_best")).select(*keys, "_best.*")
 
 
 def union_arrays(df: DataFrame, keys: list[str], lists: dict[str, Column], limit: int = INLINE_LIMIT) -> DataFrame:
@@ -97,19 +97,24 @@ def canonicalize(
     conflicts: Sequence[str],
     lists: dict[str, Column],
     limit: int = INLINE_LIMIT,
+    links: DataFrame | None = None,
 ) -> DataFrame:
-    """Best row, copy summary, conflicting fields and list unions, one row per key."""
+    """Best row, copy summary, conflicting fields and list unions, one row per key.
+
+    ``links`` may pass in the list members if they exist already, as a
+    ``functions.skew.members`` table keyed by one struct ``_k`` of the keys.
+    """
+    kept = [c for c in df.columns if c not in keys and c not in lists]
     folded = (
         df.groupBy(F.struct(*keys).alias("_k"))
-        .agg(_best(df, keys, order).alias("_best"), *_summary(score), *_conflict(conflicts))
+        .agg(_best(df, kept, order).alias("_best"), *_summary(score), *_conflict(conflicts))
         .withColumn("_conflicts", _conflict_list(conflicts))
         .drop(*[f"_differs_{c}" for c in conflicts])
     )
-    links = members(df.withColumn("_k", F.struct(*keys)), ["_k"], lists)
-    found = bounded_lists(links, ["_k"], list(lists), limit)
-    joined = folded.join(found, "_k", "left")
+    if links is None:
+        links = members(df.withColumn("_k", F.struct(*keys)), ["_k"], lists)
+    joined = folded.join(bounded_lists(links, ["_k"], list(lists), limit), "_k", "left")
     over = F.coalesce("list_overflow", F.array().cast("array<string>"))
-    kept = [c for c in df.columns if c not in keys and c not in lists]
     return joined.select(
         "_k.*",
         *[F.col(f"_best.{c}").alias(c) for c in kept],

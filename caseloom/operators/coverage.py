@@ -47,18 +47,22 @@ def coverage_join(lines: DataFrame, plans: DataFrame, on: dict[str, str]) -> Dat
         F.col("coverage_percentage").cast("decimal(6,4)"),
         F.col("copay_amount").cast(p.MONEY),
     )
-    return priced.withColumnRenamed("coverage_exists", "coverage_found").withColumn(
-        "estimated_eligible_amount", due.cast("decimal(18,4)")
+    return priced.withColumn("estimated_eligible_amount", due.cast("decimal(18,4)")).withColumnRenamed(
+        "coverage_exists", "coverage_found"
     )
 
 
-def rollup_coverage(lines: DataFrame, key: list[str]) -> DataFrame:
-    """Back to one row per record: code lists, line evidence, totals and errors.
+def rollup_coverage(lines: DataFrame, key: list[str], inline: str | None = None) -> DataFrame:
+    """Back to one row per record: code lists, line evidence, counts, total.
 
-    Lines come from one record's array, so the lists are as bounded as the array.
+    Lines hold each code of a record once. Lists are built from the lines whose
+    ``inline`` flag is set (all, if none is named), which come from one array
+    each and so are bounded; a record without such lines gets null lists. The
+    counts and the total cover every line.
     """
     has = F.col("procedure_code").isNotNull()
-    covered = has & F.col("coverage_found")
+    covered, uncovered = has & F.col("coverage_found"), has & ~F.col("coverage_found")
+    listed = F.col(inline) if inline else F.lit(True)
     evidence = F.struct(
         "procedure_code",
         "coverage_found",
@@ -71,23 +75,26 @@ def rollup_coverage(lines: DataFrame, key: list[str]) -> DataFrame:
         "estimated_eligible_amount",
     )
 
-    def codes(condition: Column) -> Column:
-        return F.array_sort(F.collect_set(F.when(condition, F.col("procedure_code"))))
-
-    rolled = lines.groupBy(*key).agg(
-        codes(covered).alias("covered_procedure_codes"),
-        codes(has & ~F.col("coverage_found")).alias("uncovered_procedure_codes"),
-        codes(covered & F.col("requires_pre_authorization")).alias("pre_auth_required_procedure_codes"),
-        F.sort_array(F.collect_list(F.when(has, evidence))).alias("coverage_evidence"),
-        F.sum("estimated_eligible_amount").cast(p.MONEY).alias("estimated_eligible_amount"),
-    )
-    covered_n, uncovered_n = F.size("covered_procedure_codes"), F.size("uncovered_procedure_codes")
-    return rolled.withColumns(
-        {
-            "covered_procedure_count": covered_n,
-            "uncovered_procedure_count": uncovered_n,
-            "all_procedures_have_coverage": (uncovered_n == 0) & (covered_n > 0),
-        }
+    def collected(condition: Column, value: Column, name: str) -> Column:
+        items = F.sort_array(F.collect_list(F.when(listed & condition, value)))
+        return F.when(F.bool_and(listed), items).alias(name)
+
+    code = F.col("procedure_code")
+    return (
+        lines.groupBy(*key)
+        .agg(
+            collected(covered, code, "covered_procedure_codes"),
+            collected(uncovered, code, "uncovered_procedure_codes"),
+            collected(covered & F.col("requires_pre_authorization"), code, "pre_auth_required_procedure_codes"),
+            collected(has, evidence, "coverage_evidence"),
+            F.sum("estimated_eligible_amount").cast(p.MONEY).alias("estimated_eligible_amount"),
+            F.count_if(covered).cast("int").alias("covered_procedure_count"),
+            F.count_if(uncovered).cast("int").alias("uncovered_procedure_count"),
+        )
+        .withColumn(
+            "all_procedures_have_coverage",
+            (F.col("uncovered_procedure_count") == 0) & (F.col("covered_procedure_count") > 0),
+        )
     )
 
 

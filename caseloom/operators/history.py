@@ -170,7 +170,7 @@ def near_duplicate_counts(
         my_day,
         F.col(my_id).alias("_id"),
         F.col(own_id or my_id).alias("_own"),
-        F.col(my_amount).alias("_amount"),
+        F.col(my_amount).cast("decimal(18,4)").alias("_amount"),
     )
     probes = probes.where(F.col("_amount") >= 0)
     points = _dated(

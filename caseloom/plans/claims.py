@@ -1,9 +1,11 @@
 """The claims flow: noisy documents in, one case per claim out, in six stages.
 
-Each stage takes and returns DataFrames, so the chain is one lazy plan; a stage
-may also be written and resumed from (``run_stage``). Every stage keeps every
-claim, a null claim id included: stages join on the one-field struct
-``claim_key``, whose equality is null-safe.
+Each stage takes and returns DataFrames and uses the claims several times, so
+the whole chain writes every stage to the shared folder before the next one
+(``claim_cases``); a stage may also be run alone from the folder of the one
+before it (``run_stage``). Every stage keeps every claim, a null claim id
+included: stages join on the one-field struct ``claim_key``, whose equality is
+null-safe.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from caseloom.operators import authorization, canonical, cases, coverage, histor
 from caseloom.operators import standardize as st
 from caseloom.operators.rules import Rule
 from caseloom.sources import tables
+from caseloom.sources.lineage import cut
 from caseloom.sources.schemas import INPUTS
 
 KEY = ["claim_key"]
@@ -208,7 +211,16 @@ BEST_DOCUMENT = [
 ]
 
 
-def canonical_claims(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
+def claim_links(docs: DataFrame) -> DataFrame:
+    """Every distinct (claim_key, list_name, value) of the claims' documents and codes, whole.
+
+    Claims carry these lists inline up to a limit; beyond it this table is where they are.
+    """
+    keyed = _ranked_documents(docs).withColumn("claim_key", F.struct("claim_id"))
+    return members(keyed, KEY, {name: F.col(name) for name in LISTS})
+
+
+def canonical_claims(docs: DataFrame, links: DataFrame | None = None, limit: int = INLINE_LIMIT) -> DataFrame:
     """One row per claim: best document, copy evidence, unions of codes."""
     claims = canonical.canonicalize(
         _ranked_documents(docs),
@@ -218,15 +230,11 @@ def canonical_claims(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
         fv.CONFLICT_FIELDS,
         {name: F.col(name) for name in LISTS},
         limit,
+        links.withColumnRenamed("claim_key", "_k") if links is not None else None,
     )
     return claims.select(*[F.col(src).alias(name) for name, src in CLAIM_COLUMNS.items()])
 
 
-def claim_links(docs: DataFrame) -> DataFrame:
-    """Every (claim_id, list_name, value), whole: what an overflowing list leaves out."""
-    return members(_ranked_documents(docs), ["claim_id"], {name: F.col(name) for name in LISTS})
-
-
 # --- 2. reference tables --------------------------------------------------------
 def reduced_policies(policy: DataFrame) -> DataFrame:
     cleaned = policy.select(
@@ -307,8 +315,25 @@ def _keyed(claims: DataFrame) -> DataFrame:
     return claims.withColumn("claim_key", F.struct("claim_id"))
 
 
-def claim_lines(claims: DataFrame, codes: str, *columns: str) -> DataFrame:
-    return coverage.explode_lines(_keyed(claims).select(*KEY, *columns, codes), codes)
+def _overflows(name: str):
+    return F.array_contains("list_overflow", name)
+
+
+def claim_lines(claims: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
+    """One row per claim and procedure code; a claim without codes keeps one row.
+
+    Codes come from the claim's own list, or from ``links`` where that list
+    overflowed; ``is_inline`` tells which.
+    """
+    keyed = _keyed(claims)
+    inline = coverage.explode_lines(
+        keyed.where(~_overflows("procedure_codes")).select(*KEY, *columns, "procedure_codes"), "procedure_codes"
+    ).drop("procedure_index")
+    codes = links.where(F.col("list_name") == "procedure_codes")
+    counts = codes.groupBy(*KEY).agg(F.count(F.lit(1)).cast("int").alias("line_count"))
+    overflowing = keyed.where(_overflows("procedure_codes")).select(*KEY, *columns).join(counts, KEY)
+    rest = overflowing.join(codes.select(*KEY, F.col("value").alias("procedure_code")), KEY)
+    return inline.withColumn("is_inline", F.lit(True)).unionByName(rest.withColumn("is_inline", F.lit(False)))
 
 
 def reduced_coverage(plan_coverage: DataFrame) -> DataFrame:
@@ -321,16 +346,25 @@ def reduced_coverage(plan_coverage: DataFrame) -> DataFrame:
         "copay_amount",
         F.coalesce("requires_pre_authorization", F.lit(False)).alias("requires_pre_authorization"),
     )
-    order = [("coverage_type", "asc"), ("coverage_percentage", "asc"), ("copay_amount", "asc")]
+    order = [
+        ("coverage_type", "asc"),
+        ("coverage_percentage", "asc"),
+        ("copay_amount", "asc"),
+        ("requires_pre_authorization", "desc"),
+        ("deductible_amount", "asc"),
+    ]
     return lookup.reduce_dimension(cleaned, ["plan_id", "procedure_code"], order, "coverage_match_count")
 
 
-def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame) -> DataFrame:
-    lines = claim_lines(claims, "procedure_codes", "plan_id", "billed_amount_parsed")
+def priced_lines(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
+    lines = claim_lines(claims, links, "plan_id", "billed_amount_parsed", *columns)
     lines = coverage.allocate_evenly(lines, "billed_amount_parsed", "line_count", "procedure_billed_amount")
     on = {"plan_id": "plan_id", "procedure_code": "procedure_code"}
-    priced = coverage.coverage_join(lines, reduced_coverage(plan_coverage), on)
-    rolled = coverage.rollup_coverage(priced, KEY)
+    return coverage.coverage_join(lines, reduced_coverage(plan_coverage), on)
+
+
+def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
+    rolled = coverage.rollup_coverage(priced_lines(claims, plan_coverage, links), KEY, "is_inline")
     checked = rules.validate(lookup.attach(_keyed(claims), rolled, KEY), coverage.coverage_rules(), "coverage_errors")
     return checked.drop(*KEY)
 
@@ -342,11 +376,11 @@ def reduced_history(claim_history: DataFrame) -> DataFrame:
     return lookup.reduce_dimension(claim_history, ["historical_claim_id"], order, "copies").drop("copies")
 
 
-def enrich_history(claims: DataFrame, claim_history: DataFrame) -> DataFrame:
+def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
     past = reduced_history(claim_history)
     keyed = _keyed(claims)
     wide = ("claim_id", "member_id", "provider_id", "service_date_parsed", "billed_amount_parsed")
-    lines = claim_lines(claims, "procedure_codes", *wide)
+    lines = claim_lines(claims, links, *wide)
     lines = coverage.allocate_evenly(lines, "billed_amount_parsed", "line_count", "procedure_billed_amount")
 
     same = history.trailing_metrics(
@@ -395,16 +429,34 @@ def cleaned_authorizations(pre_authorization: DataFrame) -> DataFrame:
     return pre_authorization.withColumn("authorization_status", p.enum(F.col("authorization_status")))
 
 
-def enrich_authorization(claims: DataFrame, pre_authorization: DataFrame) -> DataFrame:
-    needed = claim_lines(
-        claims, "pre_auth_required_procedure_codes", "member_id", "provider_id", "service_date_parsed"
+def required_lines(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
+    """One row per claim and procedure that needs authorization, null where none does."""
+    columns = ["member_id", "provider_id", "service_date_parsed"]
+    listed = ~_overflows("procedure_codes")
+    inline = coverage.explode_lines(
+        _keyed(claims).where(listed).select(*KEY, *columns, "pre_auth_required_procedure_codes"),
+        "pre_auth_required_procedure_codes",
     )
+    rest = priced_lines(claims.where(~listed), plan_coverage, links, *columns)
+    code = F.when(F.col("requires_pre_authorization"), F.col("procedure_code"))
+    return inline.select(*KEY, *columns, "procedure_code", F.lit(True).alias("is_inline")).unionByName(
+        rest.select(*KEY, *columns, code.alias("procedure_code"), F.lit(False).alias("is_inline"))
+    )
+
+
+def enrich_authorization(
+    claims: DataFrame, pre_authorization: DataFrame, plan_coverage: DataFrame, links: DataFrame
+) -> DataFrame:
     keys = ["member_id", "provider_id", "procedure_code"]
     matched = authorization.match_authorizations(
-        needed, cleaned_authorizations(pre_authorization), keys, "service_date_parsed"
+        required_lines(claims, plan_coverage, links),
+        cleaned_authorizations(pre_authorization),
+        keys,
+        "service_date_parsed",
     )
     classified = authorization.classify_authorization(matched, "procedure_code")
-    return lookup.attach(_keyed(claims), authorization.rollup_authorization(classified, KEY), KEY).drop(*KEY)
+    rolled = authorization.rollup_authorization(classified, KEY, "is_inline")
+    return lookup.attach(_keyed(claims), rolled, KEY).drop(*KEY)
 
 
 # --- 6. cases -----------------------------------------------------------------------------
@@ -458,45 +510,67 @@ def assemble_cases(claims: DataFrame) -> DataFrame:
 
 # --- whole flow, and stage by stage -----------------------------------------------------------
 Inputs = dict[str, DataFrame]
+LINKS = "claim_links"
 
+# stage -> (function of the claims so far, further inputs)
 STAGES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
-    "canonical_claims": (canonical_claims, ()),
+    "canonical_claims": (canonical_claims, (LINKS,)),
     "reference_enriched_claims": (enrich_references, ("policy", "member", "provider")),
-    "coverage_enriched_claims": (enrich_coverage, ("plan_coverage",)),
-    "historical_enriched_claims": (enrich_history, ("claim_history",)),
-    "authorization_enriched_claims": (enrich_authorization, ("pre_authorization",)),
+    "coverage_enriched_claims": (enrich_coverage, ("plan_coverage", LINKS)),
+    "historical_enriched_claims": (enrich_history, ("claim_history", LINKS)),
+    "authorization_enriched_claims": (enrich_authorization, ("pre_authorization", "plan_coverage", LINKS)),
     "claim_case": (assemble_cases, ()),
 }
 
 
-def claim_cases(inputs: Inputs, upto: str = "claim_case") -> DataFrame:
-    """The chain from documents to the named stage, as one lazy plan."""
+def claim_cases(inputs: Inputs, upto: str = "claim_case", between: Callable[..., DataFrame] = cut) -> DataFrame:
+    """The chain from documents to the named stage; ``between`` takes over each finished table."""
     table = inputs["ocr_documents"]
+    given = {**inputs, LINKS: between(claim_links(table), LINKS)}
     for name, (stage, needs) in STAGES.items():
-        table = stage(table, *[inputs[n] for n in needs])
+        table = stage(table, *[given[n] for n in needs])
         if name == upto:
             return table
+        table = between(table, name)
     raise KeyError(upto)
 
 
 def stage_schema(spark: SparkSession, name: str):
-    """Schema of a stage's output, from its plan over empty inputs."""
-    return claim_cases({n: spark.createDataFrame([], s) for n, s in INPUTS.items()}, name).schema
+    """Schema of a stage's output, from its plan over empty inputs; nothing runs."""
+
+    def emptied(df: DataFrame, _: str) -> DataFrame:
+        return spark.createDataFrame([], df.schema)
+
+    return claim_cases({n: spark.createDataFrame([], s) for n, s in INPUTS.items()}, name, emptied).schema
 
 
 def run_stage(
-    spark: SparkSession, name: str, in_path: str, out_path: str, references: Inputs | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    name: str,
+    folder: str,
+    references: Inputs,
+    raw_path: str | None = None,
+    fmt: str = "parquet",
 ) -> None:
-    """Run one stage from the folder of the one before it (or the raw CSV) and replace its own folder."""
+    """Run one stage from ``folder/<stage before>`` and replace ``folder/<stage>``.
+
+    The first stage reads the raw CSV and also writes the link table, which
+    stays Parquet in either format.
+    """
     order = list(STAGES)
-    stage, needs = STAGES[name]
     at = order.index(name)
+    links_path = f"{folder}/{LINKS}"
     if at == 0:
-        source = tables.read_raw(spark, in_path, INPUTS["ocr_documents"].fieldNames())
+        source = tables.read_raw(spark, raw_path, INPUTS["ocr_documents"].fieldNames())
+        tables.write_stage(claim_links(source), links_path)
     else:
-        source = tables.read_stage(spark, in_path, fmt, stage_schema(spark, order[at - 1]) if fmt == "csv" else None)
-    result = stage(source, *[(references or {})[n] for n in needs])
+        before = order[at - 1]
+        schema = stage_schema(spark, before) if fmt == "csv" else None
+        source = tables.read_stage(spark, f"{folder}/{before}", fmt, schema)
+    stage, needs = STAGES[name]
+    given = {**references, LINKS: tables.read_stage(spark, links_path)}
+    result = stage(source, *[given[n] for n in needs])
     if name == "claim_case" and fmt == "parquet":
-        tables.write_case(result, out_path)
+        tables.write_case(result, f"{folder}/{name}")
     else:
-        tables.write_stage(result, out_path, fmt)
+        tables.write_stage(result, f"{folder}/{name}", fmt)
