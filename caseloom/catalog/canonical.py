@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.catalog import Source, query
+from caseloom.functions.lists import members
 from caseloom.operators import canonical
 
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -76,8 +77,6 @@ def duplicate_ids(src: Source) -> DataFrame:
 )
 def id_links(src: Source) -> DataFrame:
     """The whole membership of a list, however long, as rows."""
-    from caseloom.functions.skew import members
-
     return members(src.events, ["user_id"], {"event_ids": F.array(F.col("event_id").cast("string"))})
 
 

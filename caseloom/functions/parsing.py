@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,44 +36,56 @@ def blank(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "")
 
 
+def _shaped(text: Column, fmt: str) -> Column:
+    """Whether the text has the length and digits of the format.
+
+    A failed parse costs an exception per row, so only text of the right shape
+    is tried. Formats other than runs of y, M and d are always tried.
+    """
+    if not re.fullmatch(r"(?:y+|M+|d+|[^A-Za-z])+", fmt):
+        return F.lit(True)
+    runs = re.findall(r"y+|M+|d+|[^yMd]+", fmt)
+    shape = "".join(rf"\d{{{len(r)}}}" if r[0] in "yMd" else re.escape(r) for r in runs)
+    return text.rlike(f"^{shape}$")
+
+
 def date_of(c: Column, formats: Sequence[str] = fv.DATE_FORMATS) -> Column:
     """Date under the first format that fits, otherwise null."""
     text = F.trim(c)
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[F.when(_shaped(text, f), F.try_to_date(text, f)) for f in formats])
 
 
 def date_outcome(c: Column, formats: Sequence[str] = fv.DATE_FORMATS) -> Column:
     """Name of the format that fits, or NULL_INPUT / UNPARSED."""
     text = F.trim(c)
-    start = F.when(c.isNull(), "NULL_INPUT")
-    hits = reduce(lambda acc, f: acc.when(F.try_to_date(text, f).isNotNull(), f), formats, start)
-    return hits.otherwise("UNPARSED")
+    out = F.when(c.isNull(), "NULL_INPUT")
+    for f in formats:
+        out = out.when(_shaped(text, f) & F.try_to_date(text, f).isNotNull(), f)
+    return out.otherwise("UNPARSED")
 
 
-def _bare_amount(c: Column) -> Column:
+def bare_amount(c: Column) -> Column:
+    """The amount text without currency marks and blanks."""
     return F.regexp_replace(F.trim(c), fv.CURRENCY_MARKS, "")
 
 
 def amount_outcome(c: Column) -> Column:
-    """DECIMAL_COMMA, THOUSANDS, PLAIN, or NULL_INPUT / UNPARSED."""
-    bare = _bare_amount(c)
+    """DECIMAL_COMMA, THOUSANDS, PLAIN, or NULL_INPUT / UNPARSED, of a bare amount."""
     return (
         F.when(c.isNull(), "NULL_INPUT")
-        .when(bare.rlike(fv.AMOUNT_DECIMAL_COMMA), "DECIMAL_COMMA")
-        .when(bare.rlike(fv.AMOUNT_THOUSANDS), "THOUSANDS")
-        .when(bare.rlike(fv.AMOUNT_PLAIN), "PLAIN")
+        .when(c.rlike(fv.AMOUNT_PLAIN), "PLAIN")
+        .when(c.rlike(fv.AMOUNT_DECIMAL_COMMA), "DECIMAL_COMMA")
+        .when(c.rlike(fv.AMOUNT_THOUSANDS), "THOUSANDS")
         .otherwise("UNPARSED")
     )
 
 
 def amount_of(c: Column) -> Column:
-    """Money value; a comma is a decimal mark before exactly two last digits."""
-    bare = _bare_amount(c)
-    shape = amount_outcome(c)
+    """Money value of a bare amount; a comma is a decimal mark before exactly two last digits."""
     number = (
-        F.when(shape == "DECIMAL_COMMA", F.replace(bare, F.lit(","), F.lit(".")))
-        .when(shape == "THOUSANDS", F.replace(bare, F.lit(","), F.lit("")))
-        .when(shape == "PLAIN", bare)
+        F.when(c.rlike(fv.AMOUNT_PLAIN), c)
+        .when(c.rlike(fv.AMOUNT_DECIMAL_COMMA), F.replace(c, F.lit(","), F.lit(".")))
+        .when(c.rlike(fv.AMOUNT_THOUSANDS), F.replace(c, F.lit(","), F.lit("")))
     )
     return number.try_cast(MONEY)
 

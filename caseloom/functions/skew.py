@@ -43,22 +43,3 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     dealt = F.pmod(F.xxhash64(*hashable), F.lit(NULL_BUCKETS)) + 1
     bucketed = left.withColumn("_bucket", F.when(any_null(keys), dealt).otherwise(nowhere))
     return bucketed.join(right.withColumn("_bucket", nowhere), [*keys, "_bucket"], "left").drop("_bucket")
-
-
-def members(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
-    """Every distinct (keys, list_name, value), whole, however large a key is.
-
-    A value of ``lists`` is an array or a scalar column.
-    """
-
-    def tagged(name: str, c: Column) -> Column:
-        return F.transform(c, lambda v: F.struct(F.lit(name).alias("list_name"), v.alias("value")))
-
-    # a null array contributes nothing, but must not null the others
-    arrays = F.array_compact(F.array(*[tagged(name, c) for name, c in lists.items()]))
-    return (
-        df.select(*keys, F.explode(F.flatten(arrays)).alias("_m"))
-        .select(*keys, "_m.list_name", "_m.value")
-        .where(F.col("value").isNotNull())
-        .distinct()
-    )

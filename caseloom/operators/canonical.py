@@ -6,14 +6,17 @@ and its value lists are bounded, see ``functions.lists``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.lists import bounded_lists
+from caseloom.functions.lists import collect_lists
 from caseloom.functions.ordering import sort_key
-from caseloom.functions.skew import INLINE_LIMIT, members
+from caseloom.functions.skew import INLINE_LIMIT
+
+# keys travel as one struct, whose equality is null-safe, so a null key keeps its lists
+KEY = "_key"
 
 
 def _summary(score: str | None) -> list[Column]:
@@ -74,19 +77,19 @@ def union_arrays(df: DataFrame, keys: list[str], lists: dict[str, Column], limit
 
 
 def _attach_lists(out: DataFrame, df: DataFrame, keys: list[str], lists: dict[str, Column], limit: int) -> DataFrame:
-    """Add bounded lists to a one-row-per-key table; an empty list is [], an overflowing one null.
-
-    Keys travel as one struct, whose equality is null-safe, so a null key keeps its lists.
-    """
-    links = members(df.withColumn("_k", F.struct(*keys)), ["_k"], lists)
-    found = bounded_lists(links, ["_k"], list(lists), limit)
-    joined = out.withColumn("_k", F.struct(*keys)).join(found, "_k", "left").drop("_k")
-    empty = F.array().cast("array<string>")
-    over = F.coalesce("list_overflow", empty)
-    filled = {
+    """Add the lists to a one-row-per-key table."""
+    found = collect_lists(df.withColumn(KEY, F.struct(*keys)), [KEY], lists, limit)
+    joined = out.withColumn(KEY, F.struct(*keys)).join(found, KEY, "left").drop(KEY)
+    return joined.withColumns(_filled(joined, lists))
+
+
+def _filled(joined: DataFrame, lists: Iterable[str]) -> dict[str, Column]:
+    """A list without members is [], one that overflowed is null."""
+    over = F.coalesce("list_overflow", F.array().cast("array<string>"))
+    inline = {
         n: F.when(~F.array_contains(over, n), F.coalesce(n, F.array().cast(joined.schema[n].dataType))) for n in lists
     }
-    return joined.withColumns({**filled, "list_overflow": over})
+    return {**inline, "list_overflow": over}
 
 
 def canonicalize(
@@ -97,26 +100,18 @@ def canonicalize(
     conflicts: Sequence[str],
     lists: dict[str, Column],
     limit: int = INLINE_LIMIT,
-    links: DataFrame | None = None,
 ) -> DataFrame:
-    """Best row, copy summary, conflicting fields and list unions, one row per key.
-
-    ``links`` may pass in the list members if they exist already, as a
-    ``functions.skew.members`` table keyed by one struct ``_k`` of the keys.
-    """
+    """Best row, copy summary, conflicting fields and list unions, one row per key."""
     kept = [c for c in df.columns if c not in keys and c not in lists]
+    keyed = df.withColumn(KEY, F.struct(*keys))
     folded = (
-        df.groupBy(F.struct(*keys).alias("_k"))
+        keyed.groupBy(KEY)
         .agg(_best(df, kept, order).alias("_best"), *_summary(score), *_conflict(conflicts))
         .withColumn("_conflicts", _conflict_list(conflicts))
-        .drop(*[f"_differs_{c}" for c in conflicts])
     )
-    if links is None:
-        links = members(df.withColumn("_k", F.struct(*keys)), ["_k"], lists)
-    joined = folded.join(bounded_lists(links, ["_k"], list(lists), limit), "_k", "left")
-    over = F.coalesce("list_overflow", F.array().cast("array<string>"))
+    joined = folded.join(collect_lists(keyed, [KEY], lists, limit), KEY, "left")
     return joined.select(
-        "_k.*",
+        f"{KEY}.*",
         *[F.col(f"_best.{c}").alias(c) for c in kept],
         "document_count",
         (F.col("document_count") > 1).alias("duplicate_document_flag"),
@@ -124,9 +119,5 @@ def canonicalize(
         f"avg_{score}",
         F.col("_conflicts").alias("cross_document_conflict_fields"),
         (F.size("_conflicts") > 0).alias("cross_document_conflict"),
-        *[
-            F.when(~F.array_contains(over, n), F.coalesce(F.col(n), F.array().cast(joined.schema[n].dataType))).alias(n)
-            for n in lists
-        ],
-        over.alias("list_overflow"),
+        *[c.alias(n) for n, c in _filled(joined, lists).items()],
     )

@@ -17,8 +17,6 @@ from caseloom import fixed_values as fv
 from caseloom.functions.parsing import MONEY
 from caseloom.functions.skew import none_null, spread_join
 
-TOTAL = "decimal(38,2)"
-
 
 def _day(name: str) -> Column:
     return F.unix_date(F.col(name))
@@ -44,25 +42,25 @@ def trailing_metrics(
     Running totals up to yesterday minus running totals up to the day before the
     window: both frames grow only at the end, so the cost is linear in days.
     """
-    money = F.col(amount).cast(TOTAL)
-    zero = F.lit(0).cast(TOTAL)
-    facts = _dated(history, keys, history_day, F.lit(1).alias("_n"), money.alias("_sum")).select(
+    # whole cents in a long add up exactly and fast; an overflow is an error, not a wrong sum
+    cents = (F.col(amount).cast(MONEY) * 100).cast("long")
+    facts = _dated(history, keys, history_day, F.lit(1).alias("_n"), cents.alias("_cents")).select(
         *keys,
         "_day",
         "_n",
-        F.coalesce("_sum", zero).alias("_sum"),
-        F.col("_sum").isNotNull().cast("int").alias("_known"),
+        F.coalesce("_cents", F.lit(0)).alias("_sum"),
+        F.col("_cents").isNotNull().cast("int").alias("_known"),
         F.lit(0).alias("_asked"),
     )
     asked = _dated(current, keys, current_day).withColumns(
-        {"_n": F.lit(0), "_sum": zero, "_known": F.lit(0), "_asked": F.lit(1)}
+        {"_n": F.lit(0), "_sum": F.lit(0).cast("long"), "_known": F.lit(0), "_asked": F.lit(1)}
     )
     daily = (
         facts.unionByName(asked)
         .groupBy(*keys, "_day")
         .agg(
             F.sum("_n").alias("_n"),
-            F.sum("_sum").cast(TOTAL).alias("_sum"),
+            F.sum("_sum").alias("_sum"),
             F.sum("_known").alias("_known"),
             F.max("_asked").alias("_asked"),
         )
@@ -84,9 +82,9 @@ def trailing_metrics(
             *keys,
             "_day",
             count,
-            F.col("_total").cast(MONEY).alias(total),
+            (F.col("_total").cast("decimal(20,0)") / 100).cast(MONEY).alias(total),
             F.when(F.col("_last") >= F.col("_day") - days, F.date_from_unix_date("_last")).alias(last_day),
-            F.when(known > 0, F.col("_total").cast("double") / known).alias(mean),
+            F.when(known > 0, F.col("_total") / F.lit(100.0) / known).alias(mean),
         )
     )
     joined = spread_join(current.withColumn("_day", _day(current_day)), per_day, [*keys, "_day"]).drop("_day")

@@ -31,9 +31,9 @@ def missing_fields(df: DataFrame, spec: dict[str, Column], out: str = "missing_f
 
 def code_counts(df: DataFrame, codes: str, by: Sequence[str] = (), name: str = "code") -> DataFrame:
     """Rows per code of an array column (rule violations, PII types, review reasons)."""
-    return (
-        df.select(*by, F.explode(codes).alias(name)).groupBy(*by, name).agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    # explode would put a non-empty filter below the rules and so evaluate every rule again
+    rows = df.select(*by, F.explode_outer(codes).alias(name)).where(F.col(name).isNotNull())
+    return rows.groupBy(*by, name).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def flag_active(df: DataFrame, day: str, start: str, end: str, status: str, out: str, wanted: str = "ACTIVE"):

@@ -34,8 +34,11 @@ def parse_code_lists(df: DataFrame, cols: Iterable[str], suffix: str = "_array")
     return _add(df, cols, suffix, p.codes_of)
 
 
-def parse_amounts(df: DataFrame, cols: Iterable[str], suffix: str = "_parsed") -> DataFrame:
-    return _add(df, cols, suffix, p.amount_of)
+def parse_amounts(df: DataFrame, cols: Sequence[str], suffix: str = "_parsed") -> DataFrame:
+    # the bare text is a column of its own, so that it is stripped once and not once per pattern
+    bare = _add(df, cols, "_bare", p.bare_amount)
+    parsed = bare.withColumns({f"{c}{suffix}": p.amount_of(F.col(f"{c}_bare")) for c in cols})
+    return parsed.drop(*[f"{c}_bare" for c in cols])
 
 
 def standardize_enums(
@@ -61,9 +64,12 @@ def with_warnings(df: DataFrame, rules: dict[str, Column], out: str = "normaliza
 def profile_parses(df: DataFrame, dates: Sequence[str] = (), amounts: Sequence[str] = ()) -> DataFrame:
     """Row count per (column, outcome): which format fitted, and how often none did."""
     seen = [F.struct(F.lit(c).alias("column_name"), p.date_outcome(F.col(c)).alias("outcome")) for c in dates]
-    seen += [F.struct(F.lit(c).alias("column_name"), p.amount_outcome(F.col(c)).alias("outcome")) for c in amounts]
+    seen += [
+        F.struct(F.lit(c).alias("column_name"), p.amount_outcome(F.col(f"{c}_bare")).alias("outcome")) for c in amounts
+    ]
     return (
-        df.select(F.inline(F.array(*seen)))
+        _add(df, amounts, "_bare", p.bare_amount)
+        .select(F.inline(F.array(*seen)))
         .groupBy("column_name", "outcome")
         .agg(F.count(F.lit(1)).alias("row_count"))
         .withColumn("parsed", ~F.col("outcome").isin("NULL_INPUT", "UNPARSED"))

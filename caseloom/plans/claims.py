@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions import parsing as p
-from caseloom.functions.skew import INLINE_LIMIT, members
+from caseloom.functions.lists import heavy_keys, members
+from caseloom.functions.skew import INLINE_LIMIT
 from caseloom.operators import authorization, canonical, cases, coverage, history, lookup, pii, rules, scoring
 from caseloom.operators import standardize as st
 from caseloom.operators.rules import Rule
@@ -211,16 +212,17 @@ BEST_DOCUMENT = [
 ]
 
 
-def claim_links(docs: DataFrame) -> DataFrame:
-    """Every distinct (claim_key, list_name, value) of the claims' documents and codes, whole.
+def claim_links(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
+    """(claim_key, list_name, value) of the claims with more than ``limit`` documents, whole.
 
-    Claims carry these lists inline up to a limit; beyond it this table is where they are.
+    Such claims may not carry their lists inline; these rows stand in for them.
     """
-    keyed = _ranked_documents(docs).withColumn("claim_key", F.struct("claim_id"))
-    return members(keyed, KEY, {name: F.col(name) for name in LISTS})
+    keyed = _keyed(docs)
+    heavy = keyed.join(heavy_keys(keyed, KEY, limit), KEY, "left_semi")
+    return members(_keyed(_ranked_documents(heavy)), KEY, {name: F.col(name) for name in LISTS})
 
 
-def canonical_claims(docs: DataFrame, links: DataFrame | None = None, limit: int = INLINE_LIMIT) -> DataFrame:
+def canonical_claims(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
     """One row per claim: best document, copy evidence, unions of codes."""
     claims = canonical.canonicalize(
         _ranked_documents(docs),
@@ -230,7 +232,6 @@ def canonical_claims(docs: DataFrame, links: DataFrame | None = None, limit: int
         fv.CONFLICT_FIELDS,
         {name: F.col(name) for name in LISTS},
         limit,
-        links.withColumnRenamed("claim_key", "_k") if links is not None else None,
     )
     return claims.select(*[F.col(src).alias(name) for name, src in CLAIM_COLUMNS.items()])
 
@@ -514,7 +515,7 @@ LINKS = "claim_links"
 
 # stage -> (function of the claims so far, further inputs)
 STAGES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
-    "canonical_claims": (canonical_claims, (LINKS,)),
+    "canonical_claims": (canonical_claims, ()),
     "reference_enriched_claims": (enrich_references, ("policy", "member", "provider")),
     "coverage_enriched_claims": (enrich_coverage, ("plan_coverage", LINKS)),
     "historical_enriched_claims": (enrich_history, ("claim_history", LINKS)),
