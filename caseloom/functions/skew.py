@@ -35,8 +35,11 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     Rows of ``left`` with a null key match nothing, yet a plain join would hash
     them all to one task; here they are dealt out over ``NULL_BUCKETS``. The
     bucket is a hash of the row, so a retried task deals them out alike.
-    Heavy non-null keys are split by AQE, see ``tune``.
+    Heavy non-null keys are split by AQE, see ``tune``. Keys that cannot be null
+    are joined plainly, so that joins in a row share one shuffle of ``left``.
     """
+    if not any(left.schema[k].nullable for k in keys):
+        return left.join(right, keys, "left")
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     # hash % 1 is always 0, but not a literal, so it stays a join key
     nowhere = F.pmod(F.xxhash64(*keys), F.lit(1))

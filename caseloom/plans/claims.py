@@ -379,11 +379,9 @@ def reduced_history(claim_history: DataFrame) -> DataFrame:
 
 def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
     past = reduced_history(claim_history)
-    keyed = _keyed(claims)
-    wide = ("claim_id", "member_id", "provider_id", "service_date_parsed", "billed_amount_parsed")
-    lines = claim_lines(claims, links, *wide)
+    on = ("member_id", "service_date_parsed")
+    lines = claim_lines(claims, links, "claim_id", *on, "provider_id", "billed_amount_parsed")
     lines = coverage.allocate_evenly(lines, "billed_amount_parsed", "line_count", "procedure_billed_amount")
-
     same = history.trailing_metrics(
         lines, past, ["member_id", "procedure_code"], "service_date_parsed", "service_date", "claim_amount"
     )
@@ -396,27 +394,24 @@ def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame
         ("historical_claim_id", "service_date", "claim_amount"),
         own_id="claim_id",
     )
-    payload = ["provider_id", "procedure_code", "claim_amount", "claim_status"]
-    names = (
+    metrics = (
         "prior_claim_count_365d",
         "prior_claim_amount_365d",
         "most_recent_prior_service_date",
         "historical_average_claim_amount",
     )
+    payload = ["provider_id", "procedure_code", "claim_amount", "claim_status"]
+    # everything is worked out on key, member and day; the wide claims are shuffled once, to take it all in
+    asked = _keyed(claims).select(*KEY, *on)
+    asked = history.trailing_metrics(
+        asked, past, ["member_id"], "service_date_parsed", "service_date", "claim_amount", metrics
+    )
+    asked = history.recent_evidence(
+        asked, past, ["member_id"], "service_date_parsed", "service_date", "historical_claim_id", payload
+    )
     zero = F.lit(0).cast("long")
     return (
-        history.trailing_metrics(
-            keyed, past, ["member_id"], "service_date_parsed", "service_date", "claim_amount", names
-        )
-        .transform(
-            history.recent_evidence,
-            past,
-            ["member_id"],
-            "service_date_parsed",
-            "service_date",
-            "historical_claim_id",
-            payload,
-        )
+        lookup.attach(_keyed(claims), asked.drop(*on), KEY)
         .transform(lookup.attach, same, KEY, {"same_procedure_claim_count_365d": zero})
         .transform(lookup.attach, near, KEY, {"candidate_duplicate_count": zero})
         .withColumn("duplicate_claim_flag", F.col("candidate_duplicate_count") > 0)
