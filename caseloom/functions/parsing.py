@@ -40,11 +40,11 @@ def _shaped(text: Column, fmt: str) -> Column:
     """Whether the text has the length and digits of the format.
 
     A failed parse costs an exception per row, so only text of the right shape
-    is tried. Formats other than runs of y, M and d are always tried.
+    is tried. Formats with parts other than yyyy, MM and dd are always tried.
     """
-    if not re.fullmatch(r"(?:y+|M+|d+|[^A-Za-z])+", fmt):
+    if not re.fullmatch(r"(?:yyyy|MM|dd|[^A-Za-z])+", fmt):
         return F.lit(True)
-    runs = re.findall(r"y+|M+|d+|[^yMd]+", fmt)
+    runs = re.findall(r"yyyy|MM|dd|[^yMd]+", fmt)
     shape = "".join(rf"\d{{{len(r)}}}" if r[0] in "yMd" else re.escape(r) for r in runs)
     return text.rlike(f"^{shape}$")
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,11 +16,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can read and write")
-    folder = tempfile.mkdtemp(prefix="caseloom-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="caseloom-")
+    return _own[context.applicationId]
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

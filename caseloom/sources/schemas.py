@@ -33,8 +33,19 @@ def all_strings(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "money": MONEY,
+}
+
+
 def _table(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Fields written as ``name type, name type``; needs no session, unlike DDL."""
+    pairs = [field.split() for field in text.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 OCR_DOCUMENTS = all_strings(OCR_COLUMNS)
@@ -49,11 +60,11 @@ PROVIDER = _table(
 )
 PLAN_COVERAGE = _table(
     "plan_id string, procedure_code string, coverage_type string, coverage_percentage double, "
-    "deductible_amount decimal(18,2), copay_amount decimal(18,2), requires_pre_authorization boolean"
+    "deductible_amount money, copay_amount money, requires_pre_authorization boolean"
 )
 CLAIM_HISTORY = _table(
     "historical_claim_id string, member_id string, provider_id string, procedure_code string, service_date date, "
-    "claim_amount decimal(18,2), approved_amount decimal(18,2), claim_status string"
+    "claim_amount money, approved_amount money, claim_status string"
 )
 PRE_AUTHORIZATION = _table(
     "authorization_id string, member_id string, provider_id string, procedure_code string, valid_from date, "
