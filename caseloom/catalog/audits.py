@@ -13,8 +13,8 @@ from caseloom.operators import audit
 
 @query(
     "audit_keys",
-    """SELECT count(DISTINCT o_orderkey) AS keys_before, count(DISTINCT o_orderkey) AS keys_after, 0 AS keys_lost,
-      0 AS keys_invented, count(*) FILTER (o_orderkey % 5 IN (0, 2, 4)) AS keys_repeated FROM orders""",
+    """SELECT count(DISTINCT o_orderkey) AS keys_before, count(DISTINCT o_orderkey) AS keys_after, CAST(0 AS BIGINT) AS keys_lost,
+      CAST(0 AS BIGINT) AS keys_invented, count(*) FILTER (o_orderkey % 5 IN (0, 2, 4)) AS keys_repeated FROM orders""",
 )
 def audit_keys(src: Source) -> DataFrame:
     """Exploding code lists loses no order, invents none and repeats those with two codes."""
@@ -42,7 +42,7 @@ def audit_domain(src: Source) -> DataFrame:
 
 @query(
     "audit_null",
-    "SELECT 0 AS approved_amount_filled, count(quality) AS quality_filled FROM documents LEFT JOIN labels USING (doc_id)",
+    "SELECT CAST(0 AS BIGINT) AS approved_amount_filled, count(quality) AS quality_filled FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def audit_null(src: Source) -> DataFrame:
     labelled = src.documents.join(src.labels, "doc_id", "left").withColumn("approved_amount", F.lit(None).cast("double"))
@@ -65,7 +65,7 @@ def audit_pattern_absent(src: Source) -> DataFrame:
     """WITH f AS (SELECT o_custkey + 100 AS k, count(*) AS a FROM orders GROUP BY ALL),
       d AS (SELECT c_custkey AS k, count(*) AS b FROM customer GROUP BY ALL),
       s AS (SELECT coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM f FULL JOIN d USING (k))
-    SELECT CAST(sum(a) AS BIGINT) AS fact_rows, 0 AS null_key_rows,
+    SELECT CAST(sum(a) AS BIGINT) AS fact_rows, CAST(0 AS BIGINT) AS null_key_rows,
       CAST(coalesce(sum(a) FILTER (b = 0), 0) AS BIGINT) AS orphan_rows,
       CAST(coalesce(sum(a) FILTER (b = 1), 0) AS BIGINT) AS resolved_rows,
       CAST(coalesce(sum(a) FILTER (b > 1), 0) AS BIGINT) AS ambiguous_rows, count(*) FILTER (b > 1) AS repeated_keys,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.catalog import Source, query
 from caseloom.catalog.histories import dated_orders
+from caseloom.functions.lists import bounded_lists
 from caseloom.operators import authorization
 
 KEYS = ["o_custkey", "procedure_code"]
@@ -85,15 +86,19 @@ _RANK = "CASE authorization_result " + " ".join(
     FROM classified GROUP BY o_custkey""",
 )
 def priority_rollup(src: Source) -> DataFrame:
-    """Worst status per customer; the codes per status are folded before they are listed."""
+    """Worst status per customer, and its codes with and without a valid grant."""
     rows = classified(src)
     valid = F.col("authorization_result") == "VALID"
-    per_code = rows.groupBy(*KEYS).agg(F.bool_or(valid).alias("valid"), F.bool_or(~valid).alias("lacking"))
-    lists = per_code.groupBy("o_custkey").agg(
-        *[
-            F.array_join(F.array_sort(F.collect_set(F.when(F.col(c), F.col("procedure_code")))), "|").alias(out)
-            for c, out in (("valid", "authorized"), ("lacking", "lacking"))
-        ]
-    )
+    links = rows.select(
+        "o_custkey",
+        F.when(valid, "authorized").otherwise("lacking").alias("list_name"),
+        F.col("procedure_code").alias("value"),
+    ).distinct()
+    lists = bounded_lists(links, ["o_custkey"], ["authorized", "lacking"])
     worst = authorization.rollup_priority(rows, ["o_custkey"], "authorization_result", out="pre_authorization_status")
-    return worst.join(lists, "o_custkey")
+    return worst.join(lists, "o_custkey").select(
+        "o_custkey",
+        "pre_authorization_status",
+        F.array_join("authorized", "|").alias("authorized"),
+        F.array_join("lacking", "|").alias("lacking"),
+    )

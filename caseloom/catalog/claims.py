@@ -436,7 +436,7 @@ def reason_counts(src: Source) -> DataFrame:
     f"""WITH {ctes('ocr_documents')}, n AS (SELECT count(DISTINCT claim_id) + max(CASE WHEN claim_id IS NULL THEN 1 ELSE 0 END)
       AS k FROM w_ocr_documents)
     SELECT 'keys' AS audit, unnest(['keys_before', 'keys_after', 'keys_lost', 'keys_invented', 'keys_repeated']) AS measure,
-      unnest([k, k, 0, 0, 0]) AS value FROM n
+      unnest([k, k, 0, 0, 0]::BIGINT[]) AS value FROM n
     UNION ALL SELECT 'domain', 'workflow_status_outside', 0 UNION ALL SELECT 'null', 'approved_amount_filled', 0""",
 )
 def claim_audits(src: Source) -> DataFrame:
@@ -454,7 +454,7 @@ def claim_audits(src: Source) -> DataFrame:
 
 @query(
     "claim_ssn_audit",
-    f"""{_S6} SELECT column_name, 0 AS hits FROM (SELECT unnest(['case_id', 'claim_id', 'member_id', 'policy_id', 'provider_id',
+    f"""{_S6} SELECT column_name, CAST(0 AS BIGINT) AS hits FROM (SELECT unnest(['case_id', 'claim_id', 'member_id', 'policy_id', 'provider_id',
       'plan_id', 'currency', 'policy_status', 'provider_network_status', 'pre_authorization_status', 'workflow_status',
       'decision_reason', 'rule_engine_version', 'source_document_ids', 'diagnosis_codes', 'procedure_codes',
       'review_reasons', 'list_overflow', 'evidence_package']) AS column_name)""",

@@ -33,7 +33,7 @@ def pii_detect(src: Source) -> DataFrame:
 
 @query(
     "pii_redact",
-    f"""SELECT doc_id, sha256({_REDACTED}) AS text_hash, length({_REDACTED}) AS text_length FROM documents""",
+    f"""SELECT doc_id, sha256({_REDACTED}) AS text_hash, CAST(length({_REDACTED}) AS INT) AS text_length FROM documents""",
 )
 def pii_redact(src: Source) -> DataFrame:
     masked = pii.redact(src.documents, "text", "masked")
