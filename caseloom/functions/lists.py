@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.functions.skew import INLINE_LIMIT
+from caseloom.functions.skew import INLINE_LIMIT, salted_join
 
 
 def members(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
@@ -68,7 +68,7 @@ def collect_lists(df: DataFrame, keys: list[str], lists: dict[str, Column], limi
     def union(name: str) -> Column:
         return F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
 
-    light = narrow.join(heavy, keys, "left_anti").groupBy(*keys).agg(*[union(n) for n in lists])
-    rest = members(narrow.join(heavy, keys, "left_semi"), keys, {n: F.col(n) for n in lists})
+    light = salted_join(narrow, heavy, keys, "left_anti", list(lists)).groupBy(*keys).agg(*[union(n) for n in lists])
+    rest = members(salted_join(narrow, heavy, keys, "left_semi", list(lists)), keys, {n: F.col(n) for n in lists})
     none = F.array().cast("array<string>").alias("list_overflow")
     return light.select("*", none).unionByName(bounded_lists(rest, keys, list(lists), limit))

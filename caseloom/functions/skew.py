@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL_BUCKETS = 256
+SALTS = 16
 # one below spark.sql.optimizer.windowGroupLimitThreshold, so that the map-side cut stays on
 INLINE_LIMIT = 999
 
@@ -46,3 +47,16 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
     dealt = F.pmod(F.xxhash64(*hashable), F.lit(NULL_BUCKETS)) + 1
     bucketed = left.withColumn("_bucket", F.when(any_null(keys), dealt).otherwise(nowhere))
     return bucketed.join(right.withColumn("_bucket", nowhere), [*keys, "_bucket"], "left").drop("_bucket")
+
+
+def salted_join(df: DataFrame, per_key: DataFrame, keys: list[str], how: str, by: list[str]) -> DataFrame:
+    """Join on non-null ``keys`` to a narrow table of one row per key, each key dealt out over ``SALTS``.
+
+    The salt is a hash of the columns ``by``, so a retried task deals rows out
+    alike. It also ends the rows' partitioning by key alone: a grouping by the
+    key and more would otherwise find its rows already together, skip its
+    shuffle, and leave a heavy key in the one task that joined it.
+    """
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    return salted.join(per_key.withColumn("_salt", every), [*keys, "_salt"], how).drop("_salt")

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions.parsing import MONEY
-from caseloom.functions.skew import none_null, spread_join
+from caseloom.functions.skew import none_null, salted_join, spread_join
 
 
 def _day(name: str) -> Column:
@@ -180,19 +182,23 @@ def near_duplicate_counts(
     near = (F.abs(F.col("_when") - F.col("_day")) <= days) & F.col("_paid").between(F.col("_low"), F.col("_high"))
 
     heavy = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > pair_limit).select(*keys)
+    mine_by, theirs_by = ["_day", "_amount"], ["_when", "_paid"]
     light_pairs = (
-        probes.join(heavy, keys, "left_anti")
-        .join(points.join(heavy, keys, "left_anti"), keys)
+        salted_join(probes, heavy, keys, "left_anti", mine_by)
+        .join(salted_join(points, heavy, keys, "left_anti", theirs_by), keys)
         .where(near & ~F.col("_own").eqNullSafe(F.col("_other")))
         .select("_id", F.lit(1).cast("long").alias("_hits"))
     )
-    heavy_probes = probes.join(heavy, keys, "left_semi")
-    heavy_points = points.join(heavy, keys, "left_semi")
+    heavy_probes = salted_join(probes, heavy, keys, "left_semi", mine_by)
+    heavy_points = salted_join(points, heavy, keys, "left_semi", theirs_by)
     swept = _swept(heavy_probes, heavy_points, keys, days)
+    # a probe that is itself in the history counts itself; ids are unique, so they alone spread this join
+    renamed = heavy_points.select(
+        F.col("_other").alias("_own"), "_when", "_paid", *[F.col(k).alias(f"_their_{k}") for k in keys]
+    )
+    same_keys = reduce(and_, [F.col(k) == F.col(f"_their_{k}") for k in keys])
     itself = (
-        heavy_probes.join(heavy_points.withColumnRenamed("_other", "_own"), [*keys, "_own"])
-        .where(near)
-        .select("_id", F.lit(-1).cast("long").alias("_hits"))
+        heavy_probes.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
     )
     return (
         light_pairs.unionByName(swept)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caseloom.functions.skew import salted_join
+
 SKETCH = 20_000
 
 
@@ -25,10 +27,8 @@ def exact_median(df: DataFrame, by: list[str], value: str) -> DataFrame:
     brackets = known.groupBy(F.struct(*by).alias("_g")).agg(
         F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_max"), sketch.alias("_q")
     )
-    # brackets hold one row per group; AQE broadcasts them when they measure small and splits a heavy group otherwise
-    placed = known.withColumn("_g", F.struct(*by)).join(
-        brackets.select("_g", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")), "_g"
-    )
+    ends = brackets.select("_g", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    placed = salted_join(known.withColumn("_g", F.struct(*by)), ends, ["_g"], "inner", ["_v"])
     # everything below the bracket folds to one value, everything above is not needed
     folded = (
         placed.where(F.col("_v") <= F.col("_hi"))

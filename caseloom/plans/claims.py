@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.functions import parsing as p
 from caseloom.functions.lists import heavy_keys, members
-from caseloom.functions.skew import INLINE_LIMIT
+from caseloom.functions.skew import INLINE_LIMIT, salted_join
 from caseloom.operators import authorization, canonical, cases, coverage, history, lookup, pii, rules, scoring
 from caseloom.operators import standardize as st
 from caseloom.operators.rules import Rule
@@ -218,7 +218,7 @@ def claim_links(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
     Such claims may not carry their lists inline; these rows stand in for them.
     """
     keyed = _keyed(docs)
-    heavy = keyed.join(heavy_keys(keyed, KEY, limit), KEY, "left_semi")
+    heavy = salted_join(keyed, heavy_keys(keyed, KEY, limit), KEY, "left_semi", ["source_document_id"])
     return members(_keyed(_ranked_documents(heavy)), KEY, {name: F.col(name) for name in LISTS})
 
 
