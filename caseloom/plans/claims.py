@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.functions import parsing as p
 from caseloom.functions.lists import heavy_keys, members
-from caseloom.functions.skew import INLINE_LIMIT, salted_join
+from caseloom.functions.skew import INLINE_LIMIT, salted_join, tune
 from caseloom.operators import authorization, canonical, cases, coverage, history, lookup, pii, rules, scoring
 from caseloom.operators import standardize as st
 from caseloom.operators.rules import Rule
@@ -522,6 +522,7 @@ STAGES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 def claim_cases(inputs: Inputs, upto: str = "claim_case", between: Callable[..., DataFrame] = cut) -> DataFrame:
     """The chain from documents to the named stage; ``between`` takes over each finished table."""
     table = inputs["ocr_documents"]
+    tune(table.sparkSession)
     given = {**inputs, LINKS: between(claim_links(table), LINKS)}
     for name, (stage, needs) in STAGES.items():
         table = stage(table, *[given[n] for n in needs])
@@ -553,6 +554,7 @@ def run_stage(
     The first stage reads the raw CSV and also writes the link table, which
     stays Parquet in either format.
     """
+    tune(spark)
     order = list(STAGES)
     at = order.index(name)
     links_path = f"{folder}/{LINKS}"
