@@ -1,16 +1,15 @@
 """The claims flow: noisy documents in, one case per claim out, in six stages.
 
-Each stage takes and returns DataFrames and uses the claims several times, so
-the whole chain writes every stage to the shared folder before the next one
-(``claim_cases``); a stage may also be run alone from the folder of the one
-before it (``run_stage``). Every stage keeps every claim, a null claim id
+Stages use the claims several times, so the whole chain (``claim_stages``,
+``claim_cases``) writes what later stages use to the shared folder; a stage may
+also be run alone from the folder of the one before it (``run_stage``). Every stage keeps every claim, a null claim id
 included: stages join on the one-field struct ``claim_key``, whose equality is
 null-safe.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -316,6 +315,14 @@ def _keyed(claims: DataFrame) -> DataFrame:
     return claims.withColumn("claim_key", F.struct("claim_id"))
 
 
+def _take_in(claims: DataFrame, *facts: DataFrame) -> DataFrame:
+    """Claims with the columns of tables keyed by claim; the joins share one shuffle of the claims."""
+    table = _keyed(claims)
+    for per_claim in facts:
+        table = lookup.attach(table, per_claim, KEY)
+    return table.drop(*KEY)
+
+
 def _overflows(name: str):
     return F.array_contains("list_overflow", name)
 
@@ -364,10 +371,14 @@ def priced_lines(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame,
     return coverage.coverage_join(lines, reduced_coverage(plan_coverage), on)
 
 
-def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
+def coverage_facts(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
+    """What coverage adds, one narrow row per claim key."""
     rolled = coverage.rollup_coverage(priced_lines(claims, plan_coverage, links), KEY, "is_inline")
-    checked = rules.validate(lookup.attach(_keyed(claims), rolled, KEY), coverage.coverage_rules(), "coverage_errors")
-    return checked.drop(*KEY)
+    return rules.validate(rolled, coverage.coverage_rules(), "coverage_errors")
+
+
+def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
+    return _take_in(claims, coverage_facts(claims, plan_coverage, links))
 
 
 # --- 4. history ---------------------------------------------------------------------
@@ -377,7 +388,8 @@ def reduced_history(claim_history: DataFrame) -> DataFrame:
     return lookup.reduce_dimension(claim_history, ["historical_claim_id"], order, "copies").drop("copies")
 
 
-def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
+def history_facts(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
+    """What history adds, one narrow row per claim key."""
     past = reduced_history(claim_history)
     on = ("member_id", "service_date_parsed")
     lines = claim_lines(claims, links, "claim_id", *on, "provider_id", "billed_amount_parsed")
@@ -401,8 +413,7 @@ def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame
         "historical_average_claim_amount",
     )
     payload = ["provider_id", "procedure_code", "claim_amount", "claim_status"]
-    # everything is worked out on key, member and day; the wide claims are shuffled once, to take it all in
-    asked = _keyed(claims).select(*KEY, *on)
+    asked = _keyed(claims).select(*KEY, *on, "billed_amount_parsed")
     asked = history.trailing_metrics(
         asked, past, ["member_id"], "service_date_parsed", "service_date", "claim_amount", metrics
     )
@@ -411,15 +422,18 @@ def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame
     )
     zero = F.lit(0).cast("long")
     return (
-        lookup.attach(_keyed(claims), asked.drop(*on), KEY)
-        .transform(lookup.attach, same, KEY, {"same_procedure_claim_count_365d": zero})
+        asked.transform(lookup.attach, same, KEY, {"same_procedure_claim_count_365d": zero})
         .transform(lookup.attach, near, KEY, {"candidate_duplicate_count": zero})
         .withColumn("duplicate_claim_flag", F.col("candidate_duplicate_count") > 0)
         .transform(scoring.score, scoring.risk_rules(), fv.RISK_CAP, "fraud_risk_score")
-        .drop(*KEY)
+        .drop(*on, "billed_amount_parsed")
     )
 
 
+def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
+    return _take_in(claims, history_facts(claims, claim_history, links))
+
+
 # --- 5. authorization ------------------------------------------------------------------
 def cleaned_authorizations(pre_authorization: DataFrame) -> DataFrame:
     return pre_authorization.withColumn("authorization_status", p.enum(F.col("authorization_status")))
@@ -440,9 +454,10 @@ def required_lines(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame
     )
 
 
-def enrich_authorization(
+def authorization_facts(
     claims: DataFrame, pre_authorization: DataFrame, plan_coverage: DataFrame, links: DataFrame
 ) -> DataFrame:
+    """What authorization adds to claims with coverage, one narrow row per claim key."""
     keys = ["member_id", "provider_id", "procedure_code"]
     matched = authorization.match_authorizations(
         required_lines(claims, plan_coverage, links),
@@ -451,8 +466,13 @@ def enrich_authorization(
         "service_date_parsed",
     )
     classified = authorization.classify_authorization(matched, "procedure_code")
-    rolled = authorization.rollup_authorization(classified, KEY, "is_inline")
-    return lookup.attach(_keyed(claims), rolled, KEY).drop(*KEY)
+    return authorization.rollup_authorization(classified, KEY, "is_inline")
+
+
+def enrich_authorization(
+    claims: DataFrame, pre_authorization: DataFrame, plan_coverage: DataFrame, links: DataFrame
+) -> DataFrame:
+    return _take_in(claims, authorization_facts(claims, pre_authorization, plan_coverage, links))
 
 
 # --- 6. cases -----------------------------------------------------------------------------
@@ -519,16 +539,37 @@ STAGES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
+def claim_stages(inputs: Inputs, between: Callable[..., DataFrame] = cut) -> Iterator[tuple[str, DataFrame]]:
+    """The table of each stage in turn; ``between`` takes over what later stages use.
+
+    The wide claims are written twice, after the first two stages. Coverage,
+    history and authorization are worked out as narrow tables keyed by claim,
+    and the claims take them in with one shuffle, whatever stage is read.
+    """
+    docs = inputs["ocr_documents"]
+    tune(docs.sparkSession)
+    links = between(claim_links(docs), LINKS)
+    canonical_table = between(canonical_claims(docs), "canonical_claims")
+    yield "canonical_claims", canonical_table
+    references = enrich_references(canonical_table, inputs["policy"], inputs["member"], inputs["provider"])
+    base = between(references, "reference_enriched_claims")
+    yield "reference_enriched_claims", base
+    plans = inputs["plan_coverage"]
+    covered = between(coverage_facts(base, plans, links), "coverage_facts")
+    yield "coverage_enriched_claims", _take_in(base, covered)
+    past = between(history_facts(base, inputs["claim_history"], links), "history_facts")
+    yield "historical_enriched_claims", _take_in(base, covered, past)
+    grants = authorization_facts(_take_in(base, covered), inputs["pre_authorization"], plans, links)
+    complete = _take_in(base, covered, past, between(grants, "authorization_facts"))
+    yield "authorization_enriched_claims", complete
+    yield "claim_case", assemble_cases(complete)
+
+
 def claim_cases(inputs: Inputs, upto: str = "claim_case", between: Callable[..., DataFrame] = cut) -> DataFrame:
-    """The chain from documents to the named stage; ``between`` takes over each finished table."""
-    table = inputs["ocr_documents"]
-    tune(table.sparkSession)
-    given = {**inputs, LINKS: between(claim_links(table), LINKS)}
-    for name, (stage, needs) in STAGES.items():
-        table = stage(table, *[given[n] for n in needs])
+    """The chain from documents to the named stage."""
+    for name, table in claim_stages(inputs, between):
         if name == upto:
             return table
-        table = between(table, name)
     raise KeyError(upto)
 
 

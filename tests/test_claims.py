@@ -24,14 +24,7 @@ def inputs(spark):
 
 @pytest.fixture(scope="module")
 def stages(spark, inputs):
-    seen = {}
-
-    def keep(df, name):
-        seen[name] = claims.cut(df, name)
-        return seen[name]
-
-    seen["claim_case"] = claims.cut(claims.claim_cases(inputs, between=keep), "claim_case")
-    return seen
+    return {name: claims.cut(table, name) for name, table in claims.claim_stages(inputs)}
 
 
 @pytest.mark.parametrize("label", list(NOISE))
@@ -137,8 +130,6 @@ def test_cases(stages):
 def test_invariants_hold_after_every_stage(stages, inputs):
     docs = inputs["ocr_documents"]
     for name, table in stages.items():
-        if name == claims.LINKS:
-            continue
         row = audit.audit_keys(docs, table, ["claim_id"]).first()
         assert (row["keys_lost"], row["keys_invented"], row["keys_repeated"]) == (0, 0, 0), name
     done = stages["claim_case"]
