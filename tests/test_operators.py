@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from caseloom.functions import parsing as p
 from caseloom.functions.lists import collect_lists, members
 from caseloom.functions.ordering import sort_key
-from caseloom.functions.skew import spread_join, tune
+from caseloom.functions.skew import salted_join, spread_join, tune
 from caseloom.operators import audit, authorization, canonical, coverage, history, lookup, pii, rules, runmetrics, standardize
 
 DAY0 = date(2024, 1, 1)
@@ -198,6 +198,14 @@ def test_null_keys_are_dealt_out_and_heavy_keys_split(spark):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti", "inner"])
+def test_salted_join_equals_a_plain_join(spark, how):
+    left = spark.range(3000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    per_key = spark.range(0, 50, 3).select(F.col("id").alias("k"))
+    plain = rows(left.join(per_key, "k", how), "k", "v")
+    assert rows(salted_join(left, per_key, ["k"], how, ["v"]), "k", "v") == plain
+
+
 # --- history ----------------------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def claims_and_history(spark):
