@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from caseloom.llm import near_duplicates
+from caseloom.llm import decontaminate, near_duplicates, quality
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op7_near_duplicates": near_duplicates.op7_near_duplicates,
+    "op10_quality": quality.op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +22,26 @@ def shared_uri(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's modules to the executors, once per application, as their Python helpers import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="modules-")) / f"{root.name}.zip"  # Spark copies it to every executor
+        with zipfile.ZipFile(archive, "w") as out:
+            for module in sorted(root.rglob("*.py")):
+                out.write(module, module.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The same rows out of a reliable checkpoint: a lost executor costs a read, and Spark clears it when unused."""
     spark = df.sparkSession
+    ship(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_uri(spark))
     return df.checkpoint()
@@ -35,6 +55,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -53,3 +74,31 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+#: rows of a narrow table that may be sent to every executor; beyond them it is joined by a shuffle
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow, saved table with a broadcast hint if it was counted to have at most ``most`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def bitmap(df: DataFrame, hash: str, bits: int = 24) -> np.ndarray:
+    """A Bloom filter of one bit per hash, 2**bits bits however many rows: 2 MB to the driver at most.
+
+    It only spares rows a shuffle: what passes is still joined exactly, and a
+    full filter lets everything pass.
+    """
+    at = F.expr(f"cast({hash} & {(1 << bits) - 1} as bigint)")
+    words = df.select((at / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast({hash} & 63 as int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["word"].to_numpy(dtype=np.int64)] = found["bit"].to_numpy(dtype=np.int64).view(np.uint64)
+    return out
+
+
+def in_bitmap(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes.view(np.uint64) & np.uint64(len(found) * 64 - 1)
+    return (found[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
