@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, mixing, near_duplicates, quality
+from caseloom.llm import decontaminate, mixing, near_duplicates, quality, token_files
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op5_mixing": mixing.op5_mixing,
     "op7_near_duplicates": near_duplicates.op7_near_duplicates,
+    "op8_token_output": token_files.op8_token_output,
     "op10_quality": quality.op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}
