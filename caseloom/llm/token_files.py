@@ -21,12 +21,15 @@ from caseloom.llm.shared import pieces, saved, shared_uri, table
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
-#: distinct words whose ids a worker remembers; all are forgotten beyond
-REMEMBERED = 400_000
+#: distinct words whose ids a worker remembers; beyond, those seen in one piece only are forgotten
+REMEMBERED = 600_000
+#: a sign that no merge of the vocabulary takes in, so it parts words that are encoded as one text
+_PART = "\x1e"
 #: what a record starts with: id, whether there is one, bytes per token id
 HEAD, HEAD_BYTES = "<qBB", 10
-#: texts with more than one white space in a row, or one at the end, are encoded in one piece
-_GAPS = r" (?:[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]|$)|\x{1E}"
+#: texts with a space beside other white space, white space at an end, or the sign are encoded in one piece
+_WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
+_GAPS = rf" {_WHITE}|{_WHITE} |^{_WHITE}|{_WHITE}$|\x{{1E}}"
 
 
 class Encoder:
@@ -42,36 +45,50 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
+        (self.part,) = self.tokenizer.encode(_PART, add_special_tokens=False).ids
+        sign = self.tokenizer.id_to_token(self.part)
+        if any(sign in token and token != sign for token in self.tokenizer.get_vocab()):
+            raise ValueError(f"{path}: the vocabulary merges the sign that parts words")
         self.known: dict[str, int] = {}
-        self.start, self.length, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.start, self.length, self.seen = (np.zeros(0, np.int64) for _ in range(3))
+        self.pool = np.zeros(0, np.uint32)
+
+    def _forget(self) -> None:
+        """Keep the words that more than one piece had."""
+        keep = np.flatnonzero(self.seen > 1)
+        new = np.full(len(self.seen), -1)
+        new[keep] = np.arange(len(keep))
+        self.known = {w: k for w, k in zip(self.known, new.tolist(), strict=True) if k >= 0} if len(keep) < REMEMBERED // 2 else {}
+        keep = keep if self.known else keep[:0]
+        length = self.length[keep]
+        self.pool = self.pool[np.repeat(self.start[keep] - (np.cumsum(length) - length), length) + np.arange(length.sum())]
+        self.start, self.length, self.seen = np.cumsum(length) - length, length, np.ones(len(keep), np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        pool, length = [self.pool], [self.length]
-        for i in range(0, len(new), 512):
-            group = new[i : i + 512]
-            found = self.tokenizer.encode(group, is_pretokenized=True, add_special_tokens=False)
-            pool.append(np.array(found.ids, np.uint32))
-            length.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(group)))
-        for word in new:
-            self.known[word] = len(self.known)
-        self.pool, self.length = np.concatenate(pool), np.concatenate(length)
+        groups = [_PART.join(new[i : i + 512]) + _PART for i in range(0, len(new), 512)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)]
+        ids = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(ids == self.part)
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.length = np.concatenate([self.length, np.diff(np.concatenate([[-1], ends])) - 1])
+        self.pool = np.concatenate([self.pool, np.delete(ids, ends)])
         self.start = np.cumsum(self.length) - self.length
+        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return np.array([len(x) for x in found], np.int64), np.array([i for x in found for i in x], np.uint32)
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.split_pattern(pc.replace_substring(texts, " ", "\x1e "), "\x1e")
+        lists = pc.split_pattern(pc.replace_substring(texts, " ", f"{_PART} "), _PART)
         coded = pc.dictionary_encode(pc.list_flatten(lists))
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
-            self.forget()
+            self._forget()
         self._learn([w for w in distinct if w not in self.known])
-        code = np.array([self.known[w] for w in distinct], np.int64)[np.asarray(coded.indices)]
+        places = np.array([self.known[w] for w in distinct], np.int64)
+        self.seen[places] += 1
+        code = places[np.asarray(coded.indices)]
         length = self.length[code]
         ends = np.cumsum(length)
         ids = self.pool[np.repeat(self.start[code] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
