@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def contained_items(
                     last, have = key, np.unique(words.shingles(pa.array([content.as_py()], pa.string()), shingle)[1])
                 shared.append(int(np.isin(hashes.values.to_numpy().view(np.uint64), have).sum()))
             out = batch.select(["key", "item", "n", "least"]).append_column("n_shared", pa.array(shared, pa.int64()))
-            yield out.filter(pa.compute.greater_equal(out["n_shared"], out["least"]))
+            yield out.filter(pc.greater_equal(out["n_shared"], out["least"]))
 
     full = sketched.select(F.col("key").alias("item"), "n", "least", "hashes")
     checked = (

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, mixing, near_duplicates, quality, token_files
+from caseloom.llm import decontaminate, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_warc": warc.op3_warc,
     "op5_mixing": mixing.op5_mixing,
     "op7_near_duplicates": near_duplicates.op7_near_duplicates,
     "op8_token_output": token_files.op8_token_output,
     "op10_quality": quality.op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mixing": mixing.OP5_SQL}
