@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from caseloom.llm import decontaminate, mixing, near_duplicates, quality, token_files, warc
+from caseloom.llm import chat, decontaminate, licenses, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_warc": warc.op3_warc,
     "op5_mixing": mixing.op5_mixing,
+    "op6_chat_preferences": chat.op6_chat_preferences,
     "op7_near_duplicates": near_duplicates.op7_near_duplicates,
     "op8_token_output": token_files.op8_token_output,
+    "op9_licenses": licenses.op9_licenses,
     "op10_quality": quality.op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mixing": mixing.OP5_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": warc.OP3_SQL,
+    "op5_mixing": mixing.OP5_SQL,
+    "op6_chat_preferences": chat.OP6_SQL,
+    "op9_licenses": licenses.OP9_SQL,
+}
