@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, decontaminate, licenses, mixing, near_duplicates, quality, token_files, warc
+from caseloom.llm import chat, decontaminate, embedding_links, licenses, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_warc": warc.op3_warc,
+    "op4_embedding_links": embedding_links.op4_embedding_links,
     "op5_mixing": mixing.op5_mixing,
     "op6_chat_preferences": chat.op6_chat_preferences,
     "op7_near_duplicates": near_duplicates.op7_near_duplicates,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.OP3_SQL,
+    "op4_embedding_links": embedding_links.OP4_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op6_chat_preferences": chat.OP6_SQL,
     "op9_licenses": licenses.OP9_SQL,
