@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, decontaminate, embedding_links, licenses, mixing, near_duplicates, quality, token_files, warc
+from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, quality, token_files, warc
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_warc": warc.op3_warc,
     "op4_embedding_links": embedding_links.op4_embedding_links,
