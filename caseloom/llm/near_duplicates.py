@@ -8,7 +8,6 @@ equals the Jaccard of the shingle sets where all weights are equal.
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,14 +51,14 @@ def signatures(row: np.ndarray, hashes: np.ndarray, weights: np.ndarray, rows: i
     return (kept & np.uint64(0xFFFFFFFF)).reshape(rows, registers)
 
 
-def band_hashes(texts: pa.Array, bands: int = BANDS, rows: int = ROWS, shingle: int = words.SHINGLE):
-    """For each text its ``bands`` hashes, and whether it has words at all."""
+def signed(texts: pa.Array, bands: int = BANDS, rows: int = ROWS, shingle: int = words.SHINGLE):
+    """For each text its registers, the hash of each band of them, and whether it has words at all."""
     row, hashes = words.shingles(texts, shingle)
     kept = signatures(*words.weighted(row, hashes, len(texts)), len(texts), bands * rows)
     total = np.zeros((len(texts), bands), np.uint64)
     for j in range(rows):
         total = words.mix(total * _STEP + kept.reshape(len(texts), bands, rows)[:, :, j])
-    return total.view(np.int64), np.bincount(row, minlength=len(texts)) > 0
+    return kept.astype(np.uint32), total.view(np.int64), np.bincount(row, minlength=len(texts)) > 0
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -82,34 +81,57 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1.0 / (after / wa + before / wb)).sum())
 
 
-def _features(text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    row, hashes = words.shingles(pa.array([text or ""], pa.string()), shingle)
-    _, h, w = words.weighted(row, hashes, 1)
-    return h, w
+def features(texts: DataFrame, shingle: int) -> DataFrame:
+    """(key, hashes, weights) of (key, text): the distinct shingle hashes, sorted, and their weights; none if all are 1."""
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            row, h, w = words.weighted(*words.shingles(piece.column("text"), shingle), piece.num_rows)
+            ends = np.cumsum(np.bincount(row, minlength=piece.num_rows)).tolist()
+            cut = [slice(a, b) for a, b in zip([0, *ends], ends, strict=False)]
+            hashes = [h[c].tobytes() for c in cut]
+            weights = [b"" if (w[c] == 1).all() else w[c].astype(np.uint32).tobytes() for c in cut]
+            columns = [piece.column("key"), pa.array(hashes, pa.binary()), pa.array(weights, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "hashes", "weights"])
+
+    return texts.mapInArrow(extract, "key binary, hashes binary, weights binary")
+
+
+def unpacked(hashes: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(hashes, np.uint64)
+    return h, np.frombuffer(weights, np.uint32) if weights else np.ones(len(h), np.uint32)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """The pairs (a, b) of class keys whose texts reach the threshold; ``texts`` has one row (key, text) per class."""
+def estimated(pairs: DataFrame, registers: DataFrame, threshold: float, count: int) -> DataFrame:
+    """The pairs whose registers agree often enough that they may reach the threshold.
+
+    The share of equal registers estimates the similarity. The bar lies five
+    standard deviations below the threshold, a chance of 3e-7 to miss a pair.
+    """
+    least = threshold * count - 5 * (count * threshold * (1 - threshold)) ** 0.5
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: OrderedDict[bytes, tuple] = OrderedDict()
         for batch in batches:
-            keys, rows = [batch.column(i).to_pylist() for i in (0, 1)], [batch.column(i) for i in (2, 3)]
-            good = np.zeros(batch.num_rows, bool)
-            for n in range(batch.num_rows):
-                pair = []
-                for k, t in zip(keys, rows, strict=True):
-                    if k[n] not in seen:
-                        seen[k[n]] = _features(t[n].as_py(), shingle)
-                        if len(seen) > 256:
-                            seen.popitem(last=False)
-                    seen.move_to_end(k[n])
-                    pair.append(seen[k[n]])
-                good[n] = probability_jaccard(*pair) >= threshold - 1e-12
-            yield batch.select([0, 1]).filter(pa.array(good))
-
-    left, right = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary")
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, count) for i in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((a == b).sum(axis=1) >= least))
+
+    left, right = registers.toDF("a", "of_a"), registers.toDF("b", "of_b")
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
+    return joined.mapInArrow(check, "a binary, b binary")
+
+
+def verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of class keys that reach the threshold exactly; ``shingled`` is of ``features``."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
+            found = [probability_jaccard(unpacked(ha, wa), unpacked(hb, wb)) for ha, wa, hb, wb in sides]
+            yield batch.select([0, 1]).filter(pa.array(np.array(found) >= threshold - 1e-12))
+
+    left, right = shingled.toDF("a", "ha", "wa"), shingled.toDF("b", "hb", "wb")
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "wa", "hb", "wb")
+    return joined.mapInArrow(check, "a binary, b binary")
 
 
 def near_duplicates(
@@ -143,31 +165,33 @@ def near_duplicates(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            values, worded = band_hashes(piece.column("text"), bands, rows, shingle)
+            kept, values, worded = signed(piece.column("text"), bands, rows, shingle)
             lists = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * bands, values.ravel())
-            columns = [piece.column("id").cast(pa.int64()), piece.column("key"), pa.array(worded), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "worded", "bands"])
+            registers = pa.array([r.tobytes() for r in kept], pa.binary())
+            columns = [piece.column("id").cast(pa.int64()), piece.column("key"), pa.array(worded), registers, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "worded", "registers", "bands"])
 
-    signed = keyed.mapInArrow(sign, "id long, key binary, worded boolean, bands array<long>")
+    rows_signed = keyed.mapInArrow(sign, "id long, key binary, worded boolean, registers binary, bands array<long>")
     classes = saved(
-        signed.groupBy("key").agg(F.min("id").alias("class_id"), F.first("worded").alias("worded"), F.first("bands").alias("bands"))
+        rows_signed.groupBy("key").agg(
+            F.min("id").alias("class_id"), *[F.first(c).alias(c) for c in ("worded", "registers", "bands")]
+        )
     )
+    registers = classes.select("key", "registers")
+
+    def settle(pairs: DataFrame) -> DataFrame:
+        likely = saved(estimated(pairs, registers, threshold, bands * rows))
+        wanted = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
+        owner = wanted.join(classes.select("key", F.col("class_id").alias("_id")), "key")
+        texts = keyed.join(owner, "key").where(F.col("id").eqNullSafe(F.col("_id"))).dropDuplicates(["key"])
+        return saved(verified(likely, saved(features(texts.select("key", "text"), shingle)), threshold))
+
     entries = classes.where("worded").select("key", F.posexplode("bands").alias("band", "h"))
     buckets = entries.groupBy("band", "h").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = saved(entries.join(buckets.drop("n"), ["band", "h"]))
 
-    needed = members.select("key").distinct()
-    owner = classes.select("key", F.col("class_id").alias("id")).join(needed, "key")
-    texts = (
-        keyed.join(owner.select("key", F.col("id").alias("_id")), "key")
-        .where(F.col("id").eqNullSafe(F.col("_id")))
-        .dropDuplicates(["key"])
-        .select("key", "text")
-    )
-    texts = saved(texts)
-
     stars = saved(members.where("key <> rep").select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct())
-    first = saved(verified(stars, texts, threshold, shingle))
+    first = settle(stars)
     roots = components(first).withColumnsRenamed({"node": "key"})
 
     placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -182,7 +206,7 @@ def near_duplicates(
         .distinct()
         .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    second = verified(pairs, texts, threshold, shingle)
+    second = settle(pairs)
     groups = components(first.unionByName(second)).withColumnsRenamed({"node": "key", "root": "group_key"})
 
     grouped = saved(

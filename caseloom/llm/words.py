@@ -63,8 +63,9 @@ def shingles(texts: pa.Array, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
 
 
 def weighted(row: np.ndarray, hashes: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct (row, hash) with how often each occurs, by row and hash."""
-    order = np.lexsort((hashes, row))
+    """The distinct (row, hash) with how often each occurs, by row and hash; ``row`` is in order."""
+    order = np.argsort(hashes)
+    order = order[np.argsort(row[order].astype(np.int32 if rows > 32767 else np.int16), kind="stable")]
     r, h = row[order], hashes[order]
     new = np.ones(len(r), bool)
     new[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
