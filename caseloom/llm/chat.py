@@ -93,9 +93,11 @@ def loss_chars(parts: Column) -> Column:
 def format_preferences(pairs: DataFrame, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
     """``pairs`` with n_common, prompt, and the segments chosen_parts and rejected_parts of the two completions.
 
-    Both conversations are arrays of (role, text); a null one is empty. If one
+    Columns of ``pairs`` with one of these names are replaced. Both
+    conversations are arrays of (role, text); a null one is empty. If one
     is the start of the other its completion is empty; if they are equal both are.
     """
+    pairs = pairs.drop(*{"n_common", "prompt", "chosen_parts", "rejected_parts"} - {chosen, rejected})
     none = F.array().cast("array<struct<role:string,text:string>>")
     a, b = F.coalesce(F.col(chosen), none), F.coalesce(F.col(rejected), none)
     out = pairs.withColumn("n_common", common_turns(a, b))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import words
-from caseloom.llm.shared import bitmap, in_bitmap, pieces, saved, small_side, table, text_key
+from caseloom.llm.shared import beside, bitmap, in_bitmap, pieces, saved, small_side, table, text_key
 
 THRESHOLD = 0.8
 
@@ -140,7 +140,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: st
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that contain no item, with all columns."""
     bad = saved(contained_items(docs, items, text=text, **options).select(F.col("text_key").alias("_key")).distinct())
-    return docs.withColumn("_key", text_key(text)).join(small_side(bad), "_key", "left_anti").select(*docs.columns)
+    return beside(docs, _key=text_key(text)).join(small_side(bad), "_key", "left_anti").select("row.*")
 
 
 def op2_decontaminate(spark, folder: str) -> DataFrame:

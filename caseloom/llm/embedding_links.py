@@ -202,7 +202,7 @@ def parted(points: DataFrame, threshold: float, most: int) -> DataFrame:
             return pa.table({"cell": [], "key": [], "unit": [], "n": [], "owned": []}, schema=schema)
         units = _matrix(rows["unit"].combine_chunks())
         ordered = pivots.sort_by("place")
-        nearest, goes = routes(units, _matrix(ordered["unit"].combine_chunks()), near)
+        nearest, goes = routes(units, _matrix(ordered["pivot"].combine_chunks()), near)
         at, to = np.nonzero(goes | (nearest[:, None] == np.arange(goes.shape[1])))
         dealt = rows.take(pa.array(at))
         owned = np.asarray(dealt["owned"]) & (nearest[at] == to)
@@ -223,11 +223,12 @@ def parted(points: DataFrame, threshold: float, most: int) -> DataFrame:
         pivots = hashed.groupBy("cell", "place").agg(
             F.min_by("unit", F.struct(F.xxhash64("key", F.lit(2)), "key")).alias("unit"), F.first("_chunks").alias("_chunks")
         )
-        each = pivots.select("cell", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("chunk"), "place", "unit")
+        every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+        each = pivots.select(F.col("cell").alias("of"), every.alias("part"), "place", F.col("unit").alias("pivot"))
         out = (
             heavy.select("cell", "chunk", "key", "unit", "n", "owned")
             .groupBy("cell", "chunk")
-            .cogroup(each.groupBy("cell", "chunk"))
+            .cogroup(each.groupBy("of", "part"))
             .applyInArrow(deal, "cell string, key binary, unit binary, n long, owned boolean")
         )
         todo = saved(out)

@@ -1,4 +1,4 @@
-"""Licence scan by canonical digests: whole texts, blocks and lines that state a known licence word for word.
+"""Licence scan by canonical digests: whole texts, runs of blocks and lines that state a known licence word for word.
 
 Two texts have one canonical form if they differ only in case, punctuation,
 white space, lines of copyright and equivalent spellings. Known licences and
@@ -7,6 +7,8 @@ candidate texts are compared by the digest of that form, with one hash join.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,18 @@ def plain(text: Column) -> Column:
     return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
+def _blocks(text: Column) -> Column:
+    """The forms of what blank lines part, without those that are empty."""
+    return F.filter(F.transform(F.split(text, _BLANK, -1), plain), lambda x: x != "")
+
+
+def _runs(blocks: str, n: int) -> Column:
+    """Each ``n`` blocks in a row as one text."""
+    starts = F.sequence(F.lit(1), F.size(blocks) - (n - 1))
+    joined = F.transform(starts, lambda i: F.array_join(F.slice(blocks, i, n), " "))
+    return F.when(F.size(blocks) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+
 def digest(plain_text: Column) -> Column:
     for pattern, to in SPELLINGS:
         plain_text = F.regexp_replace(plain_text, pattern, to)
@@ -43,22 +57,27 @@ def known_licenses(spark: SparkSession, licenses: dict[str, list[str]] = LICENSE
 
 
 def license_hits(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
-    """(text_key, license, whole): each distinct text and each known licence that it, a block or a line of it states.
+    """(text_key, license, whole): each distinct text and each known licence that it or a part of it states.
 
+    Parts are its lines, the blocks that blank lines part, and as many blocks in
+    a row as a known text has at most.
     whole: the text is the licence and nothing else. A null or empty text, and
     a known text without words, states nothing.
     """
-    forms = known.select("license", plain(F.col("text")).alias("form")).where("form <> ''")
+    forms = known.select("license", plain(F.col("text")).alias("form"), F.size(_blocks(F.col("text"))).alias("n_blocks"))
+    forms = saved(forms.where("form <> ''"))
     digests = forms.select("license", digest(F.col("form")).alias("digest"), F.substring("form", 1, _FIRST).alias("first")).distinct()
     digests = saved(digests)
     firsts = saved(digests.select("first").distinct())
     content = F.coalesce(F.col(text), F.lit(""))
+    most = forms.select(F.max("n_blocks")).first()[0] or 1
     lines = docs.select(text_key(text).alias("text_key"), content.alias("text")).withColumn(
         "lines", F.filter(F.transform(F.split("text", r"\n", -1), plain_line), lambda x: x != "")
     )
-    blocks = F.when(F.col("text").rlike(_BLANK), F.transform(F.split("text", _BLANK, -1), plain)).otherwise(F.array())
-    parts = F.array_distinct(F.concat("lines", blocks))
-    units = lines.select("text_key", F.array_join("lines", " ").alias("form"), parts.alias("parts"))
+    blocks = F.when(F.col("text").rlike(_BLANK), _blocks(F.col("text"))).otherwise(F.array())
+    parts = F.array_distinct(F.concat("lines", *[_runs("blocks", n) for n in range(1, most + 1)]))
+    units = lines.withColumn("blocks", blocks)
+    units = units.select("text_key", F.array_join("lines", " ").alias("form"), parts.alias("parts"))
     units = units.select("text_key", "form", F.explode_outer(F.array_union(F.array("form"), "parts")).alias("unit"))
     likely = units.withColumn("first", F.substring("unit", 1, _FIRST)).join(small_side(firsts), "first").drop("first")
     found = likely.withColumn("digest", digest(F.col("unit"))).join(small_side(digests.drop("first")), "digest")
@@ -94,13 +113,15 @@ def _sql() -> str:
         form = f"regexp_replace({form}, {quoted(pattern)}, {quoted(to.replace('$', chr(92)))}, 'g')"
     line = f"""CASE WHEN regexp_matches(lower(x), {quoted(_COPYRIGHT)}) THEN '' ELSE trim(regexp_replace(lower(x), {quoted(_GAP)}, ' ', 'g')) END"""
     plain_sql = f"array_to_string([y FOR y IN [{line} FOR x IN string_split(t, chr(10))] IF y <> ''], ' ')"
+    most = max(len(re.split(_BLANK, text)) for texts in LICENSES.values() for text in texts)
     return f"""
 WITH known AS (SELECT license, {plain_sql} AS f FROM (VALUES {known}) k(license, t)),
 k AS (SELECT DISTINCT license, {form} AS c FROM known),
 texts AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents),
 parts AS (SELECT t, t AS u, true AS is_whole FROM texts
     UNION ALL SELECT t, unnest(string_split(t, chr(10))), false FROM texts
-    UNION ALL SELECT t, unnest(regexp_split_to_array(t, {quoted(_BLANK)})), false FROM texts),
+    UNION ALL SELECT t, unnest([array_to_string(b[i:i + n - 1], chr(10)) FOR i IN range(1, len(b) - n + 2)]), false
+      FROM (SELECT t, [x FOR x IN regexp_split_to_array(t, {quoted(_BLANK)}) IF {plain_sql.replace('string_split(t', 'string_split(x').replace('x IN string', 'z IN string').replace('lower(x)', 'lower(z)')} <> ''] AS b FROM texts), range(1, {most} + 1) r(n)),
 forms AS (SELECT whole_t, f, bool_or(is_whole) AS is_whole FROM
     (SELECT p.t AS whole_t, is_whole, {plain_sql.replace('string_split(t', 'string_split(p.u')} AS f FROM parts p) GROUP BY ALL),
 wholes AS (SELECT whole_t, f AS wf FROM forms WHERE is_whole),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import words
-from caseloom.llm.shared import bitmap, in_bitmap, pieces, saved, small_side, table
+from caseloom.llm.shared import beside, bitmap, in_bitmap, pieces, saved, small_side, table
 
 THRESHOLD = 0.8
 #: buckets of the rarity table, however large the corpus
@@ -188,12 +188,12 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     """``docs`` with the removed lines left out of the text; all rows and columns stay, a null text stays null."""
     found = repeated_lines(docs, id, text, threshold).where("n_removed > 0")
     found = saved(found.select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "removed"))
-    marked = docs.withColumn("_mark", F.xxhash64(text))
-    joined = marked.join(small_side(found, 20_000), (F.col("_mark") == F.col("_tie")) & F.col(id).cast("long").eqNullSafe(F.col("_id")), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("removed", i))
-    whole = F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[whole.alias(c) if c == text else docs[c] for c in docs.columns])
+    marked = beside(docs, id=F.col(id).cast("long"), tie=F.xxhash64(text))
+    joined = marked.join(small_side(found, 20_000), (F.col("tie") == F.col("_tie")) & F.col("id").eqNullSafe(F.col("_id")), "left")
+    content = F.col(f"row.{text}")
+    kept = F.filter(F.split(content, "\n", -1), lambda _, i: ~F.array_contains("removed", i))
+    whole = F.when(F.col("removed").isNull(), content).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[whole.alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns])
 
 
 def op1_line_dedup(spark, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.shared import saved, small_side, table
+from caseloom.llm.shared import beside, saved, small_side, table
 
 #: weights of the sources in code point order, repeating
 WEIGHTS = (5, 2, 1)
@@ -135,9 +135,9 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
 def repeat_to_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it."""
     _, per_source = plan(docs, id, text, source, weights, most)
-    joined = docs.join(small_side(per_source), F.col(source).eqNullSafe(F.col("_s"))).withColumn("_n", _copies(order_hash(id, text)))
-    names = [docs[c] for c in docs.columns]
-    return joined.where("_n > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy")).drop("_copy")
+    rows = beside(docs, source=F.col(source), h=order_hash(id, text))
+    joined = rows.join(small_side(per_source), F.col("source").eqNullSafe(F.col("_s"))).withColumn("n", _copies(F.col("h")))
+    return joined.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_copy")).select("row.*")
 
 
 def op5_mixing(spark, folder: str) -> DataFrame:

@@ -102,7 +102,7 @@ def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
 def read_records(uri: str) -> Iterator[list[bytes]]:
     """All records of a file in order, verified, in lists of a few MB."""
     system, path = open_fs(uri)
-    with system.open_input_stream(path) as stream:
+    with system.open_input_stream(path, compression=None) as stream:
         rest = b""
         while block := stream.read(_READ):
             rest += block
@@ -125,7 +125,7 @@ def read_records(uri: str) -> Iterator[list[bytes]]:
 
 def read_index(uri: str) -> np.ndarray:
     system, path = open_fs(uri)
-    with system.open_input_stream(path) as stream:
+    with system.open_input_stream(path, compression=None) as stream:
         return np.frombuffer(stream.read(), INDEX)
 
 

@@ -22,22 +22,23 @@ from caseloom.llm.shared import pieces, saved, shared_uri, table
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 #: distinct words whose ids a worker remembers; beyond, those seen in one piece only are forgotten
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: a sign that no merge of the vocabulary takes in, so it parts words that are encoded as one text
 _PART = "\x1e"
 #: what a record starts with: id, whether there is one, bytes per token id
 HEAD, HEAD_BYTES = "<qBB", 10
-#: texts with a space beside other white space, white space at an end, or the sign are encoded in one piece
+#: texts with a space beside other white space, white space at an end, a comma or full stop that follows other than a
+#: letter or digit, or the sign are encoded in one piece
 _WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
-_GAPS = rf" {_WHITE}|{_WHITE} |^{_WHITE}|{_WHITE}$|\x{{1E}}"
+_GAPS = rf" {_WHITE}|{_WHITE} |^{_WHITE}|{_WHITE}$|\x{{1E}}|(?:^|[^\p{{L}}\p{{N}}])[.,]"
 
 
 class Encoder:
     """Ids of many texts by the tokenizers library, each distinct word encoded once.
 
-    Byte-level BPE never merges across the start of a word, a space followed by
-    other than white space, so a text's ids are those of its words laid end to
-    end. ``encode`` equals ``encode_batch(texts, add_special_tokens=False)``.
+    Byte-level BPE never merges across the start of a word (a space followed by
+    other than white space) nor from a letter or digit to a comma or full stop,
+    so a text's ids are those of the parts between such places laid end to end. ``encode`` equals ``encode_batch(texts, add_special_tokens=False)``.
     """
 
     def __init__(self, path: str):
@@ -80,13 +81,17 @@ class Encoder:
         return np.array([len(x) for x in found], np.int64), np.array([i for x in found for i in x], np.uint32)
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.split_pattern(pc.replace_substring(texts, " ", f"{_PART} "), _PART)
+        for sign in (" ", ",", "."):
+            texts = pc.replace_substring(texts, sign, _PART + sign)
+        lists = pc.split_pattern(texts, _PART)
         coded = pc.dictionary_encode(pc.list_flatten(lists))
         distinct = coded.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
             self._forget()
-        self._learn([w for w in distinct if w not in self.known])
-        places = np.array([self.known[w] for w in distinct], np.int64)
+        places = np.array([self.known.get(w, -1) for w in distinct], np.int64)
+        unknown = np.flatnonzero(places < 0)
+        places[unknown] = len(self.known) + np.arange(len(unknown))
+        self._learn([distinct[i] for i in unknown.tolist()])
         self.seen[places] += 1
         code = places[np.asarray(coded.indices)]
         length = self.length[code]
@@ -147,7 +152,7 @@ def write_token_files(
                 if out is None:
                     system, path = records.open_fs(name)
                     system.create_dir(records.open_fs(folder)[1], recursive=True)
-                    out, index = system.open_output_stream(f"{path}.rec"), system.open_output_stream(f"{path}.idx")
+                    out, index = (system.open_output_stream(f"{path}.{end}", compression=None) for end in ("rec", "idx"))
                 counts, ids = coder.encode(piece.column("text"))
                 stops, doc_ids = np.cumsum(counts), piece.column("id").to_pylist()
                 small = ids.astype(f"<u{width}")

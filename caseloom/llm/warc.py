@@ -154,7 +154,7 @@ def _parse(part: _Member, payloads: bool) -> Record:
 def read_archive(uri: str, payloads: bool = False) -> Iterator[Record]:
     """The records of one archive in order, verified."""
     system, path = fs.FileSystem.from_uri(uri)
-    with system.open_input_stream(path) as stream:
+    with system.open_input_stream(path, compression=None) as stream:
         rest = stream.read(_READ)
         while rest:
             part = _Member(stream, rest, uri)
@@ -162,13 +162,14 @@ def read_archive(uri: str, payloads: bool = False) -> Iterator[Record]:
             rest = part.raw or stream.read(_READ)
 
 
-def with_revisits(pages: DataFrame, id: str, html: str, least: int) -> DataFrame:
-    """``pages`` with _sha1 (hex), _revisits and _refers_to.
+def with_revisits(pages: DataFrame, id: str, url: str, html: str, least: int) -> DataFrame:
+    """id, url and html of ``pages`` with _sha1 (hex), _revisits and _refers_to.
 
     Of rows whose payload has ``least`` bytes or more and the same digest, the
     one of the largest id is the response, the others revisit it. Rows that
     repeat the largest id are responses too; a null id counts as smallest.
     """
+    pages = pages.select(*dict.fromkeys([id, url, html]))
     keyed = pages.withColumn("_sha1", F.sha1(F.coalesce(F.col(html), F.lit("")).cast("binary")))
     long_enough = F.octet_length(F.coalesce(F.col(html), F.lit(""))) >= least
     groups = keyed.where(long_enough).groupBy("_sha1").agg(F.max(id).alias("_refers_to"), F.count(F.lit(1)).alias("_n"))
@@ -196,7 +197,7 @@ def write_warc(
                 if out is None:
                     system, path = fs.FileSystem.from_uri(name)
                     system.create_dir(fs.FileSystem.from_uri(folder)[1], recursive=True)
-                    out = system.open_output_stream(path)
+                    out = system.open_output_stream(path, compression=None)
                 for page, at, payload, sha1, revisits, to in zip(*(piece.column(i).to_pylist() for i in range(6)), strict=True):
                     digest = digest_text(bytes.fromhex(sha1))
                     done = member(record(page, at, payload or b"", digest, revisits, to))
@@ -208,7 +209,7 @@ def write_warc(
         if n_records:
             yield pa.RecordBatch.from_pydict({"file": [name], "n_records": [n_records], "n_bytes": [n_bytes]})
 
-    rows = with_revisits(pages, id, html, least).select(
+    rows = with_revisits(pages, id, url, html, least).select(
         F.col(id).cast("long").alias("id"), F.col(url).alias("url"), F.col(html).cast("binary").alias("html"), "_sha1", "_revisits", "_refers_to"
     )
     return saved(rows.mapInArrow(write, "file string, n_records long, n_bytes long"))
