@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import words
-from caseloom.llm.shared import pieces, saved, table
+from caseloom.llm.shared import beside, pieces, saved, table
 
 #: documents that training reads at most; those with the lowest hash of their id are taken
 SAMPLE = 4_000
 #: features of one document that training keeps at most: one per bucket, so a bound of its own
 BUCKETS = 1 << 17
 NGRAMS = (3, 4, 5)
+AGAIN = "\x1d=\x1d"
 
 
 @dataclasses.dataclass(frozen=True)
@@ -48,7 +49,8 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     """Words per text, each word's place among the distinct words, and those words' buckets with where each starts.
 
     Words are what white space parts, case and signs kept. A word has a bucket of
-    its own and one for each run of 3 to 5 characters of it between two marks.
+    its own and one for each run of 3 to 5 characters of it between two marks. A
+    word that repeats the one before it counts with a further word, ``AGAIN``.
     """
     lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
@@ -61,8 +63,15 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     distinct = coded.dictionary.to_pylist()
     if not distinct:
         return counts, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    index, row = np.asarray(coded.indices), np.repeat(np.arange(len(counts)), counts)
+    again = np.flatnonzero((index[1:] == index[:-1]) & (row[1:] == row[:-1])) + 1
+    if len(again):
+        order = np.argsort(np.concatenate([row, row[again]]), kind="stable")
+        index = np.concatenate([index, np.full(len(again), len(distinct))])[order]
+        counts = counts + np.bincount(row[again], minlength=len(counts))
+    distinct.append(AGAIN)
     code = np.frombuffer(("<" + "><".join(distinct) + ">").encode("utf-32-le"), np.uint32).astype(np.uint64)
-    length = np.asarray(pc.utf8_length(coded.dictionary), dtype=np.int64) + 2
+    length = np.array([len(w) for w in distinct], np.int64) + 2
     end = np.cumsum(length)
     word = np.repeat(np.arange(len(distinct)), length)
     at = np.arange(len(code))
@@ -79,7 +88,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     order = np.argsort(of_all, kind="stable")
     buckets = (np.concatenate(hashes) % np.uint64(BUCKETS)).astype(np.int64)[order]
     starts = np.searchsorted(of_all[order], np.arange(len(distinct)))
-    return counts, np.asarray(coded.indices), starts, buckets
+    return counts, index, starts, buckets
 
 
 def document_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -97,9 +106,13 @@ def document_features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]
 
 
 def train(
-    rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: int = 8, rate: float = 4.0, seed: int = 1
+    rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: int = 5, rate: float = 0.2, seed: int = 1
 ) -> Model:
-    """Softmax over the mean vector of a document's features, by plain gradient steps one document at a time."""
+    """Softmax over the mean vector of a document's features, by gradient steps one document at a time.
+
+    The step of the vectors is divided by the sum of squared shares, so that a
+    document of few features moves its mean no further than one of many.
+    """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     out, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
@@ -118,7 +131,8 @@ def train(
             back = p @ out
             out -= now * np.outer(p, hidden)
             bias -= 0.1 * now * p
-            vectors[ids] = mine - (now * 100 * share)[:, None] * back[None, :]
+            if len(ids):
+                vectors[ids] = mine - (now * share / (share @ share))[:, None] * back[None, :]
     return Model((vectors @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
@@ -174,7 +188,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "score
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that a model trained on ``labels`` takes for label 1."""
     model = fit(docs, labels, text=text, **options)
-    return scored(docs, model, text, "_score").where(F.col("_score") >= 0.5).select(*docs.columns)
+    return scored(beside(docs, text=F.col(text)), model).where("score >= 0.5").select("row.*")
 
 
 def op10_quality(spark, folder: str) -> DataFrame:

@@ -60,6 +60,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def beside(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` as one column, row, with ``columns`` beside it, so that no name of ``docs`` can clash with theirs."""
+    return docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
 def text_key(text: str = "text") -> Column:
     """128 bits that stand for a whole text; a null text counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
@@ -75,6 +80,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_BYT
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 #: rows of a narrow table that may be sent to every executor; beyond them it is joined by a shuffle
