@@ -25,7 +25,9 @@ from caseloom.llm.shared import saved, table
 
 THRESHOLD = 0.98
 #: vectors that a cell owns at most, and guests or rows to deal out that a task takes
-CELL = 2048
+CELL = 8192
+#: centers of one side that are compared with all of the other's at a time
+STRIP = 512
 PIVOTS = 16
 _SLACK = 1e-9
 
@@ -89,27 +91,26 @@ def linked(a: np.ndarray, b: np.ndarray | None, threshold: float) -> Iterator[tu
     while stack:
         x, y = stack.pop()
         xs, ys = x.children or [x], y.children or [y]
-        cosine = a[[n.center for n in xs]] @ other[[n.center for n in ys]].T
-        apart = np.sqrt(np.maximum(2 - 2 * cosine, 0))
-        rx, ry = (np.array([n.radius for n in side])[:, None] for side in (xs, ys))
-        reach = rx + ry.T
-        maybe = apart <= near + reach + _SLACK
-        if same and x is y:
-            maybe &= np.triu(np.ones_like(maybe))
-        whole = apart + reach <= near - _SLACK
-        single = (rx <= _SLACK) & (ry.T <= _SLACK)
-        for i, j in np.argwhere(maybe):
-            p, q = xs[i], ys[j]
-            twin = same and p is q
-            if twin and len(p.members) == 1:
-                continue
-            if whole[i, j] or (twin and 2 * p.radius <= near - _SLACK):
-                yield p.members, q.members
-            elif single[i, j]:
-                if cosine[i, j] >= threshold:
+        left, right = a[[n.center for n in xs]], other[[n.center for n in ys]]
+        rx, ry = (np.array([n.radius for n in side]) for side in (xs, ys))
+        for start in range(0, len(xs), STRIP):
+            stop = start + STRIP
+            skip = start if same and x is y else 0
+            cosine = left[start:stop] @ right[skip:].T
+            apart = np.sqrt(np.maximum(2 - 2 * cosine, 0))
+            reach = rx[start:stop, None] + ry[None, skip:]
+            for i, j in np.argwhere(apart <= near + reach + _SLACK):
+                p, q = xs[start + i], ys[skip + j]
+                twin = same and p is q
+                if same and x is y and skip + j < start + i or twin and len(p.members) == 1:
+                    continue
+                if twin and 2 * p.radius <= near - _SLACK or not twin and apart[i, j] + reach[i, j] <= near - _SLACK:
                     yield p.members, q.members
-            else:
-                stack.append((p, q))
+                elif p.radius <= _SLACK and q.radius <= _SLACK:
+                    if cosine[i, j] >= threshold:
+                        yield p.members, q.members
+                else:
+                    stack.append((p, q))
 
 
 def _roots(n: int, groups: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
