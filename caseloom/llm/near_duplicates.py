@@ -17,11 +17,17 @@ from pyspark.sql import functions as F
 
 from caseloom.llm import words
 from caseloom.llm.links import components
-from caseloom.llm.shared import pieces, saved, table, text_key
+from caseloom.llm.shared import beside, pieces, saved, small_side, table, text_key
 
 THRESHOLD = 0.8
-#: 16 bands of 4 registers miss a pair of similarity 0.8 with chance 0.00022
-BANDS, ROWS = 16, 4
+#: 32 bands of 8 registers miss a pair of similarity 0.8 with chance 0.0028, one of 0.85 with 0.00002; one of 0.5 shares a band with chance 0.12
+BANDS, ROWS = 32, 8
+#: registers that are kept to estimate a candidate's similarity
+COMPARED = 64
+#: members of a bucket, chosen by hash, that all others of it are compared with first
+HUBS = 4
+#: members of a bucket that one task compares with as many others
+BLOCK = 1024
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -55,7 +61,7 @@ def signed(texts: pa.Array, bands: int = BANDS, rows: int = ROWS, shingle: int =
     """For each text its registers, the hash of each band of them, and whether it has words at all."""
     row, hashes = words.shingles(texts, shingle)
     kept = signatures(*words.weighted(row, hashes, len(texts)), len(texts), bands * rows)
-    total = np.zeros((len(texts), bands), np.uint64)
+    total = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(texts), bands))
     for j in range(rows):
         total = words.mix(total * _STEP + kept.reshape(len(texts), bands, rows)[:, :, j])
     return kept.astype(np.uint32), total.view(np.int64), np.bincount(row, minlength=len(texts)) > 0
@@ -134,6 +140,50 @@ def verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFra
     return joined.mapInArrow(check, "a binary, b binary")
 
 
+def crossing(members: DataFrame, shingled: DataFrame, bands: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """The pairs (a, b) of different components that share a bucket and reach the threshold.
+
+    ``members`` has h, key, root and n, the bucket's size. A bucket is dealt out
+    by hash in blocks, and each two blocks are compared in one task of at most
+    2 x ``block`` rows or so, which returns only the links it finds. A pair is
+    compared in the first bucket that it shares and not once it is connected.
+    """
+
+    def compare(rows: pa.Table) -> pa.Table:
+        keys, roots = rows["key"].to_pylist(), rows["root"].to_pylist()
+        values = rows["bands"].combine_chunks()
+        values = values.values.to_numpy().reshape(len(rows), -1)
+        found = [unpacked(h, w) for h, w in zip(rows["hashes"].to_pylist(), rows["weights"].to_pylist(), strict=True)]
+        side, (h, low, high) = np.asarray(rows["part"]), (rows[c][0].as_py() for c in ("h", "low", "high"))
+        parent: dict[bytes, bytes] = {}
+
+        def find(r: bytes) -> bytes:
+            while (up := parent.get(r, r)) != r:
+                r = up
+            return r
+
+        a, b = [], []
+        others = np.flatnonzero(side == high)
+        for i in np.flatnonzero(side == low).tolist():
+            rest = others[others > i] if low == high else others
+            shared = values[rest] == values[i]
+            for j in rest[values[i][shared.argmax(axis=1)] == h].tolist():
+                x, y = find(roots[i]), find(roots[j])
+                if x != y and probability_jaccard(found[i], found[j]) >= threshold - 1e-12:
+                    parent[x] = y
+                    a.append(keys[i])
+                    b.append(keys[j])
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    parts = F.ceil(F.col("n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("key"), parts).cast("int")
+    others = F.explode(F.sequence(F.lit(0), parts - 1))
+    placed = members.select("h", "key", "root", mine.alias("part"), others.alias("other"))
+    placed = placed.select("h", "key", "root", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    whole = shingled.join(bands, "key")
+    return placed.join(whole, "key").groupBy("h", "low", "high").applyInArrow(compare, "a binary, b binary")
+
+
 def near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -151,11 +201,11 @@ def near_duplicates(
     text is the group's (rows that repeat both, id and text, are all marked).
 
     Candidates share a band. Texts are first folded to classes of equal texts.
-    In each bucket every class is verified against the bucket's smallest one,
-    which settles a group of copies in as many pairs as it has members. Then
-    all pairs of a bucket that are not yet in one component are verified:
-    members outside the bucket's most common component against all others. So
-    no bucket is capped, and only pairs that add to a component are built.
+    In each bucket every class is compared with a few hubs, which settles a
+    group of copies in a few pairs per member. Then ``crossing`` compares all
+    members of a bucket that are not yet in one component. So no bucket is
+    capped and no link between different texts is lost; a bucket's pairs are
+    never built as rows.
 
     Null and empty texts and texts without words link with nothing but the very
     same text. Null ids take part; a null is id of a class only if all its ids
@@ -167,7 +217,7 @@ def near_duplicates(
         for piece in pieces(batches, "text"):
             kept, values, worded = signed(piece.column("text"), bands, rows, shingle)
             lists = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * bands, values.ravel())
-            registers = pa.array([r.tobytes() for r in kept], pa.binary())
+            registers = pa.array([r[:COMPARED].tobytes() for r in kept], pa.binary())
             columns = [piece.column("id").cast(pa.int64()), piece.column("key"), pa.array(worded), registers, lists]
             yield pa.RecordBatch.from_arrays(columns, ["id", "key", "worded", "registers", "bands"])
 
@@ -177,36 +227,29 @@ def near_duplicates(
             F.min("id").alias("class_id"), *[F.first(c).alias(c) for c in ("worded", "registers", "bands")]
         )
     )
-    registers = classes.select("key", "registers")
-
-    def settle(pairs: DataFrame) -> DataFrame:
-        likely = saved(estimated(pairs, registers, threshold, bands * rows))
-        wanted = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
-        owner = wanted.join(classes.select("key", F.col("class_id").alias("_id")), "key")
-        texts = keyed.join(owner, "key").where(F.col("id").eqNullSafe(F.col("_id"))).dropDuplicates(["key"])
-        return saved(verified(likely, saved(features(texts.select("key", "text"), shingle)), threshold))
 
-    entries = classes.where("worded").select("key", F.posexplode("bands").alias("band", "h"))
-    buckets = entries.groupBy("band", "h").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = saved(entries.join(buckets.drop("n"), ["band", "h"]))
-
-    stars = saved(members.where("key <> rep").select(F.col("rep").alias("a"), F.col("key").alias("b")).distinct())
-    first = settle(stars)
+    def shingled(keys: DataFrame) -> DataFrame:
+        owner = saved(keys.join(classes.select("key", F.col("class_id").alias("_id")), "key"))
+        texts = keyed.join(small_side(owner), "key").where(F.col("id").eqNullSafe(F.col("_id"))).dropDuplicates(["key"])
+        return saved(features(texts.select("key", "text"), shingle))
+
+    entries = classes.where("worded").select("key", F.explode("bands").alias("h"))
+    shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    members = saved(entries.join(shared, "h"))
+
+    ordered = lambda c: F.struct(F.least(*c).alias("a"), F.greatest(*c).alias("b"))
+    hubs = members.groupBy("h").agg(*[F.min_by("key", F.xxhash64("key", F.lit(i))).alias(f"hub{i}") for i in range(HUBS)])
+    hubs = hubs.select("h", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub"))
+    stars = members.join(hubs, "h").where("key <> hub").select(ordered(["key", "hub"]).alias("p")).select("p.*")
+    likely = saved(estimated(stars.distinct(), classes.select("key", "registers"), threshold, min(COMPARED, bands * rows)))
+    ends = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
+    first = saved(verified(likely, shingled(ends), threshold))
     roots = components(first).withColumnsRenamed({"node": "key"})
 
     placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    by_root = placed.groupBy("band", "h", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = by_root.groupBy("band", "h").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("k"))
-    open_ = saved(placed.join(mixed.where("k > 1").drop("k"), ["band", "h"]))
-    rest = open_.where("root <> main").select("band", "h", F.col("key").alias("x"), F.col("root").alias("x_root"))
-    pairs = (
-        rest.join(open_.select("band", "h", "key", "root"), ["band", "h"])
-        .where("root <> x_root")
-        .select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b"))
-        .distinct()
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    second = settle(pairs)
+    mixed = placed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("open")).where("open")
+    open_ = saved(placed.join(mixed.drop("open"), "h"))
+    second = crossing(open_, shingled(open_.select("key").distinct()), classes.select("key", "bands"), threshold)
     groups = components(first.unionByName(second)).withColumnsRenamed({"node": "key", "root": "group_key"})
 
     grouped = saved(
@@ -233,12 +276,12 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, one of each group, with all columns."""
-    id, names = options.get("id", "doc_id"), docs.columns
+    id = options.get("id", "doc_id")
     on = {"_id": F.coalesce(F.col(id), F.lit(0)), "_no_id": F.col(id).isNull()}
     kept = near_duplicates(docs, **options).where("kept")
     kept = kept.select(*[c.alias(n) for n, c in on.items()], F.col("text_key").alias("_key")).distinct()
-    marked = docs.select("*", *[c.alias(n) for n, c in on.items()], text_key(options.get("text", "text")).alias("_key"))
-    return marked.join(kept, [*on, "_key"]).dropDuplicates([*on, "_key"]).select(*names)
+    marked = beside(docs, **on, _key=text_key(options.get("text", "text")))
+    return marked.join(kept, [*on, "_key"]).dropDuplicates([*on, "_key"]).select("row.*")
 
 
 def op7_near_duplicates(spark, folder: str) -> DataFrame:
