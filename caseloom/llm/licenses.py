@@ -20,6 +20,8 @@ _GAP = r"[^\p{L}\p{N}]+"
 _BLANK = r"\r?\n[ \t]*\r?\n"
 #: no spelling rule touches the first letters of a text, so they tell at once what cannot be a licence
 _FIRST = 3
+#: so many different starts of known texts go into one pattern; with more, every text is looked at closely
+_STARTS = 500
 
 
 def plain_line(line: Column) -> Column:
@@ -69,9 +71,13 @@ def license_hits(docs: DataFrame, known: DataFrame, text: str = "text") -> DataF
     digests = forms.select("license", digest(F.col("form")).alias("digest"), F.substring("form", 1, _FIRST).alias("first")).distinct()
     digests = saved(digests)
     firsts = saved(digests.select("first").distinct())
-    content = F.coalesce(F.col(text), F.lit(""))
     most = forms.select(F.max("n_blocks")).first()[0] or 1
-    lines = docs.select(text_key(text).alias("text_key"), content.alias("text")).withColumn(
+    # whatever states a licence has a line that starts, signs apart, as the licence's first word does; most texts have none
+    starts = [r[0] for r in forms.select(F.substring_index("form", " ", 1).substr(1, _FIRST)).distinct().limit(_STARTS).collect()]
+    start = "|".join(starts) if len(starts) < _STARTS else ""
+    content = F.coalesce(F.col(text), F.lit(""))
+    lines = docs.where(F.lower(F.col(text)).rlike(rf"(?m)^[^\p{{L}}\p{{N}}]*(?:{start})") if starts else F.lit(False))
+    lines = lines.select(text_key(text).alias("text_key"), content.alias("text")).withColumn(
         "lines", F.filter(F.transform(F.split("text", r"\n", -1), plain_line), lambda x: x != "")
     )
     blocks = F.when(F.col("text").rlike(_BLANK), _blocks(F.col("text"))).otherwise(F.array())
