@@ -9,6 +9,7 @@ filters is verified by exact Jaccard.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,10 @@ from caseloom.llm import words
 from caseloom.llm.shared import beside, bitmap, in_bitmap, pieces, saved, small_side, table
 
 THRESHOLD = 0.8
-#: buckets of the rarity table, however large the corpus
-RARITY_BITS = 16
+#: the rarity table has 2**22 buckets, 16 MB, however large the corpus; it is sent and added up in slices
+RARITY_BITS, SLICES = 22, 64
+#: pairs that a task looks at together
+PAIRS = 1 << 20
 _SALT = np.uint64(0x632BE59BD9B4E019)
 
 
@@ -47,56 +50,85 @@ def set_hashes(line: np.ndarray, hashes: np.ndarray, lines: int) -> tuple[np.nda
     return out[0], out[1]
 
 
+def parities(line: np.ndarray, hashes: np.ndarray, lines: int) -> np.ndarray:
+    """64 bits for each line: each word turns over one of them, so two lines differ in no more bits than words."""
+    bits = np.uint64(1) << (words.mix(hashes) & np.uint64(63))
+    upto = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)])
+    ends = np.searchsorted(line, np.arange(lines), side="right")
+    starts = np.searchsorted(line, np.arange(lines), side="left")
+    return (upto[ends] ^ upto[starts]).view(np.int64)
+
+
 def _documents(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
 
 def occurrences(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Every line (id, tie, line_no, c1, c2, size), and how often each bucket of words occurs."""
+    """Every line (id, tie, line_no, c1, c2, size), and how often each bucket of words occurs.
+
+    A task counts into one table of buckets and sends it in compressed slices,
+    which are added up by slice: the driver gets one table of fixed size.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = np.zeros(1 << RARITY_BITS, np.int64)
-        names = ["id", "tie", "line_no", "c1", "c2", "size", "count"]
+        counts = np.zeros(1 << RARITY_BITS, np.int64)
         for piece in pieces(batches, "text"):
             per_text, line, hashes, size = line_sets(piece.column("text"))
-            rarity += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(rarity))
+            counts += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
             row = np.repeat(np.arange(len(per_text)), per_text)
             number = np.arange(len(row)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
             at = pa.array(row)
             columns = [piece.column("id").take(at), piece.column("tie").take(at), pa.array(number.astype(np.int32))]
             columns += [pa.array(c) for c in set_hashes(line, hashes, len(row))]
-            columns += [pa.array(size.astype(np.int32)), pa.nulls(len(row), pa.int64())]
+            columns += [pa.array(size.astype(np.int32)), pa.nulls(len(row), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
-        used = np.flatnonzero(rarity)
-        empty = [pa.nulls(len(used), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*empty, pa.array(used.astype(np.int32)), pa.array(rarity[used])], names)
-
-    found = saved(documents.mapInArrow(scan, "id long, tie long, line_no int, c1 long, c2 long, size int, count long"))
-    counted = found.where("count is not null").groupBy("size").agg(F.sum("count").alias("n")).toPandas()
-    rarity = np.zeros(1 << RARITY_BITS, np.int64)
-    rarity[counted["size"].to_numpy()] = counted["n"].to_numpy()
-    return found.where("count is null").drop("count").distinct(), rarity
-
-
-def _first_of_class(c1: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The places of ``wanted`` lines, each class once."""
-    return wanted[np.unique(c1[wanted], return_index=True)[1]]
+        if counts.any():
+            parts = np.minimum(counts, np.iinfo(np.uint16).max).astype("<u2").reshape(SLICES, -1)
+            blobs = [zlib.compress(part.tobytes(), 1) for part in parts]
+            empty = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names)
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros((1 << RARITY_BITS) // SLICES, np.int64)
+        for blob in group["counts"].to_pylist():
+            total += np.frombuffer(zlib.decompress(blob), "<u2")
+        whole = np.minimum(total, np.iinfo(np.uint32).max).astype("<u4")
+        return pa.table({"slice": group["size"][:1], "counts": pa.array([whole.tobytes()], pa.binary())})
+
+    names = ["id", "tie", "line_no", "c1", "c2", "size", "counts"]
+    found = saved(documents.mapInArrow(scan, "id long, tie long, line_no int, c1 long, c2 long, size int, counts binary"))
+    added = found.where("counts is not null").groupBy("size").applyInArrow(add, "slice int, counts binary")
+    rarity = np.zeros((SLICES, (1 << RARITY_BITS) // SLICES), np.uint32)
+    for r in added.collect():
+        rarity[r["slice"]] = np.frombuffer(r["counts"], "<u4")
+    return found.where("counts is null").drop("counts"), rarity.ravel()
+
+
+def _first_of_class(c1: np.ndarray, wanted: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of ``wanted`` lines, each class once, without classes in the sorted ``seen``; and seen with them."""
+    values, at = np.unique(c1[wanted], return_index=True)
+    new = ~np.isin(values, seen, assume_unique=True)
+    return wanted[at[new]], np.union1d(seen, values[new])
 
 
 def prefixes(documents: DataFrame, rarity: np.ndarray, threshold: float) -> DataFrame:
-    """(token, c1, size, place) of each class of lines: its rarest words, at their places in the order of rarity."""
-    rank = np.argsort(np.argsort(rarity, kind="stable"), kind="stable").astype(np.uint64)
+    """(token, c1, size, place, bits) of each class of lines: its rarest words, at their places in the order of rarity."""
+    rank = np.empty(len(rarity), np.uint32)
+    rank[np.argsort(rarity, kind="stable")] = np.arange(len(rarity), dtype=np.uint32)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
         for piece in pieces(batches, "text"):
             _, line, hashes, size = line_sets(piece.column("text"))
             c1, _ = set_hashes(line, hashes, len(size))
+            bits = parities(line, hashes, len(size))
             once = np.zeros(len(size), bool)
-            once[_first_of_class(c1, np.flatnonzero(size))] = True
+            chosen, seen = _first_of_class(c1, np.flatnonzero(size), seen)
+            once[chosen] = True
             line, hashes = line[once[line]], hashes[once[line]]
             # the bucket is the hash's upper bits, so putting its rank there keeps ties in order of hash
             low = np.uint64(64 - RARITY_BITS)
-            order = np.argsort((rank[(hashes >> low).astype(np.int64)] << low) | (hashes & ((np.uint64(1) << low) - np.uint64(1))))
+            order = np.argsort((rank[(hashes >> low).astype(np.int64)].astype(np.uint64) << low) | (hashes & ((np.uint64(1) << low) - np.uint64(1))))
             order = order[np.argsort(line[order].astype(np.int32), kind="stable")]
             line, hashes = line[order], hashes[order]
             here = np.where(once, size, 0)
@@ -104,20 +136,78 @@ def prefixes(documents: DataFrame, rarity: np.ndarray, threshold: float) -> Data
             sent = place < (size - np.ceil(threshold * size - 1e-9) + 1)[line]
             of = line[sent]
             columns = [pa.array(hashes[sent].view(np.int64)), pa.array(c1[of])]
-            columns += [pa.array(size[of].astype(np.int32)), pa.array(place[sent].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "c1", "size", "place"])
+            columns += [pa.array(size[of].astype(np.int32)), pa.array(place[sent].astype(np.int32)), pa.array(bits[of])]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "c1", "size", "place", "bits"])
+
+    return documents.mapInArrow(scan, "token long, c1 long, size int, place int, bits long")
+
 
-    return documents.mapInArrow(scan, "token long, c1 long, size int, place int").repartition("token").dropDuplicates(["token", "c1"])
+def _pairs_of(rows: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
+    """Pairs of classes among rows of whole tokens, in order of token, size and class.
+
+    Row i is paired with the rows after it of its token that are not too long
+    for it. Two lines of similarity t share at least 2t / (1 + t) of the words
+    of the shorter one, so that one is looked up by a still shorter prefix; they
+    differ in at most (1 - t) / (1 + t) of both lines' words, and so in no more
+    of their parity bits; and through the first word they share, no more words
+    than are left in either from there on.
+    """
+    token, size, place = rows["token"], rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+    share = threshold / (1 + threshold)
+    group_end = np.searchsorted(token, token, side="right")
+    longest = np.floor(size / threshold + 1e-9).astype(np.int64)
+    # the end of the rows that are not too long: one search over (token's rank, size)
+    rank = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32
+    stop = np.minimum(np.searchsorted(rank + size, rank + longest, side="right"), group_end)
+    first = np.arange(len(rows))
+    many = np.where(place <= size - np.ceil(2 * share * size - 1e-9), stop - first - 1, 0)
+    ends = np.cumsum(many)
+    start = 0
+    while start < len(rows):
+        done = ends[start - 1] if start else 0
+        upto = max(start + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        i = np.repeat(first[start:upto], many[start:upto])
+        j = np.arange(len(i)) - np.repeat(ends[start:upto] - many[start:upto] - done, many[start:upto]) + i + 1
+        both = size[i] + size[j]
+        good = np.bitwise_count(rows["bits"][i] ^ rows["bits"][j]) <= (1 - 2 * share) * both + 1e-9
+        i, j, both = i[good], j[good], both[good]
+        good = np.minimum(size[i] - place[i], size[j] - place[j]) >= share * both - 1e-9
+        a, b = rows["c1"][i[good]], rows["c1"][j[good]]
+        if len(a):
+            yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        start = upto
 
 
 def candidates(entries: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes (a, b) that share a prefix word and pass the length and positional filters."""
-    x, y = entries.alias("x"), entries.alias("y")
-    within = F.expr(f"x.c1 < y.c1 and least(x.size, y.size) >= {threshold} * greatest(x.size, y.size) - 1e-9")
-    most = "least(x.place, y.place) + 1 + least(x.size - x.place, y.size - y.place) - 1"
-    enough = F.expr(f"{most} >= {threshold / (1 + threshold)} * (x.size + y.size) - 1e-9")
-    joined = x.join(y, (F.col("x.token") == F.col("y.token")) & within & enough)
-    return joined.select(F.col("x.c1").alias("a"), F.col("y.c1").alias("b")).distinct()
+    """Pairs of classes (a, b) that share a prefix word and pass the length, parity and positional filters.
+
+    Entries are dealt out by word and sorted, and a task goes through its words
+    in order, some thousand rows at a time; rows of one word stay together.
+    """
+    kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.uint64)])
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            new = np.ones(len(rows), bool)  # a class occurs once for each piece of text that it was found in
+            new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["c1"][1:] != rows["c1"][:-1])
+            for found in _pairs_of(rows[new], threshold):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+        held = np.zeros(0, kind)
+        for batch in batches:
+            rows = np.empty(batch.num_rows, kind)
+            for name in kind.names:
+                rows[name] = np.asarray(batch.column(name)).view(np.uint64) if name == "bits" else np.asarray(batch.column(name))
+            rows = np.concatenate([held, rows])
+            whole = int(np.searchsorted(rows["token"], rows["token"][-1])) if len(rows) else 0
+            held = rows[whole:]
+            if whole:
+                yield from out(rows[:whole])
+        if len(held):
+            yield from out(held)
+
+    ordered = entries.repartition("token").sortWithinPartitions("token", "size", "c1")
+    return ordered.mapInArrow(pair, "a long, b long").distinct()
 
 
 def matching_lines(documents: DataFrame, rarity: np.ndarray, threshold: float) -> DataFrame:
@@ -127,12 +217,15 @@ def matching_lines(documents: DataFrame, rarity: np.ndarray, threshold: float) -
     bloom = bitmap(wanted, "c1")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
         for piece in pieces(batches, "text"):
             _, line, hashes, size = line_sets(piece.column("text"))
             c1, c2 = set_hashes(line, hashes, len(size))
-            chosen = _first_of_class(c1, np.flatnonzero((size > 0) & in_bitmap(bloom, c1.copy())))
+            chosen, seen = _first_of_class(c1, np.flatnonzero((size > 0) & in_bitmap(bloom, c1.copy())), seen)
             starts = np.cumsum(size) - size
-            sets = [hashes[a : a + n].tobytes() for a, n in zip(starts[chosen], size[chosen], strict=True)]
+            # 48 bits of a word's hash tell the words of two lines apart
+            short = np.ascontiguousarray(hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
+            sets = [short[a : a + n].tobytes() for a, n in zip(starts[chosen], size[chosen], strict=True)]
             columns = [pa.array(c1[chosen]), pa.array(c2[chosen]), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["c1", "c2", "words"])
 
@@ -140,8 +233,8 @@ def matching_lines(documents: DataFrame, rarity: np.ndarray, threshold: float) -
         for batch in batches:
             good = []
             for a, b in zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist(), strict=True):
-                left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                common = len(np.intersect1d(left, right, assume_unique=True))
+                left, right = ({x[i : i + 6] for i in range(0, len(x), 6)} for x in (a, b))
+                common = len(left & right)
                 good.append(common >= threshold * (len(left) + len(right) - common) - 1e-9)
             yield batch.select(["a", "a2", "b", "b2"]).filter(pa.array(good, pa.bool_()))
 
@@ -164,7 +257,6 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
     """
     documents = _documents(docs, id, text)
     lines, rarity = occurrences(documents)
-    lines = saved(lines)
     matches = saved(matching_lines(documents, rarity, threshold))
     at = F.struct("id", "tie", "line_no")
     worded = lines.where("size > 0")
@@ -176,11 +268,20 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
     special = saved(special.select("c1", "c2", "first", "links", F.coalesce(F.col("other") < F.col("first"), F.lit(False)).alias("later")))
     judged = lines.join(small_side(special), ["c1", "c2"], "left")
     gone = F.coalesce((F.col("size") > 0) & (F.col("later") | ~at.eqNullSafe(F.col("first"))), F.lit(False))
-    return judged.withColumn("gone", gone & F.col("first").isNotNull()).groupBy("id", "tie").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("gone").cast("long")).alias("n_removed"),
+    found = judged.withColumn("gone", gone & F.col("first").isNotNull()).groupBy("id", "tie").agg(
+        (F.max("line_no") + 1).cast("long").alias("n_lines"),
+        F.count(F.lit(1)).alias("_rows"),
         F.coalesce(F.sum(F.when(F.col("size") > 0, F.col("links"))), F.lit(0)).cast("long").alias("n_links"),
-        F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("line_no")))).alias("removed"),
+        F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line_no")))).alias("removed"),
+    )
+    # a text whose row is repeated has each of its lines as many times
+    return found.select(
+        "id",
+        "tie",
+        "n_lines",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.expr("n_links div (_rows div n_lines)").alias("n_links"),
+        "removed",
     )
 
 
