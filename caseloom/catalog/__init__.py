@@ -7,14 +7,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.functions.skew import tune
-
 
 class Source:
     """The given tables of one folder: ``Source(spark, dir).orders``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = tune(spark)
+        self.spark = spark
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -51,6 +49,7 @@ def load() -> dict[str, Entry]:
         lookups,
         orders,
         runs,
+        stages,
     )
 
     return REGISTRY

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.catalog import Source, query
 from caseloom.catalog.histories import dated_orders
-from caseloom.functions.lists import bounded_lists
 from caseloom.operators import authorization
 
 KEYS = ["o_custkey", "procedure_code"]
@@ -89,16 +88,12 @@ def priority_rollup(src: Source) -> DataFrame:
     """Worst status per customer, and its codes with and without a valid grant."""
     rows = classified(src)
     valid = F.col("authorization_result") == "VALID"
-    links = rows.select(
-        "o_custkey",
-        F.when(valid, "authorized").otherwise("lacking").alias("list_name"),
-        F.col("procedure_code").alias("value"),
-    ).distinct()
-    lists = bounded_lists(links, ["o_custkey"], ["authorized", "lacking"])
-    worst = authorization.rollup_priority(rows, ["o_custkey"], "authorization_result", out="pre_authorization_status")
-    return worst.join(lists, "o_custkey").select(
-        "o_custkey",
-        "pre_authorization_status",
-        F.array_join("authorized", "|").alias("authorized"),
-        F.array_join("lacking", "|").alias("lacking"),
+
+    def codes(condition: Column) -> Column:
+        return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("procedure_code")))), "|")
+
+    return rows.groupBy("o_custkey").agg(
+        authorization.worst_status(F.col("authorization_result")).alias("pre_authorization_status"),
+        codes(valid).alias("authorized"),
+        codes(~valid).alias("lacking"),
     )

@@ -27,7 +27,7 @@ _CONFLICTS = (
     "concat_ws('|', " + ", ".join(f"CASE WHEN count(DISTINCT {c}) > 1 THEN '{c}' END" for c in FIELDS) + ")"
 )
 _SUMMARY = """count(*) AS document_count, max(l_tax) AS max_l_tax,
-  round(CAST(sum(CAST(l_tax AS DECIMAL(18,6))) AS DOUBLE) / count(l_tax), 9) AS avg_l_tax"""
+  round(CAST(sum(CAST(l_tax AS DECIMAL(38,15))) AS DOUBLE) / count(l_tax), 9) AS avg_l_tax"""
 
 
 @query(
@@ -51,21 +51,18 @@ def duplicate_summary(src: Source) -> DataFrame:
 @query(
     "duplicate_ids",
     """SELECT user_id, count(*) AS document_count, max(value) AS max_value,
-      round(CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / count(value), 6) AS avg_value,
+      round(CAST(sum(CAST(value AS DECIMAL(38,15))) AS DOUBLE) / count(value), 6) AS avg_value,
       count(*) > 1 AS duplicate_flag,
-      CASE WHEN count(DISTINCT event_id) <= 40 THEN string_agg(DISTINCT CAST(event_id AS STRING), '|'
-        ORDER BY CAST(event_id AS STRING)) END AS event_ids,
-      CASE WHEN count(DISTINCT event_id) > 40 THEN 'event_ids' ELSE '' END AS list_overflow
+      string_agg(DISTINCT CAST(event_id AS STRING), '|' ORDER BY CAST(event_id AS STRING)) AS event_ids
     FROM events GROUP BY user_id""",
 )
 def duplicate_ids(src: Source) -> DataFrame:
-    """Copies per user with their ids inline up to 40; a longer list is named and left to ``id_links``."""
+    """Copies per user with all their ids."""
     events = src.events.withColumn("event_id", F.col("event_id").cast("string"))
-    out = canonical.duplicate_summary(events, ["user_id"], "value", id_col="event_id", limit=40)
+    out = canonical.duplicate_summary(events, ["user_id"], "value", id_col="event_id")
     return out.withColumns(
         {
             "event_ids": F.array_join("event_ids", "|"),
-            "list_overflow": F.array_join("list_overflow", "|"),
             "avg_value": F.round("avg_value", 6),
         }
     )

@@ -9,7 +9,6 @@ from caseloom import fixed_values as fv
 from caseloom.catalog import Source, query
 from caseloom.catalog.orders import sql_amount, sql_codes, sql_date, sql_tidy
 from caseloom.catalog.world import claim_world, ctes
-from caseloom.functions.skew import INLINE_LIMIT
 from caseloom.operators import audit, cases, rules
 from caseloom.plans import claims
 
@@ -83,9 +82,8 @@ _CANON = f"""best AS (SELECT * FROM (SELECT *, coalesce(claim_id, '(null)') AS c
         CAST(regexp_extract(source_document_id, '(\\d+)$', 1) AS INT) DESC, source_document_id) AS rn FROM checked)
     WHERE rn = 1),
   facts AS (SELECT coalesce(claim_id, '(null)') AS ck, count(*) AS n, max(conf) AS max_conf,
-      CAST(sum(CAST(conf AS DECIMAL(18,6))) AS DOUBLE) / count(conf) AS avg_conf,
-      CASE WHEN count(DISTINCT source_document_id) <= {INLINE_LIMIT} THEN
-        string_agg(DISTINCT source_document_id, '|' ORDER BY source_document_id) END AS ids,
+      CAST(sum(CAST(conf AS DECIMAL(38,15))) AS DOUBLE) / count(conf) AS avg_conf,
+      string_agg(DISTINCT source_document_id, '|' ORDER BY source_document_id) AS ids,
       concat_ws('|', {_CONFLICTS}) AS conflicts FROM checked GROUP BY ALL),
   dxs AS (SELECT ck, list_sort(list(DISTINCT c)) AS all_dx FROM (SELECT coalesce(claim_id, '(null)') AS ck, unnest(dx) AS c
     FROM checked) GROUP BY ck),
@@ -123,20 +121,21 @@ _COVERAGE = """plans AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION B
   lines AS (SELECT ck, plan_id, member_id, provider_id, sd, CAST(round(amt / len(px), 4) AS DECIMAL(18,4)) AS share,
     unnest(px) AS code FROM refs),
   priced AS (SELECT l.ck, l.code, p.plan_id IS NOT NULL AS found, coalesce(requires_pre_authorization, false) AS needs,
-    CASE WHEN p.plan_id IS NOT NULL AND share IS NOT NULL THEN CAST(greatest(share * CAST(coverage_percentage AS DECIMAL(6,4))
+    CASE WHEN p.plan_id IS NOT NULL AND share IS NOT NULL THEN CAST(greatest(share * CAST(coverage_percentage AS DECIMAL(38,9))
       - copay_amount, 0) AS DECIMAL(18,4)) END AS due
     FROM lines l LEFT JOIN plans p ON l.plan_id = p.plan_id AND l.code = p.procedure_code),
   cov AS (SELECT ck, coalesce(list_sort(list(code) FILTER (found)), []) AS covered,
     coalesce(list_sort(list(code) FILTER (NOT found)), []) AS uncovered,
     coalesce(list_sort(list(code) FILTER (needs)), []) AS needing, CAST(sum(due) AS DECIMAL(18,2)) AS eligible
     FROM priced GROUP BY ck)"""
-_HISTORY = """past AS (SELECT DISTINCT * FROM w_claim_history),
+_HISTORY = """past AS (SELECT * FROM w_claim_history),
   prior AS (SELECT r.ck, h.* FROM refs r JOIN past h ON r.member_id = h.member_id AND h.service_date < r.sd
     AND h.service_date >= r.sd - 365),
   hist AS (SELECT ck, count(*) AS pc, CAST(sum(claim_amount) AS DECIMAL(18,2)) AS ps, max(service_date) AS last_day,
     CAST(sum(claim_amount) AS DOUBLE) / count(claim_amount) AS mean FROM prior GROUP BY ck),
   ev AS (SELECT ck, string_agg(historical_claim_id, '|' ORDER BY rn) AS evidence FROM (SELECT *, row_number() OVER (
-      PARTITION BY ck ORDER BY service_date DESC, historical_claim_id) AS rn FROM prior) WHERE rn <= 5 GROUP BY ck),
+      PARTITION BY ck ORDER BY service_date DESC, historical_claim_id NULLS FIRST, provider_id, procedure_code,
+      claim_amount, claim_status) AS rn FROM prior) WHERE rn <= 5 GROUP BY ck),
   same AS (SELECT l.ck, count(DISTINCT historical_claim_id) AS sc FROM lines l JOIN past h ON l.member_id = h.member_id
     AND l.code = h.procedure_code AND h.service_date < l.sd AND h.service_date >= l.sd - 365 GROUP BY l.ck),
   near AS (SELECT l.ck, count(DISTINCT historical_claim_id) AS dc FROM lines l JOIN past h ON l.member_id = h.member_id
@@ -230,19 +229,18 @@ def claims_canonical(src: Source) -> DataFrame:
     )
 
 
-@query(
-    "claims_reference",
-    f"""{_S2} SELECT claim_id, policy_id, member_id, plan_id, pstatus AS policy_status, coverage_start_date, coverage_end_date,
+REFERENCES_SQL = f"""{_S2} SELECT claim_id, policy_id, member_id, plan_id, pstatus AS policy_status, coverage_start_date, coverage_end_date,
       pn AS policy_match_count, pn > 0 AS policy_exists, pn > 1 AS policy_ambiguous, pact AS policy_active_on_service_date,
       mx AS member_exists, rfn AS reference_first_name, rln AS reference_last_name, rdob AS reference_dob,
       fm AS first_name_match, lm AS last_name_match, dm AS dob_match, emc AS entity_match_confidence,
       eligible_member AS member_eligible, provider_id, provider_name, vn AS provider_match_count, vn > 0 AS provider_exists,
       vn > 1 AS provider_ambiguous, vact AS provider_active, network AS provider_network_status,
-      array_to_string(ref_errors, '|') AS reference_enrichment_errors FROM refs""",
-)
-def claims_reference(src: Source) -> DataFrame:
+      array_to_string(ref_errors, '|') AS reference_enrichment_errors FROM refs"""
+
+
+def claims_reference_columns(df: DataFrame) -> DataFrame:
     return flat(
-        stage(src, "reference_enriched_claims"),
+        df,
         "claim_id",
         "policy_id",
         "member_id",
@@ -274,6 +272,11 @@ def claims_reference(src: Source) -> DataFrame:
     )
 
 
+@query("claims_reference", REFERENCES_SQL)
+def claims_reference(src: Source) -> DataFrame:
+    return claims_reference_columns(stage(src, "reference_enriched_claims"))
+
+
 @query(
     "claims_coverage",
     f"""{_S3} SELECT claim_id, array_to_string(coalesce(covered, []), '|') AS covered_procedure_codes,
@@ -442,7 +445,7 @@ def reason_counts(src: Source) -> DataFrame:
 def claim_audits(src: Source) -> DataFrame:
     """Keys, allowed statuses and the always-null amount of the finished cases."""
     world = claim_world(src)
-    done = claims.cut(claims.claim_cases(world), "claim_case")
+    done = claims.claim_cases(world)
     return audit.violations(
         {
             "keys": audit.audit_keys(world["ocr_documents"], done, ["claim_id"]),
@@ -457,7 +460,7 @@ def claim_audits(src: Source) -> DataFrame:
     f"""{_S6} SELECT column_name, CAST(0 AS BIGINT) AS hits FROM (SELECT unnest(['case_id', 'claim_id', 'member_id', 'policy_id', 'provider_id',
       'plan_id', 'currency', 'policy_status', 'provider_network_status', 'pre_authorization_status', 'workflow_status',
       'decision_reason', 'rule_engine_version', 'source_document_ids', 'diagnosis_codes', 'procedure_codes',
-      'review_reasons', 'list_overflow', 'evidence_package']) AS column_name)""",
+      'review_reasons', 'evidence_package']) AS column_name)""",
 )
 def claim_ssn_audit(src: Source) -> DataFrame:
     """No column of a case, nested ones included, holds a dashed SSN."""
@@ -512,12 +515,12 @@ def evidence_package(src: Source) -> DataFrame:
     )
 
 
-@query(
-    "case_build",
-    f"""{_order_sql()} SELECT 'CASE-' || CAST(o_orderkey AS STRING) AS case_id, o_orderkey, o_custkey AS member_id,
+CASE_BUILD_SQL = f"""{_order_sql()} SELECT 'CASE-' || CAST(o_orderkey AS STRING) AS case_id, o_orderkey, o_custkey AS member_id,
       pol AS policy_number, dt AS service_date, amt AS billed_amount, array_to_string(reasons, '|') AS review_reasons,
-      CAST(NULL AS DECIMAL(18,2)) AS approved_amount, '1.0.0' AS rule_engine_version FROM reasoned""",
-)
+      CAST(NULL AS DECIMAL(18,2)) AS approved_amount, '1.0.0' AS rule_engine_version FROM reasoned"""
+
+
+@query("case_build", CASE_BUILD_SQL)
 def case_build(src: Source) -> DataFrame:
     built = cases.build_case(
         _reasoned_orders(src),

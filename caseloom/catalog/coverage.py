@@ -51,7 +51,7 @@ def covered_lines(src: Source) -> DataFrame:
     return coverage.coverage_join(order_lines(src), plans, on)
 
 
-_COVERED = f"""{ctes('plan_coverage')}, plans AS (SELECT * FROM (SELECT *, row_number() OVER (
+COVERED = f"""{ctes('plan_coverage')}, plans AS (SELECT * FROM (SELECT *, row_number() OVER (
       PARTITION BY plan_id, procedure_code ORDER BY coverage_type, coverage_percentage, copay_amount,
         requires_pre_authorization DESC, deductible_amount) AS rn
       FROM w_plan_coverage) WHERE rn = 1),
@@ -64,13 +64,13 @@ _COVERED = f"""{ctes('plan_coverage')}, plans AS (SELECT * FROM (SELECT *, row_n
     coverage_type, coverage_percentage, deductible_amount, copay_amount, requires_pre_authorization,
     CAST(round(billed / n, 4) AS DECIMAL(18,4)) AS share,
     CASE WHEN plans.procedure_code IS NOT NULL THEN CAST(greatest(CAST(round(billed / n, 4) AS DECIMAL(18,4))
-      * CAST(coverage_percentage AS DECIMAL(6,4)) - copay_amount, 0) AS DECIMAL(18,4)) END AS eligible
+      * CAST(coverage_percentage AS DECIMAL(38,9)) - copay_amount, 0) AS DECIMAL(18,4)) END AS eligible
     FROM ol LEFT JOIN plans ON ol.plan_id = plans.plan_id AND ol.code = plans.procedure_code)"""
 
 
 @query(
     "coverage_join",
-    f"""WITH {_COVERED} SELECT o_orderkey, plan_id, procedure_code, found AS coverage_found, coverage_type,
+    f"""WITH {COVERED} SELECT o_orderkey, plan_id, procedure_code, found AS coverage_found, coverage_type,
       coverage_percentage, deductible_amount, copay_amount, requires_pre_authorization,
       share AS procedure_billed_amount, eligible AS estimated_eligible_amount FROM covered""",
 )
@@ -97,7 +97,7 @@ def rolled_up(src: Source) -> DataFrame:
 
 @query(
     "coverage_rollup",
-    f"""WITH {_COVERED} SELECT o_orderkey,
+    f"""WITH {COVERED} SELECT o_orderkey,
       coalesce(string_agg(procedure_code, '|' ORDER BY procedure_code) FILTER (found), '') AS covered_procedure_codes,
       coalesce(string_agg(procedure_code, '|' ORDER BY procedure_code) FILTER (NOT found), '') AS uncovered_procedure_codes,
       coalesce(string_agg(procedure_code, '|' ORDER BY procedure_code) FILTER (requires_pre_authorization), '')

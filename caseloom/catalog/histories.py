@@ -69,6 +69,37 @@ def same_key_history(src: Source) -> DataFrame:
     return _same_part(src)
 
 
+_LINES = """l AS (SELECT DISTINCT l_orderkey, l_partkey, CAST(l_shipdate AS DATE) AS day FROM lineitem)"""
+
+
+@query(
+    "same_key_distinct_history",
+    f"""WITH {_LINES} SELECT c.l_orderkey, c.l_partkey, c.day, count(DISTINCT h.l_orderkey) AS prior_orders
+    FROM l c LEFT JOIN l h ON c.l_partkey = h.l_partkey AND h.day < c.day AND h.day >= c.day - 365 GROUP BY ALL""",
+)
+def same_key_distinct_history(src: Source) -> DataFrame:
+    """Distinct orders, not lines, that had the part in the year before."""
+    lines = src.lineitem.select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("day")).distinct()
+    return history.trailing_distinct(lines, lines, ["l_partkey"], "day", "day", "l_orderkey", "prior_orders")
+
+
+@query(
+    "distinct_prior_orders",
+    """WITH c AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders),
+      h AS (SELECT o_custkey, o_orderkey % 1000 AS id, CAST(o_orderdate AS DATE) AS day FROM orders),
+      k AS (SELECT o_orderkey, o_custkey + i AS o_custkey, day FROM c, range(0, 2) r(i))
+    SELECT k.o_orderkey, count(DISTINCT h.id) AS prior_ids FROM k JOIN h ON k.o_custkey = h.o_custkey
+      AND h.day < k.day AND h.day >= k.day - 365 GROUP BY k.o_orderkey""",
+)
+def distinct_prior_orders(src: Source) -> DataFrame:
+    """Ids that recur under many keys count once for an order that asks for two keys."""
+    orders = src.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    past = orders.select("o_custkey", (F.col("o_orderkey") % 1000).alias("id"), "day")
+    lines = orders.withColumn("o_custkey", F.explode(F.array(F.col("o_custkey"), F.col("o_custkey") + 1)))
+    found = history.distinct_counts(lines, past, ["o_custkey"], ("o_orderkey", "day"), ("id", "day"), "prior_ids")
+    return found.where("prior_ids > 0")
+
+
 def _near(src: Source) -> DataFrame:
     orders = dated_orders(src)
     ids = ("o_orderkey", "day", "amount")
@@ -96,7 +127,7 @@ def near_duplicates(src: Source) -> DataFrame:
     GROUP BY c.event_id""",
 )
 def near_duplicates_heavy(src: Source) -> DataFrame:
-    """A handful of keys hold all events: everything goes through the sweep."""
+    """A handful of keys hold all events."""
     events = src.events.select(
         "event_id", "event_type", F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,2)").alias("amount")
     )

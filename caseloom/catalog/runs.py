@@ -36,5 +36,4 @@ def latest_per_key(src: Source) -> DataFrame:
 )
 def run_durations(src: Source) -> DataFrame:
     ts = F.unix_micros(F.col("ts").cast("timestamp"))
-    out = runmetrics.durations(src.events, ["user_id"], ts, ts)
-    return out.withColumnRenamed("duration_seconds", "duration_us")
+    return runmetrics.durations(src.events, ["user_id"], ts, ts, "duration_us")

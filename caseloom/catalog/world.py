@@ -11,7 +11,6 @@ import re
 from pyspark.sql import DataFrame
 
 from caseloom.catalog import Source
-from caseloom.sources.lineage import cut
 
 _ISO = "CAST(CAST({0} AS DATE) AS STRING)"
 
@@ -71,16 +70,18 @@ FROM {{orders}}
 # --- a claims world ----------------------------------------------------------------------------
 _S = _date_forms("d + 20")
 _B = _amount_forms("amt")
-_NPI = "CAST(9100000000 + k % 120 AS STRING)"
+# one provider after the other, one number more than there are, so that some are unknown
+_SUPPLIERS = "(SELECT max(s_suppkey) + 2 FROM {supplier})"
+_NPI = f"CAST(9100000000 + k % {_SUPPLIERS} AS STRING)"
 _CODE1 = "CAST(70000 + k % 50 AS STRING)"
 _CODE2 = "CAST(70000 + (k * 7 + 3) % 60 AS STRING)"
 
 OCR_DOCUMENTS = f"""
 WITH scans AS (
-  SELECT o_orderkey AS k, o_custkey % 500 AS ck, CAST(o_orderdate AS DATE) AS d,
+  SELECT o_orderkey AS k, o_custkey AS ck, CAST(o_orderdate AS DATE) AS d,
     CAST(o_totalprice AS DECIMAL(18,2)) AS amt, 1 AS scan FROM {{orders}}
   UNION ALL
-  SELECT o_orderkey, o_custkey % 500, CAST(o_orderdate AS DATE),
+  SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE),
     CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 3 = 0 THEN 100 ELSE 0 END AS DECIMAL(18,2)), 2
   FROM {{orders}} WHERE o_orderpriority = '1-URGENT'
 )
@@ -158,36 +159,48 @@ SELECT 'PLAN-' || CAST(p_size % 25 AS STRING) AS plan_id, CAST(70000 + p_partkey
 FROM {part}
 """
 
-CLAIM_HISTORY = """
+CLAIM_HISTORY = f"""
 WITH past AS (
-  SELECT 'H-' || CAST(o_orderkey AS STRING) AS historical_claim_id, 'M-' || CAST(o_custkey % 500 AS STRING) AS member_id,
-    'PR-' || CAST(o_orderkey % 120 AS STRING) AS provider_id,
+  SELECT 'H-' || CAST(o_orderkey AS STRING) AS historical_claim_id, 'M-' || CAST(o_custkey AS STRING) AS member_id,
+    'PR-' || CAST(o_orderkey % {_SUPPLIERS} AS STRING) AS provider_id,
     CAST(70000 + o_orderkey % 50 AS STRING) AS procedure_code, CAST(o_orderdate AS DATE) AS service_date,
     CAST(FLOOR(CAST(o_totalprice AS DECIMAL(18,2)) * 50) / 100 AS DECIMAL(18,2)) AS claim_amount,
-    CAST(0 AS DECIMAL(18,2)) AS approved_amount, o_orderstatus AS claim_status, o_orderpriority
-  FROM {orders}
+    CAST(0 AS DECIMAL(18,2)) AS approved_amount, o_orderstatus AS claim_status, o_orderpriority, o_orderkey AS k
+  FROM {{orders}}
 )
 SELECT historical_claim_id, member_id, provider_id, procedure_code, service_date, claim_amount, approved_amount,
   claim_status FROM past
 UNION ALL
 SELECT historical_claim_id, member_id, provider_id, procedure_code, service_date, claim_amount, approved_amount,
   claim_status FROM past WHERE o_orderpriority = '5-LOW'
+UNION ALL -- further lines of a claim: another procedure, another amount, another day
+SELECT historical_claim_id, member_id, provider_id, CAST(70000 + (k * 7 + 3) % 60 AS STRING), service_date,
+  claim_amount, approved_amount, claim_status FROM past WHERE k % 3 = 0
+UNION ALL
+SELECT historical_claim_id, member_id, provider_id, procedure_code, service_date,
+  CAST(claim_amount * 1.01 AS DECIMAL(18,2)), approved_amount, claim_status FROM past WHERE k % 5 = 0
+UNION ALL
+SELECT historical_claim_id, member_id, provider_id, procedure_code, service_date + 2,
+  claim_amount, approved_amount, claim_status FROM past WHERE k % 7 = 0
+UNION ALL -- lines without a claim id
+SELECT NULL, member_id, provider_id, procedure_code, service_date, claim_amount, approved_amount, claim_status
+FROM past WHERE k % 11 = 0
 """
 
-PRE_AUTHORIZATION = """
-SELECT 'AUTH-' || CAST(o_orderkey AS STRING) AS authorization_id, 'M-' || CAST(o_custkey % 500 AS STRING) AS member_id,
-  'PR-' || CAST(o_orderkey % 120 AS STRING) AS provider_id,
+PRE_AUTHORIZATION = f"""
+SELECT 'AUTH-' || CAST(o_orderkey AS STRING) AS authorization_id, 'M-' || CAST(o_custkey AS STRING) AS member_id,
+  'PR-' || CAST(o_orderkey % {_SUPPLIERS} AS STRING) AS provider_id,
   CASE WHEN o_orderkey % 8 = 7 THEN '70099' ELSE CAST(70000 + o_orderkey % 50 AS STRING) END AS procedure_code,
   CAST(o_orderdate AS DATE) - CASE WHEN o_orderkey % 5 = 0 THEN 400 ELSE 30 END AS valid_from,
   CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 5 = 0 THEN -100 ELSE 300 END AS valid_to,
   CASE o_orderkey % 7 WHEN 0 THEN 'DENIED' WHEN 1 THEN 'pending' WHEN 2 THEN 'CANCELLED' ELSE 'Approved ' END
     AS authorization_status
-FROM {orders}
+FROM {{orders}}
 UNION ALL
-SELECT 'AUTH-' || CAST(o_orderkey AS STRING) || '-B', 'M-' || CAST(o_custkey % 500 AS STRING),
-  'PR-' || CAST(o_orderkey % 120 AS STRING), CAST(70000 + o_orderkey % 50 AS STRING),
+SELECT 'AUTH-' || CAST(o_orderkey AS STRING) || '-B', 'M-' || CAST(o_custkey AS STRING),
+  'PR-' || CAST(o_orderkey % {_SUPPLIERS} AS STRING), CAST(70000 + o_orderkey % 50 AS STRING),
   CAST(o_orderdate AS DATE) + 10, CAST(NULL AS DATE), 'APPROVED'
-FROM {orders} WHERE o_orderpriority = '2-HIGH'
+FROM {{orders}} WHERE o_orderpriority = '2-HIGH'
 """
 
 CLAIM_WORLD = {
@@ -224,6 +237,5 @@ def raw_orders(src: Source) -> DataFrame:
 
 
 def claim_world(src: Source) -> dict[str, DataFrame]:
-    """The derived inputs; the documents, read several times, are written first as a landed feed would be."""
-    world = {name: derive(src, text) for name, text in CLAIM_WORLD.items()}
-    return {**world, "ocr_documents": cut(world["ocr_documents"], "ocr_documents")}
+    """The derived inputs."""
+    return {name: derive(src, text) for name, text in CLAIM_WORLD.items()}

@@ -1,12 +1,10 @@
-"""Distinct value lists per key: inline while a key is of ordinary size, as rows beyond that."""
+"""Distinct value lists per key, as rows and as arrays."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.skew import INLINE_LIMIT, salted_join
-
 
 def members(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
     """Every distinct (keys, list_name, value), whole, however large a key is.
@@ -28,47 +26,16 @@ def members(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFra
     )
 
 
-def heavy_keys(df: DataFrame, keys: list[str], limit: int = INLINE_LIMIT) -> DataFrame:
-    """The keys held by more than ``limit`` rows; reads the keys only, counted before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys)
-
-
-def bounded_lists(links: DataFrame, keys: list[str], names: list[str], limit: int = INLINE_LIMIT) -> DataFrame:
-    """One row per key of a ``members`` table: the sorted values of each list, plus ``list_overflow``.
+def collect_lists(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
+    """One row per key: the sorted distinct values of each array column over the key's rows, whole.
 
-    A list of more than ``limit`` values is left null and named in
-    ``list_overflow``; its rows stay whole in ``links``. The rank filter runs
-    on the map side as well (WindowGroupLimit), so no task holds more of a key
-    than the limit times the number of its inputs, and no row grows without bound.
+    The values of a key are made distinct first, spread over all tasks by value,
+    and collected where they are; so only the answer itself meets in one row,
+    whatever the number of rows of the key. A key without any value has no row.
     """
-    ranked = Window.partitionBy(*keys, "list_name").orderBy("value")
-    kept = links.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= limit + 1)
+    links = members(df, keys, lists)
 
     def values(name: str) -> Column:
-        mine = F.col("list_name") == name
-        fits = F.coalesce(F.max(F.when(mine, F.col("_rank"))), F.lit(0)) <= limit
-        return F.when(fits, F.array_sort(F.collect_list(F.when(mine, F.col("value")))))
-
-    per_key = kept.groupBy(*keys).agg(*[values(n).alias(n) for n in names])
-    over = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]))
-    return per_key.withColumn("list_overflow", over)
-
-
-def collect_lists(df: DataFrame, keys: list[str], lists: dict[str, Column], limit: int = INLINE_LIMIT) -> DataFrame:
-    """One row per key: the sorted distinct values of each array column over the key's rows.
-
-    Keys of up to ``limit`` rows are collected outright. The rows of heavier
-    keys go through ``members`` and ``bounded_lists``: what those leave out is
-    found in ``members`` of the ``heavy_keys``. Without heavy keys AQE drops
-    that branch. Join keys must not be null; a struct of nullable columns is not.
-    """
-    narrow = df.select(*keys, *[F.array_compact(c).alias(n) for n, c in lists.items()])
-    heavy = heavy_keys(df, keys, limit)
-
-    def union(name: str) -> Column:
-        return F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))).alias(name)
+        return F.array_sort(F.collect_list(F.when(F.col("list_name") == name, F.col("value")))).alias(name)
 
-    light = salted_join(narrow, heavy, keys, "left_anti", list(lists)).groupBy(*keys).agg(*[union(n) for n in lists])
-    rest = members(salted_join(narrow, heavy, keys, "left_semi", list(lists)), keys, {n: F.col(n) for n in lists})
-    none = F.array().cast("array<string>").alias("list_overflow")
-    return light.select("*", none).unionByName(bounded_lists(rest, keys, list(lists), limit))
+    return links.groupBy(*keys).agg(*[values(n) for n in lists])

@@ -10,12 +10,10 @@ from pyspark.sql import types as T
 
 NULL_BUCKETS = 256
 SALTS = 16
-# one below spark.sql.optimizer.windowGroupLimitThreshold, so that the map-side cut stays on
-INLINE_LIMIT = 999
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Runtime settings the lookups count on: AQE splits the heavy partitions of a join."""
+    """Settings for the owner of a session: AQE splits the heavy partitions of a join, also where that costs a shuffle."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

@@ -104,19 +104,14 @@ def rollup_priority(
     return df.groupBy(*key).agg(worst_status(F.col(status), order).alias(out))
 
 
-def rollup_authorization(df: DataFrame, key: list[str], inline: str | None = None) -> DataFrame:
-    """One row per record: authorized and missing codes, evidence, worst status.
-
-    Lists are built from the rows whose ``inline`` flag is set, see ``rollup_coverage``.
-    """
+def rollup_authorization(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row per record: authorized and missing codes, evidence, worst status."""
     code, result = F.col("procedure_code"), F.col("authorization_result")
-    listed = F.col(inline) if inline else F.lit(True)
     lacking = code.isNotNull() & ~result.isin("VALID", "NOT_REQUIRED")
     evidence = F.struct("procedure_code", "authorization_result", *GRANT, "valid_authorization_count")
 
     def collected(condition: Column, value: Column, name: str) -> Column:
-        items = F.sort_array(F.collect_list(F.when(listed & condition, value)))
-        return F.when(F.bool_and(listed), items).alias(name)
+        return F.sort_array(F.collect_list(F.when(condition, value))).alias(name)
 
     return df.groupBy(*key).agg(
         collected(result == "VALID", code, "authorized_procedure_codes"),

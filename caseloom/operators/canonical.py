@@ -1,7 +1,7 @@
 """Deduplicate: one canonical record per key, with evidence about its copies.
 
-A heavy key is folded on the map side (partial aggregates) before the shuffle,
-and its value lists are bounded, see ``functions.lists``.
+A heavy key is folded on the map side (partial aggregates) before the shuffle;
+its value lists are whole, see ``functions.lists``.
 """
 
 from __future__ import annotations
@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.lists import collect_lists
 from caseloom.functions.ordering import sort_key
-from caseloom.functions.skew import INLINE_LIMIT
 
 # keys travel as one struct, whose equality is null-safe, so a null key keeps its lists
 KEY = "_key"
+#: holds the digits of a double in the range of scores, so that a sum of them is exact
+EXACT = "decimal(38,15)"
 
 
 def _summary(score: str | None) -> list[Column]:
     out = [F.count(F.lit(1)).alias("document_count")]
     if score:
         # summed as decimal: the average must not depend on the order of addition
-        total = F.sum(F.col(score).cast("decimal(18,6)")).cast("double")
+        total = F.sum(F.col(score).cast(EXACT)).cast("double")
         out += [F.max(score).alias(f"max_{score}"), (total / F.count(score)).alias(f"avg_{score}")]
     return out
 
@@ -33,13 +34,12 @@ def duplicate_summary(
     keys: list[str],
     score: str,
     id_col: str | None = None,
-    limit: int = INLINE_LIMIT,
 ) -> DataFrame:
-    """Copies per key: count, best and mean score, duplicate flag, and their ids."""
+    """Copies per key: count, best and mean score, duplicate flag, and all their ids."""
     out = df.groupBy(*keys).agg(*_summary(score)).withColumn("duplicate_flag", F.col("document_count") > 1)
     if id_col is None:
         return out
-    return _attach_lists(out, df, keys, {f"{id_col}s": F.array(id_col)}, limit)
+    return _attach_lists(out, df, keys, {f"{id_col}s": F.array(id_col)})
 
 
 def _conflict(fields: Sequence[str]) -> list[Column]:
@@ -71,25 +71,21 @@ def pick_best(df: DataFrame, keys: list[str], order: list[tuple[str, str]]) -> D
     return df.groupBy(*keys).agg(_best(df, kept, order).alias("_best")).select(*keys, "_best.*")
 
 
-def union_arrays(df: DataFrame, keys: list[str], lists: dict[str, Column], limit: int = INLINE_LIMIT) -> DataFrame:
+def union_arrays(df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
     """Sorted distinct union of array columns over the rows of each key."""
-    return _attach_lists(df.select(*keys).distinct(), df, keys, lists, limit)
+    return _attach_lists(df.select(*keys).distinct(), df, keys, lists)
 
 
-def _attach_lists(out: DataFrame, df: DataFrame, keys: list[str], lists: dict[str, Column], limit: int) -> DataFrame:
+def _attach_lists(out: DataFrame, df: DataFrame, keys: list[str], lists: dict[str, Column]) -> DataFrame:
     """Add the lists to a one-row-per-key table."""
-    found = collect_lists(df.withColumn(KEY, F.struct(*keys)), [KEY], lists, limit)
+    found = collect_lists(df.withColumn(KEY, F.struct(*keys)), [KEY], lists)
     joined = out.withColumn(KEY, F.struct(*keys)).join(found, KEY, "left").drop(KEY)
     return joined.withColumns(_filled(joined, lists))
 
 
 def _filled(joined: DataFrame, lists: Iterable[str]) -> dict[str, Column]:
-    """A list without members is [], one that overflowed is null."""
-    over = F.coalesce("list_overflow", F.array().cast("array<string>"))
-    inline = {
-        n: F.when(~F.array_contains(over, n), F.coalesce(n, F.array().cast(joined.schema[n].dataType))) for n in lists
-    }
-    return {**inline, "list_overflow": over}
+    """A list without members is []."""
+    return {n: F.coalesce(n, F.array().cast(joined.schema[n].dataType)) for n in lists}
 
 
 def canonicalize(
@@ -99,7 +95,6 @@ def canonicalize(
     score: str,
     conflicts: Sequence[str],
     lists: dict[str, Column],
-    limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Best row, copy summary, conflicting fields and list unions, one row per key."""
     kept = [c for c in df.columns if c not in keys and c not in lists]
@@ -109,7 +104,7 @@ def canonicalize(
         .agg(_best(df, kept, order).alias("_best"), *_summary(score), *_conflict(conflicts))
         .withColumn("_conflicts", _conflict_list(conflicts))
     )
-    joined = folded.join(collect_lists(keyed, [KEY], lists, limit), KEY, "left")
+    joined = folded.join(collect_lists(keyed, [KEY], lists), KEY, "left")
     return joined.select(
         f"{KEY}.*",
         *[F.col(f"_best.{c}").alias(c) for c in kept],

@@ -10,6 +10,7 @@ from caseloom.operators.lookup import lookup
 from caseloom.operators.rules import Rule
 
 SHARE = "decimal(18,4)"
+RATE = "decimal(18,9)"
 
 
 def explode_lines(
@@ -44,7 +45,7 @@ def coverage_join(lines: DataFrame, plans: DataFrame, on: dict[str, str]) -> Dat
     due = eligible_amount(
         found,
         F.col("procedure_billed_amount"),
-        F.col("coverage_percentage").cast("decimal(6,4)"),
+        F.col("coverage_percentage").cast(RATE),
         F.col("copay_amount").cast(p.MONEY),
     )
     return priced.withColumn("estimated_eligible_amount", due.cast("decimal(18,4)")).withColumnRenamed(
@@ -52,17 +53,14 @@ def coverage_join(lines: DataFrame, plans: DataFrame, on: dict[str, str]) -> Dat
     )
 
 
-def rollup_coverage(lines: DataFrame, key: list[str], inline: str | None = None) -> DataFrame:
+def rollup_coverage(lines: DataFrame, key: list[str]) -> DataFrame:
     """Back to one row per record: code lists, line evidence, counts, total.
 
-    Lines hold each code of a record once. Lists are built from the lines whose
-    ``inline`` flag is set (all, if none is named), which come from one array
-    each and so are bounded; a record without such lines gets null lists. The
-    counts and the total cover every line.
+    Lines hold each code of a record once, so the lists are as long as the
+    record's own list of codes.
     """
     has = F.col("procedure_code").isNotNull()
     covered, uncovered = has & F.col("coverage_found"), has & ~F.col("coverage_found")
-    listed = F.col(inline) if inline else F.lit(True)
     evidence = F.struct(
         "procedure_code",
         "coverage_found",
@@ -76,8 +74,7 @@ def rollup_coverage(lines: DataFrame, key: list[str], inline: str | None = None)
     )
 
     def collected(condition: Column, value: Column, name: str) -> Column:
-        items = F.sort_array(F.collect_list(F.when(listed & condition, value)))
-        return F.when(F.bool_and(listed), items).alias(name)
+        return F.sort_array(F.collect_list(F.when(condition, value))).alias(name)
 
     code = F.col("procedure_code")
     return (

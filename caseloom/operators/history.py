@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions.parsing import MONEY
-from caseloom.functions.skew import none_null, salted_join, spread_join
+from caseloom.functions.skew import none_null, spread_join
+
+#: cents in one range of amounts, the most rows of a key that a window sorts
+RANGE = 1 << 16
 
 
 def _day(name: str) -> Column:
@@ -107,15 +110,15 @@ def recent_evidence(
     n: int = fv.RECENT_EVIDENCE,
     days: int = fv.HISTORY_DAYS,
 ) -> DataFrame:
-    """Array of the ``n`` latest history rows in [day - days, day), newest first, then by id.
+    """Array of the ``n`` latest history rows in [day - days, day), newest first, then by id and payload.
 
     Only the first ``n`` rows of a (key, day) can matter and only the last ``n``
     of those up to a day, so every array and every frame here holds at most ``n``.
     """
     item = F.struct(id_col, history_day, *payload)
-    ranked = Window.partitionBy(*keys, "_day").orderBy(id_col)
+    ranked = Window.partitionBy(*keys, "_day").orderBy("_item")
     per_day = (
-        _dated(history, keys, history_day, F.col(id_col), item.alias("_item"))
+        _dated(history, keys, history_day, item.alias("_item"))
         .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") <= n)
         .groupBy(*keys, "_day")
@@ -139,6 +142,79 @@ def recent_evidence(
     return joined.withColumn(out, F.coalesce(kept, empty)).drop("_day")
 
 
+def trailing_distinct(
+    current: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    current_day: str,
+    history_day: str,
+    id_col: str,
+    out: str = "prior_distinct_count",
+    days: int = fv.HISTORY_DAYS,
+) -> DataFrame:
+    """Add the number of distinct history ids in [day - days, day); null ids do not count.
+
+    An id counts on a day through its latest occurrence before that day, so each
+    occurrence counts from the day after it until the id occurs again or leaves
+    the window: one step up and one down, and a running sum over a key's days.
+    """
+    seen = _dated(history, keys, history_day, F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    again = F.lead("_day").over(Window.partitionBy(*keys, "_id").orderBy("_day"))
+    stop = F.least(F.coalesce(again, F.col("_day") + days), F.col("_day") + days) + 1
+    steps = seen.withColumn("_stop", stop).select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct((F.col("_day") + 1).alias("_day"), F.lit(1).alias("_step")),
+                F.struct(F.col("_stop").alias("_day"), F.lit(-1).alias("_step")),
+            )
+        ),
+    )
+    asked = _dated(current, keys, current_day).withColumns({"_step": F.lit(0), "_asked": F.lit(1)})
+    daily = (
+        steps.withColumn("_asked", F.lit(0))
+        .unionByName(asked)
+        .groupBy(*keys, "_day")
+        .agg(F.sum("_step").alias("_step"), F.max("_asked").alias("_asked"))
+    )
+    line = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    per_day = daily.withColumn(out, F.sum("_step").over(line)).where("_asked = 1").select(*keys, "_day", out)
+    joined = spread_join(current.withColumn("_day", _day(current_day)), per_day, [*keys, "_day"]).drop("_day")
+    return joined.withColumn(out, F.coalesce(out, F.lit(0).cast("long")))
+
+
+def distinct_counts(
+    lines: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    mine: tuple[str, str],
+    theirs: tuple[str, str],
+    out: str,
+    days: int = fv.HISTORY_DAYS,
+) -> DataFrame:
+    """(id, count) of the distinct history ids in [day - days, day) under any key of the id's lines.
+
+    ``mine`` and ``theirs`` name (id, day); an id of ``lines`` has one day and
+    each key once. Ids of history under one key only are counted by
+    ``trailing_distinct`` and added up. An id under several keys may match
+    several lines and must count once, so those rows, and only those, are joined
+    and made distinct.
+    """
+    my_id, my_day = mine
+    their_id, their_day = theirs
+    past = history.where(none_null([*keys, their_id, their_day])).select(*keys, their_id, their_day).distinct()
+    key = F.struct(*keys)
+    spread = past.groupBy(their_id).agg((F.min(key) != F.max(key)).alias("_several"))
+    marked = past.join(spread, their_id)
+    once = trailing_distinct(lines, marked.where("not _several"), keys, my_day, their_day, their_id, "_hits")
+    asked = _dated(lines, keys, my_day, F.col(my_id).alias("_id"))
+    seen = _dated(marked.where("_several"), keys, their_day, F.col(their_id).alias("_other")).withColumnRenamed("_day", "_when")
+    within = (F.col("_when") < F.col("_day")) & (F.col("_when") >= F.col("_day") - days)
+    several = asked.join(seen, keys).where(within).select("_id", "_other").distinct()
+    both = once.select(F.col(my_id).alias("_id"), "_hits").unionByName(several.select("_id", F.lit(1).cast("long").alias("_hits")))
+    return both.groupBy(F.col("_id").alias(my_id)).agg(F.sum("_hits").alias(out))
+
+
 def near_duplicate_counts(
     current: DataFrame,
     history: DataFrame,
@@ -148,19 +224,20 @@ def near_duplicate_counts(
     out: str = "candidate_duplicate_count",
     days: int = fv.DUPLICATE_DAYS,
     tolerance: str = fv.DUPLICATE_TOLERANCE,
-    pair_limit: int = 64,
     own_id: str | None = None,
 ) -> DataFrame:
-    """(id, count) of the history rows near a current row, for ids with at least one.
+    """(id, count) of the distinct history ids near a current row, for ids with at least one.
 
     Near: equal keys, days apart by at most ``days``, amounts apart by at most
-    ``tolerance`` times the current amount, and an id other than ``own_id``
-    (by default the current id). ``mine`` and ``theirs`` name (id, day, amount);
-    history ids must be unique, current ids may repeat with different keys
-    (their counts add up).
+    ``tolerance`` times the current amount, and an id that is not ``own_id`` (by
+    default the current id). ``mine`` and ``theirs`` name (id, day, amount). A
+    null history id never counts, a null own id excludes nothing. A current id
+    may have several rows with different keys; a history id near several counts once.
 
-    Keys with up to ``pair_limit`` history rows are joined and tested; heavier
-    keys are counted by ``_swept``, which emits no pairs. Both are exact.
+    History that has an id once is counted by ``_swept``, without pairs. An id
+    with several keys, days or amounts must count once for all of them, which
+    counting points cannot tell; those points, and only those, are joined and
+    made distinct.
     """
     my_id, my_day, my_amount = mine
     their_id, their_day, their_amount = theirs
@@ -171,38 +248,37 @@ def near_duplicate_counts(
         F.col(my_id).alias("_id"),
         F.col(own_id or my_id).alias("_own"),
         F.col(my_amount).cast("decimal(18,4)").alias("_amount"),
-    )
-    probes = probes.where(F.col("_amount") >= 0)
-    points = _dated(
-        history, keys, their_day, F.col(their_id).alias("_other"), F.col(their_amount).cast(MONEY).alias("_paid")
-    ).where(F.col("_paid").isNotNull())
+    ).where(F.col("_amount") >= 0)
     slack = F.col("_amount") * F.lit(Decimal(tolerance))
-    probes = probes.withColumn("_low", F.col("_amount") - slack).withColumn("_high", F.col("_amount") + slack)
-    points = points.withColumnRenamed("_day", "_when")
-    near = (F.abs(F.col("_when") - F.col("_day")) <= days) & F.col("_paid").between(F.col("_low"), F.col("_high"))
-
-    heavy = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > pair_limit).select(*keys)
-    mine_by, theirs_by = ["_day", "_amount"], ["_when", "_paid"]
-    light_pairs = (
-        salted_join(probes, heavy, keys, "left_anti", mine_by)
-        .join(salted_join(points, heavy, keys, "left_anti", theirs_by), keys)
-        .where(near & ~F.col("_own").eqNullSafe(F.col("_other")))
-        .select("_id", F.lit(1).cast("long").alias("_hits"))
-    )
-    heavy_probes = salted_join(probes, heavy, keys, "left_semi", mine_by)
-    heavy_points = salted_join(points, heavy, keys, "left_semi", theirs_by)
-    swept = _swept(heavy_probes, heavy_points, keys, days)
-    # a probe that is itself in the history counts itself; ids are unique, so they alone spread this join
-    renamed = heavy_points.select(
-        F.col("_other").alias("_own"), "_when", "_paid", *[F.col(k).alias(f"_their_{k}") for k in keys]
+    # history amounts are whole cents, so the bounds may be
+    low = F.ceil((F.col("_amount") - slack) * 100).cast("long")
+    high = F.floor((F.col("_amount") + slack) * 100).cast("long")
+    probes = probes.withColumns({"_low": low, "_high": high}).drop("_amount")
+    cents = (F.col(their_amount).cast(MONEY) * 100).cast("long")
+    points = _dated(history, keys, their_day, F.col(their_id).alias("_other"), cents.alias("_cents"))
+    points = points.where(none_null(["_other", "_cents"])).withColumnRenamed("_day", "_when").distinct()
+    times = points.groupBy("_other").agg(
+        F.count(F.lit(1)).alias("_times"), F.min(F.struct(*keys, "_when", "_cents")).alias("_point")
     )
+    once = times.where("_times = 1").select("_other", "_point.*")
+    several = points.join(times.where("_times > 1").select("_other"), "_other")
+    near = (F.abs(F.col("_when") - F.col("_day")) <= days) & F.col("_cents").between(F.col("_low"), F.col("_high"))
+
+    swept = _swept(probes, once, keys, days)
+    # a probe that is itself in the history was counted with it
+    renamed = once.select(F.col("_other").alias("_own"), "_when", "_cents", *[F.col(k).alias(f"_their_{k}") for k in keys])
     same_keys = reduce(and_, [F.col(k) == F.col(f"_their_{k}") for k in keys])
-    itself = (
-        heavy_probes.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
+    itself = probes.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
+    repeated = (
+        probes.join(several, keys)
+        .where(near & ~F.col("_own").eqNullSafe(F.col("_other")))
+        .select("_id", "_other")
+        .distinct()
+        .select("_id", F.lit(1).cast("long").alias("_hits"))
     )
     return (
-        light_pairs.unionByName(swept)
-        .unionByName(itself)
+        swept.unionByName(itself)
+        .unionByName(repeated)
         .groupBy(F.col("_id").alias(my_id))
         .agg(F.sum("_hits").alias(out))
         .where(F.col(out) > 0)
@@ -214,42 +290,45 @@ def _swept(probes: DataFrame, points: DataFrame, keys: list[str], days: int) ->
 
     Days are cut into blocks of 1, 2, 4 ... days. A point is counted in one
     block per size; a probe's date range is the union of a few whole blocks. In
-    each block a running count over amounts gives the points up to the upper
-    bound minus those below the lower one. Copies are folded into counts first.
+    each block the count of points up to an amount is that of all lower ranges
+    of amounts plus a running count inside its range. A range is ``RANGE``
+    cents, so no window sees more than that many rows of a key, and points and
+    questions are folded to one row per cent before.
     """
     sizes = range((2 * days + 1).bit_length())
     blocks = F.array(*[F.struct(F.lit(s).alias("_size"), F.shiftright("_when", s).alias("_block")) for s in sizes])
-    placed = (
-        points.groupBy(*keys, "_when", "_paid")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, F.inline(blocks), F.col("_paid").alias("_at"), "_n")
-        .groupBy(*keys, "_size", "_block", "_at")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_turn", F.lit(1))
-    )
+    placed = points.select(*keys, F.inline(blocks), F.col("_cents").alias("_at"), F.lit(1).alias("_n"))
     box = [*keys, "_day", "_low", "_high"]
-    wanted = probes.select(*box).distinct()
     bounds = F.array(
-        F.struct(F.col("_low").alias("_at"), F.lit(0).alias("_turn"), F.lit(-1).alias("_sign")),
-        F.struct(F.col("_high").alias("_at"), F.lit(2).alias("_turn"), F.lit(1).alias("_sign")),
+        F.struct((F.col("_low") - 1).alias("_at"), F.lit(-1).alias("_sign")),
+        F.struct(F.col("_high").alias("_at"), F.lit(1).alias("_sign")),
     )
     asked = (
-        wanted.select(*box, F.explode(_cover(F.col("_day") - days, F.col("_day") + days + 1, sizes)).alias("_b"))
+        probes.where("_low <= _high")
+        .select(*box)
+        .distinct()
+        .select(*box, F.explode(_cover(F.col("_day") - days, F.col("_day") + days + 1, sizes)).alias("_b"))
         .select(*box, "_b.*", F.explode(bounds).alias("_e"))
         .select(*box, "_size", "_block", "_e.*")
     )
-    placed = placed.withColumn("_at", F.col("_at").cast(asked.schema["_at"].dataType))
-    # at equal amounts: lower bounds first, then points, then upper bounds
-    sweep = (
-        Window.partitionBy(*keys, "_size", "_block").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    cell = [*keys, "_size", "_block"]
+    cells = (
+        placed.withColumn("_asked", F.lit(0))
+        .unionByName(asked.select(*cell, "_at", F.lit(0).alias("_n"), F.lit(1).alias("_asked")))
+        .groupBy(*cell, F.floor(F.col("_at") / RANGE).alias("_range"), "_at")
+        .agg(F.sum("_n").alias("_n"), F.max("_asked").alias("_asked"))
     )
-    hits = (
-        placed.unionByName(asked, allowMissingColumns=True)
-        .withColumn("_below", F.coalesce(F.sum("_n").over(sweep), F.lit(0)))
-        .where(F.col("_turn") != 1)
-        .groupBy(*box)
-        .agg(F.sum(F.col("_sign") * F.col("_below")).alias("_hits"))
+    lower = Window.partitionBy(*cell).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cells.groupBy(*cell, "_range").agg(F.sum("_n").alias("_n"))
+    totals = totals.select(*cell, "_range", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_below"))
+    inside = Window.partitionBy(*cell, "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    counts = (
+        cells.withColumn("_inside", F.sum("_n").over(inside))
+        .where("_asked = 1")
+        .join(totals, [*cell, "_range"])
+        .select(*cell, "_at", (F.col("_below") + F.col("_inside")).alias("_upto"))
     )
+    hits = asked.join(counts, [*cell, "_at"]).groupBy(*box).agg(F.sum(F.col("_sign") * F.col("_upto")).alias("_hits"))
     return probes.join(hits, box).select("_id", "_hits")
 
 

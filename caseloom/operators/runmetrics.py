@@ -70,7 +70,11 @@ def latest_per_key(df: DataFrame, keys: list[str], time: str, tie: Sequence[str]
 
 
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Spark event log rows; the schema names only what the totals below use."""
+    """Spark event log rows with the log they are of; the schema names only what the totals below use.
+
+    A log is one file, or a folder of rolled files (``eventlog_v2_...``), which
+    all belong to one application.
+    """
     schema = """
         Event string, Timestamp long, `App Name` string, `App ID` string,
         `Stage ID` long, `Stage Attempt ID` long, `Executor ID` string, `Job ID` long,
@@ -84,13 +88,29 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
         `Task Executor Metrics` struct<`JVMHeapMemory`: long>,
         `Block Manager ID` struct<`Executor ID`: string>
     """
-    return spark.read.schema(schema).json(path)
+    log = spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
+    file = F.col("_metadata.file_path")
+    rolled = F.regexp_extract(file, r"^(.*/eventlog_v2_[^/]*)/events_[^/]*$", 1)
+    return log.select("*", F.when(rolled != "", rolled).otherwise(file).alias("log"))
+
+
+def applications(log: DataFrame) -> DataFrame:
+    """(log, app_id, app_name): one row per log, null names where the start is not logged."""
+    start = log.where(F.col("App ID").isNotNull())
+    return start.groupBy("log").agg(F.min("App ID").alias("app_id"), F.min("App Name").alias("app_name"))
+
+
+def _of_application(df: DataFrame, log: DataFrame) -> DataFrame:
+    """``df``, which has the column log, with the application's id in its place; the log's name stands in for a missing id."""
+    named = df.join(applications(log).select("log", "app_id"), "log", "left")
+    return named.withColumn("app_id", F.coalesce("app_id", "log")).drop("log")
 
 
 def _tasks(log: DataFrame) -> DataFrame:
     m = F.col("Task Metrics")
     reads = m["Shuffle Read Metrics"]
-    return log.where(F.col("Event") == "SparkListenerTaskEnd").select(
+    tasks = log.where(F.col("Event") == "SparkListenerTaskEnd").select(
+        "log",
         F.col("Stage ID").alias("stage_id"),
         F.col("Stage Attempt ID").alias("attempt_id"),
         F.col("Task Info")["Executor ID"].alias("executor_id"),
@@ -104,12 +124,13 @@ def _tasks(log: DataFrame) -> DataFrame:
         m["Shuffle Write Metrics"]["Shuffle Bytes Written"].alias("shuffle_write_bytes"),
         F.col("Task Executor Metrics")["JVMHeapMemory"].alias("heap_bytes"),
     )
+    return _of_application(tasks, log)
 
 
 def stage_totals(log: DataFrame) -> DataFrame:
-    """Tasks, shuffle and spill bytes per stage, and its task-time skew."""
+    """Tasks, shuffle and spill bytes per application and stage, and its task-time skew."""
     tasks = _tasks(log)
-    keys = ["stage_id", "attempt_id"]
+    keys = ["app_id", "stage_id", "attempt_id"]
     measures = ["shuffle_read_bytes", "shuffle_write_bytes", "memory_spill_bytes", "disk_spill_bytes"]
     totals = tasks.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("task_count"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
@@ -119,21 +140,21 @@ def stage_totals(log: DataFrame) -> DataFrame:
 
 
 def executor_totals(log: DataFrame) -> DataFrame:
-    """Peak heap, memory limit and collection time per executor."""
-    used = _tasks(log).groupBy("executor_id").agg(
+    """Peak heap, memory limit and collection time per application and executor."""
+    keys = ["app_id", "executor_id"]
+    used = _tasks(log).groupBy(*keys).agg(
         F.max("heap_bytes").alias("heap_used_bytes"), F.sum("gc_ms").alias("gc_ms")
     )
-    limits = (
-        log.where(F.col("Event") == "SparkListenerBlockManagerAdded")
-        .groupBy(F.col("Block Manager ID")["Executor ID"].alias("executor_id"))
-        .agg(F.max("Maximum Memory").alias("heap_max_bytes"))
+    added = log.where(F.col("Event") == "SparkListenerBlockManagerAdded").select(
+        "log", F.col("Block Manager ID")["Executor ID"].alias("executor_id"), "Maximum Memory"
     )
-    return used.join(limits, "executor_id", "full")
+    limits = _of_application(added, log).groupBy(*keys).agg(F.max("Maximum Memory").alias("heap_max_bytes"))
+    return used.join(limits, keys, "full")
 
 
-def durations(df: DataFrame, keys: list[str], start: Column, end: Column) -> DataFrame:
-    """Seconds between the first start and the last end per key."""
-    return df.groupBy(*keys).agg((F.max(end) - F.min(start)).alias("duration_seconds"))
+def durations(df: DataFrame, keys: list[str], start: Column, end: Column, out: str = "duration") -> DataFrame:
+    """The last end minus the first start per key, in the unit of the two columns."""
+    return df.groupBy(*keys).agg((F.max(end) - F.min(start)).alias(out))
 
 
 def application_durations(log: DataFrame) -> DataFrame:
@@ -141,9 +162,7 @@ def application_durations(log: DataFrame) -> DataFrame:
     moments = F.array_compact(
         F.array("Timestamp", "Submission Time", "Completion Time", F.col("Task Info")["Finish Time"])
     )
-    timed = log.select(F.input_file_name().alias("log_file"), F.explode(moments).alias("_ms"))
+    timed = log.select("log", F.explode(moments).alias("_ms"))
     seconds = F.col("_ms") / 1000.0
-    names = log.where(F.col("App ID").isNotNull()).select(
-        F.input_file_name().alias("log_file"), F.col("App ID").alias("app_id"), F.col("App Name").alias("app_name")
-    )
-    return durations(timed, ["log_file"], seconds, seconds).join(names, "log_file", "left").drop("log_file")
+    spans = durations(timed, ["log"], seconds, seconds, "duration_seconds")
+    return spans.join(applications(log), "log", "left").drop("log")

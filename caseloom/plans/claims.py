@@ -1,10 +1,11 @@
 """The claims flow: noisy documents in, one case per claim out, in six stages.
 
-Stages use the claims several times, so the whole chain (``claim_stages``,
-``claim_cases``) writes what later stages use to the shared folder; a stage may
-also be run alone from the folder of the one before it (``run_stage``). Every stage keeps every claim, a null claim id
-included: stages join on the one-field struct ``claim_key``, whose equality is
-null-safe.
+The whole chain (``claim_stages``, ``claim_cases``) works out what each stage
+adds as narrow facts, one row per claim, and the wide claims take them in with
+one shuffle, whatever stage is read; ``between`` may write what later stages
+use. A stage may also be run alone from the folder of the one before it
+(``run_stage``). Every stage keeps every claim, a null claim id included: stages
+join on the one-field struct ``claim_key``, whose equality is null-safe.
 """
 
 from __future__ import annotations
@@ -16,13 +17,10 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions import parsing as p
-from caseloom.functions.lists import heavy_keys, members
-from caseloom.functions.skew import INLINE_LIMIT, salted_join, tune
 from caseloom.operators import authorization, canonical, cases, coverage, history, lookup, pii, rules, scoring
 from caseloom.operators import standardize as st
 from caseloom.operators.rules import Rule
 from caseloom.sources import tables
-from caseloom.sources.lineage import cut
 from caseloom.sources.schemas import INPUTS
 
 KEY = ["claim_key"]
@@ -145,6 +143,7 @@ def check_documents(docs: DataFrame) -> DataFrame:
 
 
 LISTS = ("source_document_ids", "diagnosis_codes", "procedure_codes")
+# fixed values: names of the canonical claim, and the column each is taken from
 CLAIM_COLUMNS = {
     "claim_id": "claim_id",
     "source_document_ids": "source_document_ids",
@@ -181,7 +180,6 @@ CLAIM_COLUMNS = {
     "duplicate_document_flag": "duplicate_document_flag",
     "cross_document_conflict": "cross_document_conflict",
     "cross_document_conflict_fields": "cross_document_conflict_fields",
-    "list_overflow": "list_overflow",
 }
 
 
@@ -211,17 +209,7 @@ BEST_DOCUMENT = [
 ]
 
 
-def claim_links(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
-    """(claim_key, list_name, value) of the claims with more than ``limit`` documents, whole.
-
-    Such claims may not carry their lists inline; these rows stand in for them.
-    """
-    keyed = _keyed(docs)
-    heavy = salted_join(keyed, heavy_keys(keyed, KEY, limit), KEY, "left_semi", ["source_document_id"])
-    return members(_keyed(_ranked_documents(heavy)), KEY, {name: F.col(name) for name in LISTS})
-
-
-def canonical_claims(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
+def canonical_claims(docs: DataFrame) -> DataFrame:
     """One row per claim: best document, copy evidence, unions of codes."""
     claims = canonical.canonicalize(
         _ranked_documents(docs),
@@ -230,7 +218,6 @@ def canonical_claims(docs: DataFrame, limit: int = INLINE_LIMIT) -> DataFrame:
         "ocr_confidence_parsed",
         fv.CONFLICT_FIELDS,
         {name: F.col(name) for name in LISTS},
-        limit,
     )
     return claims.select(*[F.col(src).alias(name) for name, src in CLAIM_COLUMNS.items()])
 
@@ -282,7 +269,20 @@ def reduced_providers(provider: DataFrame) -> DataFrame:
     return lookup.reduce_dimension(cleaned, ["npi"], order, "provider_match_count")
 
 
-def enrich_references(claims: DataFrame, policy: DataFrame, member: DataFrame, provider: DataFrame) -> DataFrame:
+# what the lookups and later stages read of a canonical claim
+RESOLVED_BY = (
+    "policy_number_normalized",
+    "member_first_name_normalized",
+    "member_last_name_normalized",
+    "member_dob_parsed",
+    "provider_npi_normalized",
+    "service_date_parsed",
+)
+CARRIED = ("claim_id", "procedure_codes", "billed_amount_parsed")
+
+
+def reference_facts(claims: DataFrame, policy: DataFrame, member: DataFrame, provider: DataFrame) -> DataFrame:
+    """What the reference tables add, one narrow row per claim key; ``claims`` may hold no more than the narrow columns."""
     pairs = [
         ("first_name_match", "member_first_name_normalized", "_first", fv.FIRST_NAME_POINTS),
         ("last_name_match", "member_last_name_normalized", "_last", fv.LAST_NAME_POINTS),
@@ -290,7 +290,9 @@ def enrich_references(claims: DataFrame, policy: DataFrame, member: DataFrame, p
     ]
     on_policy = {"policy_number_normalized": "policy_number"}
     return (
-        claims.transform(lookup.lookup, reduced_policies(policy), on_policy, "policy_match_count", "policy")
+        _keyed(claims)
+        .select(*KEY, *RESOLVED_BY)
+        .transform(lookup.lookup, reduced_policies(policy), on_policy, "policy_match_count", "policy")
         .transform(lookup.flag_policy_active, "service_date_parsed")
         .transform(lookup.lookup, reduced_members(member), {"member_id": "member_id"}, "member_match_count", "member")
         .transform(lookup.match_score, pairs, "member_exists")
@@ -306,13 +308,23 @@ def enrich_references(claims: DataFrame, policy: DataFrame, member: DataFrame, p
         )
         .withColumn("provider_active", F.coalesce("provider_active", F.lit(False)))
         .transform(rules.validate, lookup.reference_rules(), "reference_enrichment_errors")
-        .drop("_first", "_last", "member_match_count", "member_ambiguous")
+        .drop("_first", "_last", "member_match_count", "member_ambiguous", *RESOLVED_BY)
     )
 
 
+def enrich_references(claims: DataFrame, policy: DataFrame, member: DataFrame, provider: DataFrame) -> DataFrame:
+    return _take_in(claims, reference_facts(claims, policy, member, provider))
+
+
+def resolved(claims: DataFrame, references: DataFrame) -> DataFrame:
+    """The narrow claims that the stages after the lookups work on."""
+    narrow = _keyed(claims).select(*KEY, *CARRIED, "service_date_parsed")
+    return narrow.join(references.select(*KEY, "plan_id", "member_id", "provider_id"), KEY, "left")
+
+
 # --- 3. coverage ------------------------------------------------------------------
 def _keyed(claims: DataFrame) -> DataFrame:
-    return claims.withColumn("claim_key", F.struct("claim_id"))
+    return claims.withColumn("claim_key", F.struct("claim_id")) if "claim_key" not in claims.columns else claims
 
 
 def _take_in(claims: DataFrame, *facts: DataFrame) -> DataFrame:
@@ -323,25 +335,10 @@ def _take_in(claims: DataFrame, *facts: DataFrame) -> DataFrame:
     return table.drop(*KEY)
 
 
-def _overflows(name: str):
-    return F.array_contains("list_overflow", name)
-
-
-def claim_lines(claims: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
-    """One row per claim and procedure code; a claim without codes keeps one row.
-
-    Codes come from the claim's own list, or from ``links`` where that list
-    overflowed; ``is_inline`` tells which.
-    """
-    keyed = _keyed(claims)
-    inline = coverage.explode_lines(
-        keyed.where(~_overflows("procedure_codes")).select(*KEY, *columns, "procedure_codes"), "procedure_codes"
-    ).drop("procedure_index")
-    codes = links.where(F.col("list_name") == "procedure_codes")
-    counts = codes.groupBy(*KEY).agg(F.count(F.lit(1)).cast("int").alias("line_count"))
-    overflowing = keyed.where(_overflows("procedure_codes")).select(*KEY, *columns).join(counts, KEY)
-    rest = overflowing.join(codes.select(*KEY, F.col("value").alias("procedure_code")), KEY)
-    return inline.withColumn("is_inline", F.lit(True)).unionByName(rest.withColumn("is_inline", F.lit(False)))
+def claim_lines(claims: DataFrame, *columns: str) -> DataFrame:
+    """One row per claim and procedure code; a claim without codes keeps one row."""
+    narrow = _keyed(claims).select(*KEY, *columns, "procedure_codes")
+    return coverage.explode_lines(narrow, "procedure_codes").drop("procedure_index")
 
 
 def reduced_coverage(plan_coverage: DataFrame) -> DataFrame:
@@ -364,43 +361,44 @@ def reduced_coverage(plan_coverage: DataFrame) -> DataFrame:
     return lookup.reduce_dimension(cleaned, ["plan_id", "procedure_code"], order, "coverage_match_count")
 
 
-def priced_lines(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame, *columns: str) -> DataFrame:
-    lines = claim_lines(claims, links, "plan_id", "billed_amount_parsed", *columns)
+def priced_lines(claims: DataFrame, plan_coverage: DataFrame, *columns: str) -> DataFrame:
+    lines = claim_lines(claims, "plan_id", "billed_amount_parsed", *columns)
     lines = coverage.allocate_evenly(lines, "billed_amount_parsed", "line_count", "procedure_billed_amount")
     on = {"plan_id": "plan_id", "procedure_code": "procedure_code"}
     return coverage.coverage_join(lines, reduced_coverage(plan_coverage), on)
 
 
-def coverage_facts(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
+def coverage_facts(priced: DataFrame) -> DataFrame:
     """What coverage adds, one narrow row per claim key."""
-    rolled = coverage.rollup_coverage(priced_lines(claims, plan_coverage, links), KEY, "is_inline")
-    return rules.validate(rolled, coverage.coverage_rules(), "coverage_errors")
+    return rules.validate(coverage.rollup_coverage(priced, KEY), coverage.coverage_rules(), "coverage_errors")
 
 
-def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
-    return _take_in(claims, coverage_facts(claims, plan_coverage, links))
+def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame) -> DataFrame:
+    return _take_in(claims, coverage_facts(priced_lines(claims, plan_coverage)))
 
 
 # --- 4. history ---------------------------------------------------------------------
-def reduced_history(claim_history: DataFrame) -> DataFrame:
-    """One row per historical claim id, so that rows and distinct ids count alike."""
-    order = [("service_date", "desc"), ("claim_amount", "desc"), ("procedure_code", "asc"), ("provider_id", "asc")]
-    return lookup.reduce_dimension(claim_history, ["historical_claim_id"], order, "copies").drop("copies")
+LINE_COLUMNS = ("claim_id", "member_id", "provider_id", "service_date_parsed")
+
 
+def history_facts(claims: DataFrame, lines: DataFrame, claim_history: DataFrame) -> DataFrame:
+    """What history adds, one narrow row per claim key; every history line counts, ids where ids are meant.
 
-def history_facts(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
-    """What history adds, one narrow row per claim key."""
-    past = reduced_history(claim_history)
+    ``lines`` is of ``claim_lines``, with ``LINE_COLUMNS`` and each line's share of the amount.
+    """
     on = ("member_id", "service_date_parsed")
-    lines = claim_lines(claims, links, "claim_id", *on, "provider_id", "billed_amount_parsed")
-    lines = coverage.allocate_evenly(lines, "billed_amount_parsed", "line_count", "procedure_billed_amount")
-    same = history.trailing_metrics(
-        lines, past, ["member_id", "procedure_code"], "service_date_parsed", "service_date", "claim_amount"
+    asked_lines = lines.where(F.col("procedure_code").isNotNull())
+    same = history.distinct_counts(
+        asked_lines,
+        claim_history,
+        ["member_id", "procedure_code"],
+        ("claim_key", "service_date_parsed"),
+        ("historical_claim_id", "service_date"),
+        "same_procedure_claim_count_365d",
     )
-    same = same.groupBy(*KEY).agg(F.sum("prior_count").alias("same_procedure_claim_count_365d"))
     near = history.near_duplicate_counts(
-        lines,
-        past,
+        asked_lines,
+        claim_history,
         ["member_id", "provider_id", "procedure_code"],
         ("claim_key", "service_date_parsed", "procedure_billed_amount"),
         ("historical_claim_id", "service_date", "claim_amount"),
@@ -415,10 +413,10 @@ def history_facts(claims: DataFrame, claim_history: DataFrame, links: DataFrame)
     payload = ["provider_id", "procedure_code", "claim_amount", "claim_status"]
     asked = _keyed(claims).select(*KEY, *on, "billed_amount_parsed")
     asked = history.trailing_metrics(
-        asked, past, ["member_id"], "service_date_parsed", "service_date", "claim_amount", metrics
+        asked, claim_history, ["member_id"], "service_date_parsed", "service_date", "claim_amount", metrics
     )
     asked = history.recent_evidence(
-        asked, past, ["member_id"], "service_date_parsed", "service_date", "historical_claim_id", payload
+        asked, claim_history, ["member_id"], "service_date_parsed", "service_date", "historical_claim_id", payload
     )
     zero = F.lit(0).cast("long")
     return (
@@ -430,8 +428,10 @@ def history_facts(claims: DataFrame, claim_history: DataFrame, links: DataFrame)
     )
 
 
-def enrich_history(claims: DataFrame, claim_history: DataFrame, links: DataFrame) -> DataFrame:
-    return _take_in(claims, history_facts(claims, claim_history, links))
+def enrich_history(claims: DataFrame, claim_history: DataFrame) -> DataFrame:
+    lines = claim_lines(claims, *LINE_COLUMNS, "billed_amount_parsed")
+    lines = coverage.allocate_evenly(lines, "billed_amount_parsed", "line_count", "procedure_billed_amount")
+    return _take_in(claims, history_facts(claims, lines, claim_history))
 
 
 # --- 5. authorization ------------------------------------------------------------------
@@ -439,45 +439,36 @@ def cleaned_authorizations(pre_authorization: DataFrame) -> DataFrame:
     return pre_authorization.withColumn("authorization_status", p.enum(F.col("authorization_status")))
 
 
-def required_lines(claims: DataFrame, plan_coverage: DataFrame, links: DataFrame) -> DataFrame:
-    """One row per claim and procedure that needs authorization, null where none does."""
-    columns = ["member_id", "provider_id", "service_date_parsed"]
-    listed = ~_overflows("procedure_codes")
-    inline = coverage.explode_lines(
-        _keyed(claims).where(listed).select(*KEY, *columns, "pre_auth_required_procedure_codes"),
-        "pre_auth_required_procedure_codes",
-    )
-    rest = priced_lines(claims.where(~listed), plan_coverage, links, *columns)
-    code = F.when(F.col("requires_pre_authorization"), F.col("procedure_code"))
-    return inline.select(*KEY, *columns, "procedure_code", F.lit(True).alias("is_inline")).unionByName(
-        rest.select(*KEY, *columns, code.alias("procedure_code"), F.lit(False).alias("is_inline"))
-    )
+GRANT_KEYS = ["member_id", "provider_id", "procedure_code"]
 
 
-def authorization_facts(
-    claims: DataFrame, pre_authorization: DataFrame, plan_coverage: DataFrame, links: DataFrame
-) -> DataFrame:
-    """What authorization adds to claims with coverage, one narrow row per claim key."""
-    keys = ["member_id", "provider_id", "procedure_code"]
-    matched = authorization.match_authorizations(
-        required_lines(claims, plan_coverage, links),
-        cleaned_authorizations(pre_authorization),
-        keys,
-        "service_date_parsed",
-    )
+def authorization_facts(required: DataFrame, pre_authorization: DataFrame) -> DataFrame:
+    """What authorization adds, one narrow row per claim key that ``required`` holds.
+
+    ``required`` has one row per claim and procedure that needs authorization;
+    a row without a procedure asks for none.
+    """
+    grants = cleaned_authorizations(pre_authorization)
+    matched = authorization.match_authorizations(required, grants, GRANT_KEYS, "service_date_parsed")
     classified = authorization.classify_authorization(matched, "procedure_code")
-    return authorization.rollup_authorization(classified, KEY, "is_inline")
+    return authorization.rollup_authorization(classified, KEY)
 
 
-def enrich_authorization(
-    claims: DataFrame, pre_authorization: DataFrame, plan_coverage: DataFrame, links: DataFrame
-) -> DataFrame:
-    return _take_in(claims, authorization_facts(claims, pre_authorization, plan_coverage, links))
+def enrich_authorization(claims: DataFrame, pre_authorization: DataFrame) -> DataFrame:
+    codes = "pre_auth_required_procedure_codes"
+    required = coverage.explode_lines(_keyed(claims).select(*KEY, *LINE_COLUMNS[1:], codes), codes)
+    return _take_in(claims, authorization_facts(required, pre_authorization))
 
 
 # --- 6. cases -----------------------------------------------------------------------------
+# fixed values: names of the case, and the column each is taken from
 CASE_COLUMNS = {
-    **{c: c for c in ("claim_id", "source_document_ids", "document_count", "member_id", "policy_id", "provider_id")},
+    "claim_id": "claim_id",
+    "source_document_ids": "source_document_ids",
+    "document_count": "document_count",
+    "member_id": "member_id",
+    "policy_id": "policy_id",
+    "provider_id": "provider_id",
     "plan_id": "plan_id",
     "service_date": "service_date_parsed",
     "admission_date": "admission_date_parsed",
@@ -487,29 +478,23 @@ CASE_COLUMNS = {
     "billed_amount": "billed_amount_parsed",
     "estimated_eligible_amount": "estimated_eligible_amount",
     "currency": "currency_normalized",
-    **{
-        c: c
-        for c in (
-            "policy_status",
-            "policy_active_on_service_date",
-            "member_eligible",
-            "entity_match_confidence",
-            "provider_active",
-            "provider_network_status",
-            "pre_authorization_status",
-            "duplicate_claim_flag",
-            "fraud_risk_score",
-            "workflow_status",
-            "review_required",
-            "review_reasons",
-            "decision_reason",
-            "selected_ocr_confidence",
-            "max_ocr_confidence",
-            "avg_ocr_confidence",
-            "list_overflow",
-            "evidence_package",
-        )
-    },
+    "policy_status": "policy_status",
+    "policy_active_on_service_date": "policy_active_on_service_date",
+    "member_eligible": "member_eligible",
+    "entity_match_confidence": "entity_match_confidence",
+    "provider_active": "provider_active",
+    "provider_network_status": "provider_network_status",
+    "pre_authorization_status": "pre_authorization_status",
+    "duplicate_claim_flag": "duplicate_claim_flag",
+    "fraud_risk_score": "fraud_risk_score",
+    "workflow_status": "workflow_status",
+    "review_required": "review_required",
+    "review_reasons": "review_reasons",
+    "decision_reason": "decision_reason",
+    "selected_ocr_confidence": "selected_ocr_confidence",
+    "max_ocr_confidence": "max_ocr_confidence",
+    "avg_ocr_confidence": "avg_ocr_confidence",
+    "evidence_package": "evidence_package",
 }
 
 
@@ -526,46 +511,50 @@ def assemble_cases(claims: DataFrame) -> DataFrame:
 
 # --- whole flow, and stage by stage -----------------------------------------------------------
 Inputs = dict[str, DataFrame]
-LINKS = "claim_links"
 
 # stage -> (function of the claims so far, further inputs)
 STAGES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "canonical_claims": (canonical_claims, ()),
     "reference_enriched_claims": (enrich_references, ("policy", "member", "provider")),
-    "coverage_enriched_claims": (enrich_coverage, ("plan_coverage", LINKS)),
-    "historical_enriched_claims": (enrich_history, ("claim_history", LINKS)),
-    "authorization_enriched_claims": (enrich_authorization, ("pre_authorization", "plan_coverage", LINKS)),
+    "coverage_enriched_claims": (enrich_coverage, ("plan_coverage",)),
+    "historical_enriched_claims": (enrich_history, ("claim_history",)),
+    "authorization_enriched_claims": (enrich_authorization, ("pre_authorization",)),
     "claim_case": (assemble_cases, ()),
 }
 
 
-def claim_stages(inputs: Inputs, between: Callable[..., DataFrame] = cut) -> Iterator[tuple[str, DataFrame]]:
-    """The table of each stage in turn; ``between`` takes over what later stages use.
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def claim_stages(inputs: Inputs, between: Callable[..., DataFrame] = _as_is) -> Iterator[tuple[str, DataFrame]]:
+    """The table of each stage in turn; ``between`` may write what later stages use, see ``sources.lineage.cut``.
 
-    The wide claims are written twice, after the first two stages. Coverage,
-    history and authorization are worked out as narrow tables keyed by claim,
-    and the claims take them in with one shuffle, whatever stage is read.
+    What stages add is worked out as narrow tables keyed by claim, from the
+    narrow columns of the claims and from their lines, priced once. The wide
+    claims, raw and redacted text included, are shuffled once per stage read.
     """
-    docs = inputs["ocr_documents"]
-    tune(docs.sparkSession)
-    links = between(claim_links(docs), LINKS)
-    canonical_table = between(canonical_claims(docs), "canonical_claims")
-    yield "canonical_claims", canonical_table
-    references = enrich_references(canonical_table, inputs["policy"], inputs["member"], inputs["provider"])
-    base = between(references, "reference_enriched_claims")
-    yield "reference_enriched_claims", base
-    plans = inputs["plan_coverage"]
-    covered = between(coverage_facts(base, plans, links), "coverage_facts")
-    yield "coverage_enriched_claims", _take_in(base, covered)
-    past = between(history_facts(base, inputs["claim_history"], links), "history_facts")
-    yield "historical_enriched_claims", _take_in(base, covered, past)
-    grants = authorization_facts(_take_in(base, covered), inputs["pre_authorization"], plans, links)
-    complete = _take_in(base, covered, past, between(grants, "authorization_facts"))
+    claims = between(canonical_claims(inputs["ocr_documents"]), "canonical_claims")
+    yield "canonical_claims", claims
+    references = between(
+        reference_facts(claims, inputs["policy"], inputs["member"], inputs["provider"]), "reference_facts"
+    )
+    yield "reference_enriched_claims", _take_in(claims, references)
+    narrow = between(resolved(claims, references), "resolved_claims")
+    priced = between(priced_lines(narrow, inputs["plan_coverage"], *LINE_COLUMNS), "priced_lines")
+    covered = between(coverage_facts(priced), "coverage_facts")
+    yield "coverage_enriched_claims", _take_in(claims, references, covered)
+    past = between(history_facts(narrow, priced, inputs["claim_history"]), "history_facts")
+    yield "historical_enriched_claims", _take_in(claims, references, covered, past)
+    code = F.when(F.col("requires_pre_authorization"), F.col("procedure_code"))
+    required = priced.select(*KEY, *LINE_COLUMNS[1:], code.alias("procedure_code"))
+    grants = between(authorization_facts(required, inputs["pre_authorization"]), "authorization_facts")
+    complete = _take_in(claims, references, covered, past, grants)
     yield "authorization_enriched_claims", complete
     yield "claim_case", assemble_cases(complete)
 
 
-def claim_cases(inputs: Inputs, upto: str = "claim_case", between: Callable[..., DataFrame] = cut) -> DataFrame:
+def claim_cases(inputs: Inputs, upto: str = "claim_case", between: Callable[..., DataFrame] = _as_is) -> DataFrame:
     """The chain from documents to the named stage."""
     for name, table in claim_stages(inputs, between):
         if name == upto:
@@ -575,11 +564,7 @@ def claim_cases(inputs: Inputs, upto: str = "claim_case", between: Callable[...,
 
 def stage_schema(spark: SparkSession, name: str):
     """Schema of a stage's output, from its plan over empty inputs; nothing runs."""
-
-    def emptied(df: DataFrame, _: str) -> DataFrame:
-        return spark.createDataFrame([], df.schema)
-
-    return claim_cases({n: spark.createDataFrame([], s) for n, s in INPUTS.items()}, name, emptied).schema
+    return claim_cases({n: spark.createDataFrame([], s) for n, s in INPUTS.items()}, name).schema
 
 
 def run_stage(
@@ -590,25 +575,17 @@ def run_stage(
     raw_path: str | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Run one stage from ``folder/<stage before>`` and replace ``folder/<stage>``.
-
-    The first stage reads the raw CSV and also writes the link table, which
-    stays Parquet in either format.
-    """
-    tune(spark)
+    """Run one stage from ``folder/<stage before>`` and replace ``folder/<stage>``; the first reads the raw CSV."""
     order = list(STAGES)
     at = order.index(name)
-    links_path = f"{folder}/{LINKS}"
     if at == 0:
         source = tables.read_raw(spark, raw_path, INPUTS["ocr_documents"].fieldNames())
-        tables.write_stage(claim_links(source), links_path)
     else:
         before = order[at - 1]
         schema = stage_schema(spark, before) if fmt == "csv" else None
         source = tables.read_stage(spark, f"{folder}/{before}", fmt, schema)
     stage, needs = STAGES[name]
-    given = {**references, LINKS: tables.read_stage(spark, links_path)}
-    result = stage(source, *[given[n] for n in needs])
+    result = stage(source, *[references[n] for n in needs])
     if name == "claim_case" and fmt == "parquet":
         tables.write_case(result, f"{folder}/{name}")
     else:

@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session may do without one."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared as well."""
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder that every executor can read and write")
-    if context.applicationId not in _own:
-        _own[context.applicationId] = tempfile.mkdtemp(prefix="caseloom-")
-    return _own[context.applicationId]
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -30,9 +21,25 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     A later stage that uses the table several times then scans just the columns
     it needs each time instead of planning and running all of the past again,
     and a lost executor costs a rescan, not a recomputation. The folder is
-    unique per call and named by application, for its owner to clear.
+    unique per call; ``clear`` removes all of this application.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/caseloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing has been written to."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/caseloom/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every table that ``cut`` wrote in this application; their DataFrames can no longer be read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,6 +12,8 @@ from caseloom.sources.schemas import all_strings
 
 ARRAY_MARK = "|"
 ABSENT = "\u0000"
+#: a null list in a text stage; an empty one is empty text
+NULL_LIST = "\\N"
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -49,7 +51,8 @@ def _from_text(field: T.StructField) -> Column:
     text, dtype = F.col(f"`{field.name}`"), field.dataType
     if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StringType):
         empty = text.isNull() | (text == "")
-        value = F.when(empty, F.array().cast(dtype)).otherwise(F.split(text, r"\|"))
+        listed = F.when(empty, F.array().cast(dtype)).otherwise(F.split(text, r"\|"))
+        value = F.when(text.eqNullSafe(NULL_LIST), F.lit(None).cast(dtype)).otherwise(listed)
     elif isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
         value = F.from_json(text, dtype)
     elif isinstance(dtype, T.StringType):
@@ -72,11 +75,11 @@ def read_stage(
 
 
 def _as_text(df: DataFrame) -> DataFrame:
-    """Array-of-text columns joined by ``|``, other nested columns as JSON."""
+    """Array-of-text columns joined by ``|``, null ones marked, other nested columns as JSON."""
     flat: dict[str, Column] = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
-            flat[f.name] = F.array_join(f.name, ARRAY_MARK)
+            flat[f.name] = F.coalesce(F.array_join(f.name, ARRAY_MARK), F.lit(NULL_LIST))
         elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
             flat[f.name] = F.to_json(f.name)
     return df.withColumns(flat) if flat else df

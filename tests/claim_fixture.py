@@ -170,6 +170,9 @@ HISTORY = [
     ("H-7", "M-1", "PR-1", "70003", date(2026, 5, 2), Decimal("196.22"), Decimal("1.00"), "PAID"),
     ("H-8", "M-1", "PR-2", "70003", date(2026, 5, 20), Decimal("186.88"), Decimal("1.00"), "PAID"),
     ("H-8", "M-1", "PR-2", "70003", date(2026, 5, 20), Decimal("186.88"), Decimal("1.00"), "PAID"),
+    ("H-9", "M-1", "PR-2", "70002", date(2025, 8, 1), Decimal("10.00"), Decimal("1.00"), "PAID"),
+    ("H-9", "M-1", "PR-2", "70003", date(2025, 8, 1), Decimal("20.00"), Decimal("1.00"), "PAID"),
+    (None, "M-1", "PR-2", "70003", date(2025, 7, 1), Decimal("8.00"), Decimal("1.00"), "PAID"),
 ]
 AUTHORIZATIONS = [
     ("AUTH-1", "M-1", "PR-1", "70002", date(2026, 1, 1), date(2026, 12, 31), "approved"),

@@ -9,6 +9,7 @@ from caseloom import fixed_values as fv
 from caseloom.operators import audit
 from caseloom.plans import claims
 from caseloom.sources import tables
+from caseloom.sources.lineage import cut
 from caseloom.sources.schemas import INPUTS, OCR_COLUMNS
 from claim_fixture import NOISE, claim_inputs, document, duplicate_documents, noise_documents
 
@@ -24,7 +25,7 @@ def inputs(spark):
 
 @pytest.fixture(scope="module")
 def stages(spark, inputs):
-    return {name: claims.cut(table, name) for name, table in claims.claim_stages(inputs)}
+    return {name: cut(table, name) for name, table in claims.claim_stages(inputs, cut)}
 
 
 @pytest.mark.parametrize("label", list(NOISE))
@@ -99,11 +100,13 @@ def test_coverage(stages):
 def test_history(stages):
     c = by_claim(stages["historical_enriched_claims"])
     row = c["CLM-NONE"]
-    # H-1, H-2, H-7 and the repeated H-8 lie in the window; day 0, day -366 and the future do not
-    assert (row["prior_claim_count_365d"], row["same_procedure_claim_count_365d"]) == (4, 4)
-    assert [e["historical_claim_id"] for e in row["historical_evidence"]] == ["H-1", "H-8", "H-7", "H-2"]
+    # H-1, H-2, H-7, both lines of H-8, both procedures of H-9 and a line without id lie in the window;
+    # day 0, day -366 and the future do not
+    assert (row["prior_claim_count_365d"], row["same_procedure_claim_count_365d"]) == (8, 5)
+    assert [e["historical_claim_id"] for e in row["historical_evidence"]] == ["H-1", "H-8", "H-8", "H-7", "H-9"]
+    assert str(row["prior_claim_amount_365d"]) == "894.86"
     # near: H-1, H-4 (5 % of 186.875 is 9.34375), H-5; not H-6 (31 days), H-7 (over 5 %), H-8 (other provider)
-    assert row["candidate_duplicate_count"] == 3 and row["fraud_risk_score"] == 65
+    assert row["candidate_duplicate_count"] == 3 and row["fraud_risk_score"] == 80
     assert c["CLM-MISSING_POLICY"]["historical_evidence"] == []
     assert c["CLM-MISSING_POLICY"]["prior_claim_count_365d"] == 0
 
@@ -139,28 +142,15 @@ def test_invariants_hold_after_every_stage(stages, inputs):
     assert done.where(F.col("workflow_status").isin(*fv.FORBIDDEN_STATUSES)).count() == 0
 
 
-def test_overflowing_lists_change_no_count_or_status(spark, stages, inputs):
-    """With room for one value per list, claims of several documents keep codes only in the link table."""
-    docs = inputs["ocr_documents"]
-    links = claims.cut(claims.claim_links(docs, limit=1), "links")
-    table = claims.cut(claims.canonical_claims(docs, limit=1), "canonical")
-    over = by_claim(table.where("size(list_overflow) > 0"))
-    assert set(over) == {"CLM-DUP", "CLM-CONFLICT", None}
-    assert over["CLM-CONFLICT"]["procedure_codes"] is None
-    table = claims.enrich_references(table, inputs["policy"], inputs["member"], inputs["provider"])
-    table = claims.cut(claims.enrich_coverage(claims.cut(table, "r"), inputs["plan_coverage"], links), "c")
-    table = claims.cut(claims.enrich_history(table, inputs["claim_history"], links), "h")
-    table = claims.cut(
-        claims.enrich_authorization(table, inputs["pre_authorization"], inputs["plan_coverage"], links), "a"
-    )
-    small, full = by_claim(claims.assemble_cases(table)), by_claim(stages["claim_case"])
-    assert small.keys() == full.keys()
-    for claim, row in small.items():
-        for c in ("review_reasons", "estimated_eligible_amount", "fraud_risk_score", "pre_authorization_status"):
-            assert row[c] == full[claim][c], (claim, c)
-    counts = by_claim(table)
-    assert counts[None]["uncovered_procedure_count"] == 1 and counts[None]["uncovered_procedure_codes"] is None
-    assert counts["CLM-CONFLICT"]["coverage_evidence"] is None
+def test_a_claim_of_many_documents_keeps_all_ids_and_codes(spark, inputs):
+    docs = [document(i, "CLM-BIG", procedure_codes=f"{70000 + i % 1500}|70002") for i in range(3000)]
+    row = claims.canonical_claims(claim_inputs(spark, docs)["ocr_documents"].repartition(6)).first()
+    assert row["source_document_ids"] == sorted(f"DOC-{i:04d}" for i in range(3000))
+    assert row["procedure_codes"] == [str(70000 + i) for i in range(1500)]
+    small = {**inputs, "ocr_documents": claim_inputs(spark, docs)["ocr_documents"]}
+    case = claims.claim_cases(small).first()
+    assert len(case["evidence_package"]["coverage_evidence"]) == 1500
+    assert len(case["source_document_ids"]) == 3000
 
 
 def test_same_cases_from_shuffled_and_repartitioned_documents(spark, inputs):

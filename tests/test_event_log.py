@@ -43,3 +43,26 @@ def test_totals(spark, tmp_path):
     assert by["2"]["heap_max_bytes"] is None
     run = runmetrics.application_durations(log).first()
     assert (run["app_id"], run["duration_seconds"]) == ("app-1", 4.0)
+
+
+def write(path, events):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(json.dumps(e) for e in events))
+
+
+def start(app, at):
+    return {"Event": "SparkListenerApplicationStart", "App Name": app, "App ID": app, "Timestamp": at}
+
+
+def test_two_applications_and_a_rolled_log(spark, tmp_path):
+    write(tmp_path / "logs" / "app-1", [start("app-1", 1000), task(0, "1", 10, read=4, heap=5, end=2000)])
+    rolled = tmp_path / "logs" / "eventlog_v2_app-2"
+    write(rolled / "events_1_app-2", [start("app-2", 1000), task(0, "1", 30, read=9, heap=7, end=2000)])
+    write(rolled / "events_2_app-2", [task(0, "1", 50, read=9, heap=8, end=9000), {"Event": "SparkListenerApplicationEnd", "Timestamp": 10_000}])
+    log = runmetrics.read_event_log(spark, str(tmp_path / "logs"))
+    stages = {r["app_id"]: r for r in runmetrics.stage_totals(log).collect()}
+    assert {a: (r["task_count"], r["shuffle_read_bytes"]) for a, r in stages.items()} == {"app-1": (1, 5), "app-2": (2, 20)}
+    heaps = {(r["app_id"], r["executor_id"]): r["heap_used_bytes"] for r in runmetrics.executor_totals(log).collect()}
+    assert heaps == {("app-1", "1"): 5, ("app-2", "1"): 8}
+    seconds = {r["app_id"]: r["duration_seconds"] for r in runmetrics.application_durations(log).collect()}
+    assert seconds == {"app-1": 1.0, "app-2": 9.0}

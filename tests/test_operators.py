@@ -122,18 +122,23 @@ def test_pii_masks_in_order_and_hashes_with_salt(spark):
 
 
 # --- lists and canonical rows --------------------------------------------------------------------------
-def test_lists_below_and_above_the_limit(spark):
-    data = [("hot", f"v{i % 40:02d}") for i in range(200)] + [("warm", "a")] * 50 + [("cold", "b"), (None, "c"), ("none", None)]
+def test_lists_are_whole(spark):
+    data = [("hot", f"v{i % 5000:04d}") for i in range(6000)] + [("warm", "a")] * 50
+    data += [("cold", "b"), (None, "c"), ("none", None)]
     df = spark.createDataFrame(data, "k string, v string").withColumn("key", F.struct("k"))
-    got = {r["key"]["k"]: r for r in collect_lists(df, ["key"], {"vs": F.array("v")}, limit=20).collect()}
-    assert got["hot"]["vs"] is None and got["hot"]["list_overflow"] == ["vs"]
-    assert got["warm"]["vs"] == ["a"] and got["cold"]["vs"] == ["b"] and got[None]["vs"] == ["c"]
-    assert got["none"]["vs"] == []
-    whole = members(df, ["key"], {"vs": F.array("v")})
-    assert whole.where("key.k = 'hot'").count() == 40
-    summary = canonical.duplicate_summary(df.withColumn("s", F.lit(1.0)), ["k"], "s", id_col="v", limit=20)
+    got = {r["key"]["k"]: r["vs"] for r in collect_lists(df, ["key"], {"vs": F.array("v")}).collect()}
+    assert got == {"hot": [f"v{i:04d}" for i in range(5000)], "warm": ["a"], "cold": ["b"], None: ["c"]}
+    assert members(df, ["key"], {"vs": F.array("v")}).where("key.k = 'hot'").count() == 5000
+    summary = canonical.duplicate_summary(df.withColumn("s", F.lit(1.0)), ["k"], "s", id_col="v")
     by = {r["k"]: r for r in summary.collect()}
-    assert by["hot"]["document_count"] == 200 and by["hot"]["vs"] is None and by[None]["vs"] == ["c"]
+    assert by["hot"]["document_count"] == 6000 and by["hot"]["vs"] == got["hot"]
+    assert by[None]["vs"] == ["c"] and by["none"]["vs"] == []
+
+
+def test_averages_do_not_round_nor_overflow(spark):
+    df = spark.createDataFrame([("a", 1e13), ("a", 1e-9), ("b", 0.1), ("b", 0.2)], "k string, s double")
+    by = {r["k"]: r["avg_s"] for r in canonical.duplicate_summary(df, ["k"], "s").collect()}
+    assert by == {"a": (1e13 + 1e-9) / 2, "b": 0.15}
 
 
 def test_best_row_equals_a_sort(spark):
@@ -258,25 +263,82 @@ def test_recent_evidence(claims_and_history):
         assert got[row[0]] == [x[0] for x in want]
 
 
-@pytest.mark.parametrize("pair_limit", [0, 64, 10_000])
-def test_near_duplicates_by_pairs_and_by_sweep(claims_and_history, pair_limit):
-    cur, past, c, h = claims_and_history
+def test_near_duplicates_count_distinct_ids(claims_and_history, spark):
+    cur, past, _, _ = claims_and_history
+    rng = random.Random(2)
+    # ids with several days and amounts, ids that are null, and a current row without an id of its own
+    past = past + [(h[0], h[1], h[2] and h[2] + timedelta(days=rng.randrange(40)), h[3] and h[3] + rng.randrange(9)) for h in past[:200]]
+    past += [(None, *h[1:]) for h in past[:30]] + past[:20]
+    cur = [(*c, c[0]) for c in cur] + [("c-none", "m1", DAY0 + timedelta(days=300), Decimal(200), None)]
+    schema = "id string, m string, day date, amt decimal(18,2)"
+    c, h = spark.createDataFrame(cur, f"{schema}, own string"), spark.createDataFrame(past, schema)
     ids = ("id", "day", "amt")
-    out = history.near_duplicate_counts(c, h, ["m"], ids, ids, out="n", pair_limit=pair_limit)
-    got = {r["id"]: r["n"] for r in out.collect()}
+    got = {r["id"]: r["n"] for r in history.near_duplicate_counts(c, h, ["m"], ids, ids, out="n", own_id="own").collect()}
     want = {}
-    for i, m, d, a in cur:
+    for i, m, d, a, own in cur:
         if m is None or d is None or a is None:
             continue
-        hits = [
-            x for x in past
-            if x[1] == m and x[2] and x[3] is not None and x[0] != i and abs((x[2] - d).days) <= 30 and abs(x[3] - a) <= a * Decimal("0.05")
-        ]
+        hits = {
+            x[0]
+            for x in past
+            if x[1] == m and x[2] and x[3] is not None and x[0] is not None and x[0] != own
+            and abs((x[2] - d).days) <= 30 and abs(x[3] - a) <= a * Decimal("0.05")
+        }
         if hits:
             want[i] = len(hits)
     assert got == want and max(want.values()) > 100
 
 
+def test_amounts_beyond_one_range(spark):
+    """Bounds that lie ranges of cents apart, on both sides of the edges of a range."""
+    edge = history.RANGE
+    cents = [1, edge - 1, edge, edge + 1, 3 * edge - 1, 3 * edge, 40 * edge + 7]
+    past = [(f"h{i}", "m", DAY0, Decimal(x) / 100) for i, x in enumerate(cents)]
+    cur = [(f"c{i}", "m", DAY0, Decimal(x) / 100) for i, x in enumerate([edge, 3 * edge, 40 * edge, 5])]
+    schema = "id string, m string, day date, amt decimal(18,2)"
+    ids = ("id", "day", "amt")
+    c, h = spark.createDataFrame(cur, schema), spark.createDataFrame(past, schema)
+    for tolerance in ("0", "0.01", "0.7", "1"):
+        got = {r["id"]: r["n"] for r in history.near_duplicate_counts(c, h, ["m"], ids, ids, out="n", tolerance=tolerance).collect()}
+        want = {i: sum(abs(x[3] - a) <= a * Decimal(tolerance) for x in past) for i, _, _, a in cur}
+        assert got == {i: n for i, n in want.items() if n}, tolerance
+
+
+def test_a_heavy_key_is_dealt_out_by_amount(spark):
+    """A key that holds a third of the rows: no window of the sweep sees more than a range of cents of it."""
+    n = 30_000
+    amount = (F.col("id") * 137 % 4_000_000 / 100).cast("decimal(18,2)")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    past = spark.range(n).select(F.col("id").cast("string").alias("id"), key.alias("m"), F.lit(DAY0).alias("day"), amount.alias("amt"))
+    cur = past.where("m = 'hot' and id % 50 = 0")
+    ids = ("id", "day", "amt")
+    got = {r["id"]: r["n"] for r in history.near_duplicate_counts(cur, past, ["m"], ids, ids, out="n").collect()}
+    hot = [Decimal(i * 137 % 4_000_000) / 100 for i in range(0, n, 3)]
+    for r in cur.limit(40).collect():
+        slack = r["amt"] * Decimal("0.05")
+        assert got.get(r["id"], 0) == sum(abs(a - r["amt"]) <= slack for a in hot) - 1
+
+
+def test_distinct_ids_over_days_and_keys(spark):
+    rng = random.Random(8)
+    past = [(rng.choice([None, *"abcdefgh"]), rng.choice(["k1", "k2", None]), DAY0 + timedelta(days=rng.randrange(900))) for _ in range(60)]
+    past += [(f"s{i}", "k1", DAY0 + timedelta(days=rng.randrange(900))) for i in range(30) for _ in range(2)]
+    asks = [(i, k, DAY0 + timedelta(days=i * 7)) for i in range(150) for k in ("k1", "k2", "k9")]
+    h = spark.createDataFrame(past, "id string, k string, day date")
+    c = spark.createDataFrame(asks, "i int, k string, day date")
+
+    def seen(k, d):
+        return {x[0] for x in past if x[0] and x[1] == k and d - timedelta(days=365) <= x[2] < d}
+
+    per_key = {(r["i"], r["k"]): r["n"] for r in history.trailing_distinct(c, h, ["k"], "day", "day", "id", "n").collect()}
+    assert per_key == {(i, k): len(seen(k, d)) for i, k, d in asks}
+    over = {r["i"]: r["n"] for r in history.distinct_counts(c, h, ["k"], ("i", "day"), ("id", "day"), "n").collect()}
+    want = {}
+    for i, k, d in asks:
+        want[i] = want.get(i, set()) | seen(k, d)
+    assert {i: n for i, n in over.items() if n} == {i: len(s) for i, s in want.items() if s}
+
+
 # --- authorization and coverage -----------------------------------------------------------------------------
 def test_match_authorizations(spark):
     rng = random.Random(3)

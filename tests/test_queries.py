@@ -20,11 +20,17 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     df = registry.queries()[name](spark, FOLDER)
     assert compare(con, df, registry.oracle_sql()[name]) == []
 
 
+def test_every_query_outside_the_training_data_package_has_sql():
+    from caseloom.catalog import load
+
+    assert set(load()) <= set(registry.oracle_sql())
+
+
 def test_entry(spark):
     assert registry.entry(spark).limit(1).count() == 1

@@ -40,6 +40,7 @@ def test_stage_round_trip(spark, tmp_path, fmt):
     data = [
         ('a "q"\n, b', date(2024, 1, 2), 1, True, Decimal("1.50"), ["x", "y"], (1, "z"), [("c1",)]),
         (None, None, None, None, None, [], (None, None), []),
+        ("no lists", None, None, None, None, None, None, None),
     ]
     df = spark.createDataFrame(data, schema)
     path = str(tmp_path / fmt)
@@ -62,15 +63,11 @@ def test_cut_reads_back_the_same_rows(spark):
     assert all(f"{folder}/caseloom/" in f for f in back.inputFiles())
 
 
-class _Cluster:
-    """Stands for a session on a cluster."""
-
-    def __init__(self, setting):
-        self.conf = {lineage.SETTING: setting} if setting else {}
-        self.sparkContext = type("C", (), {"master": "yarn", "applicationId": "app"})
-
-
-def test_only_the_named_folder_is_used_on_a_cluster():
-    assert lineage.shared_folder(_Cluster("hdfs://shared")) == "hdfs://shared"
-    with pytest.raises(RuntimeError):
-        lineage.shared_folder(_Cluster(None))
+def test_the_shared_folder_is_used_and_cleared(spark, tmp_path, monkeypatch):
+    named = spark.conf.get(lineage.SETTING, None)
+    assert lineage.shared_folder(spark).startswith(named or spark.conf.get("spark.sql.warehouse.dir"))
+    monkeypatch.setattr(lineage, "shared_folder", lambda _: str(tmp_path))
+    lineage.cut(spark.range(3), "t")
+    assert list(tmp_path.rglob("*.parquet"))
+    lineage.clear(spark)
+    assert not list(tmp_path.rglob("*.parquet"))
