@@ -11,10 +11,14 @@ from caseloom.catalog.orders import sql_amount, sql_codes, sql_date, sql_tidy
 from caseloom.catalog.world import claim_world, ctes
 from caseloom.operators import audit, cases, rules
 from caseloom.plans import claims
+from caseloom.sources.lineage import cut
 
 
 def stage(src: Source, name: str) -> DataFrame:
-    return claims.claim_cases(claim_world(src), name)
+    """A stage of the flow; what later stages use is written to the shared folder, as one plan of it all is slower."""
+    world = claim_world(src)
+    landed = cut(world["ocr_documents"], "ocr_documents")
+    return claims.claim_cases({**world, "ocr_documents": landed}, name, cut)
 
 
 def flat(df: DataFrame, *columns: str) -> DataFrame:
@@ -121,19 +125,25 @@ _COVERAGE = """plans AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION B
   lines AS (SELECT ck, plan_id, member_id, provider_id, sd, CAST(round(amt / len(px), 4) AS DECIMAL(18,4)) AS share,
     unnest(px) AS code FROM refs),
   priced AS (SELECT l.ck, l.code, p.plan_id IS NOT NULL AS found, coalesce(requires_pre_authorization, false) AS needs,
+    l.share, coverage_type, coverage_percentage, deductible_amount, copay_amount,
     CASE WHEN p.plan_id IS NOT NULL AND share IS NOT NULL THEN CAST(greatest(share * CAST(coverage_percentage AS DECIMAL(38,9))
       - copay_amount, 0) AS DECIMAL(18,4)) END AS due
     FROM lines l LEFT JOIN plans p ON l.plan_id = p.plan_id AND l.code = p.procedure_code),
   cov AS (SELECT ck, coalesce(list_sort(list(code) FILTER (found)), []) AS covered,
     coalesce(list_sort(list(code) FILTER (NOT found)), []) AS uncovered,
-    coalesce(list_sort(list(code) FILTER (needs)), []) AS needing, CAST(sum(due) AS DECIMAL(18,2)) AS eligible
+    coalesce(list_sort(list(code) FILTER (needs)), []) AS needing, CAST(sum(due) AS DECIMAL(18,2)) AS eligible,
+    string_agg(concat_ws(':', code, found, coalesce(coverage_type, '-'), coalesce(CAST(CAST(round(coverage_percentage * 100) AS INT)
+      AS STRING), '-'), coalesce(CAST(deductible_amount AS STRING), '-'), coalesce(CAST(copay_amount AS STRING), '-'),
+      CASE WHEN found THEN CAST(needs AS STRING) ELSE '-' END, coalesce(CAST(share AS STRING), '-'),
+      coalesce(CAST(due AS STRING), '-')), '|' ORDER BY code) AS cov_evidence
     FROM priced GROUP BY ck)"""
 _HISTORY = """past AS (SELECT * FROM w_claim_history),
   prior AS (SELECT r.ck, h.* FROM refs r JOIN past h ON r.member_id = h.member_id AND h.service_date < r.sd
     AND h.service_date >= r.sd - 365),
   hist AS (SELECT ck, count(*) AS pc, CAST(sum(claim_amount) AS DECIMAL(18,2)) AS ps, max(service_date) AS last_day,
     CAST(sum(claim_amount) AS DOUBLE) / count(claim_amount) AS mean FROM prior GROUP BY ck),
-  ev AS (SELECT ck, string_agg(historical_claim_id, '|' ORDER BY rn) AS evidence FROM (SELECT *, row_number() OVER (
+  ev AS (SELECT ck, string_agg(concat_ws(':', coalesce(historical_claim_id, '-'), CAST(service_date AS STRING), provider_id,
+      procedure_code, CAST(claim_amount AS STRING), claim_status), '|' ORDER BY rn) AS evidence FROM (SELECT *, row_number() OVER (
       PARTITION BY ck ORDER BY service_date DESC, historical_claim_id NULLS FIRST, provider_id, procedure_code,
       claim_amount, claim_status) AS rn FROM prior) WHERE rn <= 5 GROUP BY ck),
   same AS (SELECT l.ck, count(DISTINCT historical_claim_id) AS sc FROM lines l JOIN past h ON l.member_id = h.member_id
@@ -154,11 +164,13 @@ _AUTHORIZATION = f"""asked AS (SELECT p.ck, p.code, r.member_id, r.provider_id,
       AND a.code = g.procedure_code),
   picked AS (SELECT *, CASE WHEN an = 0 THEN 'MISSING' WHEN an > 1 THEN 'AMBIGUOUS' WHEN ok THEN 'VALID'
       WHEN gstatus = 'APPROVED' THEN 'EXPIRED' ELSE gstatus END AS result FROM (SELECT *, count(authorization_id) OVER w AS an,
+      count(*) FILTER (ok) OVER w AS okn,
       row_number() OVER (PARTITION BY ck, code ORDER BY ok DESC, valid_to DESC NULLS LAST, authorization_id) AS rn
       FROM offers WINDOW w AS (PARTITION BY ck, code)) WHERE rn = 1),
   auth AS (SELECT ck, coalesce(string_agg(code, '|' ORDER BY code) FILTER (result = 'VALID'), '') AS authorized,
       coalesce(string_agg(code, '|' ORDER BY code) FILTER (result <> 'VALID'), '') AS lacking,
-      string_agg(code || ':' || result || ':' || coalesce(authorization_id, '-'), '|' ORDER BY code) AS auth_evidence,
+      string_agg(concat_ws(':', code, result, coalesce(authorization_id, '-'), coalesce(gstatus, '-'), coalesce(CAST(valid_from
+        AS STRING), '-'), coalesce(CAST(valid_to AS STRING), '-'), okn), '|' ORDER BY code) AS auth_evidence,
       arg_min(result, {_RANKS}) AS status FROM picked GROUP BY ck)"""
 _CASES = f"""cased AS (SELECT r.*, c.*, k.*, coalesce(a.status, 'NOT_REQUIRED') AS auth_status,
       coalesce(a.auth_evidence, '') AS auth_evidence FROM refs r LEFT JOIN cov c USING (ck) LEFT JOIN risk k USING (ck)
@@ -183,6 +195,39 @@ _S5 = f"{_S3}, {ctes('pre_authorization')}, {_AUTHORIZATION}"
 _S6 = f"{_S4}, {ctes('pre_authorization')}, {_AUTHORIZATION}, {_CASES}"
 
 
+def lines(evidence: Column, *fields: str, hundredths: str = "") -> Column:
+    """Every field of every element of an evidence array as text."""
+
+    def text(x: Column) -> list[Column]:
+        plain = [x[f] if f != hundredths else F.round(x[f] * 100).cast("int") for f in fields]
+        return [F.coalesce(v.cast("string"), F.lit("-")) for v in plain]
+
+    return F.array_join(F.transform(evidence, lambda x: F.concat_ws(":", *text(x))), "|")
+
+
+_COVERED = (
+    "procedure_code",
+    "coverage_found",
+    "coverage_type",
+    "coverage_percentage",
+    "deductible_amount",
+    "copay_amount",
+    "requires_pre_authorization",
+    "procedure_billed_amount",
+    "estimated_eligible_amount",
+)
+_PAST = ("historical_claim_id", "service_date", "provider_id", "procedure_code", "claim_amount", "claim_status")
+_GRANTED = (
+    "procedure_code",
+    "authorization_result",
+    "authorization_id",
+    "authorization_status",
+    "valid_from",
+    "valid_to",
+    "valid_authorization_count",
+)
+
+
 # --- queries ----------------------------------------------------------------------------------------------
 @query(
     "claims_canonical",
@@ -285,12 +330,14 @@ def claims_reference(src: Source) -> DataFrame:
       CAST(coalesce(len(covered), 0) AS INT) AS covered_procedure_count,
       CAST(coalesce(len(uncovered), 0) AS INT) AS uncovered_procedure_count,
       coalesce(len(uncovered) = 0 AND len(covered) > 0, false) AS all_procedures_have_coverage,
-      CASE WHEN len(uncovered) > 0 THEN 'PROCEDURE_NOT_COVERED' ELSE '' END AS coverage_errors
+      CASE WHEN len(uncovered) > 0 THEN 'PROCEDURE_NOT_COVERED' ELSE '' END AS coverage_errors,
+      coalesce(cov_evidence, '') AS coverage_evidence
     FROM refs LEFT JOIN cov USING (ck)""",
 )
 def claims_coverage(src: Source) -> DataFrame:
+    out = stage(src, "coverage_enriched_claims")
     return flat(
-        stage(src, "coverage_enriched_claims"),
+        out.withColumn("coverage_evidence", lines(F.col("coverage_evidence"), *_COVERED, hundredths="coverage_percentage")),
         "claim_id",
         "covered_procedure_codes",
         "uncovered_procedure_codes",
@@ -300,6 +347,7 @@ def claims_coverage(src: Source) -> DataFrame:
         "uncovered_procedure_count",
         "all_procedures_have_coverage",
         "coverage_errors",
+        "coverage_evidence",
     )
 
 
@@ -322,20 +370,10 @@ def claims_history(src: Source) -> DataFrame:
         "candidate_duplicate_count",
         "duplicate_claim_flag",
         "fraud_risk_score",
-        F.array_join(F.col("historical_evidence.historical_claim_id"), "|").alias("historical_evidence"),
+        lines(F.col("historical_evidence"), *_PAST).alias("historical_evidence"),
     )
 
 
-def _grants(evidence) -> Column:
-    line = F.transform(
-        evidence,
-        lambda x: F.concat_ws(
-            ":", x["procedure_code"], x["authorization_result"], F.coalesce(x["authorization_id"], F.lit("-"))
-        ),
-    )
-    return F.array_join(line, "|")
-
-
 @query(
     "claims_authorization",
     f"""{_S5} SELECT claim_id, coalesce(authorized, '') AS authorized_procedure_codes,
@@ -348,7 +386,7 @@ def claims_authorization(src: Source) -> DataFrame:
         "claim_id",
         F.array_join("authorized_procedure_codes", "|").alias("authorized_procedure_codes"),
         F.array_join("missing_authorization_procedure_codes", "|").alias("missing_authorization_procedure_codes"),
-        _grants("authorization_evidence").alias("authorization_evidence"),
+        lines(F.col("authorization_evidence"), *_GRANTED).alias("authorization_evidence"),
         "pre_authorization_status",
     )
 
@@ -356,6 +394,8 @@ def claims_authorization(src: Source) -> DataFrame:
 @query(
     "claim_cases",
     f"""{_S6} SELECT 'CASE-' || claim_id AS case_id, claim_id, n AS document_count, member_id, policy_id, provider_id, plan_id,
+      ids AS source_document_ids, ad AS admission_date, dd AS discharge_date, conf AS selected_ocr_confidence,
+      max_conf AS max_ocr_confidence, round(avg_conf, 9) AS avg_ocr_confidence,
       sd AS service_date, array_to_string(dx, '|') AS diagnosis_codes, array_to_string(px, '|') AS procedure_codes,
       amt AS billed_amount, eligible AS estimated_eligible_amount, CAST(NULL AS DECIMAL(18,2)) AS approved_amount,
       cur AS currency, pstatus AS policy_status, pact AS policy_active_on_service_date, eligible_member AS member_eligible,
@@ -368,9 +408,10 @@ def claims_authorization(src: Source) -> DataFrame:
 )
 def claim_cases(src: Source) -> DataFrame:
     return flat(
-        stage(src, "claim_case"),
+        stage(src, "claim_case").withColumn("avg_ocr_confidence", F.round("avg_ocr_confidence", 9)),
         "case_id",
         "claim_id",
+        "source_document_ids",
         "document_count",
         "member_id",
         "policy_id",
@@ -397,32 +438,75 @@ def claim_cases(src: Source) -> DataFrame:
         "review_reasons",
         "decision_reason",
         "rule_engine_version",
+        "admission_date",
+        "discharge_date",
+        "selected_ocr_confidence",
+        "max_ocr_confidence",
+        "avg_ocr_confidence",
     )
 
 
+# part of the evidence -> its leaves and the SQL of each
+_LEAVES = {
+    "data_quality_evidence": {
+        "validation_errors": "array_to_string(errors, '|')",
+        "normalization_warnings": "array_to_string(warns, '|')",
+        "missing_fields": "array_to_string(missing, '|')",
+        "pii_detected": "len(pii) > 0",
+        "pii_types": "array_to_string(pii, '|')",
+        "duplicate_document_flag": "n > 1",
+        "cross_document_conflict": "conflicts <> ''",
+        "cross_document_conflict_fields": "conflicts",
+        "document_count": "n",
+        "selected_ocr_confidence": "conf",
+        "max_ocr_confidence": "max_conf",
+        "avg_ocr_confidence": "round(avg_conf, 9)",
+    },
+    "policy_evidence": {
+        "policy_exists": "pn > 0",
+        "policy_ambiguous": "pn > 1",
+        "policy_match_count": "pn",
+        "policy_status": "pstatus",
+        "coverage_start_date": "coverage_start_date",
+        "coverage_end_date": "coverage_end_date",
+        "policy_active_on_service_date": "pact",
+    },
+    "member_evidence": {
+        "member_exists": "mx",
+        "first_name_match": "fm",
+        "last_name_match": "lm",
+        "dob_match": "dm",
+        "entity_match_confidence": "emc",
+        "member_eligible": "eligible_member",
+    },
+    "provider_evidence": {
+        "provider_exists": "vn > 0",
+        "provider_ambiguous": "vn > 1",
+        "provider_active": "vact",
+        "provider_network_status": "network",
+        "provider_match_count": "vn",
+    },
+}
+_LEAF_SQL = ", ".join(f"{sql} AS {name}" for leaves in _LEAVES.values() for name, sql in leaves.items())
+
+
 @query(
     "claim_evidence",
-    f"""{_S6} SELECT claim_id, array_to_string(errors, '|') AS validation_errors, conflicts AS conflict_fields,
-      pn AS policy_match_count, coverage_end_date, fm AS first_name_match, vn AS provider_match_count,
-      array_to_string([x FOR x IN list_sort(coalesce(covered, []) || coalesce(uncovered, []))], '|') AS coverage_evidence,
+    f"""{_S6} SELECT claim_id, {_LEAF_SQL}, coalesce(cov_evidence, '') AS coverage_evidence,
       evidence AS historical_evidence, auth_evidence AS authorization_evidence FROM reasoned""",
 )
 def claim_evidence(src: Source) -> DataFrame:
-    """The nested evidence of each case, read back out of its struct."""
+    """Every leaf of the nested evidence of each case, read back out of its struct."""
     e = F.col("evidence_package")
-    quality = e["data_quality_evidence"]
-    return stage(src, "claim_case").select(
+    leaves = [e[part][name].alias(name) for part, names in _LEAVES.items() for name in names]
+    found = stage(src, "claim_case").select(
         "claim_id",
-        F.array_join(quality["validation_errors"], "|").alias("validation_errors"),
-        F.array_join(quality["cross_document_conflict_fields"], "|").alias("conflict_fields"),
-        e["policy_evidence"]["policy_match_count"].alias("policy_match_count"),
-        e["policy_evidence"]["coverage_end_date"].alias("coverage_end_date"),
-        e["member_evidence"]["first_name_match"].alias("first_name_match"),
-        e["provider_evidence"]["provider_match_count"].alias("provider_match_count"),
-        F.array_join(e["coverage_evidence"]["procedure_code"], "|").alias("coverage_evidence"),
-        F.array_join(e["historical_evidence"]["historical_claim_id"], "|").alias("historical_evidence"),
-        _grants(e["authorization_evidence"]).alias("authorization_evidence"),
+        *leaves,
+        lines(e["coverage_evidence"], *_COVERED, hundredths="coverage_percentage").alias("coverage_evidence"),
+        lines(e["historical_evidence"], *_PAST).alias("historical_evidence"),
+        lines(e["authorization_evidence"], *_GRANTED).alias("authorization_evidence"),
     )
+    return flat(found.withColumn("avg_ocr_confidence", F.round("avg_ocr_confidence", 9)), *found.columns)
 
 
 @query(
@@ -455,16 +539,30 @@ def claim_audits(src: Source) -> DataFrame:
     )
 
 
+_CASE_TEXT = (
+    "case_id claim_id member_id policy_id provider_id plan_id currency policy_status provider_network_status "
+    "pre_authorization_status workflow_status decision_reason rule_engine_version source_document_ids diagnosis_codes "
+    "procedure_codes review_reasons evidence_package"
+).split()
+#: columns whose own codes may look like nine bare digits
+_EXEMPT = ["case_id", "claim_id", "member_id", "policy_id", "provider_id", "source_document_ids", "evidence_package"]
+
+
 @query(
     "claim_ssn_audit",
-    f"""{_S6} SELECT column_name, CAST(0 AS BIGINT) AS hits FROM (SELECT unnest(['case_id', 'claim_id', 'member_id', 'policy_id', 'provider_id',
-      'plan_id', 'currency', 'policy_status', 'provider_network_status', 'pre_authorization_status', 'workflow_status',
-      'decision_reason', 'rule_engine_version', 'source_document_ids', 'diagnosis_codes', 'procedure_codes',
-      'review_reasons', 'evidence_package']) AS column_name)""",
+    f"""{_S1}, n AS (SELECT count(DISTINCT ck) FILTER (regexp_matches(notes, '{fv.SSN_PATTERN}')) AS hits FROM canon)
+    SELECT unnest({[c for c in _CASE_TEXT if c not in _EXEMPT] + ["planted"]}) AS column_name,
+      unnest([0 FOR x IN range({len(_CASE_TEXT) - len(_EXEMPT)})] || [hits])::BIGINT AS hits FROM n""",
 )
 def claim_ssn_audit(src: Source) -> DataFrame:
-    """No column of a case, nested ones included, holds a dashed SSN."""
-    return audit.audit_pattern_absent(stage(src, "claim_case"), r"\b\d{3}-\d{2}-\d{4}\b")
+    """No free text of a case holds an SSN, dashed or bare; the raw notes, audited beside it, do."""
+    world = claim_world(src)
+    raw = stage(src, "canonical_claims").select("claim_id", "selected_document_id")
+    notes = world["ocr_documents"].select(F.col("source_document_id").alias("selected_document_id"), "extracted_notes")
+    planted = raw.join(notes, "selected_document_id", "left").select("claim_id", F.col("extracted_notes").alias("planted"))
+    cases_ = stage(src, "claim_case")
+    clean = audit.audit_pattern_absent(cases_, fv.SSN_PATTERN, exempt=_EXEMPT)
+    return clean.unionByName(audit.audit_pattern_absent(planted, fv.SSN_PATTERN, exempt=["claim_id"]))
 
 
 # --- assembly operators on their own ------------------------------------------------------------------------------
