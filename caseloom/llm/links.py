@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.shared import saved
+from caseloom.llm.shared import packed
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -18,7 +18,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     many links. Nodes may be of any type with an order; links to itself or with
     a null end are left out.
     """
-    edges = saved(
+    edges = packed(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
         .distinct()
@@ -27,12 +27,10 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.where(F.col("v") > F.col("u")).join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).distinct()
+        large = both.where(F.col("v") > F.col("u")).join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
-        edges = saved(
+        edges = packed(
             small.select("u", F.col("m").alias("v"))
             .unionByName(small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")))
             .where(F.col("u") != F.col("v"))

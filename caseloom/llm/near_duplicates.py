@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from caseloom.llm import words
 from caseloom.llm.links import components
-from caseloom.llm.shared import beside, pieces, saved, small_side, table, text_key
+from caseloom.llm.shared import beside, packed, pieces, saved, small_side, table, text_key
 
 THRESHOLD = 0.8
 #: 32 bands of 8 registers miss a pair of similarity 0.8 with chance 0.0028, one of 0.85 with 0.00002; one of 0.5 shares a band with chance 0.12
@@ -235,21 +235,21 @@ def near_duplicates(
 
     entries = classes.where("worded").select("key", F.explode("bands").alias("h"))
     shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    members = saved(entries.join(shared, "h"))
+    members = packed(entries.join(shared, "h"))
 
     ordered = lambda c: F.struct(F.least(*c).alias("a"), F.greatest(*c).alias("b"))
     hubs = members.groupBy("h").agg(*[F.min_by("key", F.xxhash64("key", F.lit(i))).alias(f"hub{i}") for i in range(HUBS)])
     hubs = hubs.select("h", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub"))
     stars = members.join(hubs, "h").where("key <> hub").select(ordered(["key", "hub"]).alias("p")).select("p.*")
-    likely = saved(estimated(stars.distinct(), classes.select("key", "registers"), threshold, min(COMPARED, bands * rows)))
+    likely = packed(estimated(stars.distinct(), classes.select("key", "registers"), threshold, min(COMPARED, bands * rows)))
     ends = likely.select(F.col("a").alias("key")).union(likely.select("b")).distinct()
-    first = saved(verified(likely, shingled(ends), threshold))
+    first = packed(verified(likely, shingled(ends), threshold))
     roots = components(first).withColumnsRenamed({"node": "key"})
 
     placed = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     mixed = placed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("open")).where("open")
-    open_ = saved(placed.join(mixed.drop("open"), "h"))
-    second = crossing(open_, shingled(open_.select("key").distinct()), classes.select("key", "bands"), threshold)
+    open_ = packed(placed.join(mixed.drop("open"), "h"))
+    second = packed(crossing(open_, shingled(open_.select("key").distinct()), classes.select("key", "bands"), threshold))
     groups = components(first.unionByName(second)).withColumnsRenamed({"node": "key", "root": "group_key"})
 
     grouped = saved(

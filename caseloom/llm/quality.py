@@ -25,6 +25,8 @@ SAMPLE = 4_000
 BUCKETS = 1 << 17
 NGRAMS = (3, 4, 5)
 AGAIN = "\x1d=\x1d"
+#: bytes of text scored at a time; the runs of characters of its words take some hundred times as much
+PIECE = 1 << 20
 
 
 @dataclasses.dataclass(frozen=True)
@@ -156,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     rows = texts.join(F.broadcast(saved(chosen)), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", PIECE):
             found = list(document_features(piece.column("text")))
             columns = [piece.column("_id").cast(pa.int64()), piece.column("_label")]
             columns += [pa.array([f[j].tobytes() for f in found], pa.binary()) for j in (0, 1)]
@@ -180,7 +182,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "score
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
             batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string(), from_pandas=True)], ["t"])
-            yield pd.Series(np.concatenate([model.score(p.column("t")) for p in pieces(iter([batch]), "t")] or [np.zeros(0)]))
+            yield pd.Series(np.concatenate([model.score(p.column("t")) for p in pieces(iter([batch]), "t", PIECE)] or [np.zeros(0)]))
 
     return docs.withColumn(into, score(F.col(text)))
 

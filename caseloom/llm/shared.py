@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes of one column that a Python helper turns into arrays at a time
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def shared_uri(spark: SparkSession) -> str:
@@ -39,6 +39,16 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+#: rows of a narrow table that a task can well go through
+NARROW_ROWS = 100_000
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """A saved narrow table, read in no more partitions than its rows need, so that what is small stays cheap to shuffle."""
+    out = saved(df)
+    return out.coalesce(max(1, -(-out.count() // NARROW_ROWS)))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The same rows out of a reliable checkpoint: a lost executor costs a read, and Spark clears it when unused."""
     spark = df.sparkSession
