@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import words
-from caseloom.llm.shared import beside, bitmap, in_bitmap, pieces, saved, small_side, table
+from caseloom.llm.shared import beside, bitmap, in_bitmap, packed, pieces, saved, small_side, table
 
 THRESHOLD = 0.8
 #: the rarity table has 2**22 buckets, 16 MB, however large the corpus; it is sent and added up in slices
 RARITY_BITS, SLICES = 22, 64
 #: pairs that a task looks at together
 PAIRS = 1 << 20
+#: rows of one word that a task compares with as many others
+BLOCK = 1024
 _SALT = np.uint64(0x632BE59BD9B4E019)
 
 
@@ -111,10 +113,24 @@ def _first_of_class(c1: np.ndarray, wanted: np.ndarray, seen: np.ndarray) -> tup
     return wanted[at[new]], np.union1d(seen, values[new])
 
 
-def prefixes(documents: DataFrame, rarity: np.ndarray, threshold: float) -> DataFrame:
-    """(token, c1, size, place, bits) of each class of lines: its rarest words, at their places in the order of rarity."""
+def _ranks(rarity: np.ndarray) -> np.ndarray:
     rank = np.empty(len(rarity), np.uint32)
     rank[np.argsort(rarity, kind="stable")] = np.arange(len(rarity), dtype=np.uint32)
+    return rank
+
+
+def _by_rarity(line: np.ndarray, hashes: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words by line and, within a line, by the rank of their bucket and then their hash."""
+    low = np.uint64(64 - RARITY_BITS)
+    # the bucket is the hash's upper bits, so putting its rank there keeps ties in order of hash
+    key = (rank[(hashes >> low).astype(np.int64)].astype(np.uint64) << low) | (hashes & ((np.uint64(1) << low) - np.uint64(1)))
+    order = np.argsort(key)
+    order = order[np.argsort(line[order].astype(np.int32), kind="stable")]
+    return line[order], hashes[order]
+
+
+def prefixes(documents: DataFrame, rank: np.ndarray, threshold: float) -> DataFrame:
+    """(token, c1, size, place, bits) of each class of lines: its rarest words, at their places in the order of rarity."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
@@ -125,12 +141,7 @@ def prefixes(documents: DataFrame, rarity: np.ndarray, threshold: float) -> Data
             once = np.zeros(len(size), bool)
             chosen, seen = _first_of_class(c1, np.flatnonzero(size), seen)
             once[chosen] = True
-            line, hashes = line[once[line]], hashes[once[line]]
-            # the bucket is the hash's upper bits, so putting its rank there keeps ties in order of hash
-            low = np.uint64(64 - RARITY_BITS)
-            order = np.argsort((rank[(hashes >> low).astype(np.int64)].astype(np.uint64) << low) | (hashes & ((np.uint64(1) << low) - np.uint64(1))))
-            order = order[np.argsort(line[order].astype(np.int32), kind="stable")]
-            line, hashes = line[order], hashes[order]
+            line, hashes = _by_rarity(line[once[line]], hashes[once[line]], rank)
             here = np.where(once, size, 0)
             place = np.arange(len(line)) - (np.cumsum(here) - here)[line]
             sent = place < (size - np.ceil(threshold * size - 1e-9) + 1)[line]
@@ -142,78 +153,143 @@ def prefixes(documents: DataFrame, rarity: np.ndarray, threshold: float) -> Data
     return documents.mapInArrow(scan, "token long, c1 long, size int, place int, bits long")
 
 
-def _pairs_of(rows: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
-    """Pairs of classes among rows of whole tokens, in order of token, size and class.
+def _passes(size: np.ndarray, place: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of rows i (the shorter) and j may match through the word they share, as the first one they share.
 
-    Row i is paired with the rows after it of its token that are not too long
-    for it. Two lines of similarity t share at least 2t / (1 + t) of the words
-    of the shorter one, so that one is looked up by a still shorter prefix; they
-    differ in at most (1 - t) / (1 + t) of both lines' words, and so in no more
-    of their parity bits; and through the first word they share, no more words
-    than are left in either from there on.
+    Two lines of similarity t share at least 2t / (1 + t) of the words of the
+    shorter one, so that one is looked up by a still shorter prefix; they differ
+    in at most (1 - t) / (1 + t) of both lines' words, and so in no more of
+    their parity bits; and through the first word they share, no more words than
+    are left in either from there on.
     """
+    share, both = threshold / (1 + threshold), size[i] + size[j]
+    good = (place[i] <= size[i] - np.ceil(2 * share * size[i] - 1e-9)) & (size[i] >= threshold * size[j] - 1e-9)
+    good &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= (1 - 2 * share) * both + 1e-9
+    return good & (np.minimum(size[i] - place[i], size[j] - place[j]) >= share * both - 1e-9)
+
+
+def _active(rows: np.ndarray, threshold: float) -> np.ndarray:
+    """The places of rows, in order of token, size and class, that may match another row of their token."""
     token, size, place = rows["token"], rows["size"].astype(np.int64), rows["place"].astype(np.int64)
-    share = threshold / (1 + threshold)
-    group_end = np.searchsorted(token, token, side="right")
     longest = np.floor(size / threshold + 1e-9).astype(np.int64)
     # the end of the rows that are not too long: one search over (token's rank, size)
     rank = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32
-    stop = np.minimum(np.searchsorted(rank + size, rank + longest, side="right"), group_end)
+    stop = np.searchsorted(rank + size, rank + longest, side="right")
     first = np.arange(len(rows))
-    many = np.where(place <= size - np.ceil(2 * share * size - 1e-9), stop - first - 1, 0)
-    ends = np.cumsum(many)
-    start = 0
+    many = np.where(place <= size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9), stop - first - 1, 0)
+    ends, used, start = np.cumsum(many), np.zeros(len(rows), bool), 0
     while start < len(rows):
         done = ends[start - 1] if start else 0
         upto = max(start + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
         i = np.repeat(first[start:upto], many[start:upto])
         j = np.arange(len(i)) - np.repeat(ends[start:upto] - many[start:upto] - done, many[start:upto]) + i + 1
-        both = size[i] + size[j]
-        good = np.bitwise_count(rows["bits"][i] ^ rows["bits"][j]) <= (1 - 2 * share) * both + 1e-9
-        i, j, both = i[good], j[good], both[good]
-        good = np.minimum(size[i] - place[i], size[j] - place[j]) >= share * both - 1e-9
-        a, b = rows["c1"][i[good]], rows["c1"][j[good]]
-        if len(a):
-            yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        good = _passes(size, place, rows["bits"], i, j, threshold)
+        used[i[good]] = used[j[good]] = True
         start = upto
-
-
-def candidates(entries: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes (a, b) that share a prefix word and pass the length, parity and positional filters.
+    return np.flatnonzero(used)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows, which come sorted by ``keys``, in tables that part no group."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        same = np.ones(table.num_rows, bool)
+        for key in keys:
+            column = np.asarray(table[key])
+            same &= column == column[-1]
+        cut = int(table.num_rows - np.argmin(same[::-1])) if not same.all() else 0
+        held = table.slice(cut)
+        if cut:
+            yield table.slice(0, cut)
+    if held is not None:
+        yield held
+
+
+def active_entries(entries: DataFrame, threshold: float) -> DataFrame:
+    """The entries that pass the length, parity and positional filters with another of their word, each class once.
 
     Entries are dealt out by word and sorted, and a task goes through its words
-    in order, some thousand rows at a time; rows of one word stay together.
+    in order, some thousand rows at a time. No pair leaves the task.
     """
-    kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.uint64)])
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            new = np.ones(len(rows), bool)  # a class occurs once for each piece of text that it was found in
-            new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["c1"][1:] != rows["c1"][:-1])
-            for found in _pairs_of(rows[new], threshold):
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+    kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.int64)])
 
-        held = np.zeros(0, kind)
-        for batch in batches:
-            rows = np.empty(batch.num_rows, kind)
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, ["token"]):
+            rows = np.empty(table.num_rows, kind)
             for name in kind.names:
-                rows[name] = np.asarray(batch.column(name)).view(np.uint64) if name == "bits" else np.asarray(batch.column(name))
-            rows = np.concatenate([held, rows])
-            whole = int(np.searchsorted(rows["token"], rows["token"][-1])) if len(rows) else 0
-            held = rows[whole:]
-            if whole:
-                yield from out(rows[:whole])
-        if len(held):
-            yield from out(held)
+                rows[name] = np.asarray(table[name])
+            new = np.ones(len(rows), bool)  # a class comes once from each task that found it
+            new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["c1"][1:] != rows["c1"][:-1])
+            rows = rows[new]
+            rows = rows[_active(rows, threshold)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[n])) for n in kind.names], list(kind.names))
 
     ordered = entries.repartition("token").sortWithinPartitions("token", "size", "c1")
-    return ordered.mapInArrow(pair, "a long, b long").distinct()
-
-
-def matching_lines(documents: DataFrame, rarity: np.ndarray, threshold: float) -> DataFrame:
-    """(a1, a2, b1, b2): every pair of different classes of lines whose Jaccard reaches the threshold."""
-    pairs = saved(candidates(prefixes(documents, rarity, threshold), threshold))
-    wanted = saved(pairs.select(F.col("a").alias("c1")).union(pairs.select("b")).distinct())
+    return ordered.mapInArrow(sift, "token long, size int, c1 long, place int, bits long")
+
+
+def _links_of(table: pa.Table, threshold: float) -> dict[tuple[int, int], list]:
+    """(c1, c2) -> [links, earliest other line] over the groups of a table; a pair counts at the first word it shares."""
+    column = {n: table[n].to_pylist() for n in ("c1", "c2", "id", "tie", "line_no", "words")}
+    size, place, bits, part = (np.asarray(table[n]).astype(np.int64) for n in ("size", "place", "bits", "part"))
+    token, low, high = (np.asarray(table[n]) for n in ("token", "low", "high"))
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    starts = np.flatnonzero(new).tolist()
+    split: dict[int, list[bytes]] = {}
+    found: dict[tuple[int, int], list] = {}
+
+    def words_of(k: int) -> list[bytes]:
+        if k not in split:
+            split[k] = [column["words"][k][n : n + 6] for n in range(0, len(column["words"][k]), 6)]
+        return split[k]
+
+    def line_of(k: int) -> tuple:
+        return (column["id"][k] is not None, column["id"][k] or 0, column["tie"][k], column["line_no"][k])
+
+    for start, stop in zip(starts, [*starts[1:], len(token)], strict=True):
+        here = np.arange(start, stop)
+        if low[start] == high[start]:
+            i, j = (here[x] for x in np.triu_indices(len(here), 1))
+        else:
+            i, j = (x.ravel() for x in np.meshgrid(here[part[here] == low[start]], here[part[here] == high[start]]))
+        i, j = np.where(size[i] <= size[j], i, j), np.where(size[i] <= size[j], j, i)
+        good = _passes(size, place, bits, i, j, threshold)
+        # either of two lines of one size may be the one that is looked up
+        good |= (size[i] == size[j]) & _passes(size, place, bits, j, i, threshold)
+        shared = int(token[start]).to_bytes(8, "little", signed=True)[:6]
+        sets: dict[int, set[bytes]] = {}
+        for x, y in zip(i[good].tolist(), j[good].tolist(), strict=True):
+            for k in (x, y):
+                if k not in sets:
+                    sets[k] = set(words_of(k))
+            common = len(sets[x] & sets[y])
+            if common < threshold * (len(sets[x]) + len(sets[y]) - common) - 1e-9:
+                continue
+            if next(w for w in words_of(x) if w in sets[y]) != shared:
+                continue
+            for k, other in ((x, y), (y, x)):
+                at = found.setdefault((column["c1"][k], column["c2"][k]), [0, line_of(other)])
+                at[0] += 1
+                at[1] = min(at[1], line_of(other))
+        split.clear()
+    return found
+
+
+def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, threshold: float, block: int = BLOCK) -> DataFrame:
+    """(c1, c2, links, other): for classes with a link, how many other classes reach the threshold, and the earliest line of them.
+
+    ``firsts`` has c1, c2 and first (id, tie, line_no). The active entries take
+    in their line's words, are dealt out again by word, and compared inside the
+    tasks: each two of up to ``block`` rows of a word. What leaves a task is one
+    row per class, however many links it has.
+    """
+    rank = _ranks(rarity)
+    active = saved(active_entries(prefixes(documents, rank, threshold), threshold))
+    wanted = packed(active.select("c1").distinct())
     bloom = bitmap(wanted, "c1")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,26 +298,39 @@ def matching_lines(documents: DataFrame, rarity: np.ndarray, threshold: float) -
             _, line, hashes, size = line_sets(piece.column("text"))
             c1, c2 = set_hashes(line, hashes, len(size))
             chosen, seen = _first_of_class(c1, np.flatnonzero((size > 0) & in_bitmap(bloom, c1.copy())), seen)
-            starts = np.cumsum(size) - size
+            keep = np.zeros(len(size), bool)
+            keep[chosen] = True
+            chosen = np.flatnonzero(keep)
+            line, hashes = _by_rarity(line[keep[line]], hashes[keep[line]], rank)
+            ends = np.cumsum(size[chosen])
             # 48 bits of a word's hash tell the words of two lines apart
             short = np.ascontiguousarray(hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
-            sets = [short[a : a + n].tobytes() for a, n in zip(starts[chosen], size[chosen], strict=True)]
+            sets = [short[b - n : b].tobytes() for b, n in zip(ends, size[chosen], strict=True)]
             columns = [pa.array(c1[chosen]), pa.array(c2[chosen]), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["c1", "c2", "words"])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist(), strict=True):
-                left, right = ({x[i : i + 6] for i in range(0, len(x), 6)} for x in (a, b))
-                common = len(left & right)
-                good.append(common >= threshold * (len(left) + len(right) - common) - 1e-9)
-            yield batch.select(["a", "a2", "b", "b2"]).filter(pa.array(good, pa.bool_()))
-
-    sets = documents.mapInArrow(scan, "c1 long, c2 long, words binary")
-    sets = saved(sets.join(small_side(wanted), "c1").dropDuplicates(["c1", "c2"]))
-    joined = pairs.join(sets.toDF("b", "b2", "wb"), "b").join(sets.toDF("a", "a2", "wa"), "a")
-    return joined.select("a", "a2", "b", "b2", "wa", "wb").mapInArrow(verify, "a1 long, a2 long, b1 long, b2 long")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, ["token", "low", "high"]):
+            found = _links_of(table, threshold)
+            others = list(zip(*(v[1] for v in found.values()), strict=True)) or [()] * 4
+            ids = [i if known else None for known, i in zip(others[0], others[1], strict=True)]
+            columns = [pa.array([k[n] for k in found], pa.int64()) for n in (0, 1)]
+            columns += [pa.array([v[0] for v in found.values()], pa.int64()), pa.array(ids, pa.int64())]
+            columns += [pa.array(others[2], pa.int64()), pa.array(others[3], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["c1", "c2", "links", "id", "tie", "line_no"])
+
+    sets = documents.mapInArrow(scan, "c1 long, c2 long, words binary").join(small_side(wanted), "c1").dropDuplicates(["c1", "c2"])
+    sets = sets.join(firsts.select("c1", "c2", "first.*"), ["c1", "c2"])
+    parts = F.ceil(F.col("n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("c1"), parts).cast("int")
+    counts = active.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    placed = active.join(counts, "token").select("*", mine.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_o"))
+    placed = placed.select(
+        "token", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high"), "part", "size", "place", "bits", "c1"
+    )
+    dealt = placed.join(sets, "c1").repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    found = dealt.mapInArrow(compare, "c1 long, c2 long, links long, id long, tie long, line_no int")
+    return found.groupBy("c1", "c2").agg(F.sum("links").alias("links"), F.min(F.struct("id", "tie", "line_no")).alias("other"))
 
 
 def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -257,13 +346,10 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
     """
     documents = _documents(docs, id, text)
     lines, rarity = occurrences(documents)
-    matches = saved(matching_lines(documents, rarity, threshold))
     at = F.struct("id", "tie", "line_no")
     worded = lines.where("size > 0")
     firsts = worded.groupBy("c1", "c2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
-    both = matches.unionByName(matches.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
-    linked = both.join(firsts.select(F.col("c1").alias("b1"), F.col("c2").alias("b2"), F.col("first").alias("other")), ["b1", "b2"])
-    linked = linked.groupBy(F.col("a1").alias("c1"), F.col("a2").alias("c2")).agg(F.min("other").alias("other"), F.count(F.lit(1)).alias("links"))
+    linked = line_links(documents, firsts, rarity, threshold)
     special = firsts.join(linked, ["c1", "c2"], "left").where("n > 1 or links is not null")
     special = saved(special.select("c1", "c2", "first", "links", F.coalesce(F.col("other") < F.col("first"), F.lit(False)).alias("later")))
     judged = lines.join(small_side(special), ["c1", "c2"], "left")

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from caseloom.llm import decontaminate, line_dedup, mixing, near_duplicates, quality, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, id long, _key string, size int"
@@ -171,6 +172,21 @@ def test_line_dedup_equals_brute_force(docs, nothing):
     assert line_dedup.repeated_lines(nothing).count() == 0
 
 
+def test_links_of_lines_in_small_blocks(spark):
+    rng = random.Random(9)
+    base = prose(rng, 30).split()
+    lines = [" ".join([*base[:k], f"new{k}", *base[k + 1 :]]) for k in range(30)] + [prose(rng, 20) for _ in range(20)]
+    documents = line_dedup._documents(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), "doc_id", "text")
+    found, rarity = line_dedup.occurrences(documents)
+    firsts = found.groupBy("c1", "c2").agg(F.min(F.struct("id", "tie", "line_no")).alias("first"))
+    sets = [set(x.split()) for x in lines]
+    wanted = {i: sum(len(s & t) >= 0.8 * len(s | t) for t in sets) - 1 for i, s in enumerate(sets)}
+    for block in (3, 1024):
+        got = line_dedup.line_links(documents, firsts, rarity, 0.8, block).join(firsts, ["c1", "c2"])
+        got = {r["first"]["id"]: r["links"] for r in got.collect()}
+        assert got == {i: n for i, n in wanted.items() if n}
+
+
 def test_mixing_meets_targets(docs, nothing):
     got = [r.asDict() for r in mixing.mixed(docs).collect()]
     assert len(got) == len(ROWS)
