@@ -46,13 +46,20 @@ def exact_median(df: DataFrame, by: list[str], value: str) -> DataFrame:
     middle = (
         ranked.join(brackets.select("_g", "_n", "_max"), "_g")
         .groupBy("_g", "_n", "_max")
-        .agg(at(low).alias("_a"), at(high).alias("_b"))
+        .agg(
+            at(low).alias("_a"),
+            at(high).alias("_b"),
+            F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_c"))), F.lit(0)).alias("_under"),
+        )
     )
+    # the sketch bounds its error; were the median outside its bracket after all, no number is better than a wrong one
+    held = (F.col("_under") < low) & F.col("_b").isNotNull()
+    missed = F.raise_error(F.lit("the median lies outside its bracket")).cast("double")
     return middle.select(
         "_g.*",
         F.col("_n").alias("value_count"),
         F.col("_max").alias("max_value"),
-        ((F.col("_a") + F.col("_b")) / 2).alias("median_value"),
+        F.when(held, (F.col("_a") + F.col("_b")) / 2).otherwise(missed).alias("median_value"),
     )
 
 
