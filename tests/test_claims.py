@@ -1,6 +1,9 @@
 """The whole claims flow on the noise corpus, with every invariant."""
 
+import contextlib
+import io
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,6 +156,20 @@ def test_a_claim_of_many_documents_keeps_all_ids_and_codes(spark, inputs):
     assert len(case["source_document_ids"]) == 3000
 
 
+def test_the_wide_claims_are_shuffled_once_per_stage(spark, inputs):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, table in claims.claim_stages(inputs, cut):
+            said = io.StringIO()
+            with contextlib.redirect_stdout(said):
+                table.explain("formatted")
+            moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", said.getvalue())
+            assert sum("notes_redacted" in columns for columns in moved) == (name not in ("canonical_claims", "claim_case")), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_same_cases_from_shuffled_and_repartitioned_documents(spark, inputs):
     docs = noise_documents() + duplicate_documents()
     first = by_claim(claims.canonical_claims(inputs["ocr_documents"].coalesce(1)))
