@@ -22,9 +22,9 @@ from caseloom.llm.shared import pieces, saved, shared_uri, table
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 #: bytes of text encoded at a time; with the remembered words it bounds a worker's memory
-PIECE = 2 << 20
+PIECE = 3 << 20
 #: distinct words whose ids a worker remembers; beyond, those seen in one piece only are forgotten
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: a sign that no merge of the vocabulary takes in, so it parts words that are encoded as one text
 _PART = "\x1e"
 #: what a record starts with: id, whether there is one, bytes per token id
