@@ -22,6 +22,8 @@ _BLANK = r"\r?\n[ \t]*\r?\n"
 _FIRST = 3
 #: so many different starts of known texts go into one pattern; with more, every text is looked at closely
 _STARTS = 500
+#: no spelling rule makes a text longer than by 16/15, or shorter than by half
+_LONGER, _SHORTER = 1.07, 0.5
 
 
 def plain_line(line: Column) -> Column:
@@ -40,11 +42,30 @@ def _blocks(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, _BLANK, -1), plain), lambda x: x != "")
 
 
-def _runs(blocks: str, n: int) -> Column:
-    """Each ``n`` blocks in a row as one text."""
-    starts = F.sequence(F.lit(1), F.size(blocks) - (n - 1))
-    joined = F.transform(starts, lambda i: F.array_join(F.slice(blocks, i, n), " "))
-    return F.when(F.size(blocks) >= n, joined).otherwise(F.array().cast("array<string>"))
+def _runs(blocks: str, most: int, likely: str) -> Column:
+    """Up to ``most`` blocks in a row as one text, where their start and length are those of a known text in ``likely``."""
+    fits = lambda i, n: F.exists(
+        likely, lambda w: (w["first"] == F.substring(F.element_at(blocks, i), 1, _FIRST)) & n.between(w["least"], w["most"])
+    )
+    starts_so = lambda i: F.exists(likely, lambda w: w["first"] == F.substring(F.element_at(blocks, i), 1, _FIRST))
+    starts = F.filter(F.sequence(F.lit(1), F.size(blocks)), starts_so)
+
+    def of(i: Column) -> Column:
+        here = F.transform(F.slice(blocks, i, most), lambda x: F.length(x))
+        none = F.array().cast("array<int>")
+        # where the first, second, ... block of the run ends, with a space between each two
+        ends = F.aggregate(here, none, lambda a, n: F.concat(a, F.array(F.when(F.size(a) > 0, F.element_at(a, -1) + 1 + n).otherwise(n))))
+        lengths = F.filter(F.transform(ends, lambda e, k: F.struct(k.alias("k"), e.alias("e"))), lambda x: fits(i, x["e"]))
+        return F.transform(lengths, lambda x: F.array_join(F.slice(blocks, i, x["k"] + 1), " "))
+
+    return F.when(F.size(blocks) > 0, F.flatten(F.transform(starts, of))).otherwise(F.array().cast("array<string>"))
+
+
+def _start(first: str, second: str = "") -> str:
+    """A pattern for the first letters of two words, or of one at the end of its line or that a spelling rule may join to the next."""
+    if not second or first in ("sub", "non", "per"):
+        return first
+    return rf"{first}[\p{{L}}\p{{N}}]*(?:[^\p{{L}}\p{{N}}]+{second}|[^\p{{L}}\p{{N}}]*$)"
 
 
 def digest(plain_text: Column) -> Column:
@@ -66,27 +87,35 @@ def license_hits(docs: DataFrame, known: DataFrame, text: str = "text") -> DataF
     whole: the text is the licence and nothing else. A null or empty text, and
     a known text without words, states nothing.
     """
-    forms = known.select("license", plain(F.col("text")).alias("form"), F.size(_blocks(F.col("text"))).alias("n_blocks"))
+    forms = known.select("license", plain(F.col("text")).alias("form"), F.size(F.split("text", _BLANK, -1)).alias("n_blocks"))
     forms = saved(forms.where("form <> ''"))
     digests = forms.select("license", digest(F.col("form")).alias("digest"), F.substring("form", 1, _FIRST).alias("first")).distinct()
     digests = saved(digests)
     firsts = saved(digests.select("first").distinct())
     most = forms.select(F.max("n_blocks")).first()[0] or 1
-    # whatever states a licence has a line that starts, signs apart, as the licence's first word does; most texts have none
-    starts = [r[0] for r in forms.select(F.substring_index("form", " ", 1).substr(1, _FIRST)).distinct().limit(_STARTS).collect()]
-    start = "|".join(starts) if len(starts) < _STARTS else ""
+    # whatever states a licence has a line that starts, signs apart, as the licence's first two words do; most texts have none
+    two = F.transform(F.slice(F.split("form", " "), 1, 2), lambda x: F.substring(x, 1, _FIRST))
+    starts = [r[0] for r in forms.select(two).distinct().limit(_STARTS).collect()]
+    start = "|".join(sorted({_start(*words) for words in starts})) if len(starts) < _STARTS else ""
+    length = F.length("form")
+    window = F.struct(
+        F.substring("form", 1, _FIRST).alias("first"),
+        F.floor(length * (_SHORTER / _LONGER)).cast("int").alias("least"),
+        F.ceil(length * (_LONGER / _SHORTER)).cast("int").alias("most"),
+    )
+    likely = saved(forms.where("n_blocks > 0").agg(F.collect_set(window).alias("likely")))
     content = F.coalesce(F.col(text), F.lit(""))
     lines = docs.where(F.lower(F.col(text)).rlike(rf"(?m)^[^\p{{L}}\p{{N}}]*(?:{start})") if starts else F.lit(False))
     lines = lines.select(text_key(text).alias("text_key"), content.alias("text")).withColumn(
         "lines", F.filter(F.transform(F.split("text", r"\n", -1), plain_line), lambda x: x != "")
     )
     blocks = F.when(F.col("text").rlike(_BLANK), _blocks(F.col("text"))).otherwise(F.array())
-    parts = F.array_distinct(F.concat("lines", *[_runs("blocks", n) for n in range(1, most + 1)]))
-    units = lines.withColumn("blocks", blocks)
+    parts = F.array_distinct(F.concat("lines", _runs("blocks", most, "likely")))
+    units = lines.withColumn("blocks", blocks).crossJoin(F.broadcast(likely))
     units = units.select("text_key", F.array_join("lines", " ").alias("form"), parts.alias("parts"))
     units = units.select("text_key", "form", F.explode_outer(F.array_union(F.array("form"), "parts")).alias("unit"))
-    likely = units.withColumn("first", F.substring("unit", 1, _FIRST)).join(small_side(firsts), "first").drop("first")
-    found = likely.withColumn("digest", digest(F.col("unit"))).join(small_side(digests.drop("first")), "digest")
+    close = units.withColumn("first", F.substring("unit", 1, _FIRST)).join(small_side(firsts), "first").drop("first")
+    found = close.withColumn("digest", digest(F.col("unit"))).join(small_side(digests.drop("first")), "digest")
     return found.groupBy("text_key", "license").agg(F.max(F.col("unit") == F.col("form")).alias("whole"))
 
 

@@ -1,6 +1,7 @@
 """Embedding links, chat formatting and the licence scan, on small tables with every awkward case."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -140,6 +141,22 @@ def test_licence_texts_are_found_whole(spark, name):
     assert [got[i]["whole_text"] for i in range(3)] == [True, True, False]
 
 
+def test_published_licence_texts_and_headers_are_known(spark):
+    folder = Path(license_texts.__file__).parent / "license_data"
+    whole = {p.stem: p.read_text() for p in folder.glob("*.txt")}
+    apache, gpl = whole["Apache-2.0"], whole["GPL-3.0"]
+    header = apache[apache.index("Licensed under the Apache License, Version 2.0 (the") :]
+    code = "#!/bin/sh\n\n# Copyright 2020 Somebody\n#\n" + "".join(f"# {x.strip()}\n" for x in header.splitlines()) + "\necho 1\n"
+    mit = license_texts.LICENSES["MIT"][-1].replace("IN NO EVENT SHALL THE ", "IN NO EVENT SHALL THE\n").replace("CLAIM, ", "CLAIM,\n")
+    rows = [(f"whole {n}", t, n) for n, t in whole.items()] + [(f"held {n}", f"Before.\n\n{t}\n\nAfter.", n) for n, t in whole.items()]
+    rows += [("code", code, "Apache-2.0"), ("terms", apache[: apache.index("APPENDIX")], "Apache-2.0"), ("mit", mit, "MIT")]
+    rows += [("gpl terms", gpl[: gpl.index("How to Apply These")], "GPL-3.0"), ("cut", gpl[: len(gpl) // 2], "")]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string, want string"), licenses.known_licenses(spark))
+    found = {r["doc_id"]: (r["licenses"], r["whole_text"]) for r in got.collect()}
+    assert {i: found[i][0] for i, _, _ in rows} == {i: [want] if want else [] for i, _, want in rows}
+    assert {i for i, (_, w) in found.items() if w} == {i for i, _, _ in rows if i.startswith("whole") or i in ("terms", "gpl terms", "mit")}
+
+
 def test_licence_scan_of_awkward_texts(spark):
     mit = "Released under the MIT License."
     rows = [
