@@ -555,7 +555,10 @@ _EXEMPT = ["case_id", "claim_id", "member_id", "policy_id", "provider_id", "sour
       unnest([0 FOR x IN range({len(_CASE_TEXT) - len(_EXEMPT)})] || [hits])::BIGINT AS hits FROM n""",
 )
 def claim_ssn_audit(src: Source) -> DataFrame:
-    """No free text of a case holds an SSN, dashed or bare; the raw notes, audited beside it, do."""
+    """No text outside the ids and the evidence of a case holds an SSN, dashed or bare; the raw notes, audited beside it, do.
+
+    ``claim_ssn_leaves`` scans the ids and the evidence as well.
+    """
     world = claim_world(src)
     raw = stage(src, "canonical_claims").select("claim_id", "selected_document_id")
     notes = world["ocr_documents"].select(F.col("source_document_id").alias("selected_document_id"), "extracted_notes")
@@ -565,6 +568,48 @@ def claim_ssn_audit(src: Source) -> DataFrame:
     return clean.unionByName(audit.audit_pattern_absent(planted, fv.SSN_PATTERN, exempt=["claim_id"]))
 
 
+#: what an SSN looks like where codes of nine bare digits are in place, and the leaves with such codes
+_DASHED = r"\b\d{3}-\d{2}-\d{4}\b"
+_ID_LEAVES = (
+    "case_id claim_id member_id policy_id provider_id source_document_ids evidence_package.historical_evidence.historical_claim_id "
+    "evidence_package.historical_evidence.provider_id evidence_package.authorization_evidence.authorization_id planted.id"
+).split()
+_TEXT_LEAVES = [c for c in _CASE_TEXT if c != "evidence_package"] + [
+    f"evidence_package.{part}.{leaf}"
+    for part, leaves in {
+        "data_quality_evidence": "validation_errors normalization_warnings missing_fields pii_types cross_document_conflict_fields",
+        "policy_evidence": "policy_status",
+        "provider_evidence": "provider_network_status",
+        "coverage_evidence": "procedure_code coverage_type",
+        "historical_evidence": "historical_claim_id provider_id procedure_code claim_status",
+        "authorization_evidence": "procedure_code authorization_result authorization_id authorization_status",
+    }.items()
+    for leaf in leaves.split()
+]
+
+
+@query(
+    "claim_ssn_leaves",
+    f"""{_S1}, n AS (SELECT count(DISTINCT ck) FILTER (regexp_matches(notes, '{fv.SSN_PATTERN}')) AS hits,
+      count(DISTINCT ck) FILTER (regexp_matches(notes, '{_DASHED}')) AS dashed FROM canon)
+    SELECT unnest({_TEXT_LEAVES}) AS column_name, CAST(0 AS BIGINT) AS hits
+    UNION ALL SELECT unnest(['planted.id', 'planted.evidence_package.historical_evidence.note']), unnest([dashed, hits])::BIGINT FROM n""",
+)
+def claim_ssn_leaves(src: Source) -> DataFrame:
+    """No text of a case holds an SSN: every column and every leaf of the evidence, single ids for the dashed form only.
+
+    The raw notes, planted as an id and inside evidence, are found.
+    """
+    world = claim_world(src)
+    raw = stage(src, "canonical_claims").select("claim_id", "selected_document_id")
+    notes = world["ocr_documents"].select(F.col("source_document_id").alias("selected_document_id"), F.col("extracted_notes").alias("note"))
+    planted = raw.join(notes, "selected_document_id", "left")
+    past = F.struct(F.array(F.struct("note")).alias("historical_evidence"))
+    planted = planted.select(F.struct(F.col("note").alias("id"), past.alias("evidence_package")).alias("planted"))
+    scan = lambda df: audit.audit_leaves_absent(df, fv.SSN_PATTERN, dict.fromkeys(_ID_LEAVES, _DASHED))
+    return scan(stage(src, "claim_case")).unionByName(scan(planted))
+
+
 # --- assembly operators on their own ------------------------------------------------------------------------------
 def _reasoned_orders(src: Source) -> DataFrame:
     from caseloom.catalog.orders import checked_orders

@@ -427,3 +427,25 @@ def test_median_of_a_group_far_larger_than_the_sketch(spark):
 def test_latest_row_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 3, "z"), ("b", 2, "w")], "k string, t int, v string")
     assert rows(runmetrics.latest_per_key(df, ["k"], "t", ["v"]), "k", "t", "v") == [("a", 3, "z"), ("b", 2, "w")]
+
+
+def test_pattern_audit_reaches_every_leaf(spark):
+    schema = "claim_id string, n int, e struct<ids:array<string>,past:array<struct<id:string,note:string,more:array<struct<t:string>>>>,m:map<string,string>>"
+    dashed, bare = "x\n123-45-6789", "123456789"
+    rows_ = [
+        (bare, 1, ([bare, None], [(bare, "ok", None), None], {"k": dashed})),
+        (dashed, 2, ([dashed], [(dashed, bare, [("no",)]), ("1", None, [(None,), (dashed,)])], None)),
+        (None, 3, None),
+    ]
+    df = spark.createDataFrame(rows_, schema)
+    ids = dict.fromkeys(["claim_id", "e.ids", "e.past.id"], r"\b\d{3}-\d{2}-\d{4}\b")
+    got = rows(audit.audit_leaves_absent(df, pii.fv.SSN_PATTERN, ids), "column_name", "hits")
+    assert sorted(got) == [("claim_id", 1), ("e.ids", 1), ("e.m.key", 0), ("e.m.value", 1), ("e.past.id", 1), ("e.past.more.t", 1), ("e.past.note", 1)]
+
+
+def test_case_ssn_audit_leaves_out_no_text():
+    from caseloom.catalog.claims import _CASE_TEXT, _EXEMPT
+    from caseloom.catalog import load
+
+    sql = load()["claim_ssn_leaves"].sql
+    assert all(f"'{c}'" in sql or f"'{c}." in sql for c in [*_CASE_TEXT, *_EXEMPT])
