@@ -28,6 +28,8 @@ RARITY_BITS, SLICES = 22, 64
 PAIRS = 1 << 20
 #: rows of one word that a task compares with as many others
 BLOCK = 1024
+#: entries of one word that are sifted with as many others; words with more are looked for in one of so many texts
+SIFTED, EVERY = 1 << 14, 32
 _SALT = np.uint64(0x632BE59BD9B4E019)
 
 
@@ -168,12 +170,12 @@ def _passes(size: np.ndarray, place: np.ndarray, bits: np.ndarray, i: np.ndarray
     return good & (np.minimum(size[i] - place[i], size[j] - place[j]) >= share * both - 1e-9)
 
 
-def _active(rows: np.ndarray, threshold: float) -> np.ndarray:
-    """The places of rows, in order of token, size and class, that may match another row of their token."""
-    token, size, place = rows["token"], rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+def _active(rows: np.ndarray, group: np.ndarray, threshold: float) -> np.ndarray:
+    """The places of rows, in order of group, size and class, that may match another row of their group."""
+    size, place = rows["size"].astype(np.int64), rows["place"].astype(np.int64)
     longest = np.floor(size / threshold + 1e-9).astype(np.int64)
-    # the end of the rows that are not too long: one search over (token's rank, size)
-    rank = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32
+    # the end of the rows that are not too long: one search over (group, size)
+    rank = group.astype(np.int64) << 32
     stop = np.searchsorted(rank + size, rank + longest, side="right")
     first = np.arange(len(rows))
     many = np.where(place <= size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9), stop - first - 1, 0)
@@ -208,27 +210,54 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield held
 
 
-def active_entries(entries: DataFrame, threshold: float) -> DataFrame:
+def heavy_words(documents: DataFrame, rank: np.ndarray, threshold: float, block: int = SIFTED, every: int = EVERY) -> DataFrame:
+    """(token, parts) of words with more than about ``block`` entries, told by one of ``every`` texts.
+
+    It only says how to deal entries out: a word that it misses is sifted in one task, with the same result.
+    """
+    some = documents.where(F.pmod(F.xxhash64("id", "tie"), F.lit(every)) == 0)
+    found = prefixes(some, rank, threshold).groupBy("token").agg((F.count_distinct("c1") * every).alias("n"))
+    return saved(found.where(F.col("n") > block).select("token", F.least(F.ceil(F.col("n") / block), F.lit(1 << 15)).cast("int").alias("parts")))
+
+
+def _cells(entries: DataFrame, heavy: DataFrame | None) -> DataFrame:
+    """The entries with cell: 0, or for heavy words each two parts of them, so that any two entries meet in a cell."""
+    if heavy is None:
+        return entries.withColumn("cell", F.lit(0))
+    mine = F.pmod(F.xxhash64("c1"), F.col("parts")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: o != F.col("mine"))
+    pairs = F.transform(others, lambda o: F.shiftleft(F.least(o, F.col("mine")), 15) + F.greatest(o, F.col("mine")))
+    dealt = entries.join(small_side(heavy), "token", "left").withColumn("mine", mine)
+    cells = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(pairs)
+    return dealt.withColumn("cell", F.explode(cells)).drop("parts", "mine")
+
+
+def active_entries(entries: DataFrame, threshold: float, heavy: DataFrame | None = None) -> DataFrame:
     """The entries that pass the length, parity and positional filters with another of their word, each class once.
 
-    Entries are dealt out by word and sorted, and a task goes through its words
-    in order, some thousand rows at a time. No pair leaves the task.
+    Entries are dealt out by word, those of ``heavy`` words (token, parts) by
+    word and each two of its parts, and sorted; a task goes through its words in
+    order, some thousand rows at a time. No pair leaves the task.
     """
     kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.int64)])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, ["token"]):
+        for table in _whole_groups(batches, ["token", "cell"]):
             rows = np.empty(table.num_rows, kind)
             for name in kind.names:
                 rows[name] = np.asarray(table[name])
-            new = np.ones(len(rows), bool)  # a class comes once from each task that found it
-            new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["c1"][1:] != rows["c1"][:-1])
-            rows = rows[new]
-            rows = rows[_active(rows, threshold)]
+            cell = np.asarray(table["cell"])
+            other = np.ones(len(rows), bool)
+            other[1:] = (rows["token"][1:] != rows["token"][:-1]) | (cell[1:] != cell[:-1])
+            new = other.copy()  # a class comes once from each task that found it
+            new[1:] |= rows["c1"][1:] != rows["c1"][:-1]
+            rows, group = rows[new], np.cumsum(other)[new]
+            rows = rows[_active(rows, group, threshold)]
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[n])) for n in kind.names], list(kind.names))
 
-    ordered = entries.repartition("token").sortWithinPartitions("token", "size", "c1")
-    return ordered.mapInArrow(sift, "token long, size int, c1 long, place int, bits long")
+    ordered = _cells(entries, heavy).repartition("token", "cell").sortWithinPartitions("token", "cell", "size", "c1")
+    found = ordered.mapInArrow(sift, "token long, size int, c1 long, place int, bits long")
+    return found if heavy is None else found.dropDuplicates(["token", "c1"])
 
 
 def _links_of(table: pa.Table, threshold: float) -> dict[tuple[int, int], list]:
@@ -288,7 +317,9 @@ def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, thre
     row per class, however many links it has.
     """
     rank = _ranks(rarity)
-    active = saved(active_entries(prefixes(documents, rank, threshold), threshold))
+    heavy = heavy_words(documents, rank, threshold)
+    heavy = None if heavy.isEmpty() else heavy
+    active = saved(active_entries(prefixes(documents, rank, threshold), threshold, heavy))
     wanted = packed(active.select("c1").distinct())
     bloom = bitmap(wanted, "c1")
 

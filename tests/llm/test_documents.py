@@ -172,6 +172,22 @@ def test_line_dedup_equals_brute_force(docs, nothing):
     assert line_dedup.repeated_lines(nothing).count() == 0
 
 
+def test_entries_of_a_common_word_are_sifted_in_cells(spark):
+    rng = random.Random(4)
+    lines = [f"viewed {rng.randrange(300)} times by {rng.randrange(40)} on the page since monday" for _ in range(600)]
+    documents = line_dedup._documents(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), "doc_id", "text")
+    rank = line_dedup._ranks(line_dedup.occurrences(documents)[1])
+    entries = line_dedup.prefixes(documents, rank, 0.8)
+    heavy = line_dedup.heavy_words(documents, rank, 0.8, 32, 1)
+    assert heavy.count() > 0
+    cells = line_dedup._cells(entries, heavy)
+    most = lambda df: max(r["count"] for r in df.dropDuplicates(["token", "cell", "c1"]).groupBy("token", "cell").count().collect())
+    assert most(line_dedup._cells(entries, None)) > 200 and most(cells) < 130
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    got = rows(line_dedup.active_entries(entries, 0.8, heavy))
+    assert got and got == rows(line_dedup.active_entries(entries, 0.8))
+
+
 def test_links_of_lines_in_small_blocks(spark):
     rng = random.Random(9)
     base = prose(rng, 30).split()
