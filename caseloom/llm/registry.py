@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, quality, token_files, warc
+from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, quality, token_counts, token_files, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_output": token_files.op8_token_output,
     "op9_licenses": licenses.op9_licenses,
     "op10_quality": quality.op10_quality,
+    "op11_token_counts": token_counts.op11_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.OP3_SQL,
