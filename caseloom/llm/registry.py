@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, quality, token_counts, token_files, warc
+from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, periodic_runs, quality, token_counts, token_files, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_licenses": licenses.op9_licenses,
     "op10_quality": quality.op10_quality,
     "op11_token_counts": token_counts.op11_token_counts,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.OP3_SQL,
