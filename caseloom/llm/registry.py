@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, periodic_runs, quality, token_counts, token_files, warc
+from caseloom.llm import chat, decontaminate, embedding_links, licenses, line_dedup, mixing, near_duplicates, periodic_runs, prefix_trie, quality, token_counts, token_files, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
     "op11_token_counts": token_counts.op11_token_counts,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.OP3_SQL,
@@ -24,4 +25,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,
     "op6_chat_preferences": chat.OP6_SQL,
     "op9_licenses": licenses.OP9_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }
