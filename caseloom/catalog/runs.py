@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from caseloom.catalog import Source, query
 from caseloom.operators import runmetrics
+from caseloom.sources.lineage import new_path
+from caseloom.sources.snapshots import Snapshots
 
 
 @query(
@@ -37,3 +39,25 @@ def latest_per_key(src: Source) -> DataFrame:
 def run_durations(src: Source) -> DataFrame:
     ts = F.unix_micros(F.col("ts").cast("timestamp"))
     return runmetrics.durations(src.events, ["user_id"], ts, ts, "duration_us")
+
+
+_RUN = "event_id % 3"
+_PUSHED = "event_type, user_id, event_id, value"
+
+
+@query(
+    "snapshot_runs",
+    f"""WITH pushed AS (SELECT 'run-' || CAST({_RUN} AS STRING) AS run_id, user_id % 500 AS user_id, event_type, event_id, value FROM events
+        WHERE (user_id + event_id % 3) % 4 <> 0)
+    SELECT 'history' AS state, run_id, {_PUSHED} FROM pushed UNION ALL SELECT 'current', run_id, {_PUSHED} FROM
+      (SELECT *, max(run_id) OVER (PARTITION BY event_type, user_id) AS last FROM pushed) WHERE run_id = last""",
+)
+def snapshot_runs(src: Source) -> DataFrame:
+    """Three runs push events by (type, user); each lacks some users, whose rows of an earlier run stay current."""
+    events = src.events.where("(user_id + event_id % 3) % 4 <> 0").withColumn("run", F.expr(_RUN))
+    rows = events.select("event_type", (F.col("user_id") % 500).alias("user_id"), "event_id", "value", "run")
+    store = Snapshots(src.spark, new_path(src.spark, "snapshots"), rows.drop("run").schema, ["event_type", "user_id"])
+    for run in (0, 1, 2, 1, 2):  # runs that push again leave the store as it was
+        store.push(rows.where(F.col("run") == run).drop("run"), f"run-{run}")
+    both = [store.history().withColumn("state", F.lit("history")), store.current().withColumn("state", F.lit("current"))]
+    return both[0].unionByName(both[1])
