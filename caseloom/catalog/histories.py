@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.catalog import Source, query
 from caseloom.operators import history, scoring
+from caseloom.sources.lineage import cut
 
 NAMES = (
     "prior_claim_count_365d",
@@ -104,7 +105,7 @@ def _near(src: Source) -> DataFrame:
     orders = dated_orders(src)
     ids = ("o_orderkey", "day", "amount")
     return history.near_duplicate_counts(
-        orders, orders, ["o_custkey", "o_orderpriority"], ids, ids, days=90, tolerance="0.25"
+        orders, orders, ["o_custkey", "o_orderpriority"], ids, ids, days=90, tolerance="0.25", between=cut
     )
 
 
@@ -132,7 +133,7 @@ def near_duplicates_heavy(src: Source) -> DataFrame:
         "event_id", "event_type", F.to_date("ts").alias("day"), F.col("value").cast("decimal(18,2)").alias("amount")
     )
     ids = ("event_id", "day", "amount")
-    return history.near_duplicate_counts(events, events, ["event_type"], ids, ids, days=3)
+    return history.near_duplicate_counts(events, events, ["event_type"], ids, ids, days=3, between=cut)
 
 
 @query(

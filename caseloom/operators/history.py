@@ -7,7 +7,8 @@ of a key is bounded by the calendar, and each record reads its own day's result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import reduce
 from operator import and_
@@ -159,17 +160,7 @@ def trailing_distinct(
     the window: one step up and one down, and a running sum over a key's days.
     """
     seen = _dated(history, keys, history_day, F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    again = F.lead("_day").over(Window.partitionBy(*keys, "_id").orderBy("_day"))
-    stop = F.least(F.coalesce(again, F.col("_day") + days), F.col("_day") + days) + 1
-    steps = seen.withColumn("_stop", stop).select(
-        *keys,
-        F.inline(
-            F.array(
-                F.struct((F.col("_day") + 1).alias("_day"), F.lit(1).alias("_step")),
-                F.struct(F.col("_stop").alias("_day"), F.lit(-1).alias("_step")),
-            )
-        ),
-    )
+    steps = _distinct_steps(seen, keys, days)
     asked = _dated(current, keys, current_day).withColumns({"_step": F.lit(0), "_asked": F.lit(1)})
     daily = (
         steps.withColumn("_asked", F.lit(0))
@@ -183,6 +174,21 @@ def trailing_distinct(
     return joined.withColumn(out, F.coalesce(out, F.lit(0).cast("long")))
 
 
+def _distinct_steps(seen: DataFrame, by: list[str], days: int) -> DataFrame:
+    """(by, _day, _step): up on the day from which an id of ``seen`` (by, _id, _day) counts, down on that from which it does not."""
+    again = F.lead("_day").over(Window.partitionBy(*by, "_id").orderBy("_day"))
+    stop = F.least(F.coalesce(again, F.col("_day") + days), F.col("_day") + days) + 1
+    return seen.withColumn("_stop", stop).select(
+        *by,
+        F.inline(
+            F.array(
+                F.struct((F.col("_day") + 1).alias("_day"), F.lit(1).alias("_step")),
+                F.struct(F.col("_stop").alias("_day"), F.lit(-1).alias("_step")),
+            )
+        ),
+    )
+
+
 def distinct_counts(
     lines: DataFrame,
     history: DataFrame,
@@ -195,24 +201,60 @@ def distinct_counts(
     """(id, count) of the distinct history ids in [day - days, day) under any key of the id's lines.
 
     ``mine`` and ``theirs`` name (id, day); an id of ``lines`` has one day and
-    each key once. Ids of history under one key only are counted by
-    ``trailing_distinct`` and added up. An id under several keys may match
-    several lines and must count once, so those rows, and only those, are joined
-    and made distinct.
+    each key once. What each line finds is counted per key by
+    ``trailing_distinct`` and added up. An id of history that is under several
+    keys of one set of lines was then counted once per key: ``_overcounts`` has
+    by how much, per set of keys and day. No line meets a row of history.
     """
     my_id, my_day = mine
     their_id, their_day = theirs
     past = history.where(none_null([*keys, their_id, their_day])).select(*keys, their_id, their_day).distinct()
-    key = F.struct(*keys)
-    spread = past.groupBy(their_id).agg((F.min(key) != F.max(key)).alias("_several"))
-    marked = past.join(spread, their_id)
-    once = trailing_distinct(lines, marked.where("not _several"), keys, my_day, their_day, their_id, "_hits")
-    asked = _dated(lines, keys, my_day, F.col(my_id).alias("_id"))
-    seen = _dated(marked.where("_several"), keys, their_day, F.col(their_id).alias("_other")).withColumnRenamed("_day", "_when")
-    within = (F.col("_when") < F.col("_day")) & (F.col("_when") >= F.col("_day") - days)
-    several = asked.join(seen, keys).where(within).select("_id", "_other").distinct()
-    both = once.select(F.col(my_id).alias("_id"), "_hits").unionByName(several.select("_id", F.lit(1).cast("long").alias("_hits")))
-    return both.groupBy(F.col("_id").alias(my_id)).agg(F.sum("_hits").alias(out))
+    each = trailing_distinct(lines, past, keys, my_day, their_day, their_id, "_hits")
+    summed = each.groupBy(F.col(my_id).alias("_id")).agg(F.sum("_hits").alias("_hits"))
+
+    asked = _dated(lines, keys, my_day, F.col(my_id).alias("_id"), F.struct(*keys).alias("_key")).drop(*keys)
+    # the same for the same set of keys, in whatever order they come: 128 bits of sums, so no list is gathered
+    first, second = (F.sum(F.xxhash64(F.lit(seed), "_key").cast("decimal(38,0)")) for seed in (1, 2))
+    own = asked.groupBy("_id", "_day").agg(F.count(F.lit(1)).alias("_size"), first.alias("_h1"), second.alias("_h2"))
+    own = own.where("_size > 1").select("_id", "_day", F.struct("_size", "_h1", "_h2").alias("_set"))
+    sets = asked.join(own, ["_id", "_day"]).select("_set", "_key").distinct()
+    seen = _dated(past, keys, their_day, F.col(their_id).alias("_other"), F.struct(*keys).alias("_key")).drop(*keys)
+    over = _overcounts(sets, own.select("_set", "_day").distinct(), seen, days)
+    corrected = own.join(over, ["_set", "_day"]).select("_id", (-F.col("_over")).alias("_hits"))
+    return summed.unionByName(corrected).groupBy(F.col("_id").alias(my_id)).agg(F.sum("_hits").alias(out))
+
+
+def _overcounts(sets: DataFrame, asked: DataFrame, seen: DataFrame, days: int) -> DataFrame:
+    """(_set, _day, _over): how often ids that count under several keys of a set count too often, for each day asked.
+
+    ``sets`` has (_set, _key), ``seen`` (_key, _other, _day). An id under
+    several keys of a set is under one besides the set's most frequent, so only
+    the ids of the others are listed, and looked up under that one. For what is
+    found, occurrences per key step up and down as ``trailing_distinct`` has
+    them, those of the set as a whole the other way, and a running sum over the
+    days of a set is the surplus.
+    """
+    under = seen.select("_key", "_other").distinct()
+    sizes = under.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    sized = sets.join(sizes, "_key")
+    most = sized.groupBy("_set").agg(F.max(F.struct("_n", "_key"))["_key"].alias("_most"))
+    listed = sized.join(most, "_set").where(F.col("_key") != F.col("_most"))
+    rare = listed.select("_set", "_key", "_most").join(under, "_key")
+    found = rare.select("_set", F.col("_most").alias("_key"), "_other").distinct().join(under, ["_key", "_other"])
+    both = rare.select("_set", "_key", "_other").unionByName(found.select("_set", "_key", "_other"))
+    several = both.withColumn("_keys", F.count(F.lit(1)).over(Window.partitionBy("_set", "_other"))).where("_keys > 1")
+    points = several.select("_set", "_key", "_other").join(seen, ["_key", "_other"])
+    points = points.select("_set", "_key", F.col("_other").alias("_id"), "_day")
+    per_key = _distinct_steps(points, ["_set", "_key"], days).select("_set", "_day", "_step")
+    whole = _distinct_steps(points.select("_set", "_id", "_day").distinct(), ["_set"], days)
+    steps = per_key.unionByName(whole.withColumn("_step", -F.col("_step"))).withColumn("_asked", F.lit(0))
+    daily = (
+        steps.unionByName(asked.withColumns({"_step": F.lit(0), "_asked": F.lit(1)}))
+        .groupBy("_set", "_day")
+        .agg(F.sum("_step").alias("_step"), F.max("_asked").alias("_asked"))
+    )
+    line = Window.partitionBy("_set").orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.withColumn("_over", F.sum("_step").over(line)).where("_asked = 1 AND _over > 0").select("_set", "_day", "_over")
 
 
 def near_duplicate_counts(
@@ -225,6 +267,7 @@ def near_duplicate_counts(
     days: int = fv.DUPLICATE_DAYS,
     tolerance: str = fv.DUPLICATE_TOLERANCE,
     own_id: str | None = None,
+    between: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """(id, count) of the distinct history ids near a current row, for ids with at least one.
 
@@ -234,10 +277,13 @@ def near_duplicate_counts(
     null history id never counts, a null own id excludes nothing. A current id
     may have several rows with different keys; a history id near several counts once.
 
-    History that has an id once is counted by ``_swept``, without pairs. An id
-    with several keys, days or amounts must count once for all of them, which
-    counting points cannot tell; those points, and only those, are joined and
-    made distinct.
+    A grid of (key, block of days, band of amounts) first tells which rows have
+    any but themselves near: no other can count. Of those, history that has an
+    id once is counted by ``_swept``, without pairs. An id with several keys,
+    days or amounts must count once for all of them, which counting points
+    cannot tell (colours in two dimensions); those points, and only those, are
+    joined within their cell of the grid and made distinct. ``between`` may write
+    what is used several times, see ``sources.lineage.cut``.
     """
     my_id, my_day, my_amount = mine
     their_id, their_day, their_amount = theirs
@@ -257,20 +303,22 @@ def near_duplicate_counts(
     cents = (F.col(their_amount).cast(MONEY) * 100).cast("long")
     points = _dated(history, keys, their_day, F.col(their_id).alias("_other"), cents.alias("_cents"))
     points = points.where(none_null(["_other", "_cents"])).withColumnRenamed("_day", "_when").distinct()
+    probes, points = _near_cells(probes.where("_low <= _high"), points, keys, days, tolerance, between)
+    box = ["_block0", "_block1", "_band0", "_band1"]
     times = points.groupBy("_other").agg(
         F.count(F.lit(1)).alias("_times"), F.min(F.struct(*keys, "_when", "_cents")).alias("_point")
     )
-    once = times.where("_times = 1").select("_other", "_point.*")
+    once = between(times.where("_times = 1").select("_other", "_point.*"), "near_once")
     several = points.join(times.where("_times > 1").select("_other"), "_other")
     near = (F.abs(F.col("_when") - F.col("_day")) <= days) & F.col("_cents").between(F.col("_low"), F.col("_high"))
 
-    swept = _swept(probes, once, keys, days)
+    swept = _swept(probes.drop(*box), once, keys, days)
     # a probe that is itself in the history was counted with it
     renamed = once.select(F.col("_other").alias("_own"), "_when", "_cents", *[F.col(k).alias(f"_their_{k}") for k in keys])
     same_keys = reduce(and_, [F.col(k) == F.col(f"_their_{k}") for k in keys])
     itself = probes.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
     repeated = (
-        probes.join(several, keys)
+        _in_cells(probes).join(several, [*keys, "_block", "_band"])
         .where(near & ~F.col("_own").eqNullSafe(F.col("_other")))
         .select("_id", "_other")
         .distinct()
@@ -285,6 +333,61 @@ def near_duplicate_counts(
     )
 
 
+def _near_cells(
+    probes: DataFrame,
+    points: DataFrame,
+    keys: list[str],
+    days: int,
+    tolerance: str,
+    between: Callable[[DataFrame, str], DataFrame],
+) -> tuple[DataFrame, DataFrame]:
+    """The probes and points with another one near in a grid, with the cells of each.
+
+    A block has as many days as a probe reaches over, a band all amounts up to
+    the ratio of a probe's bounds, so a probe lies over two blocks and bands, or
+    three bands where rounding has it. Both sides are folded to cells before
+    they meet; a cell knows the least and greatest id in it, which tells one
+    that holds nothing but the probe itself.
+    """
+    width, part = 2 * days + 1, Decimal(tolerance)
+    ratio = max(float((1 + part) / (1 - part)), 1.05) if part < 1 else None
+
+    def band(cents: Column) -> Column:
+        if ratio is None:
+            return F.lit(0).cast("long")
+        return F.when(cents > 0, F.floor(F.log(cents.cast("double")) / F.lit(math.log(ratio)))).otherwise(F.lit(-1).cast("long"))
+
+    def block(day: Column) -> Column:
+        return F.floor(day / width)
+
+    points = points.withColumns({"_block": block(F.col("_when")), "_band": band(F.col("_cents"))})
+    probes = probes.withColumns(
+        {
+            "_block0": block(F.col("_day") - days),
+            "_block1": block(F.col("_day") + days),
+            "_band0": band(F.col("_low")),
+            "_band1": band(F.col("_high")),
+        }
+    )
+    cell, box = [*keys, "_block", "_band"], [*keys, "_block0", "_block1", "_band0", "_band1"]
+    cells = points.groupBy(*cell).agg(F.min("_other").alias("_from"), F.max("_other").alias("_upto"))
+    boxes = probes.groupBy(*box).agg(
+        F.min("_own").alias("_own0"), F.max("_own").alias("_own1"), F.max(F.col("_own").isNull()).alias("_nobody")
+    )
+    alone = (F.col("_from") == F.col("_upto")) & (F.col("_own0") == F.col("_own1")) & (F.col("_from") == F.col("_own0")) & ~F.col("_nobody")
+    met = _in_cells(boxes).join(cells, cell).where(~F.coalesce(alone, F.lit(False))).select(*box, "_block", "_band")
+    met = between(met, "near_cells")
+    probes = probes.join(met.select(*box).distinct(), box, "left_semi")
+    points = points.join(met.select(*cell).distinct(), cell, "left_semi")
+    return between(probes, "near_probes"), between(points, "near_points")
+
+
+def _in_cells(boxes: DataFrame) -> DataFrame:
+    """One row for each cell of the grid that a row reaches over."""
+    blocks = boxes.withColumn("_block", F.explode(F.sequence("_block0", "_block1")))
+    return blocks.withColumn("_band", F.explode(F.sequence("_band0", "_band1")))
+
+
 def _swept(probes: DataFrame, points: DataFrame, keys: list[str], days: int) -> DataFrame:
     """(_id, _hits) by counting points in a date x amount box, without pairs.
 

@@ -381,7 +381,13 @@ def enrich_coverage(claims: DataFrame, plan_coverage: DataFrame) -> DataFrame:
 LINE_COLUMNS = ("claim_id", "member_id", "provider_id", "service_date_parsed")
 
 
-def history_facts(claims: DataFrame, lines: DataFrame, claim_history: DataFrame) -> DataFrame:
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def history_facts(
+    claims: DataFrame, lines: DataFrame, claim_history: DataFrame, between: Callable[..., DataFrame] = _as_is
+) -> DataFrame:
     """What history adds, one narrow row per claim key; every history line counts, ids where ids are meant.
 
     ``lines`` is of ``claim_lines``, with ``LINE_COLUMNS`` and each line's share of the amount.
@@ -403,6 +409,7 @@ def history_facts(claims: DataFrame, lines: DataFrame, claim_history: DataFrame)
         ("claim_key", "service_date_parsed", "procedure_billed_amount"),
         ("historical_claim_id", "service_date", "claim_amount"),
         own_id="claim_id",
+        between=between,
     )
     metrics = (
         "prior_claim_count_365d",
@@ -523,10 +530,6 @@ STAGES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
-def _as_is(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
 def claim_stages(inputs: Inputs, between: Callable[..., DataFrame] = _as_is) -> Iterator[tuple[str, DataFrame]]:
     """The table of each stage in turn; ``between`` may write what later stages use, see ``sources.lineage.cut``.
 
@@ -544,7 +547,7 @@ def claim_stages(inputs: Inputs, between: Callable[..., DataFrame] = _as_is) ->
     priced = between(priced_lines(narrow, inputs["plan_coverage"], *LINE_COLUMNS), "priced_lines")
     covered = between(coverage_facts(priced), "coverage_facts")
     yield "coverage_enriched_claims", _take_in(claims, references, covered)
-    past = between(history_facts(narrow, priced, inputs["claim_history"]), "history_facts")
+    past = between(history_facts(narrow, priced, inputs["claim_history"], between), "history_facts")
     yield "historical_enriched_claims", _take_in(claims, references, covered, past)
     code = F.when(F.col("requires_pre_authorization"), F.col("procedure_code"))
     required = priced.select(*KEY, *LINE_COLUMNS[1:], code.alias("procedure_code"))

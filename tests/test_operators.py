@@ -339,6 +339,65 @@ def test_distinct_ids_over_days_and_keys(spark):
     assert {i: n for i, n in over.items() if n} == {i: len(s) for i, s in want.items() if s}
 
 
+def test_distinct_ids_over_sets_of_keys(spark):
+    """A key in a third of all lines beside many others, ids under many keys, repeated rows, null and empty sides."""
+    rng = random.Random(11)
+    names = ["hot", *(f"k{i}" for i in range(12))]
+    past = []
+    for _ in range(900):
+        past.append((rng.choice([None, *range(40)]), rng.choice([None, "hot", "hot", *names]), DAY0 + timedelta(days=rng.randrange(800))))
+    past += past[:60] + [(1, "hot", None)]
+    asks = []
+    for i in range(250):
+        day = DAY0 + timedelta(days=rng.randrange(900))
+        for k in {"hot", *rng.sample(names, rng.randrange(5))} if i % 3 else {rng.choice([*names, None])}:
+            asks.append((i, k, day if i % 31 else None))
+    h, c = spark.createDataFrame(past, "id int, k string, day date"), spark.createDataFrame(asks, "i int, k string, day date")
+    names_ = (["k"], ("i", "day"), ("id", "day"), "n")
+    want = {}
+    for i, k, d in asks:
+        seen = {x[0] for x in past if x[0] is not None and k and d and x[1] == k and x[2] and d - timedelta(days=365) <= x[2] < d}
+        want[i] = want.get(i, set()) | seen
+    got = {r["i"]: r["n"] for r in history.distinct_counts(c, h, *names_).collect()}
+    assert got == {i: len(s) for i, s in want.items()} and max(got.values()) > 20
+    assert {r["n"] for r in history.distinct_counts(c, h.where("false"), *names_).collect()} == {0}
+    assert history.distinct_counts(c.where("false"), h, *names_).count() == 0
+
+
+def test_sets_of_keys_never_list_the_ids_of_their_most_frequent_key(spark):
+    """One key has 5,000 ids and is in 300 sets: what is listed grows with the other keys' ids alone."""
+    hot = spark.range(5_000).selectExpr("named_struct('k', 'hot') AS _key", "id AS _other", "1 AS _day")
+    rare = spark.range(600).selectExpr("named_struct('k', concat('k', id % 300)) AS _key", "id * 9 AS _other", "2 AS _day")
+    sets = spark.range(300).selectExpr("id AS _set", "explode(array(named_struct('k', 'hot'), named_struct('k', concat('k', id)))) AS _key")
+    over = history._overcounts(sets, spark.range(300).selectExpr("id AS _set", "3 AS _day"), hot.unionByName(rare), 365)
+    assert {(r["_set"], r["_over"]) for r in over.collect()} == {(i, 2 if (i + 300) * 9 < 5_000 else 1) for i in range(300) if i * 9 < 5_000}
+
+    def made(node):
+        rows = [node.metrics().get("numOutputRows").get().value()] if node.metrics().contains("numOutputRows") else []
+        plan = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan() if "QueryStage" in node.nodeName() else None
+        below = [plan] if plan is not None else [node.children().apply(i) for i in range(node.children().size())]
+        return max([*rows, *map(made, below)], default=0)
+
+    over.collect()
+    assert 5_000 <= made(over._jdf.queryExecution().executedPlan()) < 12_000  # 300 sets times 5,000 ids would be 1,500,000
+
+
+def test_rows_with_nothing_but_themselves_near_leave_the_grid(spark):
+    rows = [(str(i), f"m{i % 400}", DAY0 + timedelta(days=i % 400), Decimal(100 + 1000 * (i // 400))) for i in range(800)]
+    rows += [("a", "m1", DAY0 + timedelta(days=2), Decimal(101)), ("b", "m9", DAY0 + timedelta(days=500), Decimal(100))]
+    df = spark.createDataFrame(rows, "id string, m string, day date, amt decimal(18,2)")
+    written = {}
+
+    def count(part, name):
+        written[name] = part.count()
+        return part
+
+    ids = ("id", "day", "amt")
+    got = history.near_duplicate_counts(df, df, ["m"], ids, ids, out="n", between=count)
+    assert {r["id"]: r["n"] for r in got.collect()} == {"1": 1, "a": 1}
+    assert written["near_probes"] <= 4 and written["near_points"] <= 4
+
+
 # --- authorization and coverage -----------------------------------------------------------------------------
 def test_match_authorizations(spark):
     rng = random.Random(3)
