@@ -1,5 +1,6 @@
 """Operators against brute force on small, awkward tables."""
 
+import math
 import random
 import statistics
 from datetime import date, timedelta
@@ -476,13 +477,49 @@ def test_exact_median_and_skew(spark):
     assert got["b"]["median_value"] == 2.5 and got["d"]["skew_ratio"] is None and "c" not in got
 
 
-def test_median_of_a_group_far_larger_than_the_sketch(spark):
+def test_median_of_a_large_group(spark):
     df = spark.range(300_000).select(F.lit(1).alias("g"), ((F.col("id") * 7919) % 300_007).cast("double").alias("v"))
     values = sorted((i * 7919) % 300_007 for i in range(300_000))
     got = runmetrics.exact_median(df, ["g"], "v").first()
     assert got["median_value"] == (values[149_999] + values[150_000]) / 2
 
 
+def test_digits_order_like_the_values(spark):
+    """Neighbours of powers of two, both signs, subnormal and infinite values, and the ends of the longs."""
+    rng = random.Random(6)
+    floats = [m * s for e in (-1074, -1073, -1030, -1022, -1021, -537, -1, 0, 1, 2, 52, 53, 1000, 1023) for m in (2.0**e,) for s in (1, -1)]
+    floats += [math.nextafter(x, y) for x in floats for y in (0, math.copysign(math.inf, x))]
+    floats += [0.0, math.inf, -math.inf, math.nan, 0.1, 0.3, *(rng.uniform(-1, 1) * 10.0 ** rng.randrange(-300, 300) for _ in range(500))]
+    longs = [0, 1, -1, 2**63 - 1, -(2**63), 65535, 65536, -65536, *(rng.randrange(-(2**62), 2**62) for _ in range(200))]
+    for values, kind in ((floats, "double"), (longs, "long")):
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}").distinct()
+        digits = runmetrics._digits(F.col("v"), df.schema["v"].dataType)
+        got = [(*r[1:], r[0]) for r in df.select("v", *[d.alias(f"d{i}") for i, d in enumerate(digits)]).collect()]
+        by_digits = [r[-1] for r in sorted(got, key=lambda r: r[:4])]
+        assert len({r[:4] for r in got}) == len(got)
+        wanted = sorted(by_digits, key=lambda x: (x != x, x))
+        assert list(map(repr, by_digits)) == list(map(repr, wanted))
+        assert all(abs(r[0]) <= (2100 if kind == "double" else 2**15) and all(0 <= d < 2**18 for d in r[1:4]) for r in got)
+
+
+@pytest.mark.parametrize("kind", ["double", "long", "int", "decimal(18,2)"])
+def test_medians_equal_a_sorted_list(spark, kind):
+    """Ties, repeated rows, null values, a null group, a group with a third of the rows, groups of one and two."""
+    rng = random.Random(kind)
+    number = {"double": lambda: rng.choice([rng.gauss(0, 1e6), 0.0, 1e-9, 7.25]), "decimal(18,2)": lambda: Decimal(rng.randrange(-9999, 9999)) / 100}
+    draw = number.get(kind, lambda: rng.randrange(-80_000, 80_000))
+    rows = [(rng.choice(["hot", "hot", *"abcdefgh", None]), rng.choice([draw(), draw(), draw(), None])) for _ in range(1500)]
+    rows += rows[:100] + [("one", draw()), ("two", draw()), ("two", draw()), ("nothing", None)]
+    df = spark.createDataFrame(rows, f"g string, v {kind}")
+    want = {}
+    for g, v in rows:
+        if v is not None:
+            want.setdefault(g, []).append(v)
+    got = {r["g"]: (r["value_count"], r["max_value"], float(r["median_value"])) for r in runmetrics.exact_median(df, ["g"], "v").collect()}
+    assert got == {g: (len(x), max(x), pytest.approx(float(statistics.median(x)))) for g, x in want.items()}
+    assert runmetrics.exact_median(df.where("false"), ["g"], "v").count() == 0
+
+
 def test_latest_row_per_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 3, "z"), ("b", 2, "w")], "k string, t int, v string")
     assert rows(runmetrics.latest_per_key(df, ["k"], "t", ["v"]), "k", "t", "v") == [("a", 3, "z"), ("b", 2, "w")]
