@@ -61,3 +61,70 @@ def snapshot_runs(src: Source) -> DataFrame:
         store.push(rows.where(F.col("run") == run).drop("run"), f"run-{run}")
     both = [store.history().withColumn("state", F.lit("history")), store.current().withColumn("state", F.lit("current"))]
     return both[0].unionByName(both[1])
+
+
+_MS = "CAST(floor(abs(value) * 1000) AS BIGINT)"
+_TASKS = f"""SELECT user_id % 16 AS app, user_id % 5 AS stage_id, event_id % 2 AS attempt_id, CAST(user_id % 3 AS STRING) AS executor_id,
+    {_MS} AS run_ms, event_id % 50 AS gc_ms, (event_id % 1000) * 4096 AS memory_spill_bytes, (event_id % 1000) * 512 AS disk_spill_bytes,
+    user_id * 10 AS remote, event_id % 7 AS local, event_id * 3 AS shuffle_write_bytes, (event_id * 7919) % 1000003 AS heap_bytes FROM {{events}}"""
+
+
+def _landed_log(src: Source) -> DataFrame:
+    """Events as the ends of tasks of 16 applications, landed as one event log each and read back."""
+    tasks = src.spark.sql(_TASKS, events=src.events)
+    ended = F.struct(
+        F.lit("SparkListenerTaskEnd").alias("Event"),
+        F.col("stage_id").alias("Stage ID"),
+        F.col("attempt_id").alias("Stage Attempt ID"),
+        F.struct(F.col("executor_id").alias("Executor ID")).alias("Task Info"),
+        F.struct(
+            F.col("run_ms").alias("Executor Run Time"),
+            F.col("gc_ms").alias("JVM GC Time"),
+            F.col("memory_spill_bytes").alias("Memory Bytes Spilled"),
+            F.col("disk_spill_bytes").alias("Disk Bytes Spilled"),
+            F.struct(F.col("remote").alias("Remote Bytes Read"), F.col("local").alias("Local Bytes Read")).alias("Shuffle Read Metrics"),
+            F.struct(F.col("shuffle_write_bytes").alias("Shuffle Bytes Written")).alias("Shuffle Write Metrics"),
+        ).alias("Task Metrics"),
+        F.struct(F.col("heap_bytes").alias("JVMHeapMemory")).alias("Task Executor Metrics"),
+    )
+    name = F.concat(F.lit("app-"), F.col("app").cast("string"))
+    started = F.struct(F.lit("SparkListenerApplicationStart").alias("Event"), F.lit("job").alias("App Name"), name.alias("App ID"))
+    added = F.struct(
+        F.lit("SparkListenerBlockManagerAdded").alias("Event"),
+        F.struct(F.col("executor_id").alias("Executor ID")).alias("Block Manager ID"),
+        F.lit(1 << 30).alias("Maximum Memory"),
+    )
+    lines = tasks.select("app", F.to_json(ended).alias("value"))
+    lines = lines.unionByName(tasks.select("app").distinct().select("app", F.to_json(started).alias("value")))
+    known = tasks.select("app", "executor_id").distinct().where("executor_id <> '2'")
+    lines = lines.unionByName(known.select("app", F.to_json(added).alias("value")))
+    path = new_path(src.spark, "event_logs")
+    lines.repartition("app").write.partitionBy("app").text(path)  # a log is one file
+    return runmetrics.read_event_log(src.spark, path)
+
+
+_T = f"t AS ({_TASKS.format(events='events')})"
+_SPILL = "memory_spill_bytes", "disk_spill_bytes"
+
+
+@query(
+    "stage_totals",
+    f"""WITH {_T} SELECT 'app-' || CAST(app AS STRING) AS app_id, stage_id, attempt_id, count(*) AS task_count,
+      CAST(sum(remote + local) AS BIGINT) AS shuffle_read_bytes, CAST(sum(shuffle_write_bytes) AS BIGINT) AS shuffle_write_bytes,
+      {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _SPILL)},
+      CASE WHEN quantile_cont(run_ms, 0.5) > 0 THEN round(max(run_ms) / quantile_cont(run_ms, 0.5), 6) END AS task_duration_skew_ratio
+    FROM t GROUP BY app, stage_id, attempt_id""",
+)
+def stage_totals(src: Source) -> DataFrame:
+    ratio = F.round("task_duration_skew_ratio", 6)
+    return runmetrics.stage_totals(_landed_log(src)).withColumn("task_duration_skew_ratio", ratio)
+
+
+@query(
+    "executor_totals",
+    f"""WITH {_T} SELECT 'app-' || CAST(app AS STRING) AS app_id, executor_id, max(heap_bytes) AS heap_used_bytes,
+      CAST(sum(gc_ms) AS BIGINT) AS gc_ms, CASE WHEN executor_id <> '2' THEN CAST(1073741824 AS BIGINT) END AS heap_max_bytes
+    FROM t GROUP BY app, executor_id""",
+)
+def executor_totals(src: Source) -> DataFrame:
+    return runmetrics.executor_totals(_landed_log(src))
