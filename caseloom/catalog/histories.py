@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.catalog import Source, query
 from caseloom.operators import history, scoring
-from caseloom.sources.lineage import cut
+from caseloom.operators.trailing_state import TrailingState
+from caseloom.sources.lineage import cut, new_path
 
 NAMES = (
     "prior_claim_count_365d",
@@ -43,14 +44,31 @@ _METRICS = f"""{_ORDERS}, metrics AS (SELECT c.o_orderkey, c.o_custkey, c.amount
     GROUP BY ALL)"""
 
 
-@query(
-    "trailing_metrics",
-    f"""WITH {_METRICS} SELECT o_orderkey, n AS prior_claim_count_365d, total AS prior_claim_amount_365d,
-      last_day AS most_recent_prior_service_date, round(mean, 6) AS historical_average_claim_amount FROM metrics""",
-)
-def trailing_metrics(src: Source) -> DataFrame:
+_METRICS_SQL = f"""WITH {_METRICS} SELECT o_orderkey, n AS prior_claim_count_365d, total AS prior_claim_amount_365d,
+      last_day AS most_recent_prior_service_date, round(mean, 6) AS historical_average_claim_amount FROM metrics"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
     count, total, last, mean = NAMES
-    return _with_metrics(src).select("o_orderkey", count, total, last, F.round(mean, 6).alias(mean))
+    return df.select("o_orderkey", count, total, last, F.round(mean, 6).alias(mean))
+
+
+@query("trailing_metrics", _METRICS_SQL)
+def trailing_metrics(src: Source) -> DataFrame:
+    return _rounded(_with_metrics(src))
+
+
+@query("trailing_state", _METRICS_SQL)
+def trailing_state(src: Source) -> DataFrame:
+    """The same from totals by day, into which the orders came in four batches, one of them late and twice."""
+    orders = dated_orders(src)
+    state = TrailingState(src.spark, new_path(src.spark, "trailing_state"), orders.select("o_custkey").schema)
+    year = F.year("day")
+    late = F.col("o_orderkey") % 10 == 0
+    batches = {"late": late, "early": ~late & (year < 1997), "middle": ~late & year.between(1997, 1998), "rest": ~late & (year > 1998)}
+    for name in ("early", "middle", "late", "rest", "late"):
+        state.merge(orders.where(batches[name]), name, "day", "amount")
+    return _rounded(state.metrics(orders, "day", NAMES))
 
 
 def _same_part(src: Source) -> DataFrame:

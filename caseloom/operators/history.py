@@ -48,16 +48,26 @@ def trailing_metrics(
     Running totals up to yesterday minus running totals up to the day before the
     window: both frames grow only at the end, so the cost is linear in days.
     """
+    return metrics_of_days(current, daily_facts(history, keys, history_day, amount), keys, current_day, names, days)
+
+
+def daily_facts(history: DataFrame, keys: list[str], day: str, amount: str) -> DataFrame:
+    """(keys, _day, _n, _sum, _known): rows, whole cents and known amounts of each row, which add up by day.
+
+    Rows with a null key or day are left out.
+    """
     # whole cents in a long add up exactly and fast; an overflow is an error, not a wrong sum
     cents = (F.col(amount).cast(MONEY) * 100).cast("long")
-    facts = _dated(history, keys, history_day, F.lit(1).alias("_n"), cents.alias("_cents")).select(
-        *keys,
-        "_day",
-        "_n",
-        F.coalesce("_cents", F.lit(0)).alias("_sum"),
-        F.col("_cents").isNotNull().cast("int").alias("_known"),
-        F.lit(0).alias("_asked"),
+    return _dated(history, keys, day, F.lit(1).alias("_n"), cents.alias("_cents")).select(
+        *keys, "_day", "_n", F.coalesce("_cents", F.lit(0)).alias("_sum"), F.col("_cents").isNotNull().cast("int").alias("_known")
     )
+
+
+def metrics_of_days(
+    current: DataFrame, facts: DataFrame, keys: list[str], current_day: str, names: tuple[str, str, str, str], days: int
+) -> DataFrame:
+    """``trailing_metrics`` from ``daily_facts``, whole or already added up by day."""
+    facts = facts.withColumn("_asked", F.lit(0))
     asked = _dated(current, keys, current_day).withColumns(
         {"_n": F.lit(0), "_sum": F.lit(0).cast("long"), "_known": F.lit(0), "_asked": F.lit(1)}
     )
