@@ -11,7 +11,7 @@ from caseloom.catalog.coverage import COVERED, rolled_up
 from caseloom.catalog.world import RAW, claim_world, raw_orders
 from caseloom.operators import audit
 from caseloom.plans import claims
-from caseloom.sources import tables
+from caseloom.sources import stages, tables
 from caseloom.sources.lineage import new_path
 from caseloom.sources.schemas import OCR_COLUMNS
 
@@ -124,6 +124,21 @@ def stage_resume(src: Source) -> DataFrame:
     return claims_reference_columns(tables.read_stage(src.spark, f"{folder}/reference_enriched_claims"))
 
 
+@query("stage_republish", REFERENCES_SQL)
+def stage_republish(src: Source) -> DataFrame:
+    """The first two stages published, then the second alone once more, after the policies that it reads have changed."""
+    world, root = claim_world(src), new_path(src.spark, "republish")
+    paths = {name: f"{root}/landed/{name}" for name in ("ocr_documents", "policy", "member", "provider")}
+    for name, path in paths.items():
+        landed = world[name].select(*OCR_COLUMNS) if name == "ocr_documents" else world[name]
+        tables.write_stage(landed.withColumn("policy_status", F.lit("INACTIVE")) if name == "policy" else landed, path, "csv")
+    upto = "reference_enriched_claims"
+    claims.resume_stages(src.spark, f"{root}/stages", paths, upto)
+    tables.write_stage(world["policy"], paths["policy"], "csv")
+    claims.resume_stages(src.spark, f"{root}/stages", paths, upto)
+    return claims_reference_columns(stages.read_published(src.spark, f"{root}/stages/{upto}"))
+
+
 @query(
     "stage_counts",
     """SELECT unnest(['rows', 'open', 'urgent', 'expected', 'unexpected']) AS measure, unnest([count(*),

@@ -20,7 +20,7 @@ from caseloom.functions import parsing as p
 from caseloom.operators import authorization, canonical, cases, coverage, history, lookup, pii, rules, scoring
 from caseloom.operators import standardize as st
 from caseloom.operators.rules import Rule
-from caseloom.sources import tables
+from caseloom.sources import stages, tables
 from caseloom.sources.schemas import INPUTS
 
 KEY = ["claim_key"]
@@ -593,3 +593,32 @@ def run_stage(
         tables.write_case(result, f"{folder}/{name}")
     else:
         tables.write_stage(result, f"{folder}/{name}", fmt)
+
+
+def resume_stages(
+    spark: SparkSession, folder: str, paths: dict[str, str], upto: str = "claim_case", fmt: str = "parquet", edition: str = "1"
+) -> list[str]:
+    """Publish the stages in turn under ``folder``, each from the one before; the names of those that ran.
+
+    ``paths`` has the landed CSV of every input. A stage whose inputs, the stage
+    before included, are as they were when it was made is left as it is, and so
+    is all that follows it. A change of the code is told by ``edition``.
+    """
+    ran, before = [], None
+    for name, (stage, needs) in STAGES.items():
+        inputs = {n: paths[n] for n in needs} | {"before": f"{folder}/{before}" if before else paths["ocr_documents"]}
+
+        def build(stage=stage, needs=needs, before=before, last=name == "claim_case") -> DataFrame:
+            if before is None:
+                source = tables.read_raw(spark, paths["ocr_documents"], INPUTS["ocr_documents"].fieldNames())
+            else:
+                source = stages.read_published(spark, f"{folder}/{before}")
+            result = stage(source, *[tables.read_reference(spark, paths[n], INPUTS[n]) for n in needs])
+            return tables.with_run_times(result) if last else result
+
+        if stages.resume_stage(spark, f"{folder}/{name}", inputs, f"{name} {edition}", build, fmt):
+            ran.append(name)
+        if name == upto:
+            return ran
+        before = name
+    raise KeyError(upto)
