@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.shared import table
+from caseloom.llm.shared import saved, small_side, table
 
 #: fixed values of the chat format
 START, END = "<|im_start|>", "<|im_end|>"
 ASSISTANT = "assistant"
-#: conversations whose ids share the quotient by this are each other's source of rejected replies
-BLOCK = 64
 
 
 def conversations(turns: DataFrame, id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -32,31 +30,64 @@ def conversations(turns: DataFrame, id: str = "conv_id", turn: str = "turn", rol
     return whole.select("id", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
-def paired(whole: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(id, other, chosen, rejected): each conversation up to its last reply, and the same with another's last reply.
+def _following(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` (their columns are ``order``, none null, rows distinct) with next, the row after it in the whole table; null for the last.
 
-    The other conversation is the next by id among those of the same block of
-    ids, after the last the first, so a block is one window of at most ``block``
-    narrow rows. A conversation without a reply is its own rejected one; one
-    whose other has no reply is rejected without it.
+    Rows are dealt by ranges; within a range the next row is its neighbour, for
+    the last of a range it is the first of the next one.
+    """
+    ranged = saved(rows.select(*order).repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    row = F.struct(*order)
+    starts = ranged.groupBy("part").agg(F.min(row).alias("start"))
+    after = starts.select("part", F.lead("start").over(Window.orderBy("part")).alias("after"))  # one row per range
+    inside = F.lead(row).over(Window.partitionBy("part").orderBy(*order))
+    return ranged.withColumn("inside", inside).join(small_side(saved(after)), "part").select(*order, F.coalesce("inside", "after").alias("next"))
+
+
+def _others(whole: DataFrame) -> DataFrame:
+    """(id, other, diverges): which conversation each is set against.
+
+    Equal conversations form a class, known by its smallest id. A class is set
+    against the next one, by that id, of those with the same first turn, after
+    the last the first: they diverge somewhere after it. One that is alone with
+    its first turn takes the next class of the whole table, round again, which
+    is itself only where there is no other.
+    """
+    first = F.md5(F.coalesce(F.to_json(F.get("turns", F.lit(0))), F.lit("")).cast("binary"))
+    digests = saved(whole.select("id", first.alias("first"), F.md5(F.to_json("turns").cast("binary")).alias("same")))
+    classes = saved(digests.groupBy("same").agg(F.min("id").alias("rep"), F.min("first").alias("first")))
+    alike = classes.groupBy("first").agg(F.min("rep").alias("start"), F.count(F.lit(1)).alias("n"))
+    near = _following(classes, ["first", "rep"]).join(alike, "first")
+    around = _following(classes, ["rep"]).select("rep", F.col("next.rep").alias("around"))
+    least = classes.agg(F.min("rep")).first()[0]
+    round_ = F.when(F.col("next.first") == F.col("first"), F.col("next.rep")).otherwise(F.col("start"))
+    chosen = near.join(around, "rep").select(
+        "rep",
+        F.when(F.col("n") > 1, round_).otherwise(F.coalesce("around", F.lit(least))).alias("other"),
+        (F.col("n") > 1).alias("diverges"),
+    )
+    return digests.join(classes.select("same", "rep"), "same").join(chosen, "rep").select("id", "other", "diverges")
+
+
+def paired(whole: DataFrame) -> DataFrame:
+    """(id, other, chosen, rejected): each conversation up to its last reply, and one to set it against.
+
+    See ``_others``. Where the other one begins alike, it is the rejected one, up
+    to its own last reply. Else the rejected one is the chosen one with its last
+    reply replaced by the other's last reply, or without it if the other has
+    none; a conversation without a reply is then its own rejected one.
     """
     places = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.element_at("turns", i)["role"] == ASSISTANT)
     last = F.when(F.size("turns") > 0, F.coalesce(F.array_max(places), F.lit(0))).otherwise(0)
-    placed = whole.withColumn("last", last)
-    reply = F.when(F.col("last") > 0, F.struct(F.lit(ASSISTANT).alias("role"), F.element_at("turns", F.greatest("last", F.lit(1)))["text"].alias("text")))
-    replies = placed.select("id", reply.alias("reply"), F.floor(F.col("id") / block).alias("block"))
-    ring = Window.partitionBy("block").orderBy("id")
-    whole_ring = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = replies.select(
-        "id",
-        F.coalesce(F.lead("id").over(ring), F.first("id").over(whole_ring)).alias("other"),
-        F.when(F.lead("id").over(ring).isNotNull(), F.lead("reply").over(ring)).otherwise(F.first("reply").over(whole_ring)).alias("reply"),
-    )
-    joined = placed.join(following, "id")
-    chosen = F.when(F.col("last") > 0, F.slice("turns", F.lit(1), F.col("last"))).otherwise(F.col("turns"))
-    before = F.slice("turns", F.lit(1), F.greatest(F.col("last") - 1, F.lit(0)))
+    upto = F.when(F.col("last") > 0, F.slice("turns", F.lit(1), F.col("last"))).otherwise(F.col("turns"))
+    placed = whole.withColumn("last", last).select("id", "last", upto.alias("chosen"))
+    reply = F.when(F.col("last") > 0, F.element_at("chosen", -1))
+    theirs = placed.select(F.col("id").alias("other"), F.col("chosen").alias("theirs"), reply.alias("reply"))
+    joined = placed.join(_others(whole), "id").join(theirs, "other")
+    before = F.slice("chosen", F.lit(1), F.greatest(F.col("last") - 1, F.lit(0)))
     replaced = F.when(F.col("reply").isNull(), before).otherwise(F.concat(before, F.array("reply")))
-    return joined.select("id", "other", chosen.alias("chosen"), F.when(F.col("last") > 0, replaced).otherwise(F.col("turns")).alias("rejected"))
+    against = F.when(F.col("diverges"), F.col("theirs")).when(F.col("last") > 0, replaced).otherwise(F.col("chosen"))
+    return joined.select("id", "other", "chosen", against.alias("rejected"))
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -111,7 +142,7 @@ def format_preferences(pairs: DataFrame, chosen: str = "chosen", rejected: str =
 
 
 def op6_chat_preferences(spark, folder: str) -> DataFrame:
-    """Every conversation as a preference pair against the next one's last reply."""
+    """Every conversation as a preference pair against the next one that begins alike, or the next one's last reply."""
     out = format_preferences(paired(conversations(table(spark, folder, "conversations"))))
     return out.select(
         F.col("id").alias("conv_id"),
@@ -131,12 +162,15 @@ OP6_SQL = f"""
 WITH c AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
     FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
 k AS (SELECT *, coalesce(list_max([i FOR i IN range(1, len(turns) + 1) IF turns[i].role = 'assistant']), 0) AS last FROM c),
-r AS (SELECT conv_id, CASE WHEN last > 0 THEN turns[last].text END AS reply, floor(conv_id / {BLOCK}) AS block FROM k),
-n AS (SELECT conv_id, coalesce(lead(conv_id) OVER w, first_value(conv_id) OVER w) AS other FROM r WINDOW w AS (PARTITION BY block ORDER BY conv_id)),
-p AS (SELECT k.conv_id, n.other, CASE WHEN last > 0 THEN turns[1:last] ELSE turns END AS a,
-    CASE WHEN last = 0 THEN turns WHEN r.reply IS NULL THEN turns[1:last - 1]
-      ELSE list_concat(turns[1:last - 1], [{{'role': 'assistant', 'text': r.reply}}]) END AS b
-    FROM k JOIN n USING (conv_id) JOIN r ON r.conv_id = n.other),
+g AS (SELECT turns, turns[1] AS first, min(conv_id) AS rep FROM c GROUP BY turns),
+o AS (SELECT turns, count(*) OVER f > 1 AS diverges, CASE WHEN count(*) OVER f > 1 THEN coalesce(lead(rep) OVER n, first_value(rep) OVER n)
+    ELSE coalesce(lead(rep) OVER (ORDER BY rep), first_value(rep) OVER (ORDER BY rep)) END AS other
+    FROM g WINDOW f AS (PARTITION BY first), n AS (PARTITION BY first ORDER BY rep)),
+p AS (SELECT k.conv_id, o.other, CASE WHEN k.last > 0 THEN k.turns[1:k.last] ELSE k.turns END AS a,
+    CASE WHEN diverges THEN CASE WHEN r.last > 0 THEN r.turns[1:r.last] ELSE r.turns END
+      WHEN k.last = 0 THEN k.turns WHEN r.last = 0 THEN k.turns[1:k.last - 1]
+      ELSE list_concat(k.turns[1:k.last - 1], [r.turns[r.last]]) END AS b
+    FROM k JOIN o ON o.turns = k.turns JOIN k AS r ON r.conv_id = o.other),
 m AS (SELECT *, coalesce(list_min([i FOR i IN range(1, least(len(a), len(b)) + 1) IF a[i] <> b[i]]) - 1, least(len(a), len(b))) AS n_common FROM p)
 SELECT conv_id, other AS rejected_from, CAST(n_common AS INT) AS n_common,
   array_to_string([{_TURN} FOR x IN a[1:n_common]], '') AS prompt,

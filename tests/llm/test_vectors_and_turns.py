@@ -1,8 +1,10 @@
 """Embedding links, chat formatting and the licence scan, on small tables with every awkward case."""
 
 import math
+import random
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from caseloom.llm import chat, embedding_links, license_texts, licenses
@@ -98,27 +100,57 @@ def test_preferences(spark):
             (2, 0, "user", "hi"), (2, 1, "assistant", "go away"),
             (3, 0, "user", "alone"),
             (4, None, None, None), (4, 1, "assistant", None), (4, 1, "assistant", None),
+            (6, 0, "user", "hi"), (6, 1, "assistant", "hello"), (6, 2, "user", "bye"), (6, 3, "assistant", "no"),
+            (7, 0, "user", "hi"), (7, 1, "assistant", "go away"),
             (None, 0, "user", "nobody's"),
             (500, 0, "assistant", "x" * 100_000),
         ]
     )
     df = spark.createDataFrame(rows, TURNS).repartition(3)
     got = {r["id"]: r for r in chat.format_preferences(chat.paired(chat.conversations(df))).collect()}
-    assert set(got) == {1, 2, 3, 4, 500}
-    one = got[1]
-    assert (one["other"], one["n_common"]) == (2, 3)
-    assert one["prompt"] == "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nhello<|im_end|>\n<|im_start|>user\nbye<|im_end|>\n"
-    assert [tuple(p) for p in one["chosen_parts"]] == [("<|im_start|>assistant\n", False), ("see you<|im_end|>", True), ("\n", False)]
-    assert [tuple(p) for p in one["rejected_parts"]] == [("<|im_start|>assistant\n", False), ("go away<|im_end|>", True), ("\n", False)]
-    # the next conversation has no reply: rejected without it
-    assert (got[2]["n_common"], got[2]["rejected_parts"]) == (1, [])
-    # no reply of its own: all prompt
-    assert (got[3]["n_common"], got[3]["chosen_parts"], got[3]["rejected_parts"]) == (1, [], [])
+    assert set(got) == {1, 2, 3, 4, 6, 7, 500}
+    # the same first turn: they diverge at the second or at the fourth
+    assert [(got[i]["other"], got[i]["n_common"]) for i in (1, 2, 6, 7)] == [(2, 1), (6, 1), (1, 3), (6, 1)]
+    six = got[6]
+    assert six["prompt"] == "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nhello<|im_end|>\n<|im_start|>user\nbye<|im_end|>\n"
+    assert [tuple(p) for p in six["chosen_parts"]] == [("<|im_start|>assistant\n", False), ("no<|im_end|>", True), ("\n", False)]
+    assert [tuple(p) for p in six["rejected_parts"]] == [("<|im_start|>assistant\n", False), ("see you<|im_end|>", True), ("\n", False)]
+    # alone with its first turn, no reply of its own: all prompt
+    assert (got[3]["other"], got[3]["n_common"], got[3]["chosen_parts"], got[3]["rejected_parts"]) == (4, 1, [], [])
     assert got[3]["prompt"] == "<|im_start|>user\nalone<|im_end|>\n"
-    assert got[4]["other"] == 1 and got[4]["prompt"].startswith("<|im_start|>\n<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")
-    # alone in its block of ids: paired with itself, nothing to learn
-    assert (got[500]["other"], got[500]["chosen_parts"]) == (500, [])
+    assert got[4]["other"] == 6 and got[4]["prompt"].startswith("<|im_start|>\n<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")
+    # the last id goes round to the first, whose reply replaces its own
+    assert (got[500]["other"], got[500]["n_common"]) == (1, 0)
+    assert [tuple(p) for p in got[500]["rejected_parts"]][1] == ("see you<|im_end|>", True)
     assert chat.paired(chat.conversations(df.where("false"))).count() == 0
+    (lone,) = chat.paired(chat.conversations(df.where("conv_id = 3"))).collect()
+    assert lone["other"] == 3 and lone["chosen"] == lone["rejected"]
+
+
+def test_ids_far_apart_are_never_paired_with_themselves(spark):
+    rows = turns([(i * 64, t, ("user", "assistant")[t], f"{t} of {i}") for i in range(50) for t in (0, 1)])
+    got = {r["id"]: r for r in chat.paired(chat.conversations(spark.createDataFrame(rows, TURNS))).collect()}
+    assert {i: r["other"] for i, r in got.items()} == {i * 64: (i + 1) % 50 * 64 for i in range(50)}
+    assert all(r["chosen"] != r["rejected"] for r in got.values())
+
+
+def test_preferences_equal_their_sql(spark, tmp_path):
+    """Groups of one first turn, copies, conversations without replies, ties and nulls, in several ranges."""
+    rng = random.Random(9)
+    rows = [(None, 0, "user", "x")]
+    for c in rng.sample(range(-500, 5000), 180):
+        start = rng.choice([("system", "hot"), ("user", "a"), ("user", f"own {c}"), ("assistant", "a")])
+        rows.append((c, 0, *start))
+        rows += [(c, t, rng.choice(["user", "assistant"]), rng.choice(["yes", "no", None])) for t in range(1, rng.randrange(1, 5))]
+    rows += [(6000 + c, t, "user" if t % 2 == 0 else "assistant", f"copy {t}") for c in range(60) for t in range(4)]
+    spark.createDataFrame(turns(rows), TURNS).repartition(5).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    df = chat.op6_chat_preferences(spark, str(tmp_path))
+    wanted = con.sql(f"SELECT {', '.join(df.columns)} FROM ({chat.OP6_SQL})").fetchall()
+    got = [tuple(r) for r in df.collect()]
+    assert sorted(got) == sorted(wanted) and len({r[2] for r in got}) > 2
+    assert sum(r[0] == r[1] for r in got) == 0
 
 
 def test_preferences_of_given_pairs(spark):
