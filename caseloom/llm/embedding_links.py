@@ -29,6 +29,10 @@ CELL = 8192
 #: centers of one side that are compared with all of the other's at a time
 STRIP = 512
 PIVOTS = 16
+#: members that a leaf of a tree may have; leaves are compared as matrices
+SMALL = 32
+#: bytes of the vectors that a cell owns at most
+CELL_BYTES = 32 << 20
 _SLACK = 1e-9
 
 
@@ -46,17 +50,17 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
 
 
-def cover_tree(units: np.ndarray) -> Node:
+def cover_tree(units: np.ndarray, small: int = 1) -> Node:
     """Nested levels over the rows: each level's centers cover all rows within half the radius of the level above.
 
     A center stays one on every level below. A node whose members are all at
-    its center, or one member, is a leaf.
+    its center, or that has at most ``small`` members, is a leaf.
     """
 
     def grow(center: int, members: np.ndarray, away: np.ndarray, scale: float) -> Node:
         radius = float(away.max())
         node = Node(center, radius, members, [])
-        if len(members) == 1 or radius <= _SLACK:
+        if len(members) <= small or radius <= _SLACK:
             return node
         scale = min(scale, radius) / 2
         rest, here = members, away
@@ -76,57 +80,127 @@ def cover_tree(units: np.ndarray) -> Node:
     return grow(0, members, away, 4.0)
 
 
-def linked(a: np.ndarray, b: np.ndarray | None, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Groups (rows of a, rows of b) in which every row of one is linked with every row of the other.
-
-    Each linked pair is in exactly one group. ``b`` None: pairs within ``a``;
-    a group of the same rows twice stands for all pairs among them, and no pair
-    comes in both orders.
+class Links:
+    """What is found about the rows of a cell: the weight that each is linked with, and which hang together."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        self.counts = np.zeros(len(weights), np.int64)
+        self.parent = np.arange(len(weights))
+
+    def roots(self, rows: np.ndarray) -> np.ndarray:
+        out = self.parent[rows]
+        while (up := self.parent[out]).tolist() != out.tolist():
+            out = up
+        self.parent[rows] = out
+        return out
+
+    def _join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """The components of a[k] and b[k], given by their roots, become one."""
+        np.minimum.at(self.parent, np.maximum(a, b), np.minimum(a, b))
+
+    def whole(self, rows: np.ndarray, others: np.ndarray | None) -> None:
+        """Every row is linked with every one of ``others``, or with all other ``rows``."""
+        if others is None:
+            self.counts[rows] += self.weights[rows].sum() - self.weights[rows]
+        else:
+            self.counts[rows] += self.weights[others].sum()
+            self.counts[others] += self.weights[rows].sum()
+        every = rows if others is None else np.concatenate([rows, others])
+        self._hook(every)
+
+    def _hook(self, rows: np.ndarray) -> None:
+        roots = self.roots(rows)
+        self.parent[roots] = roots.min()
+
+    def block(self, rows: np.ndarray, others: np.ndarray, linked: np.ndarray) -> None:
+        """``linked`` tells row by row which of ``others`` each is linked with; every pair is told once."""
+        self.counts[rows] += linked @ self.weights[others]
+        self.counts[others] += self.weights[rows] @ linked
+        at, to = linked.any(axis=1), linked.any(axis=0)
+        rows, others, linked = rows[at], others[to], linked[np.ix_(at, to)]
+        while len(rows):
+            mine, theirs = self.roots(rows), self.roots(others)
+            top = len(self.parent)
+            least = np.where(linked, theirs[None, :], top).min(axis=1)
+            greatest = np.where(linked, theirs[None, :], -1).max(axis=1)
+            if (least == mine).all() and (greatest == mine).all():
+                return
+            low = np.minimum(mine, least)
+            self._join(mine, low)
+            self._join(theirs, np.minimum(theirs, np.where(linked, low[:, None], top).min(axis=0)))
+
+
+def _members(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
+    """All members of some nodes, and the place of each one's node."""
+    return np.concatenate([n.members for n in nodes]), np.repeat(np.arange(len(nodes)), [len(n.members) for n in nodes])
+
+
+def traverse(units: np.ndarray, first: np.ndarray, second: np.ndarray | None, threshold: float, found: Links) -> None:
+    """Tell ``found`` every linked pair of rows ``first`` and ``second`` once, or of two rows ``first``.
+
+    Cover trees of both sides are walked together, lists of nodes at a time.
+    A pair of nodes too far apart for their radii is left; one near enough is
+    linked as a whole; leaves on both sides are compared as one matrix product;
+    of any other pair the inner node is opened.
     """
     near = np.sqrt(max(2 - 2 * threshold, 0.0))
-    same = b is None
-    first = cover_tree(a)
-    other, second = (a, first) if same else (b, cover_tree(b))
-    stack = [(first, second)]
+    same = second is None
+    a, b = units[first], units[first if same else second]
+    second = first if same else second
+    one = cover_tree(a, SMALL)
+    stack = [([one], [one] if same else [cover_tree(b, SMALL)], same)]
     while stack:
-        x, y = stack.pop()
-        xs, ys = x.children or [x], y.children or [y]
-        left, right = a[[n.center for n in xs]], other[[n.center for n in ys]]
+        xs, ys, twins = stack.pop()
+        left, right = a[[n.center for n in xs]], b[[n.center for n in ys]]
         rx, ry = (np.array([n.radius for n in side]) for side in (xs, ys))
+        inner_x, inner_y = (np.array([bool(n.children) for n in side]) for side in (xs, ys))
         for start in range(0, len(xs), STRIP):
-            stop = start + STRIP
-            skip = start if same and x is y else 0
-            cosine = left[start:stop] @ right[skip:].T
-            apart = np.sqrt(np.maximum(2 - 2 * cosine, 0))
-            reach = rx[start:stop, None] + ry[None, skip:]
-            for i, j in np.argwhere(apart <= near + reach + _SLACK):
-                p, q = xs[start + i], ys[skip + j]
-                twin = same and p is q
-                if same and x is y and skip + j < start + i or twin and len(p.members) == 1:
-                    continue
-                if twin and 2 * p.radius <= near - _SLACK or not twin and apart[i, j] + reach[i, j] <= near - _SLACK:
-                    yield p.members, q.members
-                elif p.radius <= _SLACK and q.radius <= _SLACK:
-                    if cosine[i, j] >= threshold:
-                        yield p.members, q.members
+            part = xs[start : start + STRIP]
+            apart = np.sqrt(np.maximum(2 - 2 * (left[start : start + STRIP] @ right.T), 0))
+            reach = rx[start : start + STRIP, None] + ry[None, :]
+            keep = apart <= near + reach + _SLACK
+            place = np.arange(start, start + len(part))
+            if twins:
+                keep &= place[:, None] <= np.arange(len(ys))[None, :]
+            opened_x, opened_y = inner_x[place][:, None], inner_y[None, :]
+            leaves = keep & ~opened_x & ~opened_y
+            if leaves.any():
+                _compare(part, ys, leaves, twins, a, b, first, second, threshold, found)
+            keep &= opened_x | opened_y
+            self_pair = place[:, None] == np.arange(len(ys))[None, :] if twins else np.zeros_like(keep)
+            for i in np.flatnonzero((keep & self_pair).any(axis=1)).tolist():
+                if 2 * part[i].radius <= near - _SLACK:
+                    found.whole(first[part[i].members], None)
                 else:
-                    stack.append((p, q))
-
-
-def _roots(n: int, groups: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    parent = list(range(n))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for p, q in groups:
-        to = find(int(p[0]))
-        for i in (*p.tolist(), *q.tolist()):
-            parent[find(i)] = to
-    return np.array([find(i) for i in range(n)])
+                    stack.append((part[i].children, part[i].children, True))
+            keep &= ~self_pair
+            decided = keep & (apart + reach <= near - _SLACK)
+            for j in np.flatnonzero(decided.any(axis=0)).tolist():
+                rows = _members([part[i] for i in np.flatnonzero(decided[:, j])])[0]
+                found.whole(first[rows], second[ys[j].members])
+            keep &= ~decided
+            for j in np.flatnonzero((keep & opened_y & ~opened_x).any(axis=0)).tolist():
+                stack.append(([part[i] for i in np.flatnonzero(keep[:, j] & ~opened_x[:, 0])], ys[j].children, False))
+            for i in np.flatnonzero((keep & opened_x & ~opened_y).any(axis=1)).tolist():
+                stack.append((part[i].children, [ys[j] for j in np.flatnonzero(keep[i] & ~opened_y[0])], False))
+            for i, j in np.argwhere(keep & opened_x & opened_y).tolist():
+                stack.append((part[i].children, ys[j].children, False))
+
+
+def _compare(xs, ys, keep, twins, a, b, first, second, threshold, found: Links) -> None:
+    """All members of leaves whose pair is in ``keep``, by products of at most ``STRIP`` rows; of twins the upper half."""
+    at, to = np.flatnonzero(keep.any(axis=1)), np.flatnonzero(keep.any(axis=0))
+    rows, of_row = _members([xs[i] for i in at])
+    others, of_other = _members([ys[j] for j in to])
+    small = keep[np.ix_(at, to)]
+    for start in range(0, len(rows), STRIP):
+        some, of = rows[start : start + STRIP], of_row[start : start + STRIP]
+        linked = (a[some] @ b[others].T >= threshold) & small[of][:, of_other]
+        if twins:  # a pair of nodes is kept once, so only within one node a pair of members would come twice
+            within = np.array([id(xs[i]) for i in at])[of][:, None] == np.array([id(ys[j]) for j in to])[of_other][None, :]
+            linked &= ~within | (some[:, None] < others[None, :])
+        found.block(first[some], second[others], linked)
 
 
 def cell_links(units: np.ndarray, weights: np.ndarray, owned: np.ndarray, among: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -135,21 +209,12 @@ def cell_links(units: np.ndarray, weights: np.ndarray, owned: np.ndarray, among:
     ``among``: count links between owned rows too, not only with guests.
     """
     own, guests = np.flatnonzero(owned), np.flatnonzero(~owned)
-    counts, groups = np.zeros(len(units), np.int64), []
+    found = Links(weights)
     if among and len(own):
-        for p, q in linked(units[own], None, threshold):
-            p, q = own[p], own[q]
-            counts[p] += weights[q].sum()
-            if np.array_equal(p, q):
-                counts[p] -= weights[p]
-            else:
-                counts[q] += weights[p].sum()
-            groups.append((p, q))
+        traverse(units, own, None, threshold, found)
     if len(own) and len(guests):
-        for p, q in linked(units[own], units[guests], threshold):
-            counts[own[p]] += weights[guests[q]].sum()
-            groups.append((own[p], guests[q]))
-    return counts, _roots(len(units), groups)
+        traverse(units, own, guests, threshold, found)
+    return found.counts, found.roots(np.arange(len(units)))
 
 
 def routes(units: np.ndarray, pivots: np.ndarray, near: float) -> tuple[np.ndarray, np.ndarray]:
@@ -213,10 +278,12 @@ def parted(points: DataFrame, threshold: float, most: int) -> DataFrame:
     schema = pa.schema([("cell", pa.string()), ("key", pa.binary()), ("unit", pa.binary()), ("n", pa.int64()), ("owned", pa.bool_())])
     done, todo = None, points
     while True:
-        sizes = saved(todo.groupBy("cell").agg(F.sum(F.col("owned").cast("long")).alias("_own"), F.count(F.lit(1)).alias("_all")))
-        if not sizes.where(F.col("_own") > most).limit(1).count():
+        own, fit = F.sum(F.col("owned").cast("long")), F.floor(F.lit(CELL_BYTES) / F.max(F.octet_length("unit")))
+        sizes = todo.groupBy("cell").agg(own.alias("_own"), F.count(F.lit(1)).alias("_all"), F.greatest(F.least(F.lit(most), fit), F.lit(1)).alias("_fit"))
+        sizes = saved(sizes)
+        if not sizes.where(F.col("_own") > F.col("_fit")).limit(1).count():
             break
-        large = sizes.where(F.col("_own") > most).withColumn("_chunks", F.ceil(F.col("_all") / most).cast("int")).drop("_own", "_all")
+        large = sizes.where(F.col("_own") > F.col("_fit")).select("cell", F.ceil(F.col("_all") / F.col("_fit")).cast("int").alias("_chunks"))
         ready = saved(todo.join(large, "cell", "left_anti"))
         done = ready if done is None else done.unionByName(ready)
         heavy = todo.join(large, "cell").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("_chunks")).cast("int"))
@@ -249,15 +316,17 @@ def embedding_links(
     null. Rows that repeat an id are rows of their own. ``threshold`` is above 0.
     """
     rows = saved(unit_vectors(vectors, id, vector, label))
-    key = F.unhex(F.md5(F.concat(F.col("label").cast("binary"), F.lit(b"\x00"), F.col("unit"))))
+    framed = F.concat(F.octet_length("label").cast("string"), F.lit(":"), "label").cast("binary")
+    key = F.unhex(F.md5(F.concat(framed, F.col("unit"))))
     keyed = rows.withColumn("key", key)
-    cell = F.concat_ws("/", "label", F.octet_length("unit"))
+    cell = F.concat_ws("/", F.octet_length("unit"), F.hex("label"))  # a slash only before the number of a part
     points = keyed.where("unit is not null").groupBy("key").agg(
         F.first(cell).alias("cell"), F.first("unit").alias("unit"), F.count(F.lit(1)).alias("n"), F.min("id").alias("least")
     )
     points = saved(points)
     placed = parted(points.select("cell", "key", "unit", "n", F.lit(True).alias("owned")), threshold, most)
-    guests = placed.where("not owned").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_chunks"))
+    fit = F.greatest(F.least(F.lit(most), F.floor(F.lit(CELL_BYTES) / F.max(F.octet_length("unit")))), F.lit(1))
+    guests = placed.where("not owned").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / fit).cast("int").alias("_chunks"))
     dealt = saved(placed).join(guests, "cell", "left").withColumn("_chunks", F.coalesce("_chunks", F.lit(1)))
     every = F.sequence(F.lit(0), F.col("_chunks") - 1)
     own = F.array(F.pmod(F.xxhash64("key"), F.col("_chunks")).cast("int"))

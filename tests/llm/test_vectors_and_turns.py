@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from pathlib import Path
 
 import duckdb
@@ -86,6 +87,60 @@ def test_cover_tree_covers_in_nested_levels():
     walk(embedding_links.cover_tree(units))
 
 
+@pytest.mark.parametrize("small, strip", [(1, 3), (2, 512), (32, 512)])
+def test_cells_of_every_density_equal_brute_force(monkeypatch, small, strip):
+    """Owned rows and guests, copies, weights; leaves as matrices, whole nodes, and what the bounds cut off."""
+    monkeypatch.setattr(embedding_links, "SMALL", small)
+    monkeypatch.setattr(embedding_links, "STRIP", strip)
+    rng = np.random.default_rng(small)
+    for _ in range(80):
+        n, d, k = (int(x) for x in rng.integers([1, 1, 1], [160, 6, 5]))
+        units = rng.normal(size=(k, d))[rng.integers(0, k, n)] + rng.normal(size=(n, d)) * rng.choice([0.01, 0.1, 0.3, 1])
+        units = np.concatenate([units, units[: n // 3]])
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        n, threshold, among = len(units), float(rng.choice([0.5, 0.9, 0.98, 0.999])), bool(rng.random() < 0.7)
+        weights, owned = rng.integers(1, 5, n), rng.random(n) < rng.choice([0.2, 0.7, 1.0])
+        near = (units @ units.T >= threshold) & ~np.eye(n, dtype=bool)
+        near &= (owned[:, None] ^ owned[None, :]) | (among & owned[:, None] & owned[None, :])
+        label = np.arange(n)
+        while ((low := np.minimum(label, np.where(near, label[None, :], n).min(axis=1))) != label).any():
+            label = low
+        counts, roots = embedding_links.cell_links(units, weights, owned, among, threshold)
+        assert (counts[owned] == (near * weights[None, :]).sum(axis=1)[owned]).all()
+        assert len(set(zip(roots.tolist(), label.tolist(), strict=True))) == len(set(roots.tolist())) == len(set(label.tolist()))
+
+
+def test_a_dense_cell_is_compared_by_matrices():
+    """8,192 vectors of which most pairs are linked and no ball decides: one task's worth, within seconds."""
+    rng = np.random.default_rng(4)
+    center = rng.normal(size=64)
+    units = center / np.linalg.norm(center) + rng.normal(size=(8192, 64)) * 0.1 / 8
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    began = time.perf_counter()
+    counts, roots = embedding_links.cell_links(units, np.ones(8192, np.int64), np.ones(8192, bool), True, 0.98)
+    assert time.perf_counter() - began < 60  # pair by pair it took half an hour
+    assert len(set(roots.tolist())) == 1
+    assert counts[:50].tolist() == [int((units[i] @ units.T >= 0.98).sum()) - 1 for i in range(50)]
+
+
+def test_labels_of_any_text_are_apart(spark):
+    """Labels with slashes that look like a part of another label's cell."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=2)], "x", 1) for i in range(60)]
+    rows += [(100 + i, [1.0 + i], label, 1) for i, label in enumerate(["x/16", "x/16/3", "x/3", "", "/", "x\x00"])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, cell int")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_links.embedding_links(df, most=6).collect()}
+    want = {i: 0 for i in got}
+    for i, u, _, _ in rows[:60]:
+        want[i] = sum(np.dot(u, v) / math.dist(u, (0, 0)) / math.dist(v, (0, 0)) >= 0.98 for j, v, _, _ in rows[:60] if j != i)
+    assert got == want
+
+
+def test_cells_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(embedding_links, "CELL_BYTES", 16 * 8 * 12)  # 12 vectors of 16, 24 of 8 dimensions
+    assert linked(spark, clouds()) == brute(clouds())
+
+
 TURNS = "conv_id long, turn long, role string, text string, turns string, id int"
 
 
