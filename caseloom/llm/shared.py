@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -13,14 +14,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.sources import lineage
+
 #: bytes of one column that a Python helper turns into arrays at a time
 PIECE_BYTES = 2 << 20
 
 
 def shared_uri(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one in the warehouse where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    """The folder that driver and executors share, see ``lineage.shared_folder``."""
+    return lineage.shared_folder(spark)
 
 
 _shipped: set[str] = set()
@@ -49,13 +51,47 @@ def packed(df: DataFrame) -> DataFrame:
     return out.coalesce(max(1, -(-out.count() // NARROW_ROWS)))
 
 
+_files: list[str] = []
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """The same rows out of a reliable checkpoint: a lost executor costs a read, and Spark clears it when unused."""
+    """The same rows out of a reliable checkpoint, so that a lost executor costs a read.
+
+    The files stay until ``released`` or ``clear`` deletes them, or until Spark
+    does where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
     spark = df.sparkSession
     ship(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_uri(spark))
-    return df.checkpoint()
+    out = df.checkpoint()
+    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        _files.append(file.get())
+    return out
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was ``saved`` within; tables made within that are read later must have been written."""
+    before = len(_files)
+    yield
+    for file in _files[before:]:
+        delete(spark, file)
+    del _files[before:]
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application has saved or written in the shared folder; its DataFrames can no longer be read."""
+    for file in _files:
+        delete(spark, file)
+    _files.clear()
+    lineage.clear(spark)
 
 
 def tune(spark: SparkSession) -> SparkSession:

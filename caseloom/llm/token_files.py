@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.llm import records
-from caseloom.llm.shared import pieces, saved, shared_uri, table
+from caseloom.llm.shared import pieces, saved, table
+from caseloom.sources.lineage import new_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -216,7 +216,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
 
 def token_output(docs: DataFrame, tokenizer: str = TOKENIZER, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write ``docs`` as token files under the shared folder and read them back, one row per document."""
-    folder = f"{shared_uri(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+    folder = new_path(docs.sparkSession, "tokens")
     manifest = write_token_files(docs, folder, tokenizer, id, text)
     return read_token_files(manifest).withColumnRenamed("id", id)
 

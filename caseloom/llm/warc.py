@@ -21,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.shared import pieces, saved, shared_uri, small_side, table
+from caseloom.llm.shared import pieces, saved, small_side, table
+from caseloom.sources.lineage import new_path
 
 #: fixed values of the format
 VERSION = "WARC/1.1"
@@ -255,8 +256,7 @@ def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
 
 def op3_warc(spark, folder: str) -> DataFrame:
     """Every page, written to WARC archives in the shared folder and read back."""
-    target = f"{shared_uri(spark)}/warc-{uuid.uuid4().hex}"
-    manifest = write_warc(table(spark, folder, "pages"), target)
+    manifest = write_warc(table(spark, folder, "pages"), new_path(spark, "warc"))
     return read_warc(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

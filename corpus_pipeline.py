@@ -7,12 +7,11 @@ token files. Null texts count as empty; rows with null ids are rows like others.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom.llm import decontaminate, mixing, near_duplicates, quality, token_files
-from caseloom.llm.shared import shared_uri, table
+from caseloom.llm.shared import delete, released, table
+from caseloom.sources.lineage import new_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +52,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written as Parquet in the shared folder and reread."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_uri(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; what a stage keeps is written as Parquet in the shared folder and reread.
+
+    What a stage has saved on its way goes when it is done, and its input when
+    the stage after it has been written; ``shared.clear`` deletes the rest.
+    """
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(docs.schema).parquet(f"{folder}/{name}")
+        path = new_path(spark, name)
+        with released(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if read:
+            delete(spark, read)
+        docs, read = spark.read.schema(docs.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

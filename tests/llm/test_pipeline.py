@@ -11,7 +11,8 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
-from caseloom.llm import decontaminate, mixing, near_duplicates, quality, registry, words
+from caseloom.llm import decontaminate, mixing, near_duplicates, quality, registry, shared, words
+from caseloom.sources import lineage
 
 ROOT = Path(__file__).resolve().parents[2]
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -113,3 +114,25 @@ def test_the_entry_works_without_this_package(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and not [n for n in q if n.startswith('op') or n == 'pipeline']; assert set(e.oracle_sql()) <= set(q)"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
     assert done.returncode == 0, done.stderr
+
+
+def files_below(folder):
+    return [p for p in Path(folder.removeprefix("file:")).rglob("*") if p.is_file()]
+
+
+def test_saved_tables_can_be_deleted(spark):
+    """Nothing that the pipeline saved on its way is left by its end, and nothing at all after ``clear``."""
+    shared.clear(spark)
+    saved = shared.saved(spark.range(10))
+    root = spark.sparkContext.getCheckpointDir()
+    with shared.released(spark):
+        assert shared.saved(saved.selectExpr("id * 2 AS id")).count() == 10
+        assert len(shared._files) == 2
+    assert saved.count() == 10 and len(shared._files) == 1
+    before = len(files_below(root))
+    rows = corpus_pipeline.run(spark, FOLDER).count()
+    assert rows > 100 and len(files_below(shared.shared_uri(spark))) > before
+    assert len(shared._files) <= 8  # the saved table above, and those that the last stage reads
+    shared.clear(spark)
+    assert files_below(root) == []
+    assert not Path(lineage._own_folder(spark).removeprefix("file:")).exists()
