@@ -11,14 +11,14 @@ from caseloom.catalog.orders import sql_amount, sql_codes, sql_date, sql_tidy
 from caseloom.catalog.world import claim_world, ctes
 from caseloom.operators import audit, cases, rules
 from caseloom.plans import claims
-from caseloom.sources.lineage import cut
+from caseloom.sources.lineage import bucketed, cut
 
 
 def stage(src: Source, name: str) -> DataFrame:
     """A stage of the flow; what later stages use is written to the shared folder, as one plan of it all is slower."""
     world = claim_world(src)
     landed = cut(world["ocr_documents"], "ocr_documents")
-    return claims.claim_cases({**world, "ocr_documents": landed}, name, cut)
+    return claims.claim_cases({**world, "ocr_documents": landed}, name, bucketed(claims.KEY))
 
 
 def flat(df: DataFrame, *columns: str) -> DataFrame:

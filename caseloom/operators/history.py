@@ -20,6 +20,13 @@ from caseloom import fixed_values as fv
 from caseloom.functions.parsing import MONEY
 from caseloom.functions.skew import none_null, spread_join
 
+Between = Callable[[DataFrame, str], DataFrame]
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
 #: cents in one range of amounts, the most rows of a key that a window sorts
 RANGE = 1 << 16
 
@@ -207,6 +214,7 @@ def distinct_counts(
     theirs: tuple[str, str],
     out: str,
     days: int = fv.HISTORY_DAYS,
+    between: Between = _as_is,
 ) -> DataFrame:
     """(id, count) of the distinct history ids in [day - days, day) under any key of the id's lines.
 
@@ -215,6 +223,7 @@ def distinct_counts(
     ``trailing_distinct`` and added up. An id of history that is under several
     keys of one set of lines was then counted once per key: ``_overcounts`` has
     by how much, per set of keys and day. No line meets a row of history.
+    ``between`` may write what is used several times, see ``sources.lineage.cut``.
     """
     my_id, my_day = mine
     their_id, their_day = theirs
@@ -226,15 +235,15 @@ def distinct_counts(
     # the same for the same set of keys, in whatever order they come: 128 bits of sums, so no list is gathered
     first, second = (F.sum(F.xxhash64(F.lit(seed), "_key").cast("decimal(38,0)")) for seed in (1, 2))
     own = asked.groupBy("_id", "_day").agg(F.count(F.lit(1)).alias("_size"), first.alias("_h1"), second.alias("_h2"))
-    own = own.where("_size > 1").select("_id", "_day", F.struct("_size", "_h1", "_h2").alias("_set"))
+    own = between(own.where("_size > 1").select("_id", "_day", F.struct("_size", "_h1", "_h2").alias("_set")), "line_sets")
     sets = asked.join(own, ["_id", "_day"]).select("_set", "_key").distinct()
     seen = _dated(past, keys, their_day, F.col(their_id).alias("_other"), F.struct(*keys).alias("_key")).drop(*keys)
-    over = _overcounts(sets, own.select("_set", "_day").distinct(), seen, days)
+    over = _overcounts(sets, own.select("_set", "_day").distinct(), between(seen, "past_ids"), days, between)
     corrected = own.join(over, ["_set", "_day"]).select("_id", (-F.col("_over")).alias("_hits"))
     return summed.unionByName(corrected).groupBy(F.col("_id").alias(my_id)).agg(F.sum("_hits").alias(out))
 
 
-def _overcounts(sets: DataFrame, asked: DataFrame, seen: DataFrame, days: int) -> DataFrame:
+def _overcounts(sets: DataFrame, asked: DataFrame, seen: DataFrame, days: int, between: Between = _as_is) -> DataFrame:
     """(_set, _day, _over): how often ids that count under several keys of a set count too often, for each day asked.
 
     ``sets`` has (_set, _key), ``seen`` (_key, _other, _day). An id under
@@ -254,7 +263,7 @@ def _overcounts(sets: DataFrame, asked: DataFrame, seen: DataFrame, days: int) -
     both = rare.select("_set", "_key", "_other").unionByName(found.select("_set", "_key", "_other"))
     several = both.withColumn("_keys", F.count(F.lit(1)).over(Window.partitionBy("_set", "_other"))).where("_keys > 1")
     points = several.select("_set", "_key", "_other").join(seen, ["_key", "_other"])
-    points = points.select("_set", "_key", F.col("_other").alias("_id"), "_day")
+    points = between(points.select("_set", "_key", F.col("_other").alias("_id"), "_day"), "shared_ids")
     per_key = _distinct_steps(points, ["_set", "_key"], days).select("_set", "_day", "_step")
     whole = _distinct_steps(points.select("_set", "_id", "_day").distinct(), ["_set"], days)
     steps = per_key.unionByName(whole.withColumn("_step", -F.col("_step"))).withColumn("_asked", F.lit(0))
@@ -277,7 +286,7 @@ def near_duplicate_counts(
     days: int = fv.DUPLICATE_DAYS,
     tolerance: str = fv.DUPLICATE_TOLERANCE,
     own_id: str | None = None,
-    between: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    between: Between = _as_is,
 ) -> DataFrame:
     """(id, count) of the distinct history ids near a current row, for ids with at least one.
 
@@ -349,7 +358,7 @@ def _near_cells(
     keys: list[str],
     days: int,
     tolerance: str,
-    between: Callable[[DataFrame, str], DataFrame],
+    between: Between,
 ) -> tuple[DataFrame, DataFrame]:
     """The probes and points with another one near in a grid, with the cells of each.
 

@@ -324,14 +324,16 @@ def resolved(claims: DataFrame, references: DataFrame) -> DataFrame:
 
 # --- 3. coverage ------------------------------------------------------------------
 def _keyed(claims: DataFrame) -> DataFrame:
-    return claims.withColumn("claim_key", F.struct("claim_id")) if "claim_key" not in claims.columns else claims
+    if "claim_key" in claims.columns:
+        return claims
+    return claims.withColumn("claim_key", F.coalesce(F.concat(F.lit("="), "claim_id"), F.lit("")))
 
 
 def _take_in(claims: DataFrame, *facts: DataFrame) -> DataFrame:
-    """Claims with the columns of tables keyed by claim; the joins share one shuffle of the claims."""
+    """Claims with the columns of tables keyed by claim; the joins share one shuffle of the claims, or none if all are bucketed."""
     table = _keyed(claims)
     for per_claim in facts:
-        table = lookup.attach(table, per_claim, KEY)
+        table = table.join(per_claim, KEY, "left")  # a key is never null
     return table.drop(*KEY)
 
 
@@ -401,6 +403,7 @@ def history_facts(
         ("claim_key", "service_date_parsed"),
         ("historical_claim_id", "service_date"),
         "same_procedure_claim_count_365d",
+        between=between,
     )
     near = history.near_duplicate_counts(
         asked_lines,
@@ -537,8 +540,8 @@ def claim_stages(inputs: Inputs, between: Callable[..., DataFrame] = _as_is) ->
     narrow columns of the claims and from their lines, priced once. The wide
     claims, raw and redacted text included, are shuffled once per stage read.
     """
-    claims = between(canonical_claims(inputs["ocr_documents"]), "canonical_claims")
-    yield "canonical_claims", claims
+    claims = between(_keyed(canonical_claims(inputs["ocr_documents"])), "canonical_claims")
+    yield "canonical_claims", claims.drop(*KEY)
     references = between(
         reference_facts(claims, inputs["policy"], inputs["member"], inputs["provider"]), "reference_facts"
     )

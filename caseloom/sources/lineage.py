@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +13,12 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where it is unset, one in the warehouse, which is shared as well."""
     folder = spark.conf.get(SETTING, None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise RuntimeError(f"set {SETTING} to a folder that driver and executors share; the warehouse {warehouse} is local")
+    return f"{warehouse}/_shared"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +35,31 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_tables: list[str] = []
+
+
+def bucketed(keys: list[str], buckets: int | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """Like ``cut``, but a table that has ``keys`` is written in buckets of them, sorted, one file each.
+
+    Tables of one number of buckets, by default that of the shuffle's partitions,
+    join and group by the keys without a shuffle: it is paid once, when a table
+    is written. They are tables of the session's catalog until ``clear``.
+    """
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        if not set(keys) <= set(df.columns):
+            return cut(df, name)
+        spark = df.sparkSession
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"caseloom_{name}_{uuid.uuid4().hex}"
+        writer = df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys)
+        writer.option("path", new_path(spark, name)).saveAsTable(table)
+        _tables.append(table)
+        return spark.table(table)
+
+    return write
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has been written to."""
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -39,7 +70,9 @@ def _own_folder(spark: SparkSession) -> str:
 
 
 def clear(spark: SparkSession) -> None:
-    """Delete every table that ``cut`` wrote in this application; their DataFrames can no longer be read."""
+    """Delete every table that ``cut`` or ``bucketed`` wrote in this application; their DataFrames can no longer be read."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

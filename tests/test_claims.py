@@ -12,7 +12,7 @@ from caseloom import fixed_values as fv
 from caseloom.operators import audit
 from caseloom.plans import claims
 from caseloom.sources import tables
-from caseloom.sources.lineage import cut
+from caseloom.sources.lineage import bucketed, cut
 from caseloom.sources.schemas import INPUTS, OCR_COLUMNS
 from claim_fixture import NOISE, claim_inputs, document, duplicate_documents, noise_documents
 
@@ -170,6 +170,24 @@ def test_the_wide_claims_are_shuffled_once_per_stage(spark, inputs):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_bucketed_stages_attach_what_they_add_without_a_shuffle(spark, inputs, stages):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, table in claims.claim_stages(inputs, bucketed(claims.KEY, 3)):
+            said = io.StringIO()
+            with contextlib.redirect_stdout(said):
+                table.explain("formatted")
+            assert "Exchange" not in said.getvalue(), name
+            assert table.columns == stages[name].columns
+            if name == "authorization_enriched_claims":
+                keep = [c for c in table.columns if c not in ("ingested_at", "created_at", "updated_at")]
+                text = lambda df: sorted(r["t"] for r in df.select(F.to_json(F.struct(*keep)).alias("t")).collect())
+                assert text(table) == text(stages[name])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_same_cases_from_shuffled_and_repartitioned_documents(spark, inputs):
     docs = noise_documents() + duplicate_documents()
     first = by_claim(claims.canonical_claims(inputs["ocr_documents"].coalesce(1)))

@@ -71,3 +71,32 @@ def test_the_shared_folder_is_used_and_cleared(spark, tmp_path, monkeypatch):
     assert list(tmp_path.rglob("*.parquet"))
     lineage.clear(spark)
     assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_bucketed_tables_join_without_a_shuffle_and_can_be_cleared(spark, tmp_path):
+    write = lineage.bucketed(["k"], 4)
+    rows = spark.createDataFrame([(i % 20 or None, i) for i in range(200)], "k int, v int")
+    a, b = write(rows, "a"), write(rows.groupBy("k").count(), "b")
+    assert rows.count() == a.count()
+    joined = a.join(b, "k", "left")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.where("k = 3").count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert write(rows.select("v"), "c").count() == 200  # no key: written as by ``cut``
+    tables_ = list(lineage._tables)
+    lineage.clear(spark)
+    assert not lineage._tables and not any(spark.catalog.tableExists(t) for t in tables_)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    local = {lineage.SETTING: None, "spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    fake = lambda master, conf: type("S", (), {"conf": type("C", (), {"get": staticmethod(lambda k, d=None: conf.get(k) or d)}), "sparkContext": type("X", (), {"master": master})})
+    assert lineage.shared_folder(fake("local[4]", local)) == "file:/tmp/warehouse/_shared"
+    assert lineage.shared_folder(fake("yarn", local | {lineage.SETTING: "hdfs://a/b"})) == "hdfs://a/b"
+    assert lineage.shared_folder(fake("yarn", local | {"spark.sql.warehouse.dir": "hdfs://a/w"})) == "hdfs://a/w/_shared"
+    with pytest.raises(RuntimeError, match=lineage.SETTING):
+        lineage.shared_folder(fake("yarn", local))
