@@ -484,6 +484,43 @@ def test_median_of_a_large_group(spark):
     assert got["median_value"] == (values[149_999] + values[150_000]) / 2
 
 
+def test_every_nested_leaf_is_redacted(spark):
+    """Structs, lists of lists, maps with clashing keys, nulls at every depth, exempt paths, a column named like the counts."""
+    schema = """id int, plain string, s struct<a:string,n:int,deep:struct<b:string>>, l array<array<string>>,
+        ls array<struct<c:string,k:int>>, m map<string,array<string>>, mi map<int,string>, none string, redactions string"""
+    ssn, phone = "123-45-6789", "(555) 201-4477"
+    rows = [
+        (1, f"x {ssn} {phone}", (ssn, 7, (phone,)), [[ssn, None], None, [f"{ssn} {ssn}"]], [(phone, 1), None, (None, 2)],
+         {ssn: [ssn], "123-45-1111": [], "plain": [phone, None]}, {5: ssn, 6: None}, None, ssn),
+        (2, None, None, None, None, None, None, None, None),
+        (3, "", (None, None, None), [], [], {}, {}, "", ""),
+        (3, "", (None, None, None), [], [], {}, {}, "", ""),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    out = pii.redact_leaves(df, exempt=["mi", "s.deep.b"])
+    assert out.columns == df.columns
+    assert [t for c, t in out.dtypes if c != "redactions"] == [t for c, t in df.dtypes if c != "redactions"]
+    got = sorted(out.collect(), key=lambda r: r["id"])
+    one, s_, p_ = got[0], "[REDACTED_SSN]", "[REDACTED_PHONE]"
+    assert one["plain"].startswith(f"x {s_}") and "4477" not in one["plain"]
+    assert one["s"].asDict(recursive=True) == {"a": s_, "n": 7, "deep": {"b": phone}}
+    assert one["l"] == [[s_, None], None, [f"{s_} {s_}"]]
+    assert "4477" not in str(one["ls"]) and one["ls"][1] is None and one["ls"][2]["c"] is None
+    assert sorted(k.split(" #")[0] for k in one["m"]) == [s_, s_, "plain"]
+    assert [s_] in one["m"].values() and [] in one["m"].values()
+    assert "4477" not in str(one["m"]) and one["m"]["plain"][1] is None
+    assert one["mi"] == {5: ssn, 6: None}
+    assert one["redactions"] == {"plain": 2, "s.a": 1, "l": 3, "ls.c": 1, "m.key": 2, "m.value": 2}
+    assert [tuple(r)[1:8] for r in got[1:]] == [tuple(r)[1:8] for r in df.where("id > 1").orderBy("id").collect()]
+    assert all(r["redactions"] == {} for r in got[1:])
+    left = audit.audit_leaves_absent(out.drop("mi", "redactions"), r"\d{3}-\d{2}-\d{4}").collect()
+    assert left and all(r["hits"] == 0 for r in left)
+    summary = {r["path"]: (r["row_count"], r["mask_count"]) for r in pii.redaction_summary(out).collect()}
+    assert summary["l"] == (1, 3) and len(summary) == 6
+    assert pii.redact_leaves(df.where("false")).count() == 0
+    assert pii.redact_leaves(spark.range(1)).first().asDict() == {"id": 0, "redactions": {}}
+
+
 def test_digits_order_like_the_values(spark):
     """Neighbours of powers of two, both signs, subnormal and infinite values, and the ends of the longs."""
     rng = random.Random(6)
