@@ -11,7 +11,7 @@ from caseloom.catalog.coverage import COVERED, rolled_up
 from caseloom.catalog.world import RAW, claim_world, raw_orders
 from caseloom.operators import audit
 from caseloom.plans import claims
-from caseloom.sources import stages, tables
+from caseloom.sources import feeds, stages, tables
 from caseloom.sources.lineage import new_path
 from caseloom.sources.schemas import OCR_COLUMNS
 
@@ -35,6 +35,19 @@ def raw_scan(src: Source) -> DataFrame:
     return back.select(*RAW_COLUMNS, "record_hash", stamped.alias("is_stamped"))
 
 
+_FEED_SQL = f"""WITH {RAW}, t AS (SELECT {_TEXT} FROM raw)
+    SELECT *, sha256(concat_ws('||', {_HASHED})) AS record_hash FROM t"""
+
+
+@query("feed_scan", _FEED_SQL)
+def feed_scan(src: Source) -> DataFrame:
+    """The same feed, with breaks inside its fields, read by split."""
+    path = new_path(src.spark, "feed_scan")
+    landed = raw_orders(src).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    tables.write_stage(landed, path, "csv")
+    return feeds.read_feed(src.spark, path, RAW_COLUMNS).select(*RAW_COLUMNS, "record_hash")
+
+
 @query(
     "reference_scan",
     """SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
