@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.catalog import Source, query
-from caseloom.operators import runmetrics
+from caseloom.operators import profiles, runmetrics
 from caseloom.sources.lineage import new_path
 from caseloom.sources.snapshots import Snapshots
 
@@ -128,3 +128,39 @@ def stage_totals(src: Source) -> DataFrame:
 )
 def executor_totals(src: Source) -> DataFrame:
     return runmetrics.executor_totals(_landed_log(src))
+
+
+_MEASURED = ("event_id", "user_id", "value")
+_OF_COLUMN = " UNION ALL ".join(
+    f"""SELECT 'part-' || CAST(event_id % 4 AS STRING) AS run_id, '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM events"""
+    for c in _MEASURED
+)
+
+
+@query(
+    "merged_profiles",
+    f"""WITH t AS ({_OF_COLUMN}) SELECT column_name, count(*) AS n_rows, count(*) - count(v) AS n_null, min(v) AS least_number,
+      max(v) AS greatest_number, true AS distinct_holds, true AS median_holds FROM t WHERE run_id <> 'part-3' GROUP BY column_name""",
+)
+def merged_profiles(src: Source) -> DataFrame:
+    """Four landings sketched one by one, three summed up, held against exact numbers over their rows."""
+    store = profiles.Profiles(src.spark, new_path(src.spark, "profiles"))
+    events = src.events.select(*_MEASURED)
+    for part in range(4):
+        store.add(events.where(F.col("event_id") % 4 == part), f"part-{part}", "landed")
+    told = profiles.estimates(profiles.merged(store.read("part-0", "part-1", "part-2")))
+    landed = events.where(F.col("event_id") % 4 != 3)
+    long = landed.unpivot([], [F.col(c).cast("double").alias(c) for c in _MEASURED], "column_name", "v")
+    rank = (F.count_if(F.col("v") < F.col("q50")) / F.count("v"), F.count_if(F.col("v") <= F.col("q50")) / F.count("v"))
+    exact = long.join(F.broadcast(told.select("column_name", "q50")), "column_name").groupBy("column_name")
+    exact = exact.agg(F.count_distinct("v").alias("_n"), rank[0].alias("_below"), rank[1].alias("_upto"))
+    half = profiles.rank_error()
+    return told.join(exact, "column_name").select(
+        "column_name",
+        "n_rows",
+        "n_null",
+        "least_number",
+        "greatest_number",
+        (F.abs(F.col("n_distinct") - F.col("_n")) <= profiles.distinct_error() * F.col("_n")).alias("distinct_holds"),
+        ((F.col("_below") <= 0.5 + half) & (F.col("_upto") >= 0.5 - half)).alias("median_holds"),
+    )
