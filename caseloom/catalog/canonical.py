@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.catalog import Source, query
 from caseloom.functions.lists import members
-from caseloom.operators import canonical
+from caseloom.operators import canonical, idsets
 
 KEYS = ["l_orderkey", "l_linenumber"]
 ORDER = [
@@ -68,6 +68,27 @@ def duplicate_ids(src: Source) -> DataFrame:
     )
 
 
+_BITMAP_ID = "'E-' || CAST(event_id AS STRING)"
+
+
+@query(
+    "id_bitmaps",
+    f"""SELECT event_type, count(DISTINCT event_id) AS n_ids, count(DISTINCT event_id) AS n_members,
+      min({_BITMAP_ID}) AS first_id, max({_BITMAP_ID}) AS last_id
+    FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0 GROUP BY event_type""",
+)
+def id_bitmaps(src: Source) -> DataFrame:
+    """Ids of a few heavy keys, of two overlapping tables: coded, made bitmaps, united, counted and read back."""
+    events = src.events.select("event_type", F.concat(F.lit("E-"), F.col("event_id").cast("string")).alias("id"), "event_id")
+    codes = idsets.id_codes(events, "id")
+    coded = events.join(codes, "id")
+    parts = [idsets.id_bitmaps(coded.where(F.col("event_id") % n == 0), ["event_type"], "code") for n in (2, 3)]
+    whole = idsets.union(*parts, keys=["event_type"])
+    told = idsets.members(whole, ["event_type"]).join(codes, "code").groupBy("event_type")
+    told = told.agg(F.count(F.lit(1)).alias("n_members"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    return idsets.counts(whole, ["event_type"]).join(told, "event_type")
+
+
 @query(
     "id_links",
     "SELECT DISTINCT user_id, 'event_ids' AS list_name, CAST(event_id AS STRING) AS value FROM events",
