@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from caseloom import fixed_values as fv
 from caseloom.catalog import Source, query
 from caseloom.catalog.coverage import explode_lines
-from caseloom.operators import audit
+from caseloom.operators import audit, reconcile
 
 
 @query(
@@ -21,6 +21,24 @@ def audit_keys(src: Source) -> DataFrame:
     return audit.audit_keys(src.orders, explode_lines(src), ["o_orderkey"])
 
 
+_AFTER = """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 997 <> 3
+    UNION ALL SELECT o_orderkey + 1000000000, o_custkey FROM orders WHERE o_orderkey % 1009 = 5
+    UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 1013 = 7"""
+
+
+@query(
+    "reconcile_keys",
+    f"""WITH a AS (SELECT o_orderkey, o_custkey, count(*) AS n FROM orders GROUP BY ALL),
+      b AS (SELECT o_orderkey, o_custkey, count(*) AS n FROM ({_AFTER}) GROUP BY ALL)
+    SELECT o_orderkey, o_custkey, coalesce(a.n, 0) AS n_before, coalesce(b.n, 0) AS n_after
+    FROM a FULL JOIN b USING (o_orderkey, o_custkey) WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""",
+)
+def reconcile_keys(src: Source) -> DataFrame:
+    """Which orders a later table has lost, invented or repeated."""
+    after = src.spark.sql(_AFTER.replace("FROM orders", "FROM {orders}"), orders=src.orders)
+    return reconcile.differing_keys(src.orders, after, ["o_orderkey", "o_custkey"])
+
+
 @query(
     "audit_unique",
     """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
