@@ -5,10 +5,11 @@ five-word shingles that the document has. The search is by MinHash sketches,
 partitioned by size. An item of n shingles may miss n - ceil(t n) of them at a
 containment of t, so its sketch is its n - ceil(t n) + 1 lowest shingle hashes:
 a document that contains the item must share one of them, whatever the length
-of the document. Items fall in size partitions by powers of two. The highest
-sketch hash of a partition is its cut-off, and a document sends only hashes
-below the highest cut-off among the partitions whose items could fit in it.
-Candidates are then verified by counting shingles exactly.
+of the document. Items fall in size partitions by powers of two. A partition has
+a cut-off, its highest sketch hash, and a filter of its sketch hashes; a
+document sends a hash only if some partition whose items could fit in it takes
+it by both. Candidates are then verified by counting shingles exactly, those of
+one text together.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from caseloom.llm import words
 from caseloom.llm.shared import beside, bitmap, in_bitmap, pieces, saved, small_side, table, text_key
 
 THRESHOLD = 0.8
+#: candidates that are verified with one copy of a text
+LISTED = 1000
 
 
 def _lists(row: np.ndarray, values: np.ndarray, rows: int) -> pa.ListArray:
@@ -54,6 +57,32 @@ def item_sketches(items: DataFrame, id: str, text: str, threshold: float, shingl
     return texts.mapInArrow(sketch, "key binary, n long, size_class int, least long, hashes array<long>, sketch array<long>")
 
 
+def size_partitions(sketches: DataFrame, threshold: float) -> list[tuple[int, np.uint64, np.ndarray]]:
+    """For each size partition: shingles that a document must have to hold an item of it, its cut-off, and its filter.
+
+    A filter has some sixteen bits a sketch hash, 16 MB at most; beyond that it
+    lets more pass, which is still joined exactly. There are as many partitions
+    as an item's size has bits.
+    """
+    # hashes are unsigned, so their order as signed numbers is shifted by 2**63
+    cuts = sketches.groupBy("size_class").agg(F.max(F.expr("h ^ (-9223372036854775807L - 1L)")).alias("cut"), F.count(F.lit(1)).alias("n"))
+    out = []
+    for r in sorted(cuts.collect(), key=lambda r: r["size_class"]):
+        bits = min(max(math.ceil(math.log2(16 * r["n"])), 10), 27)
+        found = bitmap(sketches.where(F.col("size_class") == r["size_class"]), "h", bits)
+        out.append((math.ceil(threshold * 2 ** r["size_class"] - 1e-9), np.uint64(r["cut"] + 2**63), found))
+    return out
+
+
+def taken(takes: list[tuple[int, np.uint64, np.ndarray]], sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes, of documents of ``sizes`` shingles, some partition takes."""
+    sent = np.zeros(len(hashes), bool)
+    for least, cut, found in takes:
+        here = np.flatnonzero((sizes >= least) & (hashes <= cut) & ~sent)
+        sent[here] = in_bitmap(found, hashes[here])
+    return sent
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -72,21 +101,13 @@ def contained_items(
     """
     sketched = saved(item_sketches(items, item_id, item_text, threshold, shingle))
     sketches = sketched.select(F.col("key").alias("item"), "size_class", F.explode("sketch").alias("h"))
-    # hashes are unsigned, so their order as signed numbers is shifted by 2**63
-    cuts = sketches.groupBy("size_class").agg(F.max(F.expr("h ^ (-9223372036854775807L - 1L)")).alias("cut"))
-    found = {r["size_class"]: (r["cut"] + 2**63) for r in cuts.collect()}  # one row per power of two
-    sizes = np.array(sorted(found), dtype=np.int64)
-    highest = np.maximum.accumulate(np.array([found[s] for s in sizes], dtype=np.uint64)) if found else np.zeros(0, np.uint64)
-    fits = np.array([math.ceil(threshold * 2**s - 1e-9) for s in sizes], dtype=np.int64)
-    bloom = bitmap(sketches, "h")
+    takes = size_partitions(sketches, threshold)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             row, hashes = words.shingles(piece.column("text"), shingle)
             n = np.bincount(row, minlength=piece.num_rows)  # at least the number of distinct ones
-            partition = np.searchsorted(fits, n, side="right") - 1
-            cut = highest[np.maximum(partition, 0)] if len(highest) else np.zeros(len(n), np.uint64)
-            sent = (partition[row] >= 0) & (hashes <= cut[row]) & in_bitmap(bloom, hashes)
+            sent = taken(takes, n[row], hashes)
             keys = piece.column("key").take(pa.array(row[sent]))
             yield pa.RecordBatch.from_arrays([keys, pa.array(hashes[sent].view(np.int64))], ["key", "h"])
 
@@ -97,21 +118,27 @@ def contained_items(
     texts = keyed.join(small_side(wanted), "key").dropDuplicates(["key"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, have = None, None
         for batch in batches:
-            shared = []
-            for key, content, hashes in zip(batch.column("key"), batch.column("text"), batch.column("hashes"), strict=True):
-                if last != key:
-                    last, have = key, np.unique(words.shingles(pa.array([content.as_py()], pa.string()), shingle)[1])
-                shared.append(int(np.isin(hashes.values.to_numpy().view(np.uint64), have).sum()))
-            out = batch.select(["key", "item", "n", "least"]).append_column("n_shared", pa.array(shared, pa.int64()))
-            yield out.filter(pc.greater_equal(out["n_shared"], out["least"]))
+            for key, content, items_ in zip(*(batch.column(c) for c in ("key", "text", "items")), strict=True):
+                have = np.unique(words.shingles(pa.array([content.as_py()], pa.string()), shingle)[1])
+                some = items_.values
+                lists = some.field("hashes")
+                hashes, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))
+                upto = np.concatenate([[0], np.cumsum(np.isin(hashes, have))])
+                shared = np.diff(upto[np.concatenate([[0], ends])])
+                columns = [pa.array([key.as_py()] * len(some), pa.binary()), some.field("item"), some.field("n"), some.field("least"), pa.array(shared, pa.int64())]
+                out = pa.RecordBatch.from_arrays(columns, ["key", "item", "n", "least", "n_shared"])
+                yield out.filter(pc.greater_equal(out["n_shared"], out["least"]))
 
     full = sketched.select(F.col("key").alias("item"), "n", "least", "hashes")
+    # a text comes once with up to some LISTED of its candidates, however many it has
+    parts = pairs.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / LISTED).alias("_parts"))
+    listed = pairs.join(parts, "key").join(small_side(full, 10_000), "item")
+    listed = listed.groupBy("key", F.pmod(F.xxhash64("item"), F.col("_parts")).alias("_part"))
+    listed = listed.agg(F.collect_list(F.struct("item", "n", "least", "hashes")).alias("items"))
     checked = (
-        texts.join(pairs, "key")
-        .join(small_side(full, 10_000), "item")
-        .select("key", "text", "item", "n", "least", "hashes")
+        texts.join(listed, "key")
+        .select("key", "text", "items")
         .mapInArrow(verify, "key binary, item binary, n long, least long, n_shared long")
     )
     ids = items.select(text_key(item_text).alias("item"), F.col(item_id).alias("item_id")).distinct()

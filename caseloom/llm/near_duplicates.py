@@ -28,6 +28,8 @@ COMPARED = 64
 HUBS = 4
 #: members of a bucket that one task compares with as many others
 BLOCK = 1024
+#: bytes of shingle lists on each of the two sides that one task compares; a longer list is a side of its own
+BLOCK_BYTES = 64 << 20
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -140,13 +142,16 @@ def verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFra
     return joined.mapInArrow(check, "a binary, b binary")
 
 
-def crossing(members: DataFrame, shingled: DataFrame, bands: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+def crossing(
+    members: DataFrame, shingled: DataFrame, bands: DataFrame, threshold: float, block: int = BLOCK, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The pairs (a, b) of different components that share a bucket and reach the threshold.
 
     ``members`` has h, key, root and n, the bucket's size. A bucket is dealt out
-    by hash in blocks, and each two blocks are compared in one task of at most
-    2 x ``block`` rows or so, which returns only the links it finds. A pair is
-    compared in the first bucket that it shares and not once it is connected.
+    by hash in blocks of some ``block`` rows or ``block_bytes`` of shingle lists,
+    whichever is less, and each two blocks are compared in one task, which
+    returns only the links it finds. A pair is compared in the first bucket that
+    it shares and not once it is connected.
     """
 
     def compare(rows: pa.Table) -> pa.Table:
@@ -159,6 +164,7 @@ def crossing(members: DataFrame, shingled: DataFrame, bands: DataFrame, threshol
 
         def find(r: bytes) -> bytes:
             while (up := parent.get(r, r)) != r:
+                parent[r] = parent.get(up, up)
                 r = up
             return r
 
@@ -175,7 +181,11 @@ def crossing(members: DataFrame, shingled: DataFrame, bands: DataFrame, threshol
                     b.append(keys[j])
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    parts = F.ceil(F.col("n") / block).cast("int")
+    sizes = shingled.select("key", (F.octet_length("hashes") + F.octet_length("weights")).alias("bytes"))
+    members = members.join(small_side(sizes), "key")
+    whole_bytes = members.groupBy("h").agg(F.sum("bytes").alias("bytes"))
+    members = members.drop("bytes").join(whole_bytes, "h")
+    parts = F.ceil(F.greatest(F.col("n") / block, F.col("bytes") / block_bytes)).cast("int")
     mine = F.pmod(F.xxhash64("key"), parts).cast("int")
     others = F.explode(F.sequence(F.lit(0), parts - 1))
     placed = members.select("h", "key", "root", mine.alias("part"), others.alias("other"))

@@ -133,13 +133,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_BYT
 BROADCAST_ROWS = 200_000
 
 
-def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, most: int | None = None) -> DataFrame:
     """A narrow, saved table with a broadcast hint if it was counted to have at most ``most`` rows, else as it is."""
+    most = BROADCAST_ROWS if most is None else min(most, BROADCAST_ROWS)
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def bitmap(df: DataFrame, hash: str, bits: int = 24) -> np.ndarray:
-    """A Bloom filter of one bit per hash, 2**bits bits however many rows: 2 MB to the driver at most.
+    """A Bloom filter of one bit per hash, 2**bits bits however many rows: 2 MB to the driver, unless ``bits`` says otherwise.
 
     It only spares rows a shuffle: what passes is still joined exactly, and a
     full filter lets everything pass.
