@@ -56,7 +56,7 @@ def snapshot_runs(src: Source) -> DataFrame:
     """Three runs push events by (type, user); each lacks some users, whose rows of an earlier run stay current."""
     events = src.events.where("(user_id + event_id % 3) % 4 <> 0").withColumn("run", F.expr(_RUN))
     rows = events.select("event_type", (F.col("user_id") % 500).alias("user_id"), "event_id", "value", "run")
-    store = Snapshots(src.spark, new_path(src.spark, "snapshots"), rows.drop("run").schema, ["event_type", "user_id"])
+    store = Snapshots(src.spark, new_path(src.spark, "snapshots"), rows.drop("run").schema, ["event_type", "user_id"], buckets=16)
     for run in (0, 1, 2, 1, 2):  # runs that push again leave the store as it was
         store.push(rows.where(F.col("run") == run).drop("run"), f"run-{run}")
     both = [store.history().withColumn("state", F.lit("history")), store.current().withColumn("state", F.lit("current"))]
