@@ -3,7 +3,8 @@
 Both sides are folded, on the map side, into one invertible Bloom lookup table:
 each key is added to three cells by one side and taken away by the other, so
 what both hold alike is gone. What is left is peeled off cells that hold one key
-only. A table too small for the differences does not peel, and is made larger.
+only, which a check number beside the parts of the key tells. A table too small
+for the differences does not peel, and is made larger.
 """
 
 from __future__ import annotations
@@ -33,6 +34,12 @@ def _parts(keys: Sequence[str]) -> list[Column]:
     return out
 
 
+def _check_of(parts):
+    """A number that parts of several keys, added up, do not have, as a column or as an array alike."""
+    a, b, c, d = parts
+    return ((a * d) % _PRIME + (b * c) % _PRIME) % _PRIME
+
+
 def _cells_of(parts, third: int):
     """The three cells of a key, from its first three parts, as columns or as arrays alike."""
     a, b, c = parts[:3]
@@ -43,8 +50,9 @@ def _folded(before: DataFrame, after: DataFrame, keys: Sequence[str], cells: int
     """Per cell the rows before less those after, and the parts of their keys added up: as many numbers as cells have."""
     names = ["_a", "_b", "_c", "_d"]
     sides = [df.select(*[p.alias(n) for n, p in zip(names, _parts(keys), strict=True)], F.lit(sign).cast("long").alias("_n")) for df, sign in ((before, 1), (after, -1))]
-    both = sides[0].unionByName(sides[1])
-    at = F.explode(F.array(*_cells_of([F.col(n) for n in names], cells // 3)))
+    both = sides[0].unionByName(sides[1]).withColumn("_e", _check_of([F.col(n) for n in names]))
+    names.append("_e")
+    at = F.explode(F.array(*_cells_of([F.col(n) for n in names[:3]], cells // 3)))
     added = [F.sum("_n").alias("_n"), *[F.sum(F.col(n) * F.col("_n")).alias(n) for n in names]]
     found = both.select(at.alias("_cell"), "_n", *names).groupBy("_cell").agg(*added).where(" or ".join(f"{n} <> 0" for n in ("_n", *names)))
     rows = found.toPandas()
@@ -56,13 +64,15 @@ def _folded(before: DataFrame, after: DataFrame, keys: Sequence[str], cells: int
 
 def _peeled(table: dict[str, np.ndarray]) -> np.ndarray | None:
     """The parts of all keys left in the table, a row each; None where it does not come apart."""
-    names, cells = ["_a", "_b", "_c", "_d"], len(table["_n"])
+    names, cells = ["_a", "_b", "_c", "_d", "_e"], len(table["_n"])
     count, sums = table["_n"], np.stack([table[n] for n in names], axis=1)
     found = []
-    while True:
+    while sum(map(len, found)) <= cells:  # cells hold no more keys; one told wrongly could come and go for ever
         some = np.flatnonzero(count)
         parts, rest = np.divmod(sums[some], count[some, None])
-        pure = (rest == 0).all(axis=1) & (parts >= 0).all(axis=1) & (parts < 1 << _BITS).all(axis=1)
+        pure = (rest == 0).all(axis=1) & (parts >= 0).all(axis=1) & (parts[:, :4] < 1 << _BITS).all(axis=1)
+        some, parts = some[pure], parts[pure]
+        pure = parts[:, 4] == _check_of(parts[:, :4].T)
         where = np.stack(_cells_of([parts[:, k] for k in range(3)], cells // 3), axis=1)
         pure &= (where == some[:, None]).any(axis=1)
         if not pure.any():
@@ -75,7 +85,7 @@ def _peeled(table: dict[str, np.ndarray]) -> np.ndarray | None:
             np.subtract.at(sums, where[:, j], keys * times[:, None])
     if count.any() or sums.any():
         return None
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 4), np.int64)
+    return np.unique(np.concatenate(found)[:, :4], axis=0) if found else np.zeros((0, 4), np.int64)
 
 
 def differing_keys(before: DataFrame, after: DataFrame, keys: Sequence[str], cells: int = CELLS, most: int = MOST) -> DataFrame:
