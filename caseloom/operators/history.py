@@ -27,6 +27,8 @@ def _as_is(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+#: points of a cell of the grid that are paired with the rows asked near it; those of a fuller cell are counted without pairs
+FEW = 32
 #: cents in one range of amounts, the most rows of a key that a window sorts
 RANGE = 1 << 16
 
@@ -228,7 +230,7 @@ def distinct_counts(
     my_id, my_day = mine
     their_id, their_day = theirs
     past = history.where(none_null([*keys, their_id, their_day])).select(*keys, their_id, their_day).distinct()
-    each = trailing_distinct(lines, past, keys, my_day, their_day, their_id, "_hits")
+    each = trailing_distinct(lines.select(my_id, *keys, my_day), past, keys, my_day, their_day, their_id, "_hits")
     summed = each.groupBy(F.col(my_id).alias("_id")).agg(F.sum("_hits").alias("_hits"))
 
     asked = _dated(lines, keys, my_day, F.col(my_id).alias("_id"), F.struct(*keys).alias("_key")).drop(*keys)
@@ -297,12 +299,13 @@ def near_duplicate_counts(
     may have several rows with different keys; a history id near several counts once.
 
     A grid of (key, block of days, band of amounts) first tells which rows have
-    any but themselves near: no other can count. Of those, history that has an
-    id once is counted by ``_swept``, without pairs. An id with several keys,
-    days or amounts must count once for all of them, which counting points
-    cannot tell (colours in two dimensions); those points, and only those, are
-    joined within their cell of the grid and made distinct. ``between`` may write
-    what is used several times, see ``sources.lineage.cut``.
+    any but themselves near: no other can count. Cells of at most ``FEW`` points
+    are joined with what is asked near them, and the ids made distinct. In fuller
+    cells, history that has an id once is counted by ``_swept``, without pairs.
+    An id with several keys, days or amounts must count once for all of them,
+    which counting points cannot tell (colours in two dimensions); those points
+    are joined within their cell as well. ``between`` may write what is used
+    several times, see ``sources.lineage.cut``.
     """
     my_id, my_day, my_amount = mine
     their_id, their_day, their_amount = theirs
@@ -325,19 +328,24 @@ def near_duplicate_counts(
     probes, points = _near_cells(probes.where("_low <= _high"), points, keys, days, tolerance, between)
     box = ["_block0", "_block1", "_band0", "_band1"]
     times = points.groupBy("_other").agg(
-        F.count(F.lit(1)).alias("_times"), F.min(F.struct(*keys, "_when", "_cents")).alias("_point")
+        F.count(F.lit(1)).alias("_times"), F.min(F.struct(*keys, "_when", "_cents", "_full")).alias("_point")
+    )
+    # with one point, an id is once in a full cell if its point is
+    once = between(times.where("_times = 1 AND _point._full").select("_other", "_point.*").drop("_full"), "near_once")
+    paired = points.where("NOT _full").unionByName(
+        points.where("_full").join(times.where("_times > 1").select("_other"), "_other").select(points.columns)
     )
-    once = between(times.where("_times = 1").select("_other", "_point.*"), "near_once")
-    several = points.join(times.where("_times > 1").select("_other"), "_other")
     near = (F.abs(F.col("_when") - F.col("_day")) <= days) & F.col("_cents").between(F.col("_low"), F.col("_high"))
 
-    swept = _swept(probes.drop(*box), once, keys, days)
+    probes_of_full = probes.where("_near_full").drop("_near_full")
+    probes = probes.drop("_near_full")
+    swept = _swept(probes_of_full.drop(*box), once, keys, days)
     # a probe that is itself in the history was counted with it
     renamed = once.select(F.col("_other").alias("_own"), "_when", "_cents", *[F.col(k).alias(f"_their_{k}") for k in keys])
     same_keys = reduce(and_, [F.col(k) == F.col(f"_their_{k}") for k in keys])
-    itself = probes.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
+    itself = probes_of_full.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
     repeated = (
-        _in_cells(probes).join(several, [*keys, "_block", "_band"])
+        _in_cells(probes).join(paired, [*keys, "_block", "_band"])
         .where(near & ~F.col("_own").eqNullSafe(F.col("_other")))
         .select("_id", "_other")
         .distinct()
@@ -360,7 +368,7 @@ def _near_cells(
     tolerance: str,
     between: Between,
 ) -> tuple[DataFrame, DataFrame]:
-    """The probes and points with another one near in a grid, with the cells of each.
+    """The probes and points with another one near in a grid, with the cells of each and whether one is full.
 
     A block has as many days as a probe reaches over, a band all amounts up to
     the ratio of a probe's bounds, so a probe lies over two blocks and bands, or
@@ -389,15 +397,15 @@ def _near_cells(
         }
     )
     cell, box = [*keys, "_block", "_band"], [*keys, "_block0", "_block1", "_band0", "_band1"]
-    cells = points.groupBy(*cell).agg(F.min("_other").alias("_from"), F.max("_other").alias("_upto"))
+    cells = points.groupBy(*cell).agg(F.min("_other").alias("_from"), F.max("_other").alias("_upto"), (F.count(F.lit(1)) > FEW).alias("_full"))
     boxes = probes.groupBy(*box).agg(
         F.min("_own").alias("_own0"), F.max("_own").alias("_own1"), F.max(F.col("_own").isNull()).alias("_nobody")
     )
     alone = (F.col("_from") == F.col("_upto")) & (F.col("_own0") == F.col("_own1")) & (F.col("_from") == F.col("_own0")) & ~F.col("_nobody")
-    met = _in_cells(boxes).join(cells, cell).where(~F.coalesce(alone, F.lit(False))).select(*box, "_block", "_band")
+    met = _in_cells(boxes).join(cells, cell).where(~F.coalesce(alone, F.lit(False))).select(*box, "_block", "_band", "_full")
     met = between(met, "near_cells")
-    probes = probes.join(met.select(*box).distinct(), box, "left_semi")
-    points = points.join(met.select(*cell).distinct(), cell, "left_semi")
+    probes = probes.join(met.groupBy(*box).agg(F.max("_full").alias("_near_full")), box)
+    points = points.join(met.select(*cell, "_full").distinct(), cell)
     return between(probes, "near_probes"), between(points, "near_points")
 
 
