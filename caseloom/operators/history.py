@@ -300,11 +300,11 @@ def near_duplicate_counts(
 
     A grid of (key, block of days, band of amounts) first tells which rows have
     any but themselves near: no other can count. Cells of at most ``FEW`` points
-    are joined with what is asked near them, and the ids made distinct. In fuller
-    cells, history that has an id once is counted by ``_swept``, without pairs.
+    are joined with what is asked near them. In fuller cells, history that has
+    an id once is counted by ``_swept``, without pairs.
     An id with several keys, days or amounts must count once for all of them,
     which counting points cannot tell (colours in two dimensions); those points
-    are joined within their cell as well. ``between`` may write what is used
+    are joined within their cell as well and made distinct. ``between`` may write what is used
     several times, see ``sources.lineage.cut``.
     """
     my_id, my_day, my_amount = mine
@@ -328,13 +328,12 @@ def near_duplicate_counts(
     probes, points = _near_cells(probes.where("_low <= _high"), points, keys, days, tolerance, between)
     box = ["_block0", "_block1", "_band0", "_band1"]
     times = points.groupBy("_other").agg(
-        F.count(F.lit(1)).alias("_times"), F.min(F.struct(*keys, "_when", "_cents", "_full")).alias("_point")
-    )
-    # with one point, an id is once in a full cell if its point is
-    once = between(times.where("_times = 1 AND _point._full").select("_other", "_point.*").drop("_full"), "near_once")
-    paired = points.where("NOT _full").unionByName(
-        points.where("_full").join(times.where("_times > 1").select("_other"), "_other").select(points.columns)
+        F.count(F.lit(1)).alias("_times"), F.min(F.struct(*[c for c in points.columns if c != "_other"])).alias("_point")
     )
+    single = between(times.where("_times = 1").select("_other", "_point.*"), "near_once")
+    several = points.join(times.where("_times > 1").select("_other"), "_other").withColumn("_once", F.lit(False))
+    paired = single.where("NOT _full").withColumn("_once", F.lit(True)).unionByName(several)
+    once = single.where("_full").drop("_full", "_block", "_band")
     near = (F.abs(F.col("_when") - F.col("_day")) <= days) & F.col("_cents").between(F.col("_low"), F.col("_high"))
 
     probes_of_full = probes.where("_near_full").drop("_near_full")
@@ -344,16 +343,18 @@ def near_duplicate_counts(
     renamed = once.select(F.col("_other").alias("_own"), "_when", "_cents", *[F.col(k).alias(f"_their_{k}") for k in keys])
     same_keys = reduce(and_, [F.col(k) == F.col(f"_their_{k}") for k in keys])
     itself = probes_of_full.join(renamed, "_own").where(same_keys & near).select("_id", F.lit(-1).cast("long").alias("_hits"))
-    repeated = (
+    # an id of one point counts for each row asked, one of several points once
+    hits = F.when(F.max("_once"), F.count(F.lit(1))).otherwise(F.lit(1).cast("long"))
+    met = (
         _in_cells(probes).join(paired, [*keys, "_block", "_band"])
         .where(near & ~F.col("_own").eqNullSafe(F.col("_other")))
-        .select("_id", "_other")
-        .distinct()
-        .select("_id", F.lit(1).cast("long").alias("_hits"))
+        .groupBy("_id", "_other")
+        .agg(hits.alias("_hits"))
+        .select("_id", "_hits")
     )
     return (
         swept.unionByName(itself)
-        .unionByName(repeated)
+        .unionByName(met)
         .groupBy(F.col("_id").alias(my_id))
         .agg(F.sum("_hits").alias(out))
         .where(F.col(out) > 0)

@@ -40,3 +40,15 @@ def test_cells_of_few_points_are_not_swept(spark, monkeypatch, few):
                 want[i].add(j)
     assert {r[0]: r[1] for r in got.collect()} == {i: len(ids) for i, ids in want.items()}
     assert (swept == [(0, 0)]) == (few == MANY)
+
+
+def test_an_id_of_one_point_counts_for_each_row_asked(spark, monkeypatch):
+    """As it did when every cell was swept; an id of several points counts once."""
+    rows = "id string, k string, day date, amount decimal(18,2)"
+    asked = spark.sql("SELECT 'C' AS id, 'a' AS k, DATE '2024-01-05' AS day, CAST(100 AS DECIMAL(18,2)) AS amount FROM range(2)")
+    past = spark.createDataFrame([("one", "a", datetime.date(2024, 1, 4), 100), ("two", "a", datetime.date(2024, 1, 4), 100), ("two", "a", datetime.date(2024, 1, 5), 100)], rows.replace("decimal(18,2)", "int"))
+    past = past.withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    for few in (0, MANY):
+        monkeypatch.setattr(history, "FEW", few)
+        got = history.near_duplicate_counts(asked, past, ["k"], ("id", "day", "amount"), ("id", "day", "amount"), days=2)
+        assert [tuple(r) for r in got.collect()] == [("C", 3)]
