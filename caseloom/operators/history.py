@@ -174,25 +174,43 @@ def trailing_distinct(
 ) -> DataFrame:
     """Add the number of distinct history ids in [day - days, day); null ids do not count.
 
-    An id counts on a day through its latest occurrence before that day, so each
-    occurrence counts from the day after it until the id occurs again or leaves
-    the window: one step up and one down, and a running sum over a key's days.
+    An occurrence counts on the days of the window after it, so occurrences are
+    counted per day and running totals subtracted, as ``trailing_metrics`` has
+    it. From the day after its next occurrence an id would count twice until the
+    earlier one leaves the window: a step down and one up, for such ids alone.
     """
     seen = _dated(history, keys, history_day, F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    steps = _distinct_steps(seen, keys, days)
-    asked = _dated(current, keys, current_day).withColumns({"_step": F.lit(0), "_asked": F.lit(1)})
+    none = F.lit(0)
+    counted = _counted(seen, keys, days).withColumn("_asked", none)
+    asked = _dated(current, keys, current_day).withColumns({"_n": none, "_step": none, "_asked": F.lit(1)})
     daily = (
-        steps.withColumn("_asked", F.lit(0))
-        .unionByName(asked)
+        counted.unionByName(asked)
         .groupBy(*keys, "_day")
-        .agg(F.sum("_step").alias("_step"), F.max("_asked").alias("_asked"))
+        .agg(F.sum("_n").alias("_n"), F.sum("_step").alias("_step"), F.max("_asked").alias("_asked"))
     )
-    line = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
-    per_day = daily.withColumn(out, F.sum("_step").over(line)).where("_asked = 1").select(*keys, "_day", out)
+    line = Window.partitionBy(*keys).orderBy("_day")
+    before = F.sum("_n").over(line.rangeBetween(Window.unboundedPreceding, -1))
+    expired = F.sum("_n").over(line.rangeBetween(Window.unboundedPreceding, -(days + 1)))
+    twofold = F.sum("_step").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    found = F.coalesce(before, none) - F.coalesce(expired, none) + twofold
+    per_day = daily.withColumn(out, found).where("_asked = 1").select(*keys, "_day", out)
     joined = spread_join(current.withColumn("_day", _day(current_day)), per_day, [*keys, "_day"]).drop("_day")
     return joined.withColumn(out, F.coalesce(out, F.lit(0).cast("long")))
 
 
+def _counted(seen: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """(keys, _day, _n, _step): one row per occurrence, and two more for one whose id occurs again before it leaves the window."""
+
+    def row(day: Column, n: int, step: int) -> Column:
+        return F.struct(day.alias("_day"), F.lit(n).alias("_n"), F.lit(step).alias("_step"))
+
+    again = F.lead("_day").over(Window.partitionBy(*keys, "_id").orderBy("_day"))
+    day, leaves = F.col("_day"), F.col("_day") + days
+    twice = F.array(row(day, 1, 0), row(F.col("_again") + 1, 0, -1), row(leaves + 1, 0, 1))
+    rows = F.when(F.col("_again") < leaves, twice).otherwise(F.array(row(day, 1, 0)))
+    return seen.withColumn("_again", again).select(*keys, F.inline(rows))
+
+
 def _distinct_steps(seen: DataFrame, by: list[str], days: int) -> DataFrame:
     """(by, _day, _step): up on the day from which an id of ``seen`` (by, _id, _day) counts, down on that from which it does not."""
     again = F.lead("_day").over(Window.partitionBy(*by, "_id").orderBy("_day"))
