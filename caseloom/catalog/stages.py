@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from caseloom.catalog import Source, query
 from caseloom.catalog.claims import CASE_BUILD_SQL, REFERENCES_SQL, case_build, claims_reference_columns
 from caseloom.catalog.coverage import COVERED, rolled_up
-from caseloom.catalog.world import RAW, claim_world, raw_orders
+from caseloom.catalog.world import OCR_DOCUMENTS, RAW, claim_world, derive, raw_orders
 from caseloom.operators import audit
 from caseloom.plans import claims
 from caseloom.sources import feeds, stages, tables
@@ -126,6 +126,11 @@ def json_sink(src: Source) -> DataFrame:
     return src.spark.read.schema(schema).json(path).withColumn("is_stamped", stamped).select(*_SUNK)
 
 
+def _documents(src: Source) -> DataFrame:
+    """The raw documents, made by evenly dealt tasks however the orders are filed: a task's rows are the files it lands."""
+    return derive(src, OCR_DOCUMENTS, orders=src.orders.hint("rebalance", "o_orderkey")).select(*OCR_COLUMNS)
+
+
 @query("stage_resume", REFERENCES_SQL)
 def stage_resume(src: Source) -> DataFrame:
     """The second stage from what the first has left in the folder, which began at landed CSV."""
@@ -143,7 +148,7 @@ def stage_republish(src: Source) -> DataFrame:
     world, root = claim_world(src), new_path(src.spark, "republish")
     paths = {name: f"{root}/landed/{name}" for name in ("ocr_documents", "policy", "member", "provider")}
     for name, path in paths.items():
-        landed = world[name].select(*OCR_COLUMNS) if name == "ocr_documents" else world[name]
+        landed = _documents(src) if name == "ocr_documents" else world[name]
         tables.write_stage(landed.withColumn("policy_status", F.lit("INACTIVE")) if name == "policy" else landed, path, "csv")
     upto = "reference_enriched_claims"
     claims.resume_stages(src.spark, f"{root}/stages", paths, upto)

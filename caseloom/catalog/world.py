@@ -214,9 +214,9 @@ CLAIM_WORLD = {
 }
 
 
-def derive(src: Source, text: str) -> DataFrame:
-    """Run a derivation in Spark over the tables it names."""
-    return src.spark.sql(text, **{t: getattr(src, t) for t in set(re.findall(r"{(\w+)}", text))})
+def derive(src: Source, text: str, **given: DataFrame) -> DataFrame:
+    """Run a derivation in Spark over the tables it names, those ``given`` in place of the source's."""
+    return src.spark.sql(text, **{t: given.get(t, getattr(src, t)) for t in set(re.findall(r"{(\w+)}", text))})
 
 
 def plain(text: str) -> str:

@@ -14,6 +14,8 @@ ARRAY_MARK = "|"
 ABSENT = "\u0000"
 #: a null list in a text stage; an empty one is empty text
 NULL_LIST = "\\N"
+#: rows of one CSV file at most: a file whose fields may hold line breaks is read by one task
+FILE_ROWS = 50_000
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -86,10 +88,10 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the whole stage folder."""
+    """Replace the whole stage folder; a CSV stage lands as many files, so that as many tasks read it back."""
     if fmt == "csv":
         # quotes doubled and blanks kept, so that text comes back as it was
-        writer = _as_text(df).write.option("header", True).option("escape", '"')
+        writer = _as_text(df).write.option("header", True).option("escape", '"').option("maxRecordsPerFile", FILE_ROWS)
         writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode(
             "overwrite"
         ).csv(path)
