@@ -136,7 +136,7 @@ def stage_resume(src: Source) -> DataFrame:
     """The second stage from what the first has left in the folder, which began at landed CSV."""
     world = claim_world(src)
     landed, folder = new_path(src.spark, "landed"), new_path(src.spark, "resume")
-    tables.write_stage(world["ocr_documents"].select(*OCR_COLUMNS), landed, "csv")
+    tables.write_stage(_documents(src), landed, "csv")
     claims.run_stage(src.spark, "canonical_claims", folder, world, landed)
     claims.run_stage(src.spark, "reference_enriched_claims", folder, world)
     return claims_reference_columns(tables.read_stage(src.spark, f"{folder}/reference_enriched_claims"))
