@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm import words
-from caseloom.llm.shared import beside, bitmap, in_bitmap, packed, pieces, saved, small_side, table
+from caseloom.llm.shared import beside, bitmap, cleaned, in_bitmap, packed, pieces, saved, small_side, table
 
 THRESHOLD = 0.8
 #: the rarity table has 2**22 buckets, 16 MB, however large the corpus; it is sent and added up in slices
@@ -30,37 +30,112 @@ PAIRS = 1 << 20
 BLOCK = 1024
 #: entries of one word that are sifted with as many others; words with more are looked for in one of so many texts
 SIFTED, EVERY = 1 << 14, 32
+#: bytes of text that a task takes apart together; lines of so many words are told apart by counts besides parities
+TOGETHER, TALLIED = 6 << 20, 64
 _SALT = np.uint64(0x632BE59BD9B4E019)
+#: a number for each byte, and one for each place of a word as far as words are hashed by sums of products
+_BYTES = words.mix(np.arange(1, 257, dtype=np.uint64) * _SALT)
+_POWERS = words.mix(np.arange(1, 65, dtype=np.uint64) ^ _SALT) | np.uint64(1)
+#: 48 bits of a word's hash tell the words of two lines apart
+_SHORT = np.uint64((1 << 48) - 1)
 
 
-def line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines per text; and for each distinct word of each line: the line (counted over all texts) and the hash."""
+def _by_rarity(hashes: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Keys in order of the rank of the hashes' buckets and then of the hashes; no two hashes share one."""
+    low = np.uint64(64 - RARITY_BITS)
+    # the bucket is the hash's upper bits, so putting its rank there keeps ties in order of hash
+    return (rank[(hashes >> low).astype(np.int64)].astype(np.uint64) << low) | (hashes & ((np.uint64(1) << low) - np.uint64(1)))
+
+
+def _hashed(flat: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word, none of which is empty, the same in every process."""
+    flat = flat.cast(pa.string())
+    offsets = np.frombuffer(flat.buffers()[1], np.int32, len(flat) + 1, flat.offset * 4).astype(np.int64)
+    out, length = np.zeros(len(flat), np.uint64), np.diff(offsets)
+    if not len(flat):
+        return out
+    data = np.frombuffer(flat.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    start = offsets[:-1] - offsets[0]
+    place = np.arange(len(data)) - np.repeat(start, length)
+    out = words.mix(np.add.reduceat(_BYTES[data] * _POWERS[np.minimum(place, len(_POWERS) - 1)], start) ^ length.astype(np.uint64))
+    long = np.flatnonzero(length > len(_POWERS))
+    out[long] = words.hashed(flat.take(pa.array(long)))
+    return out
+
+
+def _taken_apart(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many words each string has and the place of the first among the words, which come with those of plain strings first."""
+    plain = pc.ascii_is_alnum(tokens)
+    alone = np.asarray(plain, dtype=bool)
+    many, flat = words.flat_words(tokens.filter(pc.invert(plain)))
+    counts, first = np.ones(len(tokens), np.int64), np.cumsum(alone) - 1
+    counts[~alone] = many
+    first[~alone] = np.cumsum(many) - many + np.count_nonzero(alone)
+    return counts, first, pa.concat_arrays([pc.ascii_lower(tokens.filter(plain)), flat])
+
+
+def word_sets(lines: pa.Array, rank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each distinct word of each line: the line and the hash, by line and rarity, or hash if no ``rank`` is given; and words per line.
+
+    Blanks part words, so the distinct strings between blanks are taken apart
+    once each, and lines are sorted as numbers of their words.
+    """
+    between = pc.split_pattern(lines, " ")
+    counts = np.asarray(pc.list_value_length(between), dtype=np.int64)
+    coded = pc.dictionary_encode(pc.list_flatten(between))
+    many, at, flat = _taken_apart(coded.dictionary)
+    hashes = _hashed(flat)
+    _, distinct, number = np.unique(hashes if rank is None else _by_rarity(hashes, rank), return_index=True, return_inverse=True)
+    code = np.asarray(coded.indices)
+    times = many[code]
+    first = at[code] - (np.cumsum(times) - times)
+    word = number[np.repeat(first, times) + np.arange(times.sum())]
+    key = np.sort((np.repeat(np.repeat(np.arange(len(counts)), counts), times) << 32) | word)
+    key = key[np.diff(key, prepend=-1) > 0]
+    line = key >> 32
+    return line, hashes[distinct][key & 0xFFFFFFFF], np.bincount(line, minlength=len(counts))
+
+
+def line_sets(texts: pa.Array, rank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines per text; and the ``word_sets`` of the lines, counted over all texts."""
     lists = pc.split_pattern(pc.fill_null(texts, ""), "\n")
-    per_text = np.asarray(pc.list_value_length(lists), dtype=np.int64)
-    lines = pc.list_flatten(lists)
-    counts, flat = words.flat_words(lines)
-    line, hashes, _ = words.weighted(np.repeat(np.arange(len(counts)), counts), words.hashed(flat), len(counts))
-    return per_text, line, hashes, np.bincount(line, minlength=len(counts))
+    return np.asarray(pc.list_value_length(lists), dtype=np.int64), *word_sets(pc.list_flatten(lists), rank)
 
 
-def set_hashes(line: np.ndarray, hashes: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+def set_hashes(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits that stand for each line's set of words: two sums over its words."""
-    out = []
+    ends, out = np.cumsum(size), []
     for spread in (words.mix(hashes), words.mix(hashes ^ _SALT)):
         upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread, dtype=np.uint64)])
-        ends = np.searchsorted(line, np.arange(lines), side="right")
-        starts = np.searchsorted(line, np.arange(lines), side="left")
-        out.append((upto[ends] - upto[starts]).view(np.int64))
+        out.append((upto[ends] - upto[ends - size]).view(np.int64))
     return out[0], out[1]
 
 
-def parities(line: np.ndarray, hashes: np.ndarray, lines: int) -> np.ndarray:
+def parities(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
     """64 bits for each line: each word turns over one of them, so two lines differ in no more bits than words."""
     bits = np.uint64(1) << (words.mix(hashes) & np.uint64(63))
     upto = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)])
-    ends = np.searchsorted(line, np.arange(lines), side="right")
-    starts = np.searchsorted(line, np.arange(lines), side="left")
-    return (upto[ends] ^ upto[starts]).view(np.int64)
+    ends = np.cumsum(size)
+    return (upto[ends] ^ upto[ends - size]).view(np.int64)
+
+
+def tallies(line: np.ndarray, hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """16 counts modulo 16 for each line of ``TALLIED`` words or more, each word counted in one of them, else 0.
+
+    Parity bits of long lines are all but random; counts stay apart up to some 200 words.
+    """
+    counts = np.bincount(line * 16 + (words.mix(hashes) >> np.uint64(60)).astype(np.int64), minlength=16 * len(size))
+    counts = (counts & 15).astype(np.uint64).reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.where(size >= TALLIED, np.bitwise_or.reduce(counts, axis=1).view(np.int64), 0)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How far the counts of two tallies are apart in all, the shorter way around each."""
+    a, b, top, low = a.view(np.uint64), b.view(np.uint64), np.uint64(0x8888888888888888), np.uint64(0x0F0F0F0F0F0F0F0F)
+    less = ((a | top) - (b & ~top)) ^ ((a ^ ~b) & top)
+    minus = (less & top) >> np.uint64(3)
+    way = (less ^ (minus * np.uint64(15))) + minus
+    return (((way & low) + ((way >> np.uint64(4)) & low)) * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
 
 
 def _documents(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -71,25 +146,24 @@ def occurrences(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """Every line (id, tie, line_no, c1, c2, size), and how often each bucket of words occurs.
 
     A task counts into one table of buckets and sends it in compressed slices,
-    which are added up by slice: the driver gets one table of fixed size.
+    which are added up by slice: the driver gets one table of fixed size. The
+    lines are stored as lists, a row per text.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << RARITY_BITS, np.int64)
-        for piece in pieces(batches, "text"):
-            per_text, line, hashes, size = line_sets(piece.column("text"))
+        for piece in pieces(batches, "text", TOGETHER):
+            per_text, _, hashes, size = line_sets(piece.column("text"))
             counts += np.bincount((hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
-            row = np.repeat(np.arange(len(per_text)), per_text)
-            number = np.arange(len(row)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-            at = pa.array(row)
-            columns = [piece.column("id").take(at), piece.column("tie").take(at), pa.array(number.astype(np.int32))]
-            columns += [pa.array(c) for c in set_hashes(line, hashes, len(row))]
-            columns += [pa.array(size.astype(np.int32)), pa.nulls(len(row), pa.binary())]
+            ends = pa.array(np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32))
+            columns = [piece.column("id"), piece.column("tie")]
+            columns += [pa.ListArray.from_arrays(ends, pa.array(c)) for c in (*set_hashes(hashes, size), size.astype(np.int32))]
+            columns += [pa.nulls(piece.num_rows, pa.int32()), pa.nulls(piece.num_rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
         if counts.any():
             parts = np.minimum(counts, np.iinfo(np.uint16).max).astype("<u2").reshape(SLICES, -1)
             blobs = [zlib.compress(part.tobytes(), 1) for part in parts]
-            empty = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())]
+            empty = [pa.nulls(SLICES, t) for t in (pa.int64(), pa.int64(), *[pa.list_(t) for t in (pa.int64(), pa.int64(), pa.int32())])]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())], names)
 
     def add(group: pa.Table) -> pa.Table:
@@ -97,15 +171,17 @@ def occurrences(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
         for blob in group["counts"].to_pylist():
             total += np.frombuffer(zlib.decompress(blob), "<u2")
         whole = np.minimum(total, np.iinfo(np.uint32).max).astype("<u4")
-        return pa.table({"slice": group["size"][:1], "counts": pa.array([whole.tobytes()], pa.binary())})
+        return pa.table({"slice": group["slice"][:1], "counts": pa.array([whole.tobytes()], pa.binary())})
 
-    names = ["id", "tie", "line_no", "c1", "c2", "size", "counts"]
-    found = saved(documents.mapInArrow(scan, "id long, tie long, line_no int, c1 long, c2 long, size int, counts binary"))
-    added = found.where("counts is not null").groupBy("size").applyInArrow(add, "slice int, counts binary")
+    names = ["id", "tie", "c1", "c2", "size", "slice", "counts"]
+    schema = "id long, tie long, c1 array<long>, c2 array<long>, size array<int>, slice int, counts binary"
+    found = saved(documents.mapInArrow(scan, schema))
+    added = found.where("counts is not null").groupBy("slice").applyInArrow(add, "slice int, counts binary")
     rarity = np.zeros((SLICES, (1 << RARITY_BITS) // SLICES), np.uint32)
     for r in added.collect():
         rarity[r["slice"]] = np.frombuffer(r["counts"], "<u4")
-    return found.where("counts is null").drop("counts"), rarity.ravel()
+    lists = found.where("counts is null").select("id", "tie", F.posexplode(F.arrays_zip("c1", "c2", "size")).alias("line_no", "line"))
+    return lists.select("id", "tie", "line_no", "line.*"), rarity.ravel()
 
 
 def _first_of_class(c1: np.ndarray, wanted: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,58 +197,60 @@ def _ranks(rarity: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _by_rarity(line: np.ndarray, hashes: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The words by line and, within a line, by the rank of their bucket and then their hash."""
-    low = np.uint64(64 - RARITY_BITS)
-    # the bucket is the hash's upper bits, so putting its rank there keeps ties in order of hash
-    key = (rank[(hashes >> low).astype(np.int64)].astype(np.uint64) << low) | (hashes & ((np.uint64(1) << low) - np.uint64(1)))
-    order = np.argsort(key)
-    order = order[np.argsort(line[order].astype(np.int32), kind="stable")]
-    return line[order], hashes[order]
+def prefixes(documents: DataFrame, rank: np.ndarray, threshold: float, lone: int = 0) -> DataFrame:
+    """(token, c1, size, place, bits, tally, prev) of each class of lines: its rarest words, at their places in the order of rarity.
 
-
-def prefixes(documents: DataFrame, rank: np.ndarray, threshold: float) -> DataFrame:
-    """(token, c1, size, place, bits) of each class of lines: its rarest words, at their places in the order of rarity."""
+    prev stands for the word before, by 48 bits. Words in the buckets of the
+    ``lone`` first ranks, which are those that stand in one line, are left out.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
-        for piece in pieces(batches, "text"):
-            _, line, hashes, size = line_sets(piece.column("text"))
-            c1, _ = set_hashes(line, hashes, len(size))
-            bits = parities(line, hashes, len(size))
+        for piece in pieces(batches, "text", TOGETHER):
+            _, line, hashes, size = line_sets(piece.column("text"), rank)
+            c1, _ = set_hashes(hashes, size)
+            bits, tally = parities(hashes, size), tallies(line, hashes, size)
             once = np.zeros(len(size), bool)
             chosen, seen = _first_of_class(c1, np.flatnonzero(size), seen)
             once[chosen] = True
-            line, hashes = _by_rarity(line[once[line]], hashes[once[line]], rank)
-            here = np.where(once, size, 0)
-            place = np.arange(len(line)) - (np.cumsum(here) - here)[line]
-            sent = place < (size - np.ceil(threshold * size - 1e-9) + 1)[line]
+            place = np.arange(len(line)) - (np.cumsum(size) - size)[line]
+            sent = once[line] & (place < (size - np.ceil(threshold * size - 1e-9) + 1)[line])
+            sent = np.flatnonzero(sent)
+            sent = sent[rank[(hashes[sent] >> np.uint64(64 - RARITY_BITS)).astype(np.int64)] >= lone]
             of = line[sent]
+            prev = (hashes[np.maximum(sent - 1, 0)] & _SHORT).view(np.int64)
             columns = [pa.array(hashes[sent].view(np.int64)), pa.array(c1[of])]
-            columns += [pa.array(size[of].astype(np.int32)), pa.array(place[sent].astype(np.int32)), pa.array(bits[of])]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "c1", "size", "place", "bits"])
+            columns += [pa.array(size[of].astype(np.int32)), pa.array(place[sent].astype(np.int32)), pa.array(bits[of]), pa.array(tally[of]), pa.array(prev)]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "c1", "size", "place", "bits", "tally", "prev"])
 
-    return documents.mapInArrow(scan, "token long, c1 long, size int, place int, bits long")
+    return documents.mapInArrow(scan, "token long, c1 long, size int, place int, bits long, tally long, prev long")
 
 
-def _passes(size: np.ndarray, place: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+def _passes(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs of rows i (the shorter) and j may match through the word they share, as the first one they share.
 
     Two lines of similarity t share at least 2t / (1 + t) of the words of the
     shorter one, so that one is looked up by a still shorter prefix; they differ
     in at most (1 - t) / (1 + t) of both lines' words, and so in no more of
-    their parity bits; and through the first word they share, no more words than
-    are left in either from there on.
+    their parity bits, and their tallies are no further apart; and through the first word they share, no more words than
+    are left in either from there on. The word before it is not the same one.
     """
+    size, place, bits, tally, prev = (rows[n] for n in ("size", "place", "bits", "tally", "prev"))
     share, both = threshold / (1 + threshold), size[i] + size[j]
     good = (place[i] <= size[i] - np.ceil(2 * share * size[i] - 1e-9)) & (size[i] >= threshold * size[j] - 1e-9)
     good &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= (1 - 2 * share) * both + 1e-9
-    return good & (np.minimum(size[i] - place[i], size[j] - place[j]) >= share * both - 1e-9)
+    good &= (prev[i] != prev[j]) | (place[i] == 0) | (place[j] == 0)
+    good &= np.minimum(size[i] - place[i], size[j] - place[j]) >= share * both - 1e-9
+    k = np.flatnonzero(good)
+    k = k[(tally[i[k]] != 0) & (tally[j[k]] != 0)]
+    good[k] = _apart(tally[i[k]], tally[j[k]]) <= (1 - 2 * share) * both[k] + 1e-9
+    return good
 
 
 def _active(rows: np.ndarray, group: np.ndarray, threshold: float) -> np.ndarray:
     """The places of rows, in order of group, size and class, that may match another row of their group."""
     size, place = rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+    columns = {"size": size, "place": place, "bits": rows["bits"], "tally": rows["tally"], "prev": rows["prev"]}
     longest = np.floor(size / threshold + 1e-9).astype(np.int64)
     # the end of the rows that are not too long: one search over (group, size)
     rank = group.astype(np.int64) << 32
@@ -185,7 +263,7 @@ def _active(rows: np.ndarray, group: np.ndarray, threshold: float) -> np.ndarray
         upto = max(start + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
         i = np.repeat(first[start:upto], many[start:upto])
         j = np.arange(len(i)) - np.repeat(ends[start:upto] - many[start:upto] - done, many[start:upto]) + i + 1
-        good = _passes(size, place, rows["bits"], i, j, threshold)
+        good = _passes(columns, i, j, threshold)
         used[i[good]] = used[j[good]] = True
         start = upto
     return np.flatnonzero(used)
@@ -239,31 +317,39 @@ def active_entries(entries: DataFrame, threshold: float, heavy: DataFrame | None
     word and each two of its parts, and sorted; a task goes through its words in
     order, some thousand rows at a time. No pair leaves the task.
     """
-    kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.int64)])
+    kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.int64), ("tally", np.int64), ("prev", np.int64)])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, ["token", "cell"]):
+        for table in _whole_groups(batches, [group]):
             rows = np.empty(table.num_rows, kind)
             for name in kind.names:
                 rows[name] = np.asarray(table[name])
-            cell = np.asarray(table["cell"])
-            other = np.ones(len(rows), bool)
-            other[1:] = (rows["token"][1:] != rows["token"][:-1]) | (cell[1:] != cell[:-1])
-            new = other.copy()  # a class comes once from each task that found it
-            new[1:] |= rows["c1"][1:] != rows["c1"][:-1]
-            rows, group = rows[new], np.cumsum(other)[new]
-            rows = rows[_active(rows, group, threshold)]
+            key = np.asarray(table[group])
+            number = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
+            order = np.lexsort((rows["c1"], (number << 32) + rows["size"]))
+            rows, number = rows[order], number[order]
+            new = np.ones(len(rows), bool)  # a class comes once from each task that found it
+            new[1:] = (number[1:] != number[:-1]) | (rows["c1"][1:] != rows["c1"][:-1])
+            rows, number = rows[new], number[new]
+            rows = rows[_active(rows, number, threshold)]
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[n])) for n in kind.names], list(kind.names))
 
-    ordered = _cells(entries, heavy).repartition("token", "cell").sortWithinPartitions("token", "cell", "size", "c1")
-    found = ordered.mapInArrow(sift, "token long, size int, c1 long, place int, bits long")
+    # one number to deal and sort by; should two cells ever share one, their rows are only looked at together
+    if heavy is None:
+        dealt, group = entries, "token"
+    else:
+        group = "group"
+        dealt = _cells(entries, heavy).withColumn(group, F.when(F.col("cell") == 0, F.col("token")).otherwise(F.xxhash64("token", "cell"))).drop("cell")
+    ordered = dealt.repartition(group).sortWithinPartitions(group)
+    found = ordered.mapInArrow(sift, "token long, size int, c1 long, place int, bits long, tally long, prev long")
     return found if heavy is None else found.dropDuplicates(["token", "c1"])
 
 
 def _links_of(table: pa.Table, threshold: float) -> dict[tuple[int, int], list]:
     """(c1, c2) -> [links, earliest other line] over the groups of a table; a pair counts at the first word it shares."""
     column = {n: table[n].to_pylist() for n in ("c1", "c2", "id", "tie", "line_no", "words")}
-    size, place, bits, part = (np.asarray(table[n]).astype(np.int64) for n in ("size", "place", "bits", "part"))
+    rows = {n: np.asarray(table[n]).astype(np.int64) for n in ("size", "place", "bits", "tally", "prev")}
+    size, part = rows["size"], np.asarray(table["part"])
     token, low, high = (np.asarray(table[n]) for n in ("token", "low", "high"))
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
@@ -286,9 +372,9 @@ def _links_of(table: pa.Table, threshold: float) -> dict[tuple[int, int], list]:
         else:
             i, j = (x.ravel() for x in np.meshgrid(here[part[here] == low[start]], here[part[here] == high[start]]))
         i, j = np.where(size[i] <= size[j], i, j), np.where(size[i] <= size[j], j, i)
-        good = _passes(size, place, bits, i, j, threshold)
+        good = _passes(rows, i, j, threshold)
         # either of two lines of one size may be the one that is looked up
-        good |= (size[i] == size[j]) & _passes(size, place, bits, j, i, threshold)
+        good |= (size[i] == size[j]) & _passes(rows, j, i, threshold)
         shared = int(token[start]).to_bytes(8, "little", signed=True)[:6]
         sets: dict[int, set[bytes]] = {}
         for x, y in zip(i[good].tolist(), j[good].tolist(), strict=True):
@@ -316,27 +402,32 @@ def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, thre
     tasks: each two of up to ``block`` rows of a word. What leaves a task is one
     row per class, however many links it has.
     """
-    rank = _ranks(rarity)
+    rank, lone = _ranks(rarity), int(np.count_nonzero(rarity < 2))
     heavy = heavy_words(documents, rank, threshold)
     heavy = None if heavy.isEmpty() else heavy
-    active = saved(active_entries(prefixes(documents, rank, threshold), threshold, heavy))
+    active = saved(active_entries(prefixes(documents, rank, threshold, lone), threshold, heavy))
+    cleaned(documents.sparkSession)
     wanted = packed(active.select("c1").distinct())
-    bloom = bitmap(wanted, "c1")
+    # where each wanted class stands first, and a filter of those places
+    place = F.coalesce("id", F.lit(0)).cast("long"), F.col("tie"), F.col("line_no").cast("long")
+    place = F.shiftleft(place[0], 12).bitwiseXOR(place[1]).bitwiseXOR(place[2])
+    at = packed(firsts.join(small_side(wanted), "c1", "left_semi").select("c1", "c2", "first.*").withColumn("place", place))
+    bloom = bitmap(at, "place")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
-        for piece in pieces(batches, "text"):
-            _, line, hashes, size = line_sets(piece.column("text"))
-            c1, c2 = set_hashes(line, hashes, len(size))
-            chosen, seen = _first_of_class(c1, np.flatnonzero((size > 0) & in_bitmap(bloom, c1.copy())), seen)
-            keep = np.zeros(len(size), bool)
-            keep[chosen] = True
-            chosen = np.flatnonzero(keep)
-            line, hashes = _by_rarity(line[keep[line]], hashes[keep[line]], rank)
-            ends = np.cumsum(size[chosen])
-            # 48 bits of a word's hash tell the words of two lines apart
+        for piece in pieces(batches, "text", TOGETHER):
+            lists = pc.split_pattern(pc.fill_null(piece.column("text"), ""), "\n")
+            per_text = np.asarray(pc.list_value_length(lists), dtype=np.int64)
+            number = np.arange(per_text.sum()) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+            spot = (np.asarray(pc.fill_null(piece.column("id"), 0)) << 12) ^ np.asarray(piece.column("tie"))
+            lines = pc.list_flatten(lists).filter(pa.array(in_bitmap(bloom, np.repeat(spot, per_text) ^ number)))
+            line, hashes, size = word_sets(lines, rank)
+            c1, c2 = set_hashes(hashes, size)
+            chosen, seen = _first_of_class(c1, np.flatnonzero(size), seen)
+            ends = np.cumsum(size)
             short = np.ascontiguousarray(hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
-            sets = [short[b - n : b].tobytes() for b, n in zip(ends, size[chosen], strict=True)]
+            sets = [short[ends[k] - size[k] : ends[k]].tobytes() for k in chosen]
             columns = [pa.array(c1[chosen]), pa.array(c2[chosen]), pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["c1", "c2", "words"])
 
@@ -350,16 +441,18 @@ def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, thre
             columns += [pa.array(others[2], pa.int64()), pa.array(others[3], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["c1", "c2", "links", "id", "tie", "line_no"])
 
-    sets = documents.mapInArrow(scan, "c1 long, c2 long, words binary").join(small_side(wanted), "c1").dropDuplicates(["c1", "c2"])
-    sets = sets.join(firsts.select("c1", "c2", "first.*"), ["c1", "c2"])
-    parts = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("c1"), parts).cast("int")
-    counts = active.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    placed = active.join(counts, "token").select("*", mine.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_o"))
-    placed = placed.select(
-        "token", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high"), "part", "size", "place", "bits", "c1"
-    )
-    dealt = placed.join(sets, "c1").repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    parts = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
+    counts = packed(active.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block))
+    entry = F.struct("token", "size", "place", "bits", "tally", "prev", parts.alias("parts"))
+    asked = active.join(small_side(counts), "token", "left").groupBy("c1").agg(F.collect_list(entry).alias("entries"))
+    # the words of a line meet its entries once, and are then dealt out by the words through which it may match
+    asked = asked.join(at.drop("place"), "c1")
+    sets = documents.mapInArrow(scan, "c1 long, c2 long, words binary").dropDuplicates(["c1", "c2"]).join(asked, ["c1", "c2"])
+    placed = sets.select("c1", "c2", "id", "tie", "line_no", "words", F.explode("entries").alias("e")).select("*", "e.*").drop("e")
+    mine = F.pmod(F.xxhash64("c1"), F.col("parts")).cast("int")
+    placed = placed.select("*", mine.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_o"))
+    placed = placed.select("*", F.least("part", "_o").alias("low"), F.greatest("part", "_o").alias("high")).drop("parts", "_o")
+    dealt = placed.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
     found = dealt.mapInArrow(compare, "c1 long, c2 long, links long, id long, tie long, line_no int")
     return found.groupBy("c1", "c2").agg(F.sum("links").alias("links"), F.min(F.struct("id", "tie", "line_no")).alias("other"))
 
@@ -383,22 +476,24 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
     linked = line_links(documents, firsts, rarity, threshold)
     special = firsts.join(linked, ["c1", "c2"], "left").where("n > 1 or links is not null")
     special = saved(special.select("c1", "c2", "first", "links", F.coalesce(F.col("other") < F.col("first"), F.lit(False)).alias("later")))
-    judged = lines.join(small_side(special), ["c1", "c2"], "left")
-    gone = F.coalesce((F.col("size") > 0) & (F.col("later") | ~at.eqNullSafe(F.col("first"))), F.lit(False))
-    found = judged.withColumn("gone", gone & F.col("first").isNotNull()).groupBy("id", "tie").agg(
-        (F.max("line_no") + 1).cast("long").alias("n_lines"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.coalesce(F.sum(F.when(F.col("size") > 0, F.col("links"))), F.lit(0)).cast("long").alias("n_links"),
+    cleaned(docs.sparkSession)
+    judged = worded.join(small_side(special), ["c1", "c2"]).withColumn("gone", F.col("later") | ~at.eqNullSafe(F.col("first")))
+    judged = judged.groupBy("id", "tie").agg(
+        F.coalesce(F.sum("links"), F.lit(0)).cast("long").alias("n_links"),
         F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line_no")))).alias("removed"),
     )
+    whole = lines.groupBy("id", "tie").agg((F.max("line_no") + 1).cast("long").alias("n_lines"), F.count(F.lit(1)).alias("_rows"))
+    judged = judged.withColumnsRenamed({"id": "_id", "tie": "_tie"})
+    found = whole.join(judged, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
     # a text whose row is repeated has each of its lines as many times
     return found.select(
         "id",
         "tie",
         "n_lines",
-        F.size("removed").cast("long").alias("n_removed"),
-        F.expr("n_links div (_rows div n_lines)").alias("n_links"),
-        "removed",
+        F.size(removed).cast("long").alias("n_removed"),
+        F.expr("coalesce(n_links, 0) div (_rows div n_lines)").alias("n_links"),
+        removed.alias("removed"),
     )
 
 

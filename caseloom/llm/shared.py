@@ -71,6 +71,14 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
+def cleaned(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of tables that are no longer held, as it does by itself twice an hour.
+
+    After a table is ``saved`` the shuffles that made it are read no more.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
