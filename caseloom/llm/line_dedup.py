@@ -10,7 +10,7 @@ filters is verified by exact Jaccard.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,23 @@ PAIRS = 1 << 20
 BLOCK = 1024
 #: entries of one word that are sifted with as many others; words with more are looked for in one of so many texts
 SIFTED, EVERY = 1 << 14, 32
+#: entries that a task packs into lists together, and those that a bucket is meant to hold
+PACKED, BUCKET = 1 << 17, 1 << 17
+#: columns of a matrix of lines and words at a time; multiplications that cost as much as to compare two lines by their sets
+WIDE, WORTH = 1 << 12, 100_000
+#: pairs of a group that are compared one by one, by sets
+FEW = 32
 #: bytes of text that a task takes apart together; lines of so many words are told apart by counts besides parities
 TOGETHER, TALLIED = 6 << 20, 64
 _SALT = np.uint64(0x632BE59BD9B4E019)
 #: a number for each byte, and one for each place of a word as far as words are hashed by sums of products
 _BYTES = words.mix(np.arange(1, 257, dtype=np.uint64) * _SALT)
 _POWERS = words.mix(np.arange(1, 65, dtype=np.uint64) ^ _SALT) | np.uint64(1)
+Scan = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+#: the columns of an entry, the word it is dealt by last
+TYPES = {"size": "int", "c1": "long", "place": "int", "bits": "long", "tally": "long", "prev": "long", "token": "long"}
+ENTRY = list(TYPES)
+KIND = np.dtype([(n, np.int32 if t == "int" else np.int64) for n, t in TYPES.items()])
 #: 48 bits of a word's hash tell the words of two lines apart
 _SHORT = np.uint64((1 << 48) - 1)
 
@@ -197,8 +208,8 @@ def _ranks(rarity: np.ndarray) -> np.ndarray:
     return rank
 
 
-def prefixes(documents: DataFrame, rank: np.ndarray, threshold: float, lone: int = 0) -> DataFrame:
-    """(token, c1, size, place, bits, tally, prev) of each class of lines: its rarest words, at their places in the order of rarity.
+def _prefix_scan(rank: np.ndarray, threshold: float, lone: int = 0) -> Scan:
+    """What makes the rows of ``prefixes`` of texts.
 
     prev stands for the word before, by 48 bits. Words in the buckets of the
     ``lone`` first ranks, which are those that stand in one line, are left out.
@@ -223,7 +234,12 @@ def prefixes(documents: DataFrame, rank: np.ndarray, threshold: float, lone: int
             columns += [pa.array(size[of].astype(np.int32)), pa.array(place[sent].astype(np.int32)), pa.array(bits[of]), pa.array(tally[of]), pa.array(prev)]
             yield pa.RecordBatch.from_arrays(columns, ["token", "c1", "size", "place", "bits", "tally", "prev"])
 
-    return documents.mapInArrow(scan, "token long, c1 long, size int, place int, bits long, tally long, prev long")
+    return scan
+
+
+def prefixes(documents: DataFrame, rank: np.ndarray, threshold: float) -> DataFrame:
+    """(token, c1, size, place, bits, tally, prev) of each class of lines: its rarest words, at their places in the order of rarity."""
+    return documents.mapInArrow(_prefix_scan(rank, threshold), "token long, c1 long, size int, place int, bits long, tally long, prev long")
 
 
 def _passes(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
@@ -310,88 +326,164 @@ def _cells(entries: DataFrame, heavy: DataFrame | None) -> DataFrame:
     return dealt.withColumn("cell", F.explode(cells)).drop("parts", "mine")
 
 
-def active_entries(entries: DataFrame, threshold: float, heavy: DataFrame | None = None) -> DataFrame:
-    """The entries that pass the length, parity and positional filters with another of their word, each class once.
+def _packed(names: list[str], buckets: int) -> Scan:
+    """Entries as lists of their columns ``names``, a row for each of ``buckets`` of the last of them and some ten thousand entries."""
+    group = names[-1]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def lists() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            bucket = (words.mix(np.asarray(table[group]).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = pa.array(np.append(first, len(bucket)).astype(np.int32))
+            columns = [pa.ListArray.from_arrays(ends, pa.array(np.asarray(table[n])[order])) for n in names]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *columns], ["bucket", *names])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= PACKED:
+                yield lists()
+        if held:
+            yield lists()
+
+    return pack
+
+
+def _sifted(lists: DataFrame, names: list[str], threshold: float) -> DataFrame:
+    """The entries, ``_packed``, that pass the filters of ``_passes`` with another of their group, each class once.
 
-    Entries are dealt out by word, those of ``heavy`` words (token, parts) by
-    word and each two of its parts, and sorted; a task goes through its words in
-    order, some thousand rows at a time. No pair leaves the task.
+    A task goes through its buckets one by one. No pair leaves the task.
     """
-    kind = np.dtype([("token", np.int64), ("size", np.int32), ("c1", np.int64), ("place", np.int32), ("bits", np.int64), ("tally", np.int64), ("prev", np.int64)])
+    group = names[-1]
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, [group]):
-            rows = np.empty(table.num_rows, kind)
-            for name in kind.names:
-                rows[name] = np.asarray(table[name])
-            key = np.asarray(table[group])
-            number = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
-            order = np.lexsort((rows["c1"], (number << 32) + rows["size"]))
-            rows, number = rows[order], number[order]
-            new = np.ones(len(rows), bool)  # a class comes once from each task that found it
-            new[1:] = (number[1:] != number[:-1]) | (rows["c1"][1:] != rows["c1"][:-1])
-            rows, number = rows[new], number[new]
+        for table in _whole_groups(batches, ["bucket"]):
+            column = {n: pc.list_flatten(table[n]).to_numpy() for n in names}
+            order = np.lexsort((column["c1"], column["size"], column[group]))
+            rows = np.empty(len(order), KIND)
+            for name in ENTRY:
+                rows[name] = column[name][order]
+            key = column[group][order]
+            other = np.ones(len(rows), bool)
+            other[1:] = key[1:] != key[:-1]
+            new = other.copy()  # a class comes once from each task that found it
+            new[1:] |= rows["c1"][1:] != rows["c1"][:-1]
+            rows, number = rows[new], np.cumsum(other)[new]
             rows = rows[_active(rows, number, threshold)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[n])) for n in kind.names], list(kind.names))
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[n])) for n in ENTRY], ENTRY)
 
-    # one number to deal and sort by; should two cells ever share one, their rows are only looked at together
-    if heavy is None:
-        dealt, group = entries, "token"
-    else:
-        group = "group"
-        dealt = _cells(entries, heavy).withColumn(group, F.when(F.col("cell") == 0, F.col("token")).otherwise(F.xxhash64("token", "cell"))).drop("cell")
-    ordered = dealt.repartition(group).sortWithinPartitions(group)
-    found = ordered.mapInArrow(sift, "token long, size int, c1 long, place int, bits long, tally long, prev long")
+    dealt = lists.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(sift, ", ".join(f"{n} {TYPES[n]}" for n in ENTRY))
+
+
+def _lists(names: list[str]) -> str:
+    return "bucket int, " + ", ".join(f"{n} array<{TYPES.get(n, 'long')}>" for n in names)
+
+
+def active_entries(entries: DataFrame, threshold: float, heavy: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """The entries that may match another of their word. Those of ``heavy`` words (token, parts) are dealt out by word and each two of its parts."""
+    names = ENTRY
+    if heavy is not None:
+        # one number to deal by; should two cells ever share one, their rows are only looked at together
+        entries = _cells(entries, heavy).withColumn("group", F.when(F.col("cell") == 0, F.col("token")).otherwise(F.xxhash64("token", "cell")))
+        names = [*ENTRY, "group"]
+    found = _sifted(entries.select(*names).mapInArrow(_packed(names, buckets), _lists(names)), names, threshold)
     return found if heavy is None else found.dropDuplicates(["token", "c1"])
 
 
-def _links_of(table: pa.Table, threshold: float) -> dict[tuple[int, int], list]:
-    """(c1, c2) -> [links, earliest other line] over the groups of a table; a pair counts at the first word it shares."""
-    column = {n: table[n].to_pylist() for n in ("c1", "c2", "id", "tie", "line_no", "words")}
+def _shared(ordered: list[np.ndarray], place: np.ndarray, worth: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """For each two lines, how many words they share, and how many of those before their ``place``; None if that takes over ``worth``."""
+    size = np.array([len(o) for o in ordered])
+    line = np.repeat(np.arange(len(size)), size)
+    _, word, times = np.unique(np.concatenate(ordered), return_inverse=True, return_counts=True)
+    both = times[word] > 1
+    before = (np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) < np.repeat(place, size))[both]
+    line, word = line[both], (np.cumsum(times > 1) - 1)[word[both]]
+    wide = int(np.count_nonzero(times > 1))
+    if len(size) ** 2 * wide > worth:
+        return None
+    out = []
+    for chosen in (np.ones(len(line), bool), before):
+        total = np.zeros((len(size), len(size)), np.float32)
+        for start in range(0, wide, WIDE):
+            some = chosen & (word >= start) & (word < start + WIDE)
+            has = np.zeros((len(size), min(WIDE, wide - start)), np.float32)
+            has[line[some], word[some] - start] = 1
+            total += has @ has.T
+        out.append(total)
+    return out[0], out[1]
+
+
+def _good_pairs(rows: dict[str, np.ndarray], group: np.ndarray, pairs: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs within groups, by the first, that pass the filters; ``pairs`` is the part of a row that meets others only, or -1."""
+    stop = np.searchsorted(group, group, side="right")
+    first, found = np.arange(len(group)), []
+    many = stop - first - 1
+    ends, start = np.cumsum(many), 0
+    while start < len(group):
+        done = ends[start - 1] if start else 0
+        upto = max(start + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        i = np.repeat(first[start:upto], many[start:upto])
+        j = np.arange(len(i)) - np.repeat(ends[start:upto] - many[start:upto] - done, many[start:upto]) + i + 1
+        meet = (pairs[i] < 0) | (pairs[i] != pairs[j])
+        i, j = i[meet], j[meet]
+        less = rows["size"][i] <= rows["size"][j]
+        short, long = np.where(less, i, j), np.where(less, j, i)
+        good = _passes(rows, short, long, threshold)
+        # either of two lines of one size may be the one that is looked up
+        good |= (rows["size"][i] == rows["size"][j]) & _passes(rows, long, short, threshold)
+        found.append((i[good], j[good]))
+        start = upto
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _links_of(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a table of whole groups, their links and the row of the earliest line of them; a pair counts at the first word it shares."""
     rows = {n: np.asarray(table[n]).astype(np.int64) for n in ("size", "place", "bits", "tally", "prev")}
-    size, part = rows["size"], np.asarray(table["part"])
+    size, place = rows["size"], rows["place"]
     token, low, high = (np.asarray(table[n]) for n in ("token", "low", "high"))
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-    starts = np.flatnonzero(new).tolist()
-    split: dict[int, list[bytes]] = {}
-    found: dict[tuple[int, int], list] = {}
-
-    def words_of(k: int) -> list[bytes]:
-        if k not in split:
-            split[k] = [column["words"][k][n : n + 6] for n in range(0, len(column["words"][k]), 6)]
-        return split[k]
-
-    def line_of(k: int) -> tuple:
-        return (column["id"][k] is not None, column["id"][k] or 0, column["tie"][k], column["line_no"][k])
-
-    for start, stop in zip(starts, [*starts[1:], len(token)], strict=True):
-        here = np.arange(start, stop)
-        if low[start] == high[start]:
-            i, j = (here[x] for x in np.triu_indices(len(here), 1))
+    starts = np.flatnonzero(new)
+    i, j = _good_pairs(rows, np.cumsum(new), np.where(low == high, -1, np.asarray(table["part"])), threshold)
+    sets = table["words"].to_pylist()
+
+    def words_of(k: int) -> np.ndarray:
+        out = np.zeros((len(sets[k]) // 6, 8), np.uint8)
+        out[:, :6] = np.frombuffer(sets[k], np.uint8).reshape(-1, 6)
+        return out.view("<u8").ravel()
+
+    linked = np.zeros(len(i), bool)
+    bounds = np.searchsorted(i, [*starts.tolist(), len(token)])
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if a == b:
+            continue
+        members, at = np.unique(np.concatenate([i[a:b], j[a:b]]), return_inverse=True)
+        x, y = at[: b - a], at[b - a :]
+        lists = [words_of(k) for k in members.tolist()]
+        if b - a >= FEW and (dense := _shared(lists, place[members], WORTH * (b - a))):
+            common, before = dense[0][x, y], dense[1][x, y]
         else:
-            i, j = (x.ravel() for x in np.meshgrid(here[part[here] == low[start]], here[part[here] == high[start]]))
-        i, j = np.where(size[i] <= size[j], i, j), np.where(size[i] <= size[j], j, i)
-        good = _passes(rows, i, j, threshold)
-        # either of two lines of one size may be the one that is looked up
-        good |= (size[i] == size[j]) & _passes(rows, j, i, threshold)
-        shared = int(token[start]).to_bytes(8, "little", signed=True)[:6]
-        sets: dict[int, set[bytes]] = {}
-        for x, y in zip(i[good].tolist(), j[good].tolist(), strict=True):
-            for k in (x, y):
-                if k not in sets:
-                    sets[k] = set(words_of(k))
-            common = len(sets[x] & sets[y])
-            if common < threshold * (len(sets[x]) + len(sets[y]) - common) - 1e-9:
-                continue
-            if next(w for w in words_of(x) if w in sets[y]) != shared:
-                continue
-            for k, other in ((x, y), (y, x)):
-                at = found.setdefault((column["c1"][k], column["c2"][k]), [0, line_of(other)])
-                at[0] += 1
-                at[1] = min(at[1], line_of(other))
-        split.clear()
-    return found
+            held, ahead = [set(w.tolist()) for w in lists], [set(w[:p].tolist()) for w, p in zip(lists, place[members].tolist(), strict=True)]
+            both = list(zip(x.tolist(), y.tolist(), strict=True))
+            common = np.array([len(held[m] & held[n]) for m, n in both])
+            before = np.array([not ahead[m].isdisjoint(ahead[n]) for m, n in both])
+        linked[a:b] = (common >= threshold * (size[i[a:b]] + size[j[a:b]] - common) - 1e-9) & (before == 0)
+    one, other = np.concatenate([i[linked], j[linked]]), np.concatenate([j[linked], i[linked]])
+    order = np.lexsort([np.asarray(pc.fill_null(table[n], 0)) for n in ("line_no", "tie", "id")] + [np.asarray(table["id"].is_valid())])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    best = np.full(len(token), len(token))
+    np.minimum.at(best, one, rank[other])
+    links = np.bincount(one, minlength=len(token))
+    found = np.flatnonzero(links)
+    return found, links[found], order[best[found]]
 
 
 def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, threshold: float, block: int = BLOCK) -> DataFrame:
@@ -405,7 +497,13 @@ def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, thre
     rank, lone = _ranks(rarity), int(np.count_nonzero(rarity < 2))
     heavy = heavy_words(documents, rank, threshold)
     heavy = None if heavy.isEmpty() else heavy
-    active = saved(active_entries(prefixes(documents, rank, threshold, lone), threshold, heavy))
+    # a line of n words has about (1 - threshold) n entries
+    buckets = max(64, int(rarity.sum(dtype=np.float64) * (1 - threshold)) // BUCKET)
+    if heavy is None:
+        scanned, pack = _prefix_scan(rank, threshold, lone), _packed(ENTRY, buckets)
+        active = saved(_sifted(documents.mapInArrow(lambda batches: pack(scanned(batches)), _lists(ENTRY)), ENTRY, threshold))
+    else:
+        active = saved(active_entries(prefixes(documents, rank, threshold), threshold, heavy, buckets))
     cleaned(documents.sparkSession)
     wanted = packed(active.select("c1").distinct())
     # where each wanted class stands first, and a filter of those places
@@ -433,13 +531,10 @@ def line_links(documents: DataFrame, firsts: DataFrame, rarity: np.ndarray, thre
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, ["token", "low", "high"]):
-            found = _links_of(table, threshold)
-            others = list(zip(*(v[1] for v in found.values()), strict=True)) or [()] * 4
-            ids = [i if known else None for known, i in zip(others[0], others[1], strict=True)]
-            columns = [pa.array([k[n] for k in found], pa.int64()) for n in (0, 1)]
-            columns += [pa.array([v[0] for v in found.values()], pa.int64()), pa.array(ids, pa.int64())]
-            columns += [pa.array(others[2], pa.int64()), pa.array(others[3], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["c1", "c2", "links", "id", "tie", "line_no"])
+            found, links, other = _links_of(table, threshold)
+            columns = [table["c1"].take(found), table["c2"].take(found), pa.array(links)]
+            columns += [table[n].take(other) for n in ("id", "tie", "line_no")]
+            yield from pa.table(columns, names=["c1", "c2", "links", "id", "tie", "line_no"]).to_batches()
 
     parts = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
     counts = packed(active.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block))
@@ -477,7 +572,16 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thre
     special = firsts.join(linked, ["c1", "c2"], "left").where("n > 1 or links is not null")
     special = saved(special.select("c1", "c2", "first", "links", F.coalesce(F.col("other") < F.col("first"), F.lit(False)).alias("later")))
     cleaned(docs.sparkSession)
-    judged = worded.join(small_side(special), ["c1", "c2"]).withColumn("gone", F.col("later") | ~at.eqNullSafe(F.col("first")))
+    bloom = bitmap(special, "c1")
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(bloom, np.array(batch.column("c1")))))
+
+    # most lines stand alone: only those that may be in a special class are joined
+    some = worded.drop("size")
+    some = some.mapInArrow(sieve, some.schema)
+    judged = some.join(small_side(special), ["c1", "c2"]).withColumn("gone", F.col("later") | ~at.eqNullSafe(F.col("first")))
     judged = judged.groupBy("id", "tie").agg(
         F.coalesce(F.sum("links"), F.lit(0)).cast("long").alias("n_links"),
         F.array_sort(F.collect_set(F.when(F.col("gone"), F.col("line_no")))).alias("removed"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -76,6 +77,7 @@ def cleaned(spark: SparkSession) -> None:
 
     After a table is ``saved`` the shuffles that made it are read no more.
     """
+    gc.collect()  # what Python holds of them is let go first
     spark.sparkContext._jvm.System.gc()
 
 
