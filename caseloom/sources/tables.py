@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.sources.lineage import shuffles_freed
 from caseloom.sources.schemas import all_strings
 
 ARRAY_MARK = "|"
@@ -92,11 +93,12 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "csv":
         # quotes doubled and blanks kept, so that text comes back as it was
         writer = _as_text(df).write.option("header", True).option("escape", '"').option("maxRecordsPerFile", FILE_ROWS)
-        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode(
-            "overwrite"
-        ).csv(path)
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode("overwrite")
+        with shuffles_freed(df.sparkSession):
+            writer.csv(path)
     else:
-        df.write.mode("overwrite").format(fmt).save(path)
+        with shuffles_freed(df.sparkSession):
+            df.write.mode("overwrite").format(fmt).save(path)
 
 
 def with_run_times(df: DataFrame) -> DataFrame:
@@ -106,9 +108,11 @@ def with_run_times(df: DataFrame) -> DataFrame:
 
 def write_case(df: DataFrame, path: str) -> None:
     """Final case table, stamped with its run time, as Parquet."""
-    with_run_times(df).write.mode("overwrite").parquet(path)
+    with shuffles_freed(df.sparkSession):
+        with_run_times(df).write.mode("overwrite").parquet(path)
 
 
 def write_case_json(df: DataFrame, path: str) -> None:
     """Readable copy for debugging."""
-    with_run_times(df).write.mode("overwrite").json(path)
+    with shuffles_freed(df.sparkSession):
+        with_run_times(df).write.mode("overwrite").json(path)
