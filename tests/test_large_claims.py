@@ -42,11 +42,20 @@ def test_claims_are_the_same_however_many_count_as_large(spark, monkeypatch, man
     assert sorted(map(str, claims.canonical_claims(docs).collect())) == want
 
 
+def test_claims_are_those_of_documents_folded_at_once(spark):
+    """Claims of one document, of some, of many; the schema as well."""
+    docs = documents(spark)
+    by_key, at_once = claims._canonical_by_key(docs), claims._canonical_by_key(docs, apart=False)
+    assert by_key.dtypes == at_once.dtypes
+    assert sorted(map(str, by_key.collect())) == sorted(map(str, at_once.collect()))
+    assert {r["document_count"] == 1 for r in by_key.collect()} == {True, False}
+
+
 def test_documents_are_shuffled_before_they_are_parsed(spark):
     """Parsed documents of claims that are not large travelled before, each with three times the bytes."""
     plan = claims._canonical_by_key(documents(spark))._jdf.queryExecution().executedPlan().toString()
-    wide, raw = plan.index("partial_min_by"), plan.index("Exchange hashpartitioning(claim_key")
-    assert wide < raw and "Exchange" not in plan[plan.index("SortAggregate") : wide]
+    below = plan[plan.index("partial_min_by") :]
+    assert "REPARTITION_BY_COL" in below[below.index("Exchange") :].splitlines()[0]
 
 
 def test_lists_gathered_at_once_are_those_made_distinct_first(spark):
